@@ -1,0 +1,31 @@
+"""The registered queries of this subpackage, over the given tables."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from cardlens.llm.exact_dedup import exact_dedup
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(f: Callable[[SparkSession, str], DataFrame]):
+    QUERIES[f.__name__] = f
+    return f
+
+
+@query
+def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return exact_dedup(docs, keep="largest").select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
+
+
+ORACLES["op2_exact_dedup"] = """
+SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
+       doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
+"""
