@@ -34,7 +34,6 @@ def _merge_runs(keep_largest: bool):
 
     def merge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
-        schema = None
         for batch in batches:
             schema = batch.schema
             table = pa.Table.from_batches([batch])
@@ -52,11 +51,11 @@ def _merge_runs(keep_largest: bool):
             order = np.lexsort((best_row, ids if keep_largest else -ids, known, group))
             last = np.r_[starts[1:], len(lane)] - 1  # the best of each group is its last in order
             pick = pa.array(order[last])
-            out = table.take(pick).set_column(4, "n", pa.array(np.add.reduceat(table["n"].to_numpy(), starts)))
+            out = table.take(pick).set_column(4, "n", pa.array(np.add.reduceat(table["n"].to_numpy(), starts))).cast(schema)
             held = out.slice(len(starts) - 1, 1)
-            yield from out.slice(0, len(starts) - 1).cast(schema).to_batches()
+            yield from out.slice(0, len(starts) - 1).to_batches()
         if held is not None:
-            yield from held.cast(schema).to_batches()
+            yield from held.to_batches()
 
     return merge
 
