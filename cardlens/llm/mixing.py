@@ -145,8 +145,10 @@ def mix_sources(
     )
 
 
-def take_mix(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """``docs`` as often as the mix takes each, all columns kept; identifiers must be unique."""
-    copies = mix_sources(docs, id_col=id_col, **options).filter("copies > 0").select(F.col("id").alias("_id"), F.col("copies").alias("_copies"))
-    joined = docs.join(copies, docs[id_col].eqNullSafe(F.col("_id")))
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).drop("_id", "_copies", "_copy")
+def take_mix(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` as often as the mix takes each, all columns kept. ``docs`` must be a scan (its rows
+    are numbered twice, in the same order); rows count one by one, whatever their identifiers."""
+    numbered = docs.withColumn("_row_uid", F.monotonically_increasing_id())
+    copies = mix_sources(numbered, id_col="_row_uid", **options).filter("copies > 0").select(F.col("id").alias("_row_uid"), F.col("copies").alias("_copies"))
+    joined = numbered.join(copies, "_row_uid")
+    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(*docs.columns)

@@ -94,25 +94,23 @@ def _tables(radius: int, level: int) -> Column:
     return F.array(*masks)
 
 
-def _stars(fp: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(centre, member) links that connect just what links within ``radius`` connect."""
+def _stars(fp: np.ndarray, radius: int, direct: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(centre, member) links that connect just what links within ``radius`` connect; ``direct``:
+    each member's link is to the fingerprint within the radius that reached it."""
     rest = np.unique(fp)
     while len(rest) > 1:
         centre, rest, frontier = rest[0], rest[1:], [rest[0]]
-        reached = []
         while frontier and len(rest):
-            near = np.bitwise_count(rest ^ frontier.pop()) <= radius
+            at = frontier.pop()
+            near = np.bitwise_count(rest ^ at) <= radius
             if near.any():
                 found = rest[near]
                 rest = rest[~near]
-                reached.append(found)
                 frontier.extend(found)
-        if reached:
-            members = np.concatenate(reached)
-            yield np.full(len(members), centre), members
+                yield np.full(len(found), at if direct else centre), found
 
 
-def _search(radius: int):
+def _search(radius: int, direct: bool):
     """Links inside the buckets of a stream that is sorted by bucket; a bucket is held at a time."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,7 +119,7 @@ def _search(radius: int):
 
         def close() -> None:
             if held:
-                for a, b in _stars(np.concatenate(held), radius):
+                for a, b in _stars(np.concatenate(held), radius, direct):
                     a_out.append(a)
                     b_out.append(b)
 
@@ -145,8 +143,9 @@ def _search(radius: int):
     return run
 
 
-def links(distinct: DataFrame, radius: int, bucket: int = BUCKET) -> DataFrame:
-    """(a, b): links between distinct fingerprints ``fp`` that connect whatever lies within ``radius``."""
+def links(distinct: DataFrame, radius: int, bucket: int = BUCKET, direct: bool = False) -> DataFrame:
+    """(a, b): links between distinct fingerprints ``fp`` that connect whatever lies within
+    ``radius``; if ``direct``, each link is itself within it."""
     masked = distinct.select("fp", F.explode(_tables(radius, 0)).alias("m")).select(F.col("m.t").alias("t"), F.col("fp").bitwiseAND(F.col("m.m")).alias("key"), "fp")
     filled = masked.groupBy("t", "key").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).filter("n > 1")
     filled = checkpoint(filled)
@@ -156,7 +155,7 @@ def links(distinct: DataFrame, radius: int, bucket: int = BUCKET) -> DataFrame:
     second = F.when(F.col("n") > bucket, _tables(radius, 1)).otherwise(F.array(F.struct(F.lit(-1).alias("t"), F.lit(0).cast("long").alias("m"))))
     members = members.withColumn("m", F.explode(second))
     members = members.select(F.xxhash64("t", "key", F.col("m.t"), F.col("fp").bitwiseAND(F.col("m.m"))).alias("g"), "fp")
-    stars = members.repartition("g").sortWithinPartitions("g").mapInArrow(_search(radius), "a long, b long")
+    stars = members.repartition("g").sortWithinPartitions("g").mapInArrow(_search(radius, direct), "a long, b long")
     return pairs.unionByName(stars)
 
 
@@ -186,3 +185,70 @@ def near_dedup(docs: DataFrame, words: int = 3, radius: int = 3, bucket: int = B
         F.col("best.row_uid").alias("component_row"),
         (F.col("best.row_uid") == F.col("row_uid")).alias("kept"),
     )
+
+
+def _sketch(tokens: list[bytes], words: int, size: int) -> bytes:
+    """The ``size`` least 32-bit hashes of the distinct shingles, as bytes."""
+    shingles = {b" ".join(tokens[i : i + words]) for i in range(max(1, len(tokens) - words + 1))} if tokens else ()
+    return np.unique(np.fromiter((xxhash.xxh32_intdigest(s, 42) for s in shingles), np.uint32, len(shingles)))[:size].tobytes()
+
+
+def sketch_similarity(a: bytes, b: bytes, size: int) -> float:
+    """The Jaccard similarity that two sketches estimate; exact for texts of at most ``size``
+    shingles together. Two empty texts are alike."""
+    if a == b:
+        return 1.0
+    x, y = np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32)
+    union = np.union1d(x, y)[:size]
+    return float(np.isin(union, np.intersect1d(x, y, assume_unique=True), assume_unique=True).mean()) if len(union) else 1.0
+
+
+def near_copies(
+    docs: DataFrame, words: int = 5, similarity: float = 0.8, radius: int = 5, sketch: int = 256, bucket: int = BUCKET, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """One row per row of ``docs``: row_uid, id, component_row (its group), kept.
+
+    For similar, not only all but equal, texts: fingerprints are those of the distinct words,
+    links within ``radius`` bits come from the same covering hashing, and a link counts if the
+    shingle sketches of both ends say a Jaccard similarity of ``similarity`` or more. The row
+    with the smallest identifier of each group stays (null identifiers last, then the first row).
+    Null counts as the empty text; empty texts are alike. An empty table gives an empty result.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fp, sketches = [], []
+            for text in batch.column("text"):
+                tokens = (text.as_py() or "").encode("utf-8", "surrogatepass").lower().split()
+                each = set(tokens)
+                fp.append(simhash(np.fromiter((xxhash.xxh64_intdigest(w, 42) for w in each), np.uint64, len(each))))
+                sketches.append(_sketch(tokens, words, sketch))
+            out = [batch.column("row_uid"), batch.column("id"), pa.array(np.array(fp, np.uint64).astype(np.int64)), pa.array(sketches, pa.binary())]
+            yield pa.RecordBatch.from_arrays(out, ["row_uid", "id", "fp", "sketch"])
+
+    def verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pairs = zip(batch.column("sketch_a").to_pylist(), batch.column("sketch_b").to_pylist())
+            alike = pa.array([sketch_similarity(a, b, sketch) >= similarity for a, b in pairs], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(alike)
+
+    rows = docs.select(F.monotonically_increasing_id().alias("row_uid"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    prints = checkpoint(rows.mapInArrow(run, "row_uid long, id long, fp long, sketch binary"))
+    distinct = checkpoint(prints.groupBy("fp").agg(F.min("row_uid").alias("rep")))
+    found = links(distinct.select("fp"), radius, bucket, direct=True).distinct()
+    found = found.join(distinct.select(F.col("fp").alias("a"), F.col("rep").alias("rep_a")), "a").join(distinct.select(F.col("fp").alias("b"), F.col("rep").alias("rep_b")), "b")
+    same = prints.join(distinct, "fp").filter("row_uid != rep").select(F.col("row_uid").alias("a"), F.col("rep").alias("b"))
+    pairs = found.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).unionByName(same)
+    sketches = prints.select("row_uid", "sketch")
+    pairs = pairs.join(sketches.toDF("a", "sketch_a"), "a").join(sketches.toDF("b", "sketch_b"), "b")
+    groups = components(pairs.select("a", "b", "sketch_a", "sketch_b").mapInArrow(verify, "a long, b long"), "a", "b")
+    rooted = prints.select("row_uid", "id").join(groups, F.col("row_uid") == F.col("node"), "left").select("row_uid", "id", F.coalesce("root", "row_uid").alias("root"))
+    best = rooted.groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", "row_uid")).alias("best"))
+    return rooted.join(best, "root").select("row_uid", "id", F.col("best.row_uid").alias("component_row"), (F.col("best.row_uid") == F.col("row_uid")).alias("kept"))
+
+
+def drop_near_copies(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` with one row of each group of near copies, all columns kept. ``docs`` must be a
+    scan (its rows are numbered twice, in the same order)."""
+    kept = near_copies(docs, **options).filter("kept").select(F.col("row_uid").alias("_row_uid"))
+    return docs.withColumn("_row_uid", F.monotonically_increasing_id()).join(kept, "_row_uid", "left_semi").drop("_row_uid")
