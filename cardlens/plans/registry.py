@@ -1,17 +1,14 @@
-"""Registry of the named queries and their DuckDB oracles."""
+"""All named queries and their DuckDB oracles."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+from cardlens.plans import fusion, geometry, text  # noqa: F401  (they register their queries)
+from cardlens.plans.base import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES", "flagship"]
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents, words and characters per source."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return docs.groupBy("source").agg(F.count("*").alias("docs"), F.sum(F.length("text")).alias("chars"))
+    return QUERIES["fusion_overall"](spark, sf_dir)
