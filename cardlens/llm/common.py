@@ -32,6 +32,21 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def numbered(df: DataFrame) -> tuple[DataFrame, str]:
+    """``df`` with its rows numbered in a column of a fresh name. Only for scans: the numbers of a
+    row are the same in every evaluation because the order of a scan is."""
+    name = fresh(df, "_row_uid")
+    return df.withColumn(name, F.monotonically_increasing_id()), name
+
+
 def unit_hash(*cols: Column | str) -> Column:
     """A number in [0, 1) that depends only on the values of ``cols``."""
     return F.shiftrightunsigned(F.xxhash64(*cols), 11) / F.lit(float(1 << 53))

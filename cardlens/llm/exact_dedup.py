@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardlens.llm.common import checkpoint
+from cardlens.llm.common import checkpoint, numbered
 
 LANES = 256
 FAN_IN = 16
@@ -102,5 +102,6 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     ``docs`` must be a scan (its rows are numbered twice, in the same order).
     """
-    kept = exact_dedup(docs, id_col, text_col, keep).filter("kept").select(F.col("row_uid").alias("_row_uid"))
-    return docs.withColumn("_row_uid", F.monotonically_increasing_id()).join(kept, "_row_uid", "left_semi").drop("_row_uid")
+    rows, uid = numbered(docs)
+    kept = exact_dedup(docs, id_col, text_col, keep).filter("kept").select(F.col("row_uid").alias(uid))
+    return rows.join(kept, uid, "left_semi").drop(uid)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cardlens.llm.common import checkpoint
+from cardlens.llm.common import checkpoint, fresh
 
 BUCKETS = 1 << 15
 GRAM = 3
@@ -200,5 +200,7 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 
 def keep_identified(docs: DataFrame, least: float = 0.3, **columns: str) -> DataFrame:
     """The rows of ``docs``, columns as they are, with a known language of score ``least`` or more."""
-    named = identify(docs, **columns)
-    return named.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select(*docs.columns)
+    own = {c: fresh(docs, f"_own_{c}") for c in docs.columns if c.lower() in ("held_out", "lang_pred", "score", "lang_shares")}
+    named = identify(docs.withColumnsRenamed(own), **columns)
+    kept = named.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
+    return kept.select(*[F.col(f"`{own.get(c, c)}`").alias(c) for c in docs.columns])

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardlens.llm.common import WORD, checkpoint, unit_hash
+from cardlens.llm.common import WORD, checkpoint, fresh, numbered, unit_hash
 
 BLOCK = 64
 _ITEM = "struct<h:bigint,id:bigint,dup:bigint,size:bigint,p:double>"
@@ -148,7 +148,8 @@ def mix_sources(
 def take_mix(docs: DataFrame, **options) -> DataFrame:
     """``docs`` as often as the mix takes each, all columns kept. ``docs`` must be a scan (its rows
     are numbered twice, in the same order); rows count one by one, whatever their identifiers."""
-    numbered = docs.withColumn("_row_uid", F.monotonically_increasing_id())
-    copies = mix_sources(numbered, id_col="_row_uid", **options).filter("copies > 0").select(F.col("id").alias("_row_uid"), F.col("copies").alias("_copies"))
-    joined = numbered.join(copies, "_row_uid")
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(*docs.columns)
+    rows, uid = numbered(docs)
+    times = fresh(docs, "_copies")
+    copies = mix_sources(rows, id_col=uid, **options).filter("copies > 0").select(F.col("id").alias(uid), F.array_repeat(F.lit(1), F.col("copies").cast("int")).alias(times))
+    joined = rows.join(copies, uid).select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(times).alias(times))
+    return joined.drop(times)

@@ -10,7 +10,7 @@ Work is on distinct fingerprints. Buckets of two are compared in place. Larger o
 breadth first with numpy, each reached fingerprint leaving the set that is still compared, and
 give a spanning star of each group, never all pairs. Buckets over ``BUCKET`` are dealt out again
 by a second covering whose masks leave few bits free, so that even then a bucket's size has a
-bound (``2 ** FREE_BITS``). Components come from the stars (see components.py).
+bound (2 to the power of ``free_bits``). Components come from the stars (see components.py).
 """
 
 from __future__ import annotations
@@ -23,12 +23,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cardlens.llm.common import checkpoint
+from cardlens.llm.common import checkpoint, numbered
 from cardlens.llm.components import components
 
 BITS = 64
 BUCKET = 2048
-_WHITE = b" \t\n\x0b\x0c\r"
 
 
 def shingle_hashes(text: str | None, words: int) -> np.ndarray:
@@ -70,7 +69,8 @@ def fingerprints(docs: DataFrame, words: int, id_col: str = "doc_id", text_col:
 def _vectors(radius: int, level: int) -> list[int]:
     """The vector of each bit; the levels' vectors are dealt apart from each other."""
     n = (1 << (radius + 1)) - 1
-    return [1 + i % n if level == 0 else 1 + (i * 7 + 3 * (i // n)) % n for i in range(BITS)]
+    step = 17 if radius < 5 else 19  # of the odd primes, those that leave the fewest bits free
+    return [1 + i % n if level == 0 else 1 + (i * step + 5 * (i // n)) % n for i in range(BITS)]
 
 
 def covering_masks(radius: int, level: int = 0) -> list[int]:
@@ -250,5 +250,6 @@ def near_copies(
 def drop_near_copies(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with one row of each group of near copies, all columns kept. ``docs`` must be a
     scan (its rows are numbered twice, in the same order)."""
-    kept = near_copies(docs, **options).filter("kept").select(F.col("row_uid").alias("_row_uid"))
-    return docs.withColumn("_row_uid", F.monotonically_increasing_id()).join(kept, "_row_uid", "left_semi").drop("_row_uid")
+    rows, uid = numbered(docs)
+    kept = near_copies(docs, **options).filter("kept").select(F.col("row_uid").alias(uid))
+    return rows.join(kept, uid, "left_semi").drop(uid)

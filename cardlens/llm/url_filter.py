@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardlens.llm.common import checkpoint
+from cardlens.llm.common import checkpoint, fresh
 
 BUCKETS = 1 << 14
 GRAMS = (3, 4, 5)
@@ -129,9 +129,9 @@ def filter_urls(
     weights = train(default_labels(spark) if labelled is None else labelled)
     host, path = split_url(F.col(url_col))
     out = pages.withColumns({"host": host, "path": path})
-    weights = weights.select("weights").scalar()
-    z = F.aggregate(_buckets(F.col("host"), F.col("path")), F.lit(0.0), lambda s, b: s + F.get(F.col("_w"), b)) + F.get(F.col("_w"), F.lit(BUCKETS))
-    out = out.withColumn("_w", weights).withColumn("unwanted_probability", 1 / (1 + F.exp(-z))).drop("_w")
+    weights, w = weights.select("weights").scalar(), fresh(pages, "_weights")
+    z = F.aggregate(_buckets(F.col("host"), F.col("path")), F.lit(0.0), lambda s, b: s + F.get(F.col(w), b)) + F.get(F.col(w), F.lit(BUCKETS))
+    out = out.withColumn(w, weights).withColumn("unwanted_probability", 1 / (1 + F.exp(-z))).drop(w)
     if isinstance(rules, DataFrame):
         out = _join_rules(out, rules)
     elif len(rules) > INLINE_RULES:
