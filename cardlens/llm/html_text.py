@@ -43,28 +43,34 @@ _NAMES = re.compile(
 )
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_READERS = re.compile(r"comment|repl(?:y|ies)|respon[ds]|disqus", re.I)
 _BREAK = "\n"
 
 
 class Node:
     """A block element; ``parts`` holds its own text in order, and its block children."""
 
-    __slots__ = ("tag", "parent", "parts", "skip", "chars", "tags", "link_chars", "link_tags", "density")
+    __slots__ = ("tag", "parent", "parts", "skip", "soft", "chars", "tags", "link_chars", "link_tags", "density")
 
-    def __init__(self, tag: str, parent: Node | None, skip: bool):
-        self.tag, self.parent, self.skip = tag, parent, skip
+    def __init__(self, tag: str, parent: Node | None, skip: bool, soft: bool = False):
+        #: soft: left out for its class or id alone, until an article is found inside
+        self.tag, self.parent, self.skip, self.soft = tag, parent, skip, soft
         self.parts: list[str | tuple[str, bool] | Node] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = 0.0
 
 
-def _is_boilerplate(tag: str, attributes: str, parent: Node) -> bool:
-    if tag in BOILERPLATE:
-        return True
-    if tag in _EDGES:
+def _names(attributes: str) -> str:
+    return " ".join(next((v for v in values if v), "") for name, *values in _ATTRIBUTE.findall(attributes) if name.lower() in ("class", "id"))
+
+
+def _is_boilerplate(tag: str, attributes: str) -> bool:
+    if tag in BOILERPLATE or tag in _EDGES:
         return True
-    if not attributes.strip() or tag in ("html", "body", "article", "main"):
+    if not attributes.strip() or tag in ("html", "body", "main"):
         return False
+    if tag == "article":
+        return bool(_READERS.search(_names(attributes)))
     for name, *values in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), html.unescape(next((v for v in values if v), ""))
         if name in ("class", "id") and _NAMES.search(value):
@@ -136,10 +142,8 @@ def parse(page: str) -> Node:
                 node.parts.append(_BREAK)
             continue
         if tag in VOID or m[3].endswith("/") and tag not in ("p", "div"):
-            if tag == "body":
-                pass
             continue
-        skip = _is_boilerplate(tag, m[3], node)
+        skip = _is_boilerplate(tag, m[3])
         if tag in RAW:
             stop = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*(?:>|$)", re.I).search(page, at)
             at = stop.end() if stop else len(page)
@@ -152,7 +156,14 @@ def parse(page: str) -> Node:
             if skip:
                 inline_skip.append(len(stack))
             continue
-        child = Node(tag, node, skip or bool(inline_skip))
+        if tag in ("article", "main") and not skip:
+            up = node
+            while up is not None:  # a wrapper named after its sidebar, say, is no sidebar
+                if up.soft:
+                    up.skip = up.soft = False
+                up = up.parent
+        named = skip and tag not in BOILERPLATE and tag not in _EDGES and not _READERS.search(_names(m[3]))
+        child = Node(tag, node, skip or bool(inline_skip), soft=named and not inline_skip)
         node.parts.append(child)
         node = child
         stack.append((tag, child))

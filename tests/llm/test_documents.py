@@ -141,6 +141,8 @@ def test_main_text():
     text = "<div><div><p>" + "Plain words of an article, " * 12 + "</p><p>and a second one. " * 3 + "</p></div></div>"
     assert main_text(f"<body>{links}{text}</body>").startswith("Plain words") and "linked" not in main_text(f"<body>{links}{text}</body>")
     assert main_text("<div>" * 5000 + "deep") == "deep"
+    wrapped = "<div class='page with-sidebar'><div class=sidebar>side</div><article class=post><p>Text</p></article><section class=comments><article class=comment>nice</article></section></div>"
+    assert main_text(wrapped) == "Text"
 
 
 def test_extract_text(spark):
