@@ -15,14 +15,14 @@ from cardlens.sources.adapters import table
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, path, text) of every file below ``path``; the id is a hash of the path."""
-    rows = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path).withColumn("path", F.input_file_name())
+    rows = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True).withColumn("path", F.input_file_name())
     return rows.select(F.xxhash64("path").alias("doc_id"), "path", F.regexp_replace("value", "^﻿", "").alias("text"))
 
 
 def read_prompts(spark: SparkSession, path: str) -> DataFrame:
     """(qid, query) of a prompt file: JSON lines with qid or id, query or text; other lines are prompts
     themselves under the name of their line. Blank lines and lines without a prompt are left out."""
-    lines = spark.read.option("wholetext", True).text(path).select(F.posexplode(F.split("value", r"\r?\n")).alias("n", "line"))
+    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", r"\r?\n")).alias("n", "line"))
     line = F.trim(F.regexp_replace("line", "^﻿", ""))
     get = lambda k: F.nullif(F.get_json_object("line", f"$.{k}"), F.lit(""))
     is_json = F.col("line").startswith("{")
