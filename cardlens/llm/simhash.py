@@ -187,6 +187,15 @@ def near_dedup(docs: DataFrame, words: int = 3, radius: int = 3, bucket: int = B
     )
 
 
+def _remix(h: np.ndarray, k: int) -> np.ndarray:
+    """The k-th of several independent hashes that one hash gives; the first is the hash itself."""
+    if not k:
+        return h
+    h = (h ^ np.uint64(0x9E3779B97F4A7C15 * k & (1 << 64) - 1)) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(30))
+
+
 def _sketch(tokens: list[bytes], words: int, size: int) -> bytes:
     """The ``size`` least 32-bit hashes of the distinct shingles, as bytes."""
     shingles = {b" ".join(tokens[i : i + words]) for i in range(max(1, len(tokens) - words + 1))} if tokens else ()
@@ -204,27 +213,33 @@ def sketch_similarity(a: bytes, b: bytes, size: int) -> float:
 
 
 def near_copies(
-    docs: DataFrame, words: int = 5, similarity: float = 0.8, radius: int = 5, sketch: int = 256, bucket: int = BUCKET, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, words: int = 5, similarity: float = 0.8, radius: int = 3, prints: int = 4, sketch: int = 256, bucket: int = BUCKET, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """One row per row of ``docs``: row_uid, id, component_row (its group), kept.
 
-    For similar, not only all but equal, texts: fingerprints are those of the distinct words,
-    links within ``radius`` bits come from the same covering hashing, and a link counts if the
-    shingle sketches of both ends say a Jaccard similarity of ``similarity`` or more. The row
+    For similar, not only all but equal, texts: there are ``prints`` independent fingerprints of
+    the distinct words; links within ``radius`` bits of any of them come from the same covering
+    hashing, and a link counts if the shingle sketches of both ends say a Jaccard similarity of
+    ``similarity`` or more. Several fingerprints of a small radius find far more such pairs than
+    one of a larger radius, for as many tables. The row
     with the smallest identifier of each group stays (null identifiers last, then the first row).
     Null counts as the empty text; empty texts are alike. An empty table gives an empty result.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fp, sketches = [], []
+            fps, sketches = [], []
             for text in batch.column("text"):
                 tokens = (text.as_py() or "").encode("utf-8", "surrogatepass").lower().split()
                 each = set(tokens)
-                fp.append(simhash(np.fromiter((xxhash.xxh64_intdigest(w, 42) for w in each), np.uint64, len(each))))
+                h = np.fromiter((xxhash.xxh64_intdigest(w, 42) for w in each), np.uint64, len(each))
+                fps.append([simhash(_remix(h, k)) for k in range(prints)])
                 sketches.append(_sketch(tokens, words, sketch))
-            out = [batch.column("row_uid"), batch.column("id"), pa.array(np.array(fp, np.uint64).astype(np.int64)), pa.array(sketches, pa.binary())]
-            yield pa.RecordBatch.from_arrays(out, ["row_uid", "id", "fp", "sketch"])
+            fp = np.array(fps, np.uint64).reshape(-1, prints).astype(np.int64)
+            out = [batch.column("row_uid"), batch.column("id"), *[pa.array(fp[:, k]) for k in range(prints)], pa.array(sketches, pa.binary())]
+            yield pa.RecordBatch.from_arrays(out, ["row_uid", "id", *names, "sketch"])
+
+    names = [f"fp{k}" for k in range(prints)]
 
     def verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -233,16 +248,20 @@ def near_copies(
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(alike)
 
     rows = docs.select(F.monotonically_increasing_id().alias("row_uid"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    prints = checkpoint(rows.mapInArrow(run, "row_uid long, id long, fp long, sketch binary"))
-    distinct = checkpoint(prints.groupBy("fp").agg(F.min("row_uid").alias("rep")))
-    found = links(distinct.select("fp"), radius, bucket, direct=True).distinct()
-    found = found.join(distinct.select(F.col("fp").alias("a"), F.col("rep").alias("rep_a")), "a").join(distinct.select(F.col("fp").alias("b"), F.col("rep").alias("rep_b")), "b")
-    same = prints.join(distinct, "fp").filter("row_uid != rep").select(F.col("row_uid").alias("a"), F.col("rep").alias("b"))
-    pairs = found.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).unionByName(same)
-    sketches = prints.select("row_uid", "sketch")
-    pairs = pairs.join(sketches.toDF("a", "sketch_a"), "a").join(sketches.toDF("b", "sketch_b"), "b")
+    table = checkpoint(rows.mapInArrow(run, f"row_uid long, id long, {', '.join(f'{n} long' for n in names)}, sketch binary"))
+    pairs = None
+    for name in names:
+        printed = table.select("row_uid", F.col(name).alias("fp"))
+        distinct = checkpoint(printed.groupBy("fp").agg(F.min("row_uid").alias("rep")))
+        found = links(distinct.select("fp"), radius, bucket, direct=True).distinct()
+        found = found.join(distinct.select(F.col("fp").alias("a"), F.col("rep").alias("rep_a")), "a").join(distinct.select(F.col("fp").alias("b"), F.col("rep").alias("rep_b")), "b")
+        same = printed.join(distinct, "fp").filter("row_uid != rep").select(F.col("row_uid").alias("a"), F.col("rep").alias("b"))
+        some = checkpoint(found.select(F.greatest("rep_a", "rep_b").alias("a"), F.least("rep_a", "rep_b").alias("b")).unionByName(same))
+        pairs = some if pairs is None else pairs.unionByName(some)
+    sketches = table.select("row_uid", "sketch")
+    pairs = pairs.distinct().join(sketches.toDF("a", "sketch_a"), "a").join(sketches.toDF("b", "sketch_b"), "b")
     groups = components(pairs.select("a", "b", "sketch_a", "sketch_b").mapInArrow(verify, "a long, b long"), "a", "b")
-    rooted = prints.select("row_uid", "id").join(groups, F.col("row_uid") == F.col("node"), "left").select("row_uid", "id", F.coalesce("root", "row_uid").alias("root"))
+    rooted = table.select("row_uid", "id").join(groups, F.col("row_uid") == F.col("node"), "left").select("row_uid", "id", F.coalesce("root", "row_uid").alias("root"))
     best = rooted.groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", "row_uid")).alias("best"))
     return rooted.join(best, "root").select("row_uid", "id", F.col("best.row_uid").alias("component_row"), (F.col("best.row_uid") == F.col("row_uid")).alias("kept"))
 
