@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardlens.llm import license_scan
+from cardlens.llm import chat_format, license_scan
 from cardlens.llm.chat_format import format_conversations, read_back
 from cardlens.llm.exact_dedup import exact_dedup
 from cardlens.llm.fingerprint import fingerprint_edits
@@ -89,6 +89,18 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(format_conversations(turns.unionByName(more)))
 
 
+ORACLES["op6_chat_format"] = f"""
+WITH t AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (SELECT *, regexp_replace(role, '{chat_format.CONTROL}', '\\1\\2\\\\\\3', 'g') AS er, regexp_replace(text, '{chat_format.CONTROL}', '\\1\\2\\\\\\3', 'g') AS et FROM t)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length('{chat_format.START}{chat_format.SEPARATOR}{chat_format.END}') + 1 + length(er) + length(et)) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+
 @query
 def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
