@@ -16,13 +16,13 @@ def _events(spark, sf) -> DataFrame:
 
 @query("""WITH n AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) < INTERVAL 6 HOUR THEN 0 ELSE 1 END AS nw, event_id FROM events),
 s AS (SELECT *, sum(nw) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k FROM n)
-SELECT user_id, CAST(epoch(min(ts)) AS BIGINT) AS "start", CAST(epoch(max(ts)) + 21600 AS BIGINT) AS "end", count(*) AS n FROM s GROUP BY user_id, k""")
+SELECT user_id, CAST(floor(epoch(min(ts))) AS BIGINT) AS "start", CAST(floor(epoch(max(ts))) + 21600 AS BIGINT) AS "end", count(*) AS n FROM s GROUP BY user_id, k""")
 def event_sessions(spark, sf) -> DataFrame:
     out = H.sessions(_events(spark, sf), "ts", "user_id", "6 hours")
     return out.select("user_id", F.unix_timestamp("start").alias("start"), F.unix_timestamp("end").alias("end"), "n")
 
 
-@query("SELECT event_type, CAST(epoch(time_bucket(INTERVAL 1 DAY, ts)) AS BIGINT) AS \"start\", count(*) AS n FROM events GROUP BY 1, 2")
+@query("SELECT event_type, CAST(floor(epoch(time_bucket(INTERVAL 1 DAY, ts))) AS BIGINT) AS \"start\", count(*) AS n FROM events GROUP BY 1, 2")
 def event_windows(spark, sf) -> DataFrame:
     out = H.windowed_counts(_events(spark, sf), "ts", "event_type", "1 day")
     return out.select("event_type", F.unix_timestamp("start").alias("start"), "n")

@@ -58,23 +58,26 @@ def normalize_number(spark, sf) -> DataFrame:
     return rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", T.normalize_number(F.format_string("%.2f", "l_extendedprice")).alias("number"))
 
 
-@query(f"""WITH s AS (SELECT source AS key, doc_id AS ord, text FROM documents), q AS (SELECT item_id AS id, text, 'src' || (item_id % 20) AS key FROM benchmark),
-a AS (SELECT key, {norm("string_agg(text, ' ' ORDER BY ord)")} AS al FROM s GROUP BY 1), j AS (SELECT id, {norm('text')} AS n, coalesce(al, '') AS al, regexp_extract_all(text, '[-+]?[0-9]+(?:\\.[0-9]+)?') AS nums FROM q LEFT JOIN a USING (key))
+_FIRST = "regexp_extract(text, '^([^.\\n]*)', 1)"
+
+
+@query(f"""WITH t AS (SELECT conv_id AS key, conv_id * 1000 + turn AS id, turn AS ord, text FROM conversations), q AS (SELECT key, id, {_FIRST} AS text FROM t),
+a AS (SELECT key, {norm("string_agg(text, ' ' ORDER BY ord, text)")} AS al FROM t WHERE ord % 2 = 0 GROUP BY 1), j AS (SELECT id, {norm('text')} AS n, coalesce(al, '') AS al, regexp_extract_all(text, '[-+]?[0-9]+(?:\\.[0-9]+)?') AS nums FROM q LEFT JOIN a USING (key))
 SELECT id, CASE WHEN length(n) >= 2 AND contains(al, n) THEN 'pass' ELSE 'missing' END AS status, CASE WHEN length(n) >= 2 AND contains(al, n) THEN 1.0e0 ELSE 0.0e0 END AS score FROM j WHERE len(nums) = 0""")
 def slot_coverage(spark, sf) -> DataFrame:
-    """Benchmark passages without numbers against the documents of one source each."""
-    required = table(spark, sf, "benchmark").select(F.concat(F.lit("src"), (F.col("item_id") % 20).cast("string")).alias("key"), F.col("item_id").alias("id"), "text")
-    seen = table(spark, sf, "documents").select(F.col("source").alias("key"), F.col("doc_id").alias("ord"), "text")
+    """Whether the first sentence of each turn (without numbers) shows up in the even turns of its conversation."""
+    turns = table(spark, sf, "conversations").select(F.col("conv_id").alias("key"), (F.col("conv_id") * 1000 + F.col("turn")).alias("id"), F.col("turn").alias("ord"), "text")
+    required = turns.withColumn("text", F.regexp_extract("text", r"^([^.\n]*)", 1))
     plain = required.filter(F.size(F.regexp_extract_all(F.col("text"), F.lit(f"({T.NUMBER})"), F.lit(1))) == 0)
-    return T.slot_coverage(plain, seen)
+    return T.slot_coverage(plain, turns.filter("ord % 2 = 0"))
 
 
 @query()
 def similarity_best_match(spark, sf) -> DataFrame:
-    """For each benchmark passage the likest first line of the documents of one source."""
-    required = table(spark, sf, "benchmark").select(F.concat(F.lit("src"), (F.col("item_id") % 20).cast("string")).alias("key"), F.col("item_id").alias("id"), "text")
-    seen = table(spark, sf, "documents").select(F.col("source").alias("key"), F.col("doc_id").alias("ord"), F.get(F.split("text", "\n"), F.lit(0)).alias("text"))
-    return T.best_match(required, seen, 0.6)
+    """For the first sentence of each user turn the likest first sentence of a reply in its conversation."""
+    first = F.regexp_extract("text", r"^([^.\n]*)", 1)
+    turns = table(spark, sf, "conversations").select(F.col("conv_id").alias("key"), (F.col("conv_id") * 1000 + F.col("turn")).alias("id"), F.col("turn").alias("ord"), "role", first.alias("text"))
+    return T.best_match(turns.filter("role = 'user'"), turns.filter("role = 'assistant'"), 0.5)
 
 
 @query(f"""WITH n AS (SELECT doc_id, lang, source, {norm("string_split(text, chr(10))[1]")} AS n FROM documents)

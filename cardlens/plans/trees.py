@@ -93,11 +93,11 @@ def hue_families_span(spark, sf) -> DataFrame:
     return R.hue_span(hues).withColumn("span", S.rounded(F.col("span"), 3))
 
 
-@query(f"""WITH {PARSED}, q AS (SELECT doc_id, ord, r, g, b FROM p WHERE ord % 10 < 3)
+@query(f"""WITH {PARSED}, q AS (SELECT doc_id, ord, r, g, b FROM p)
 SELECT x.doc_id, count(*) AS pairs, {r('avg(sqrt((x.r - y.r) * (x.r - y.r) + (x.g - y.g) * (x.g - y.g) + (x.b - y.b) * (x.b - y.b)))')} AS distance FROM q x JOIN q y ON x.doc_id = y.doc_id AND x.ord < y.ord GROUP BY 1""")
 def avg_color_distance(spark, sf) -> DataFrame:
-    """Mean distance of the colours of a brand's accent parts (part number ending in 0, 1 or 2)."""
-    c = A.colors(spark, sf).filter("ord % 10 < 3").select("doc_id", "ord", S.parse_color(F.col("color")).alias("c"))
+    """Mean distance of every two colours of a palette."""
+    c = A.colors(spark, sf).select("doc_id", "ord", S.parse_color(F.col("color")).alias("c"))
     pairs = c.alias("x").join(c.alias("y"), (F.col("x.doc_id") == F.col("y.doc_id")) & (F.col("x.ord") < F.col("y.ord")))
     d = [F.col(f"x.c.{k}") - F.col(f"y.c.{k}") for k in "rgb"]
     dist = F.sqrt(d[0] * d[0] + d[1] * d[1] + d[2] * d[2])

@@ -46,22 +46,27 @@ BOXES = """(SELECT l_orderkey AS doc_id,
 
 
 def tree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """node, parent, pos, kind, hidden, action, size: region > nation > customer."""
+    """node, parent, pos, kind, hidden, action, size: region > nation > group of 20 > customer."""
     region, nation, customer = (table(spark, sf_dir, t) for t in ("region", "nation", "customer"))
     none = F.lit(None).cast("string")
     top = region.select(F.concat(F.lit("r"), F.col("r_regionkey").cast("string")).alias("node"), none.alias("parent"), F.col("r_regionkey").cast("long").alias("pos"),
         F.lit("Column").alias("kind"), F.lit(False).alias("hidden"), (F.col("r_regionkey") == 1).alias("action"), F.lit(0).cast("long").alias("size"))
     mid = nation.select(F.concat(F.lit("n"), F.col("n_nationkey").cast("string")), F.concat(F.lit("r"), F.col("n_regionkey").cast("string")), F.col("n_nationkey").cast("long"),
         F.lit("Row"), F.col("n_nationkey") % 7 == 0, F.col("n_nationkey") % 5 == 2, F.lit(0).cast("long"))
-    leaf = customer.select(F.concat(F.lit("c"), F.col("c_custkey").cast("string")), F.concat(F.lit("n"), F.col("c_nationkey").cast("string")), F.col("c_custkey"),
+    g = F.floor(F.col("c_custkey") / 20).cast("long")
+    group = customer.select(g.alias("g")).distinct()
+    g_id = F.concat(F.lit("g"), F.col("g").cast("string"))
+    group = group.select(g_id, F.concat(F.lit("n"), (F.col("g") % 25).cast("string")), F.col("g"), F.lit("Row"), F.col("g") % 9 == 4, F.lit(False), F.lit(0).cast("long"))
+    leaf = customer.select(F.concat(F.lit("c"), F.col("c_custkey").cast("string")), F.concat(F.lit("g"), g.cast("string")), F.col("c_custkey"),
         F.when(F.col("c_custkey") % 2 == 0, "Text").otherwise("Image"), F.col("c_custkey") % 11 == 0, F.col("c_custkey") % 13 == 0,
         F.floor(F.abs(F.col("c_acctbal")) / 100).cast("long"))
-    return top.union(mid).union(leaf)
+    return top.union(mid).union(group).union(leaf)
 
 
 TREE = """(SELECT 'r' || r_regionkey AS node, CAST(NULL AS VARCHAR) AS parent, CAST(r_regionkey AS BIGINT) AS pos, 'Column' AS kind, false AS hidden, r_regionkey = 1 AS action, 0::BIGINT AS size FROM region
   UNION ALL SELECT 'n' || n_nationkey, 'r' || n_regionkey, CAST(n_nationkey AS BIGINT), 'Row', n_nationkey % 7 = 0, n_nationkey % 5 = 2, 0 FROM nation
-  UNION ALL SELECT 'c' || c_custkey, 'n' || c_nationkey, c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 'Text' ELSE 'Image' END, c_custkey % 11 = 0, c_custkey % 13 = 0,
+  UNION ALL SELECT DISTINCT 'g' || (c_custkey // 20), 'n' || (c_custkey // 20 % 25), c_custkey // 20, 'Row', c_custkey // 20 % 9 = 4, false, 0::BIGINT FROM customer
+  UNION ALL SELECT 'c' || c_custkey, 'g' || (c_custkey // 20), c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 'Text' ELSE 'Image' END, c_custkey % 11 = 0, c_custkey % 13 = 0,
     CAST(floor(abs(c_acctbal) / 100) AS BIGINT) FROM customer)"""
 
 
@@ -116,13 +121,13 @@ DEDUCTIONS = f"""(SELECT user_id AS doc_id, event_id AS ord, [{', '.join(repr(c)
 
 
 def colors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, ord, color: #RRGGBB or #AARRGGBB, several of a brand."""
+    """doc_id, ord, color: palettes of eight colours, #RRGGBB or #AARRGGBB."""
     name = F.md5(F.col("p_name"))
     n = F.when(F.col("p_partkey") % 3 == 0, 8).otherwise(6)
-    return table(spark, sf_dir, "part").select(F.col("p_brand").alias("doc_id"), F.col("p_partkey").alias("ord"), F.concat(F.lit("#"), F.substring(name, F.lit(1), n)).alias("color"))
+    return table(spark, sf_dir, "part").select(F.floor(F.col("p_partkey") / 8).cast("long").alias("doc_id"), F.col("p_partkey").alias("ord"), F.concat(F.lit("#"), F.substring(name, F.lit(1), n)).alias("color"))
 
 
-COLORS = "(SELECT p_brand AS doc_id, p_partkey AS ord, '#' || substr(md5(p_name), 1, CASE WHEN p_partkey % 3 = 0 THEN 8 ELSE 6 END) AS color FROM part)"
+COLORS = "(SELECT p_partkey // 8 AS doc_id, p_partkey AS ord, '#' || substr(md5(p_name), 1, CASE WHEN p_partkey % 3 = 0 THEN 8 ELSE 6 END) AS color FROM part)"
 
 
 def series(spark: SparkSession, sf_dir: str) -> DataFrame:
