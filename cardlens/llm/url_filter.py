@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from cardlens.llm.common import checkpoint, fresh
 
-BUCKETS = 1 << 14
+BUCKETS = 1 << 17
 GRAMS = (3, 4, 5)
 #: Most rows of a labelled table; its Gram matrix has the square of this.
 MOST_LABELLED = 1000
@@ -26,12 +26,17 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 UNWANTED = """casino-win best-casino online-casino casino-royal free-bets sports-bets bet-now poker-jackpot jackpot-slots slots-bonus
 cheap-pills buy-pills-online pills-discount viagra-cheap pharmacy-cheap ads-track track-ads adserver-track popup-ads click-ads xxx-cams adult-cams
 adult-x adult-video hot-xxx free-porn porn-x payday-loans quick-loans replica-watches cheap-replica win-prize lottery-win crypto-double free-spins
-cheap-meds escort-x torrent-free warez-free spam-mailer""".split()
+cheap-meds escort-x torrent-free warez-free spam-mailer adult-dating sexy-chat naked-pics viagra-online cialis-cheap weight-loss-pills
+miracle-diet get-rich-quick make-money-fast bitcoin-win forex-profit binary-bets roulette-online blackjack-win bingo-bonus betting-tips football-bets
+fake-ids essay-cheap free-gift prize-winner hot-deals-now cheap-loans credit-fast tracker-ads banner-ads sexdates live-cams slot-machine mega-jackpot
+pill-store rx-cheap ad-clicks pop-ads bet-live betwin casino-club adult-toys x-videos xxx-dates loan-shark instant-loans replica-bags fake-watches
+win-cash cash-prize free-robux crypto-giveaway token-airdrop hacked-accounts keygen-free cracked-games""".split()
 WANTED = """thenews garden library weather university museum encyclopedia cooking history hospital school software travel theater recipes
 council gardeners journal there thereand thinking northern nation reading station other thin ether winter trails heron anderson thistle sensible
 another within nothing brother mother hundred rethink lantern eastern thread theme motion notion portion ration edition tension thing healthy
 inherit thorn tenth ninth earth northeast whether together weathering tithing inthe ofthe onthe forthe andthe heather redhead steady lesson
-reason answer season person estate entry reader tether stone thirst hither whitethorn tablet noble table timber thimble liable""".split()
+reason answer season person estate entry reader tether stone thirst hither whitethorn tablet noble table timber thimble liable there then that than with hear earth those these this thus path bath math both tooth mouth
+youth truth birth forth worth tenth month north south""".split()
 _PREFIXES = ["", "www.", "m.", "blog."]
 _PATHS = ["/en/{n}", "/de/{n}/", "/fr/{n}.html", "/es/{n}#top", "/en/{n}?page=2&ref=x", "/{n}?utm_source=feed", "/en/{n}.html", "/"]
 
@@ -48,29 +53,30 @@ def split_url(url: Column) -> tuple[Column, Column]:
 def _buckets(host: Column, path: Column) -> Column:
     """Hash buckets of the character n-grams of ``^host path$``, each once; all digits are alike."""
     text = F.regexp_replace(F.concat(F.lit("^"), host, F.lit(" "), path, F.lit("$")), r"[0-9]+", "0")
-    grams = [
-        F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - (n - 1), F.lit(1))), lambda i, n=n: F.substring(text, i, F.lit(n)))
-        for n in GRAMS
-    ]
-    return F.array_distinct(F.transform(F.flatten(F.array(*grams)), lambda g: F.pmod(F.xxhash64(g), F.lit(BUCKETS)).cast("int")))
+
+    def grams(n: int) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.length(text) - (n - 1), F.lit(1)))
+        return F.transform(starts, lambda i: F.substring(text, i, F.lit(n)))
+
+    return F.array_distinct(F.transform(F.flatten(F.array(*map(grams, GRAMS))), lambda g: F.pmod(F.xxhash64(g), F.lit(BUCKETS)).cast("int")))
 
 
 def default_labels(spark: SparkSession) -> DataFrame:
-    """Each site under several prefixes and paths, dealt alike to both classes; about as many of either."""
+    """Each site under two prefixes and two paths, dealt alike to both classes."""
     rows = []
     for unwanted, sites in ((1, UNWANTED), (0, WANTED)):
         for i, site in enumerate(sites):
-            for j in range(2 + 2 * unwanted):
-                k = i + j * (2 - unwanted) + i // 4
-                path = _PATHS[(k + i // 8) % len(_PATHS)].format(n=1 + (37 * i + 11 * j) % 9973)
-                rows.append(F.struct(F.lit(f"https://{_PREFIXES[k % 4]}{site}.test{path}").alias("url"), F.lit(unwanted).alias("unwanted")))
+            for j in range(2):
+                path = _PATHS[(i + 4 * j + i // 8) % len(_PATHS)].format(n=1 + (37 * i + 11 * j) % 9973)
+                rows.append(F.struct(F.lit(f"https://{_PREFIXES[(i + 2 * j) % 4]}{site}.test{path}").alias("url"), F.lit(unwanted).alias("unwanted")))
     return spark.range(1).select(F.inline(F.array(*rows)))
 
 
-def train(labelled: DataFrame, epochs: int = 800, rate: float = 0.02, decay: float = 0.005) -> DataFrame:
+def train(labelled: DataFrame, epochs: int = 400, step: float = 6.0, decay: float = 0.01) -> DataFrame:
     """(url, unwanted 0/1) to one row: weights array<double> by bucket, and bias.
 
-    Rows with a null label count as wanted; an empty table gives zero weights, that is a
+    The rate is ``step`` over the largest row sum of the Gram matrix, which bounds its largest
+    eigenvalue; steps below 8 can't overshoot. Rows with a null label count as wanted; an empty table gives zero weights, that is a
     probability of one half and the verdict "allow". More than ``MOST_LABELLED`` rows are an
     error: the table is meant to be small.
     """
@@ -81,7 +87,9 @@ def train(labelled: DataFrame, epochs: int = 800, rate: float = 0.02, decay: flo
     rows = rows.select(small.alias("r"))
     # + 1: the bias is a feature that every row has
     gram = F.transform("r", lambda a: F.transform("r", lambda b: F.size(F.array_intersect(a["x"], b["x"])) + F.lit(1.0)))
-    rows = checkpoint(rows.select("r", gram.alias("k")))  # else each epoch would compute the matrix again
+    sums = F.transform("k", lambda row: F.aggregate(row, F.lit(0.0), lambda s, x: s + x))
+    # kept, else each epoch would compute the matrix again
+    rows = checkpoint(rows.select("r", gram.alias("k")).withColumn("rate", F.lit(step) / F.coalesce(F.array_max(sums), F.lit(1.0))))
 
     def dot(u: Column, v: Column) -> Column:
         return F.aggregate(F.zip_with(u, v, lambda a, b: a * b), F.lit(0.0), lambda s, t: s + t)
@@ -89,7 +97,7 @@ def train(labelled: DataFrame, epochs: int = 800, rate: float = 0.02, decay: flo
     def epoch(a: Column, _: Column) -> Column:
         def row(ai: Column, i: Column) -> Column:
             p = 1 / (1 + F.exp(-dot(a, F.get(F.col("k"), i))))
-            return ai * (1 - rate * decay) + rate * (F.get(F.col("r"), i)["y"] - p)
+            return ai * (1 - F.col("rate") * decay) + F.col("rate") * (F.get(F.col("r"), i)["y"] - p)
 
         return F.transform(a, row)
 
