@@ -148,3 +148,33 @@ def test_registry(spark):
 
     assert set(ORACLES) <= set(QUERIES) and len(QUERIES) > 70
     assert flagship(spark, "/root/testdata/sf0.001").columns == ["doc_id", "overall", "calibrated", "grade"]
+
+
+def test_metric_registry(spark):
+    from cardlens.operators import metrics as M
+
+    one_card = boxes(spark, [(1, i, 8 + 40 * (i % 3), 8 + 40 * (i // 3), 30, 30, ("text", "image", "button")[i % 3]) for i in range(9)])
+    rows = {(r["dimension"], r["name"]): r for r in M.run_metrics(one_card).collect()}
+    assert set(rows) == set(M.METRICS) and all(r["score"] is None or 0 <= r["score"] <= 100 for r in rows.values())
+    assert rows["geometry", "alignment"]["score"] == 100.0 and rows["geometry", "overlap"]["score"] == 100.0
+    assert rows["visual", "sparse_text_stack"]["status"] == "skipped"
+
+    @M.register_metric("geometry", "count", 1)
+    def count(b):
+        return b.groupBy("doc_id").agg(F.count("*").cast("double").alias("score"))
+
+    try:
+        assert M.run_metrics(one_card, [("geometry", "count")]).first()["score"] == 9.0
+    finally:
+        del M.METRICS["geometry", "count"]
+
+
+def test_surfaces(spark):
+    from cardlens.operators import surfaces as Q
+
+    rows = boxes(spark, [(1, 1, 0, 0, 40, 40, "image", 16.0, 4.0), (1, 2, 10, 10, 10, 10, "text"), (1, 3, 40, 5, 20, 20, "button", 16.0, 4.0), (1, 4, 41, 5, 20, 20, "text")])
+    assert {r["ord"]: r["texts"] for r in Q.texts_inside(rows).collect()} == {1: 1, 3: 1}
+    assert [r["ord"] for r in Q.without_text_doubles(rows).collect()] == [1]
+    assert [(r["a"], r["b"], r["gap"]) for r in Q.touching_pairs(rows).collect()] == [(1, 3, 0.0)]
+    assert Q.best_control(rows).first()["ord"] == 3
+    assert one(spark, Q.parse_bounds(F.lit("[1,2][30,40]")))["r"] == 30 and one(spark, Q.parse_bounds(F.lit("[1,2][1,4]"))) is None
