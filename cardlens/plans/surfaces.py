@@ -68,12 +68,13 @@ def metric_results(spark, sf) -> DataFrame:
     return M.run_metrics(A.boxes(spark, sf), list(_FROM)).withColumn("score", rounded(F.col("score")))
 
 
-@query(f"""SELECT doc_id, {r('sum(score * weight) / sum(weight)', 2)} AS geometry FROM ({_LONG}) WHERE dimension = 'geometry' AND score IS NOT NULL GROUP BY 1""")
+@query(f"""SELECT doc_id, {r('sum(round(score * 10000) * weight) / sum(weight) / 10000', 2)} AS geometry FROM ({_LONG}) WHERE dimension = 'geometry' AND score IS NOT NULL GROUP BY 1""")
 def geometry_dimension(spark, sf) -> DataFrame:
-    """The geometry dimension of every card, from boxes to score."""
+    """The geometry dimension of every card, from boxes to score; sums are of whole numbers, so exact."""
     geometry = [k for k in _FROM if k[0] == "geometry"]
-    results = M.run_metrics(A.boxes(spark, sf), geometry).withColumn("score", rounded(F.col("score")))
-    return U.dimension_scores(results).filter("dimension = 'geometry'").select("doc_id", rounded(F.col("score"), 2).alias("geometry"))
+    results = M.run_metrics(A.boxes(spark, sf), geometry).filter("score IS NOT NULL")
+    whole = F.sum(F.round(rounded(F.col("score")) * 10000) * F.col("weight")) / F.sum("weight") / 10000
+    return results.groupBy("doc_id").agg(rounded(whole, 2).alias("geometry"))
 
 
 @query()
