@@ -196,76 +196,110 @@ def _remix(h: np.ndarray, k: int) -> np.ndarray:
     return h ^ (h >> np.uint64(30))
 
 
-def _sketch(tokens: list[bytes], words: int, size: int) -> bytes:
-    """The ``size`` least 32-bit hashes of the distinct shingles, as bytes."""
-    shingles = {b" ".join(tokens[i : i + words]) for i in range(max(1, len(tokens) - words + 1))} if tokens else ()
-    return np.unique(np.fromiter((xxhash.xxh32_intdigest(s, 42) for s in shingles), np.uint32, len(shingles)))[:size].tobytes()
+def shingle_set(text: str | None, words: int) -> np.ndarray:
+    """The distinct shingle hashes of a text, sorted."""
+    return np.unique(shingle_hashes(text, words))
 
 
-def sketch_similarity(a: bytes, b: bytes, size: int) -> float:
-    """The Jaccard similarity that two sketches estimate; exact for texts of at most ``size``
-    shingles together. Two empty texts are alike."""
-    if a == b:
-        return 1.0
-    x, y = np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32)
-    union = np.union1d(x, y)[:size]
-    return float(np.isin(union, np.intersect1d(x, y, assume_unique=True), assume_unique=True).mean()) if len(union) else 1.0
+def set_similarity(a: np.ndarray, b: np.ndarray) -> float:
+    """The Jaccard similarity of two sorted sets. Two empty ones are alike."""
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    union = len(a) + len(b) - common
+    return common / union if union else 1.0
+
+
+def _marked(keys: DataFrame) -> DataFrame:
+    """(mark, bits): a bitmap of 2^23 bits, in 256 rows at most, of the hashes of ``keys.key``."""
+    h = F.pmod(F.xxhash64("key"), F.lit(1 << 23))
+    marks = keys.select(F.bitmap_bucket_number(h).alias("mark"), F.bitmap_bit_position(h).alias("at"))
+    return marks.groupBy("mark").agg(F.bitmap_construct_agg("at").alias("bits"))
+
+
+def _shingle_sets(docs: DataFrame, wanted: DataFrame, words: int, text_col: str) -> DataFrame:
+    """(node, size, shingles) of the texts with the digests of ``wanted`` (node, key): sorted
+    64-bit hashes as bytes. A bitmap of bounded size lets only their texts, and a few others that
+    the join drops, out of the scan."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_set(t.as_py(), words) for t in batch.column("text")]
+            out = [batch.column("key"), pa.array([len(x) for x in sets], pa.int32()), pa.array([x.tobytes() for x in sets], pa.binary())]
+            yield pa.RecordBatch.from_arrays(out, ["key", "size", "shingles"])
+
+    h = F.pmod(F.xxhash64("key"), F.lit(1 << 23))
+    texts = docs.select(_digest(text_col).alias("key"), F.col(text_col).alias("text")).withColumn("mark", F.bitmap_bucket_number(h))
+    at = F.bitmap_bit_position(h).cast("int")
+    byte = F.conv(F.hex(F.col("bits").substr(F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    texts = texts.join(F.broadcast(_marked(wanted)), "mark").filter(F.get(F.array(*[F.shiftright(byte, i) for i in range(8)]), at % 8) % 2 == 1)
+    sets = texts.select("key", "text").mapInArrow(run, "key binary, size int, shingles binary")
+    return sets.join(wanted, "key").groupBy("node").agg(F.first("size").alias("size"), F.first("shingles").alias("shingles"))
+
+
+def _digest(text_col: str) -> Column:
+    return F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
 
 
 def near_copies(
-    docs: DataFrame, words: int = 5, similarity: float = 0.8, radius: int = 3, prints: int = 4, sketch: int = 256, bucket: int = BUCKET, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, words: int = 5, similarity: float = 0.8, radius: int = 3, prints: int = 4, bucket: int = BUCKET, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """One row per row of ``docs``: row_uid, id, component_row (its group), kept.
 
     For similar, not only all but equal, texts: there are ``prints`` independent fingerprints of
     the distinct words; links within ``radius`` bits of any of them come from the same covering
-    hashing, and a link counts if the shingle sketches of both ends say a Jaccard similarity of
-    ``similarity`` or more. Several fingerprints of a small radius find far more such pairs than
-    one of a larger radius, for as many tables. The row
+    hashing, and a link counts if the distinct shingles of both texts, all of them, have a Jaccard
+    similarity of ``similarity`` or more. Several fingerprints of a small radius find far more such
+    pairs than one of a larger radius, for as many tables. The row
     with the smallest identifier of each group stays (null identifiers last, then the first row).
     Null counts as the empty text; empty texts are alike. An empty table gives an empty result.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps, sketches = [], []
+            fps = []
             for text in batch.column("text"):
-                tokens = (text.as_py() or "").encode("utf-8", "surrogatepass").lower().split()
-                each = set(tokens)
+                each = set((text.as_py() or "").encode("utf-8", "surrogatepass").lower().split())
                 h = np.fromiter((xxhash.xxh64_intdigest(w, 42) for w in each), np.uint64, len(each))
                 fps.append([simhash(_remix(h, k)) for k in range(prints)])
-                sketches.append(_sketch(tokens, words, sketch))
             fp = np.array(fps, np.uint64).reshape(-1, prints).astype(np.int64)
-            out = [batch.column("row_uid"), batch.column("id"), *[pa.array(fp[:, k]) for k in range(prints)], pa.array(sketches, pa.binary())]
-            yield pa.RecordBatch.from_arrays(out, ["row_uid", "id", *names, "sketch"])
+            out = [batch.column("row_uid"), batch.column("id"), batch.column("key"), *[pa.array(fp[:, k]) for k in range(prints)]]
+            yield pa.RecordBatch.from_arrays(out, ["row_uid", "id", "key", *names])
 
     names = [f"fp{k}" for k in range(prints)]
 
     def verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            pairs = zip(batch.column("sketch_a").to_pylist(), batch.column("sketch_b").to_pylist())
-            alike = pa.array([sketch_similarity(a, b, sketch) >= similarity for a, b in pairs], pa.bool_())
+            pairs = zip(batch.column("shingles_a"), batch.column("shingles_b"))
+            alike = pa.array([set_similarity(_hashes(a), _hashes(b)) >= similarity for a, b in pairs], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(alike)
 
-    rows = docs.select(F.monotonically_increasing_id().alias("row_uid"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    table = checkpoint(rows.mapInArrow(run, f"row_uid long, id long, {', '.join(f'{n} long' for n in names)}, sketch binary"))
+    rows = docs.select(F.monotonically_increasing_id().alias("row_uid"), F.col(id_col).cast("long").alias("id"), _digest(text_col).alias("key"), F.col(text_col).alias("text"))
+    table = checkpoint(rows.mapInArrow(run, f"row_uid long, id long, key binary, {', '.join(f'{n} long' for n in names)}"))
+    # equal texts are one node
+    nodes = checkpoint(table.groupBy("key").agg(F.min("row_uid").alias("node"), *[F.min(n).alias(n) for n in names]))
     pairs = None
     for name in names:
-        printed = table.select("row_uid", F.col(name).alias("fp"))
-        distinct = checkpoint(printed.groupBy("fp").agg(F.min("row_uid").alias("rep")))
+        printed = nodes.select("node", F.col(name).alias("fp"))
+        distinct = checkpoint(printed.groupBy("fp").agg(F.min("node").alias("rep")))
         found = links(distinct.select("fp"), radius, bucket, direct=True).distinct()
         found = found.join(distinct.select(F.col("fp").alias("a"), F.col("rep").alias("rep_a")), "a").join(distinct.select(F.col("fp").alias("b"), F.col("rep").alias("rep_b")), "b")
-        same = printed.join(distinct, "fp").filter("row_uid != rep").select(F.col("row_uid").alias("a"), F.col("rep").alias("b"))
+        same = printed.join(distinct, "fp").filter("node != rep").select(F.col("node").alias("a"), F.col("rep").alias("b"))
         some = checkpoint(found.select(F.greatest("rep_a", "rep_b").alias("a"), F.least("rep_a", "rep_b").alias("b")).unionByName(same))
         pairs = some if pairs is None else pairs.unionByName(some)
-    sketches = table.select("row_uid", "sketch")
-    pairs = pairs.distinct().join(sketches.toDF("a", "sketch_a"), "a").join(sketches.toDF("b", "sketch_b"), "b")
-    groups = components(pairs.select("a", "b", "sketch_a", "sketch_b").mapInArrow(verify, "a long, b long"), "a", "b")
-    rooted = table.select("row_uid", "id").join(groups, F.col("row_uid") == F.col("node"), "left").select("row_uid", "id", F.coalesce("root", "row_uid").alias("root"))
+    pairs = checkpoint(pairs.distinct())
+    wanted = checkpoint(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes, "node"))
+    sets = checkpoint(_shingle_sets(docs, wanted.select("node", "key"), words, text_col))
+    ends = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("shingles_a")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("shingles_b")), "b")
+    groups = components(ends.select("a", "b", "shingles_a", "shingles_b").mapInArrow(verify, "a long, b long"), "a", "b")
+    grouped = nodes.select("node", "key").join(groups.withColumnRenamed("node", "at"), F.col("node") == F.col("at"), "left").select("key", F.coalesce("root", "node").alias("root"))
+    rooted = table.select("row_uid", "id", "key").join(grouped, "key").select("row_uid", "id", "root")
     best = rooted.groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", "row_uid")).alias("best"))
     return rooted.join(best, "root").select("row_uid", "id", F.col("best.row_uid").alias("component_row"), (F.col("best.row_uid") == F.col("row_uid")).alias("kept"))
 
 
+def _hashes(x: pa.BinaryScalar) -> np.ndarray:
+    return np.frombuffer(x.as_buffer(), np.uint64)
+
+
 def drop_near_copies(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with one row of each group of near copies, all columns kept. ``docs`` must be a
     scan (its rows are numbered twice, in the same order)."""

@@ -139,6 +139,33 @@ def test_near_copies(spark, tmp_path):
     assert sorted(r["doc_id"] for r in left.collect()) == [0, 1, 2, 3, 4, 5, 50, 51, 52]
 
 
+def _jaccard(a, b, n=5):
+    x, y = ({tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1))} for w in (a.split(), b.split()))
+    return len(x & y) / len(x | y)
+
+
+def _turned(base, *cuts):
+    """``base`` with some stretches backwards: other shingles, but the same words and fingerprints."""
+    w = list(base)
+    for at, n in cuts:
+        w[at : at + n] = w[at : at + n][::-1]
+    return " ".join(w)
+
+
+def test_near_copies_decides_on_whole_texts(spark, tmp_path):
+    """Long texts just above and below the limit, which a sample of their shingles can't tell apart."""
+    rng = random.Random(21)
+    rows, alike = [], set()
+    for i in range(60):
+        base = [f"w{rng.randrange(10**9)}" for _ in range(2000)]
+        rows += [(i, " ".join(base)), (1000 + i, _turned(base, (rng.randrange(1500), 213 + i % 10)))]
+        if _jaccard(rows[-1][1], rows[-2][1]) >= 0.8:
+            alike.add(1000 + i)
+    assert 10 < len(alike) < 50
+    got = {r["id"]: r["component_row"] for r in H.near_copies(table(spark, tmp_path, rows)).collect()}
+    assert {i for i in range(1000, 1060) if got[i] == got[i - 1000]} == alike
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, i) for i in range(101, 160)] + [(200, 200), (301, 300), (300, 301)]
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
