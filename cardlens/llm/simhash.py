@@ -235,6 +235,79 @@ def _shingle_sets(docs: DataFrame, wanted: DataFrame, words: int, text_col: str)
     return sets.join(wanted, "key").groupBy("node").agg(F.first("size").alias("size"), F.first("shingles").alias("shingles"))
 
 
+def _unlinked(similarity: float, radius: int):
+    """Links that verified groups still lack, inside the buckets of a stream that is sorted by
+    bucket. A node leaves the search of another only when both are in one group."""
+
+    def close(held: list[pa.RecordBatch]) -> Iterator[tuple[int, int]]:
+        rows = pa.Table.from_batches(held)
+        node, root, size = (rows.column(c).to_numpy() for c in ("node", "root", "size"))
+        fp = rows.column("fp").to_numpy().astype(np.uint64)
+        if len(np.unique(root)) < 2:
+            return
+        sets = [_hashes(x) for c in rows.column("shingles").chunks for x in c]
+        words, ids = np.unique(np.concatenate(sets), return_inverse=True)
+        ends = np.cumsum(size, dtype=np.int64)
+        starts, mark, root = ends - size, np.zeros(len(words) + 1, np.int64), root.copy()
+        for i in range(len(node) - 1):
+            rest = np.arange(i + 1, len(node))
+            least, most = np.minimum(size[rest], size[i]), np.maximum(size[rest], size[i])
+            near = (np.bitwise_count(fp[rest] ^ fp[i]) <= radius) & (root[rest] != root[i]) & (least >= similarity * most - 1e-6)
+            rest = rest[near]
+            if not len(rest):
+                continue
+            mark[ids[starts[i] : ends[i]]] = 1
+            for j in rest.tolist():
+                if root[j] != root[i]:
+                    common = int(mark[ids[starts[j] : ends[j]]].sum())
+                    union = int(size[i]) + int(size[j]) - common
+                    if not union or common / union >= similarity:
+                        root[root == root[j]] = root[i]
+                        yield int(node[i]), int(node[j])
+            mark[ids[starts[i] : ends[i]]] = 0
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+            found = np.array(list(close(held)), np.int64).reshape(-1, 2)
+            return pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["a", "b"])
+
+        held_g, held = None, []
+        for batch in batches:
+            g = batch.column("g").to_numpy()
+            cuts = np.r_[0, np.flatnonzero(g[1:] != g[:-1]) + 1, len(g)]
+            for s, e in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                if e > s:
+                    if held and g[s] != held_g:
+                        yield out(held)
+                        held = []
+                    held_g = g[s]
+                    held.append(batch.slice(s, e - s))
+        if held:
+            yield out(held)
+
+    return run
+
+
+def _missing_links(nodes: DataFrame, sets: DataFrame, names: list[str], similarity: float, radius: int, bucket: int) -> DataFrame:
+    """(a, b): verified links between the groups ``root`` of ``nodes`` (node, root, fingerprints),
+    such that with them every pair within the radius that is similar lies in one group.
+
+    The search of ``links`` once more, but of nodes, with their shingles, and only in buckets
+    where groups meet that have a candidate link between them (equal ``block``).
+    """
+    fps = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(n).alias("fp")) for k, n in enumerate(names)])).alias("f")
+    printed = nodes.select("node", "root", "block", fps).select("node", "root", "block", "f.k", "f.fp")
+    masked = printed.withColumn("m", F.explode(_tables(radius, 0))).select("node", "root", "block", "k", "fp", F.col("m.t").alias("t"), F.col("fp").bitwiseAND(F.col("m.m")).alias("key"))
+    place = ["block", "k", "t", "key"]
+    filled = masked.groupBy(*place).agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select(*place, "n")
+    members = masked.join(filled, place)
+    second = F.when(F.col("n") > bucket, _tables(radius, 1)).otherwise(F.array(F.struct(F.lit(-1).alias("t"), F.lit(0).cast("long").alias("m"))))
+    members = members.withColumn("m", F.explode(second))
+    members = members.select(F.xxhash64(*place, F.col("m.t"), F.col("fp").bitwiseAND(F.col("m.m"))).alias("g"), "node", "root", "fp").join(sets, "node")
+    members = members.select("g", "node", "root", "fp", "size", "shingles").repartition("g").sortWithinPartitions("g")
+    return members.mapInArrow(_unlinked(similarity, radius), "a long, b long")
+
+
 def _digest(text_col: str) -> Column:
     return F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
 
@@ -247,7 +320,8 @@ def near_copies(
     For similar, not only all but equal, texts: there are ``prints`` independent fingerprints of
     the distinct words; links within ``radius`` bits of any of them come from the same covering
     hashing, and a link counts if the distinct shingles of both texts, all of them, have a Jaccard
-    similarity of ``similarity`` or more. Several fingerprints of a small radius find far more such
+    similarity of ``similarity`` or more. The tree of links that the search gives first is checked;
+    where links of it fail, all pairs of its buckets that are not yet in one group are. Several fingerprints of a small radius find far more such
     pairs than one of a larger radius, for as many tables. The row
     with the smallest identifier of each group stays (null identifiers last, then the first row).
     Null counts as the empty text; empty texts are alike. An empty table gives an empty result.
@@ -289,7 +363,19 @@ def near_copies(
     wanted = checkpoint(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes, "node"))
     sets = checkpoint(_shingle_sets(docs, wanted.select("node", "key"), words, text_col))
     ends = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("shingles_a")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("shingles_b")), "b")
-    groups = components(ends.select("a", "b", "shingles_a", "shingles_b").mapInArrow(verify, "a long, b long"), "a", "b")
+    verified = checkpoint(ends.select("a", "b", "shingles_a", "shingles_b").mapInArrow(verify, "a long, b long"))
+    groups = components(verified, "a", "b")
+    # the candidate links are a spanning tree: where one of them failed, groups of its block may
+    # have other links that pass
+    failed = pairs.join(verified, ["a", "b"], "left_anti")
+    for end in ("a", "b"):
+        failed = failed.join(groups.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}")), end, "left")
+    blocks = components(failed.select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b")), "a", "b")
+    blocks = blocks.select(F.col("node").alias("root"), F.col("root").alias("block"))
+    rooted = wanted.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    missing = checkpoint(_missing_links(checkpoint(rooted.join(blocks, "root")), sets, names, similarity, radius, bucket))
+    if not missing.isEmpty():
+        groups = components(verified.unionByName(missing), "a", "b")
     grouped = nodes.select("node", "key").join(groups.withColumnRenamed("node", "at"), F.col("node") == F.col("at"), "left").select("key", F.coalesce("root", "node").alias("root"))
     rooted = table.select("row_uid", "id", "key").join(grouped, "key").select("row_uid", "id", "root")
     best = rooted.groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", "row_uid")).alias("best"))

@@ -166,6 +166,41 @@ def test_near_copies_decides_on_whole_texts(spark, tmp_path):
     assert {i for i in range(1000, 1060) if got[i] == got[i - 1000]} == alike
 
 
+@pytest.mark.parametrize("bucket", [2048, 2])
+def test_near_copies_of_a_family(spark, tmp_path, bucket):
+    """Copies that were edited independently: many are near some of the others, but not the first."""
+    rng = random.Random(22)
+    base = [f"w{rng.randrange(10**9)}" for _ in range(200)]
+    rows = [(i, _turned(base, (rng.randrange(185), 14), (rng.randrange(190), 5))) for i in range(100)]
+    for i in range(100, 120):  # one bit or so of the fingerprints differs
+        w = rows[i - 100][1].split()
+        w[rng.randrange(200)] = f"z{i}"
+        rows.append((i, " ".join(w)))
+    rows += [(500, rows[3][1]), (501, rows[3][1])]
+
+    def fps(t):
+        h = np.array([xxhash.xxh64_intdigest(w, 42) for w in set(t.split())], np.uint64)
+        return [H.simhash(H._remix(h, k)) for k in range(4)]
+
+    prints, parent = [fps(t) for _, t in rows], list(range(len(rows)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if any((x ^ y).bit_count() <= 3 for x, y in zip(prints[i], prints[j])) and _jaccard(rows[i][1], rows[j][1]) >= 0.8:
+                parent[max(find(i), find(j))] = min(find(i), find(j))
+    expected = {i for k, (i, _) in enumerate(rows) if find(k) == k}
+    assert 1 < len(expected) < 100
+    got = H.near_copies(table(spark, tmp_path, rows), bucket=bucket).collect()
+    assert {r["id"] for r in got if r["kept"]} == expected
+    row = {r["row_uid"]: r["id"] for r in got}
+    assert {r["id"]: row[r["component_row"]] for r in got} == {i: rows[find(k)][0] for k, (i, _) in enumerate(rows)}
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, i) for i in range(101, 160)] + [(200, 200), (301, 300), (300, 301)]
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
