@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardlens.functions import scalars as S
@@ -163,17 +163,25 @@ def code_fence_strip(spark, sf) -> DataFrame:
 def json_segments(spark, sf) -> DataFrame:
     """Records of a user's stream, written behind one another, are cut apart again."""
     record = F.concat(F.lit('{"version":"v0.9","'), F.col("event_type"), F.lit('":'), F.col("props"), F.lit("}"))
-    streams = table(spark, sf, "events").groupBy("user_id").agg(F.array_join(F.collect_list(record), " ").alias("s"))
-    return streams.select("user_id", F.size(T.record_segments(F.col("s"))).cast("long").alias("segments"))
+    streams = _streams(table(spark, sf, "events"), record, " ")
+    segments = streams.select("user_id", F.size(T.record_segments(F.col("s"))).cast("long").alias("segments"))
+    return segments.groupBy("user_id").agg(F.sum("segments").alias("segments"))
+
+
+def _streams(events: DataFrame, record: Column, separator: str) -> DataFrame:
+    """(user_id, s): a user's records behind one another, in streams of at most 1000 event numbers,
+    so that one user's events are dealt over many tasks."""
+    part = F.floor(F.col("event_id") / 1000)
+    return events.groupBy("user_id", part.alias("part")).agg(F.array_join(F.collect_list(record), separator).alias("s"))
 
 
 @query("""SELECT user_id AS id, count(DISTINCT event_type || replace(props, ' ', '')) AS records FROM events GROUP BY 1""")
 def repaired_records(spark, sf) -> DataFrame:
     """Streams whose last record lost its closing brackets: repaired, parsed, each record once."""
     record = F.concat(F.lit('{"version":"v0.9","'), F.col("event_type"), F.lit('":'), F.col("props"), F.lit("}"))
-    streams = table(spark, sf, "events").groupBy("user_id").agg(F.array_join(F.collect_list(record), "\n").alias("s"))
+    streams = _streams(table(spark, sf, "events"), record, "\n")
     cut = streams.select(F.col("user_id").alias("id"), F.expr("substring(s, 1, length(s) - 1)").alias("text"))
-    return T.repair_records(cut).groupBy("id").agg(F.count("*").alias("records"))
+    return T.repair_records(cut).select("id", "record").distinct().groupBy("id").agg(F.count("*").alias("records"))
 
 
 @query("""SELECT event_id, event_type, props FROM (SELECT *, row_number() OVER (PARTITION BY event_type, regexp_replace(props, '\\s+', '', 'g') ORDER BY event_id) AS n FROM events) WHERE n = 1""")

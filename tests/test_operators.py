@@ -11,6 +11,7 @@ from cardlens.operators import fusion as U
 from cardlens.operators import geometry as G
 from cardlens.operators import text as T
 from cardlens.operators import tree as R
+from cardlens.plans import text as X
 from cardlens.sources.cards import read_documents, read_prompts
 from cardlens.streaming import harvest as H
 
@@ -178,3 +179,12 @@ def test_surfaces(spark):
     assert [(r["a"], r["b"], r["gap"]) for r in Q.touching_pairs(rows).collect()] == [(1, 3, 0.0)]
     assert Q.best_control(rows).first()["ord"] == 3
     assert one(spark, Q.parse_bounds(F.lit("[1,2][30,40]")))["r"] == 30 and one(spark, Q.parse_bounds(F.lit("[1,2][1,4]"))) is None
+
+
+def test_streams_of_a_hot_user_are_bounded(spark, tmp_path):
+    rows = [(i, 7, "click", json.dumps({"k": i % 1500})) for i in range(5000)] + [(6000, 8, "view", '{"k": 1}'), (6001, 8, "view", '{"k":1}')]
+    spark.createDataFrame(rows, "event_id long, user_id long, event_type string, props string").write.parquet(f"{tmp_path}/events.parquet")
+    streams = X._streams(spark.createDataFrame(rows, "event_id long, user_id long, event_type string, props string"), F.lit("{}"), " ")
+    assert streams.filter("user_id = 7").count() == 5 and streams.agg(F.max(F.length("s"))).first()[0] < 3000
+    assert {tuple(r) for r in X.json_segments(spark, str(tmp_path)).collect()} == {(7, 5000), (8, 2)}
+    assert {tuple(r) for r in X.repaired_records(spark, str(tmp_path)).collect()} == {(7, 1500), (8, 1)}
