@@ -74,9 +74,8 @@ def slot_coverage(spark, sf) -> DataFrame:
 
 @query()
 def similarity_best_match(spark, sf) -> DataFrame:
-    """For the first sentence of each user turn the likest first sentence of a reply in its conversation."""
-    first = F.regexp_extract("text", r"^([^.\n]*)", 1)
-    turns = table(spark, sf, "conversations").select(F.col("conv_id").alias("key"), (F.col("conv_id") * 1000 + F.col("turn")).alias("id"), F.col("turn").alias("ord"), "role", first.alias("text"))
+    """For each user turn the likest reply in its conversation, by their whole texts."""
+    turns = table(spark, sf, "conversations").select(F.col("conv_id").alias("key"), (F.col("conv_id") * 1000 + F.col("turn")).alias("id"), F.col("turn").alias("ord"), "role", "text")
     return T.best_match(turns.filter("role = 'user'"), turns.filter("role = 'assistant'"), 0.5)
 
 

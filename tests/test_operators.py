@@ -188,3 +188,10 @@ def test_streams_of_a_hot_user_are_bounded(spark, tmp_path):
     assert streams.filter("user_id = 7").count() == 5 and streams.agg(F.max(F.length("s"))).first()[0] < 3000
     assert {tuple(r) for r in X.json_segments(spark, str(tmp_path)).collect()} == {(7, 5000), (8, 2)}
     assert {tuple(r) for r in X.repaired_records(spark, str(tmp_path)).collect()} == {(7, 1500), (8, 1)}
+
+
+def test_best_match_reads_whole_turns(spark, tmp_path):
+    rows = [(1, 0, "user", "Hello.\nhow are you today"), (1, 1, "assistant", "Hello.\nnothing alike at all"), (1, 3, "assistant", "Hullo.\nhow are you today")]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    (got,) = X.similarity_best_match(spark, str(tmp_path)).collect()
+    assert (got["id"], got["ord"]) == (1000, 3) and 0.9 < got["similarity"] < 1
