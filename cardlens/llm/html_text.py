@@ -37,7 +37,7 @@ BOILERPLATE = frozenset("head nav aside form script style noscript template ifra
 _EDGES = frozenset(("header", "footer"))
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 _NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert\w*|adbox|banner|sponsor\w*|promo\w*|cookies?|consent|gdpr|notice|notices|popup|modal|overlay|nav|navbar|navigation|menu|breadcrumbs?"
+    r"(?:^|[\s_-])(?<!\bno[_-])(?<!\bhas[_-])(?<!\bwith[_-])(?:ad|ads|advert\w*|adbox|banner|sponsor\w*|promo\w*|cookies?|consent|gdpr|notice|notices|popup|modal|overlay|nav|navbar|navigation|menu|breadcrumbs?"
     r"|sidebar|side-bar|widget|footer|header|masthead|comments?|comment-?list|disqus|replies|respond|share|sharing|social|related|recommend\w*|newsletter|subscribe|signup|login|pagination|pager|skip|toolbar|copyright)(?:$|[\s_-])",
     re.I,
 )
@@ -53,7 +53,8 @@ class Node:
     __slots__ = ("tag", "parent", "parts", "skip", "soft", "chars", "tags", "link_chars", "link_tags", "density")
 
     def __init__(self, tag: str, parent: Node | None, skip: bool, soft: bool = False):
-        #: soft: left out for its class or id alone, until an article is found inside
+        #: soft: left out as a form or for its class or id alone, until an article or most of the
+        #: page's text is found inside
         self.tag, self.parent, self.skip, self.soft = tag, parent, skip, soft
         self.parts: list[str | tuple[str, bool] | Node] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
@@ -162,13 +163,29 @@ def parse(page: str) -> Node:
                 if up.soft:
                     up.skip = up.soft = False
                 up = up.parent
-        named = skip and tag not in BOILERPLATE and tag not in _EDGES and not _READERS.search(_names(m[3]))
+        named = skip and (tag == "form" or tag not in BOILERPLATE and tag not in _EDGES) and not _READERS.search(_names(m[3]))
         child = Node(tag, node, skip or bool(inline_skip), soft=named and not inline_skip)
         node.parts.append(child)
         node = child
         stack.append((tag, child))
 
 
+def _reopen(root: Node) -> None:
+    """Keep the soft elements that hold over half of a page's text, unless an article is kept."""
+    order, todo, held = [], [(root, True)], {}
+    while todo:
+        node, seen = todo.pop()
+        order.append((node, seen))
+        todo.extend((x, seen and not x.skip) for x in node.parts if isinstance(x, Node) and (x.soft or not x.skip))
+    for node, _ in reversed(order):
+        held[id(node)] = sum(len("".join(x[0].split())) if isinstance(x, tuple) else held.get(id(x), 0) for x in node.parts)
+    if any(seen and node.tag in ("article", "main") and held[id(node)] for node, seen in order):
+        return
+    for node, _ in order:
+        if node.soft and 2 * held[id(node)] > held[id(root)]:
+            node.skip = node.soft = False
+
+
 def _measure(root: Node) -> list[Node]:
     """Fill in characters, tags and links of every kept node; the nodes in document order."""
     order, todo = [], [root]
@@ -224,6 +241,7 @@ def _blocks(node: Node, out: list[str]) -> None:
 def main_text(page: str | None) -> str:
     """The article of a page: its blocks, white space made single, joined by newlines."""
     root = parse(page or "")
+    _reopen(root)
     order = _measure(root)
     if not root.chars:
         return ""

@@ -240,3 +240,13 @@ def test_escapes_can_be_undone(spark):
     rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", C.escape(F.col("t")).alias("e")).collect()
     for r in rows:
         assert C.unescape(r["e"]) == r["t"] and not any(m in r["e"] for m in ("<|im_end|>", "</s>", "[INST]", "[/INST]", "<|im_sep|>"))
+
+
+@pytest.mark.parametrize("wrapper", ['form action="/"', 'div class="content no-sidebar"', 'div id="page-header-fixed"', 'div class="post share-enabled"'])
+@pytest.mark.parametrize("inner", ["article", "div"])
+def test_wrappers_of_the_whole_page_stay(wrapper, inner):
+    body = "".join(f"<p>Sentence {i} of the story that this page was written for.</p>" for i in range(8))
+    menu = '<nav><a href="/">Home</a></nav><div class="sidebar"><p>Other things</p></div><button>Send</button>'
+    text = main_text(f"<html><body><{wrapper}>{menu}<{inner}>{body}</{inner}></{wrapper.split()[0]}><div class='footer'>All rights</div></body></html>")
+    assert all(f"Sentence {i} of" in text for i in range(8))
+    assert not any(x in text for x in ("Home", "Other things", "Send", "All rights"))
