@@ -3,8 +3,10 @@
 Every block element of a page has its characters, its tags, and how many of either are links.
 Composite density is characters per tag, lowered by the share of links. The subtree whose
 children's densities add up to the most holds the article; the least density on the path from
-it to the body is the threshold by which the siblings of that path belong to it too. All text
-of what was selected is returned, block by block, so that short paragraphs stay.
+it to the body is the threshold by which the siblings of that path belong to it too. Class and
+id names lower a density, an article element raises it; only elements that can't hold an article
+are left out before. All text of what was selected is returned, block by block, so that short
+paragraphs stay.
 """
 
 from __future__ import annotations
@@ -18,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cardlens.llm.common import fresh
+
 # Fixed values of HTML: which elements have no end tag, hold raw text, or flow within a line.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp noframes noscript iframe noembed".split())
@@ -31,56 +35,87 @@ _SCOPES = frozenset("table ul ol dl body html article section div main td th blo
 _CLOSES_P = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split()
 )
-#: Elements and roles that never belong to an article.
-BOILERPLATE = frozenset("head nav aside form script style noscript template iframe svg canvas object button select input textarea dialog menu title noframes noembed audio video map".split())
-#: These only outside an article's own head and foot.
+#: Elements that never belong to an article.
+BOILERPLATE = frozenset("head nav aside script style noscript template iframe svg canvas object button select input textarea dialog menu title noframes noembed audio video map".split())
+#: These only outside an article; its own header may hold its title.
 _EDGES = frozenset(("header", "footer"))
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
-_NAMES = re.compile(
-    r"(?:^|[\s_-])(?<!\bno[_-])(?<!\bhas[_-])(?<!\bwith[_-])(?:ad|ads|advert\w*|adbox|banner|sponsor\w*|promo\w*|cookies?|consent|gdpr|notice|notices|popup|modal|overlay|nav|navbar|navigation|menu|breadcrumbs?"
-    r"|sidebar|side-bar|widget|footer|header|masthead|comments?|comment-?list|disqus|replies|respond|share|sharing|social|related|recommend\w*|newsletter|subscribe|signup|login|pagination|pager|skip|toolbar|copyright)(?:$|[\s_-])",
-    re.I,
+#: Parts of a class or id that say what a block is ...
+_SAYS = frozenset(
+    """ad ads advert adverts advertisement advertising adbox adsense banner banners sponsor sponsored sponsors promo promos promotion cookie cookies consent gdpr notice notices
+    popup modal overlay nav navbar navigation menu menus submenu breadcrumb breadcrumbs sidebar widget widgets footer header masthead comment comments commentlist disqus reply replies respond
+    share sharing social related recommend recommended recommendations newsletter subscribe signup login pagination pager skip toolbar copyright""".split()
+)
+#: ... and parts that may stand beside them. A name with any other part says something else.
+_BESIDE = frozenset(
+    """site page main left right top bottom side bar box boxes block blocks list container wrapper wrap inner outer area section item items link links btn button buttons unit slot panel
+    message policy form content body text title post article entry global primary secondary mobile desktop google icons media count author thread holder row col column the and""".split()
 )
-_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)", re.S)
-_ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
-_READERS = re.compile(r"comment|repl(?:y|ies)|respon[ds]|disqus", re.I)
+#: One such part makes a class a reader's comment, whatever is inside.
+_READERS = frozenset("comment comments commentlist reply replies respond disqus".split())
+_CONTENT = frozenset("article post entry story content main body text page".split())
+# A tag as HTML5 reads it: an unquoted value ends at white space or ">", a stray quote is part of
+# a name, and a quote that is never closed counts as part of an unquoted value.
+_VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s>]++)"""
+_ATTRIBUTE = re.compile(r"""[\s/]*+(=?[^\s/>=]++)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>]++)))?+""")
+_ATTRIBUTES = rf"(?:[\s/]*+=?[^\s/>=]++(?:\s*+=\s*+{_VALUE}?)?+|[\s/=]++)*+"
+_TOKEN = re.compile(rf"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*+)({_ATTRIBUTES})(?:>|$)", re.S)
+#: Weights of densities: blocks named as something else, and article elements.
+NAMED, ARTICLE = 0.2, 2.0
 _BREAK = "\n"
 
 
 class Node:
     """A block element; ``parts`` holds its own text in order, and its block children."""
 
-    __slots__ = ("tag", "parent", "parts", "skip", "soft", "chars", "tags", "link_chars", "link_tags", "density")
+    __slots__ = ("tag", "parent", "parts", "skip", "named", "chars", "tags", "link_chars", "link_tags", "density")
 
-    def __init__(self, tag: str, parent: Node | None, skip: bool, soft: bool = False):
-        #: soft: left out as a form or for its class or id alone, until an article or most of the
-        #: page's text is found inside
-        self.tag, self.parent, self.skip, self.soft = tag, parent, skip, soft
+    def __init__(self, tag: str, parent: Node | None, skip: bool, named: bool = False):
+        #: skip: left out whatever it weighs; named: its name says that it is no article, which
+        #: lowers its density
+        self.tag, self.parent, self.skip, self.named = tag, parent, skip, named
         self.parts: list[str | tuple[str, bool] | Node] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = 0.0
 
 
-def _names(attributes: str) -> str:
-    return " ".join(next((v for v in values if v), "") for name, *values in _ATTRIBUTE.findall(attributes) if name.lower() in ("class", "id"))
+def _attributes(raw: str) -> dict[str, str]:
+    """Names in lower case and decoded values; of repeated names the first counts."""
+    out: dict[str, str] = {}
+    for name, *values in _ATTRIBUTE.findall(raw):
+        out.setdefault(name.lower(), html.unescape(next((v for v in values if v), "")))
+    return out
+
+
+def _says(names: str) -> tuple[bool, bool]:
+    """Whether class or id names call a block boilerplate, and whether reader comments."""
+    boilerplate = readers = content = False
+    for name in names.lower().split():
+        parts = [x for x in re.split(r"[-_\d]+", name) if x]
+        if parts and all(x in _SAYS or x in _BESIDE for x in parts) and any(x in _SAYS for x in parts):
+            boilerplate = True
+            readers |= any(x in _READERS for x in parts)
+        elif parts and all(x in _CONTENT for x in parts):
+            content = True
+    return boilerplate and (readers or not content), readers
 
 
-def _is_boilerplate(tag: str, attributes: str) -> bool:
-    if tag in BOILERPLATE or tag in _EDGES:
-        return True
-    if not attributes.strip() or tag in ("html", "body", "main"):
-        return False
+def _judge(tag: str, raw: str, in_article: bool) -> tuple[bool, bool]:
+    """(skip, named) of an element."""
+    if tag in BOILERPLATE or tag == "footer" or tag == "header" and not in_article:
+        return True, False
+    attributes = _attributes(raw) if raw and not raw.isspace() else {}
+    role = attributes.get("role", "").strip().lower()
+    if "hidden" in attributes or attributes.get("aria-hidden", "").strip().lower() == "true" or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attributes.get("style", ""), re.I):
+        return tag not in ("html", "body"), False
+    boilerplate, readers = _says(f"{attributes.get('class', '')} {attributes.get('id', '')}")
+    if tag in ("html", "body", "main"):
+        return False, False
+    if readers:
+        return True, False
     if tag == "article":
-        return bool(_READERS.search(_names(attributes)))
-    for name, *values in _ATTRIBUTE.findall(attributes):
-        name, value = name.lower(), html.unescape(next((v for v in values if v), ""))
-        if name in ("class", "id") and _NAMES.search(value):
-            return True
-        if name == "role" and value.strip().lower() in _ROLES or name == "aria-hidden" and value.strip().lower() == "true" or name == "hidden":
-            return True
-        if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
-    return False
+        return False, False
+    return role in _ROLES and role != "form", boilerplate or tag == "form" or role == "form"
 
 
 def parse(page: str) -> Node:
@@ -89,6 +124,7 @@ def parse(page: str) -> Node:
     node, at, links, inline_skip = root, 0, 0, []
     #: open elements, blocks and inline ones, as (tag, node or None)
     stack: list[tuple[str, Node | None]] = [("html", root)]
+    articles = 0
 
     def text(s: str) -> None:
         if s and not inline_skip:
@@ -96,11 +132,12 @@ def parse(page: str) -> Node:
 
     def close(n: int) -> None:
         """Close the open elements from the n-th on."""
-        nonlocal node, links
+        nonlocal node, links, articles
         while len(stack) > n:
             tag, block = stack.pop()
             if block is not None:
                 node = block.parent or root
+                articles -= tag == "article"
             elif tag == "a":
                 links -= 1
             if inline_skip and inline_skip[-1] > len(stack):
@@ -144,7 +181,7 @@ def parse(page: str) -> Node:
             continue
         if tag in VOID or m[3].endswith("/") and tag not in ("p", "div"):
             continue
-        skip = _is_boilerplate(tag, m[3])
+        skip, named = _judge(tag, m[3], articles > 0)
         if tag in RAW:
             stop = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*(?:>|$)", re.I).search(page, at)
             at = stop.end() if stop else len(page)
@@ -154,38 +191,16 @@ def parse(page: str) -> Node:
             links += tag == "a"
             node.tags += 1
             node.link_tags += tag == "a"
-            if skip:
+            if skip or named:
                 inline_skip.append(len(stack))
             continue
-        if tag in ("article", "main") and not skip:
-            up = node
-            while up is not None:  # a wrapper named after its sidebar, say, is no sidebar
-                if up.soft:
-                    up.skip = up.soft = False
-                up = up.parent
-        named = skip and (tag == "form" or tag not in BOILERPLATE and tag not in _EDGES) and not _READERS.search(_names(m[3]))
-        child = Node(tag, node, skip or bool(inline_skip), soft=named and not inline_skip)
+        child = Node(tag, node, skip or bool(inline_skip), named)
+        articles += tag == "article"
         node.parts.append(child)
         node = child
         stack.append((tag, child))
 
 
-def _reopen(root: Node) -> None:
-    """Keep the soft elements that hold over half of a page's text, unless an article is kept."""
-    order, todo, held = [], [(root, True)], {}
-    while todo:
-        node, seen = todo.pop()
-        order.append((node, seen))
-        todo.extend((x, seen and not x.skip) for x in node.parts if isinstance(x, Node) and (x.soft or not x.skip))
-    for node, _ in reversed(order):
-        held[id(node)] = sum(len("".join(x[0].split())) if isinstance(x, tuple) else held.get(id(x), 0) for x in node.parts)
-    if any(seen and node.tag in ("article", "main") and held[id(node)] for node, seen in order):
-        return
-    for node, _ in order:
-        if node.soft and 2 * held[id(node)] > held[id(root)]:
-            node.skip = node.soft = False
-
-
 def _measure(root: Node) -> list[Node]:
     """Fill in characters, tags and links of every kept node; the nodes in document order."""
     order, todo = [], [root]
@@ -212,11 +227,13 @@ def _measure(root: Node) -> list[Node]:
             base = math.log(node.chars / max(plain, 1) * node.link_chars + share * node.chars + math.e)
             weight = math.log(max(node.chars / max(node.link_chars, 1) * max(node.tags, 1) / max(node.link_tags, 1), 1.0) + 1e-9) / base
             node.density = node.chars / max(node.tags, 1) * (max(weight, 0.0) if node.link_chars else 1 + math.log1p(node.chars) / base)
+            node.density *= NAMED if node.named else 1.0
     return order
 
 
-def _blocks(node: Node, out: list[str]) -> None:
-    """Append the text blocks of ``node``: runs of its own text between breaks and blocks."""
+def _blocks(node: Node, kept: set[int], out: list[str]) -> None:
+    """Append the text blocks of ``node``: runs of its own text between breaks and blocks. Named
+    blocks inside are left out unless they are among ``kept``."""
     todo: list[Node | str] = [node]
     while todo:
         x = todo.pop()
@@ -232,59 +249,77 @@ def _blocks(node: Node, out: list[str]) -> None:
             else:
                 pieces.append("".join(run))
                 run = []
-                if isinstance(part, Node) and not part.skip:
+                if isinstance(part, Node) and not part.skip and (not part.named or id(part) in kept):
                     pieces.append(part)
         pieces.append("".join(run))
         todo.extend(reversed(pieces))
 
 
+def density_sums(order: list[Node]) -> dict[int, float]:
+    """Of each node its unlinked characters outside child blocks and its children's densities.
+    What is inside a named block counts by its weight, what is inside an article doubly."""
+    sums, weight = {}, {}
+    for node in order:  # parents come first
+        inner = node.parent is not None and node.parent.tag == "article"
+        weight[id(node)] = (NAMED if node.named else ARTICLE if node.tag == "article" and not inner else 1.0) * (weight[id(node.parent)] if node.parent else 1.0)
+        own = sum(len("".join(x[0].split())) for x in node.parts if isinstance(x, tuple) and not x[1])
+        sums[id(node)] = weight[id(node)] * (own + sum(x.density for x in node.parts if isinstance(x, Node) and not x.skip))
+    return sums
+
+
 def main_text(page: str | None) -> str:
-    """The article of a page: its blocks, white space made single, joined by newlines."""
+    """The article of a page: its blocks, white space made single, joined by newlines.
+
+    The subtree with the greatest density sum (ties: the first in document order) is the heart. The path from it leads to the
+    body, or to the article element that it lies in, which is then taken whole: what was found to
+    hold the densest subtree needs no threshold for its short blocks. Elsewhere the siblings of
+    the path belong to the text if their density reaches the least one on the path, and so do
+    headings beside it. A named block (menu, advert, form ...) is left out, wherever it is, unless
+    the path leads through it or it holds over half of the heart's characters.
+    """
     root = parse(page or "")
-    _reopen(root)
     order = _measure(root)
     if not root.chars:
         return ""
-    sums = {}
-    for node in order:
-        own = sum(len("".join(x[0].split())) for x in node.parts if isinstance(x, tuple) and not x[1])
-        sums[id(node)] = own + sum(x.density for x in node.parts if isinstance(x, Node) and not x.skip)
+    sums = density_sums(order)
     best = max(order, key=lambda n: sums[id(n)])
-    # an article or main element around it is the article, whatever its parts weigh
-    up = best
-    while up is not None:
-        if up.tag in ("article", "main"):
-            best = up
-        up = up.parent
     path = [best]
-    while path[-1].parent is not None:
+    while path[-1].parent is not None and path[-1].tag != "body":
         path.append(path[-1].parent)
+    top = max((i for i, n in enumerate(path) if n.tag == "article"), default=None)
     threshold = min(n.density for n in path)
+    heart = best if top is None else path[top]
+    kept = {id(n) for n in order if n.named and 2 * n.chars > heart.chars}.union(map(id, path))
     chosen = {id(best)}
-    if best.tag not in ("article", "main"):
+    if top is not None:
+        chosen = {id(heart)}
+        beside = heart.parent.parts if heart.parent else []
+        chosen.update(id(x) for x in beside if isinstance(x, Node) and not x.skip and x.tag == "article" and x.density >= threshold)
+    else:
         for lower, upper in zip(path, path[1:]):
-            if upper.tag != "html":
-                chosen.update(id(x) for x in upper.parts if isinstance(x, Node) and not x.skip and x is not lower and x.density >= threshold and x.density > 0)
-    elif best.tag == "article":
-        chosen.update(id(x) for x in (best.parent.parts if best.parent else []) if isinstance(x, Node) and not x.skip and x.tag == "article" and x.density >= threshold)
+            for x in upper.parts:
+                if isinstance(x, Node) and x is not lower and not x.skip and not x.named and x.density > 0 and (x.density >= threshold or x.tag[0] == "h" and x.tag[1:].isdigit() and not x.link_chars):
+                    chosen.add(id(x))
     out: list[str] = []
     for node in order:
         if id(node) in chosen:
-            _blocks(node, out)
+            _blocks(node, kept, out)
     return "\n".join(out)
 
 
 def extract_text(pages: DataFrame, html_col: str = "html") -> DataFrame:
     """``pages`` with ``text`` (empty if the page has none) and ``n_chars`` in place of the html
     column. Null html counts as empty. Rows stay as they are otherwise, repeated rows and empty
-    tables included; a text or n_chars column of the input is replaced."""
-    kept = [c for c in pages.columns if c not in (html_col, "text", "n_chars")]
+    tables included; a text or n_chars column of the input is replaced, any other stays. A page of
+    any length is parsed whole, in memory that grows with it alone."""
+    kept = [c for c in pages.columns if c.lower() not in (html_col.lower(), "text", "n_chars")]
+    page = fresh(pages, "_html")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [main_text(x.as_py()) for x in batch.column("_html")]
-            out = [batch.column(c) for c in kept] + [pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())]
+            texts = [main_text(x.as_py()) for x in batch.column(len(kept))]
+            out = [batch.column(i) for i in range(len(kept))] + [pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())]
             yield pa.RecordBatch.from_arrays(out, [*kept, "text", "n_chars"])
 
     fields = ", ".join(f"`{c}` {pages.schema[c].dataType.simpleString()}" for c in kept)
-    return pages.select(*kept, F.col(html_col).alias("_html")).mapInArrow(run, f"{fields}{', ' if kept else ''}text string, n_chars long")
+    return pages.select(*[F.col(f"`{c}`") for c in kept], F.col(html_col).alias(page)).mapInArrow(run, f"{fields}{', ' if kept else ''}text string, n_chars long")
