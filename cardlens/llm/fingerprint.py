@@ -2,13 +2,15 @@
 
 A k-mer of code points is an anchor if the least of its inner s-mers lies at one of its two
 edges. Whether it is depends on the k-mer alone, so a passage keeps its anchors wherever it
-stands, which lets texts be matched by position. The n-th occurrence of an anchor counts as an
-anchor of its own. The fingerprint is a bottom-k sketch of the anchor hashes; likeness is the
-sketches' estimate of the share of anchors in common.
+stands, which lets texts be matched by position. Every window of k - s k-mers holds an anchor, so
+the gap from one anchor to the next fits in a byte. A fingerprint holds all anchors of a text in
+order: gap and 32-bit hash of each. Likeness is exact on them: the share of anchors, repeats
+counted, that two texts have in common.
 """
 
 from __future__ import annotations
 
+import base64
 import hashlib
 from collections.abc import Iterable, Iterator
 
@@ -17,11 +19,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-K, S = 10, 4
-SKETCH = 128
-#: Texts of fewer code points take all their k-mers as anchors.
-SHORT = 40
-_CHUNK = 1 << 16
+from cardlens.llm.common import checkpoint
+
+K, S = 16, 5
+#: Code points that are hashed at a time, whatever the lengths of the texts.
+_CHUNK = 1 << 18
+#: A slice of documents has about so many bytes of text, as long as MOST_SLICES are enough.
+SLICE_BYTES = 64 << 20
+#: Bounds the table of slices that is part of the plan.
+MOST_SLICES = 1 << 14
+_ENTRY = np.dtype([("gap", "u1"), ("hash", ">u4")])
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -31,58 +38,97 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
+def _by_doubling(x: np.ndarray, n: int, join) -> np.ndarray:
+    """Of every run of ``n`` values, what ``join(left, right, width of right)`` makes of them."""
+    done, width, part = None, 1, x
+    held = 0
+    while True:
+        if n & width:
+            done = part if done is None else join(done[: len(x) - held - width + 1], part[held : len(x) - width + 1], width)
+            held += width
+        width *= 2
+        if width > n:
+            return done[: len(x) - n + 1]
+        part = join(part[: len(x) - width + 1], part[width // 2 : len(x) - width // 2 + 1], width // 2)
+
+
 def _gram_hashes(points: np.ndarray, n: int) -> np.ndarray:
-    h = np.zeros(len(points) - n + 1, np.uint64)
-    for i in range(n):
-        h = h * np.uint64(0x9E3779B97F4A7C15) + points[i : len(points) - n + 1 + i]
-    return _mix(h)
+    """A polynomial hash of every run of ``n`` points, mixed."""
+    power = [pow(0x9E3779B97F4A7C15, w, 1 << 64) for w in range(n + 1)]
+    return _mix(_by_doubling(points, n, lambda a, b, w: a * np.uint64(power[w]) + b))
 
 
-def anchors(text: str, k: int = K, s: int = S) -> tuple[np.ndarray, np.ndarray]:
-    """(hash uint32, end in code points) of every closed syncmer of ``text``.
+def batch_anchors(texts: list[str], k: int = K, s: int = S) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Of each text the (hash uint32, start) of its closed syncmers, in order.
 
-    k - 1 fixed values that no text holds stand before it, so that a text has a k-mer for each of
-    its code points. The empty text has no anchor. Ties count for both edges.
+    k - 1 fixed values that no text holds stand before and after each text, so that even a text
+    of one code point has k k-mers, an anchor among them, and no k-mer spans two texts. Starts
+    count from the first of those values. The empty text has no anchor. Ties count for both edges.
     """
-    before = np.arange(1, k, dtype=np.uint64) + np.uint64(0x110000)
-    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
-    if not len(points):
-        return np.empty(0, np.uint32), np.empty(0, np.int64)
-    n, points = len(points), np.r_[before, points]
-    hashes, at = [], []
-    for start in range(0, n, _CHUNK):  # bounded memory for texts of any length
-        part = points[start : start + _CHUNK + k - 1]
+    pad = np.arange(1, 2 * k - 1, dtype=np.uint64) + np.uint64(0x110000)
+    codes = [np.frombuffer(t.encode("utf-32-le", "surrogatepass"), "<u4") for t in texts]
+    parts, starts, at = [], [], 0
+    for c in codes:
+        starts.append(at)
+        parts += [pad[: k - 1], c.astype(np.uint64), pad[k - 1 :]]
+        at += len(c) + 2 * (k - 1)
+    starts = np.array(starts, np.int64)
+    points = np.concatenate(parts) if parts else np.empty(0, np.uint64)
+    hashes, places = [], []
+    window = k - s + 1
+    for begin in range(0, len(points) - k + 1, _CHUNK):
+        part = points[begin : begin + _CHUNK + k - 1]
         inner = _gram_hashes(part, s)
-        window = k - s + 1
-        least = inner[: len(inner) - window + 1].copy()
-        for i in range(1, window):
-            np.minimum(least, inner[i : len(inner) - window + 1 + i], out=least)
-        edge = np.flatnonzero((least == inner[: len(least)]) | (least == inner[window - 1 :]) | (n < SHORT))
+        least = _by_doubling(inner, window, lambda a, b, w: np.minimum(a, b))
+        edge = np.flatnonzero((least == inner[: len(least)]) | (least == inner[window - 1 :]))
         hashes.append((_gram_hashes(part, k)[edge] >> np.uint64(32)).astype(np.uint32))
-        at.append(edge + start)
-    return np.concatenate(hashes), np.concatenate(at)
+        places.append(edge + begin)
+    hashes = np.concatenate(hashes) if hashes else np.empty(0, np.uint32)
+    places = np.concatenate(places) if places else np.empty(0, np.int64)
+    cuts = np.searchsorted(places, starts).tolist() + [len(places)]
+    out = []
+    for j, c in enumerate(codes):
+        a, b = cuts[j], cuts[j + 1]
+        own = places[a:b] - starts[j]
+        inside = own < len(c) + k - 1 if len(c) else np.zeros(b - a, bool)  # k-mers with a code point of the text
+        out.append((hashes[a:b][inside], own[inside]))
+    return out
+
+
+def anchors(text: str, k: int = K, s: int = S) -> tuple[np.ndarray, np.ndarray]:
+    """``batch_anchors`` of one text."""
+    return batch_anchors([text], k, s)[0]
 
 
-def sketch(text: str) -> np.ndarray:
-    """The ``SKETCH`` least hashes of (anchor, how often it came before), sorted, each once."""
-    h = np.sort(anchors(text)[0])
-    first = np.r_[0, np.flatnonzero(h[1:] != h[:-1]) + 1][: len(h)]
-    nth = np.arange(len(h)) - np.repeat(first, np.diff(np.r_[first, len(h)]))
-    return np.unique((_mix(h.astype(np.uint64) + (nth.astype(np.uint64) << np.uint64(32))) >> np.uint64(32)).astype(np.uint32))[:SKETCH]
+def encode(found: tuple[np.ndarray, np.ndarray]) -> str:
+    """The fingerprint: of every anchor the gap to the one before and the hash, in base 64."""
+    entries = np.empty(len(found[0]), _ENTRY)
+    entries["gap"], entries["hash"] = np.diff(found[1], prepend=0), found[0]
+    return base64.b64encode(entries.tobytes()).decode()
+
+
+def decode(fingerprint: str) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, start) of the anchors that a fingerprint holds."""
+    entries = np.frombuffer(base64.b64decode(fingerprint), _ENTRY)
+    return entries["hash"].astype(np.uint32), np.cumsum(entries["gap"], dtype=np.int64)
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
-    """Dice coefficient of two anchor sets as their sketches estimate it; 1 for two empty texts,
-    0 if one is empty."""
+    """Dice coefficient of two lists of anchor hashes, repeats counted; 1 for two empty texts."""
     if not len(a) or not len(b):
         return float(len(a) == len(b))
-    union = np.union1d(a, b)[:SKETCH]
-    shared = np.isin(union, np.intersect1d(a, b, assume_unique=True), assume_unique=True).mean()
-    return float(2 * shared / (1 + shared))
+    a, b = np.sort(a), np.sort(b)
+    nth = np.arange(len(a)) - np.searchsorted(a, a)
+    shared = (nth < np.searchsorted(b, a, side="right") - np.searchsorted(b, a)).sum()
+    return float(2 * shared / (len(a) + len(b)))
 
 
-def _hex(s: np.ndarray) -> str:
-    return s.astype(">u4").tobytes().hex()
+def same_until(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], k: int = K) -> int:
+    """Code points from the start up to which the anchors of two texts agree, place by place."""
+    n = min(len(a[0]), len(b[0]))
+    differs = np.flatnonzero((a[0][:n] != b[0][:n]) | (a[1][:n] != b[1][:n]))
+    n = int(differs[0]) if len(differs) else n
+    return int(a[1][n - 1]) + 1 if n else 0
 
 
 def edited(text: str, following: str) -> str:
@@ -105,75 +151,93 @@ def document_anchors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return rows.mapInArrow(run, "id long, hashes array<long>, positions array<long>")
 
 
+_RESULT = "id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, same_until long"
+#: Texts that are fingerprinted together: about so many code points, one text at least.
+_TOGETHER = 1 << 17
+
+
 def _chain(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of a slice in order; each is compared with the one after it. A guest row (the head of
-    the next slice, or of all for the last) only follows."""
-    names = ["id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
-    types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
-    last = None
+    the next slice, or of all for the last) only follows. A few texts are held at a time."""
+    names = [x.split()[0] for x in _RESULT.split(", ")]
+    types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.int64()]
+    last: tuple | None = None  # (slice, guest, id, text, anchors)
+
+    def results(rows: list[tuple]) -> pa.RecordBatch | None:
+        nonlocal last
+        found = batch_anchors([r[3] for r in rows])
+        chain = ([last] if last is not None else []) + [(*r, f) for r, f in zip(rows, found)]
+        pairs = [(x, y) for x, y in zip(chain, chain[1:]) if x[0] == y[0] and not x[1]]
+        changed = [edited(x[3], y[3]) for x, y in pairs]
+        out = []
+        for (x, y), text, other in zip(pairs, changed, batch_anchors(changed)):
+            digest = hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()
+            out.append((x[2], len(x[3]), digest, encode(x[4]), encode(other), likeness(x[4][0], other[0]), likeness(x[4][0], y[4][0]), min(same_until(x[4], other), len(x[3]))))
+        last = chain[-1]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names) if out else None
+
     for batch in batches:
-        rows = []
+        rows, size = [], 0
         columns = [batch.column(c) for c in ("slice", "guest", "id", "text")]
         for part, guest, i, text in zip(*(c.to_pylist() if j < 3 else c for j, c in enumerate(columns))):
-            text = text.as_py() or ""
-            now = (part, i, text, sketch(text), guest)
-            if last is not None and last[0] == part and not last[4]:
-                changed = edited(last[2], text)
-                other = sketch(changed)
-                digest = hashlib.sha256(changed.encode("utf-8", "surrogatepass")).hexdigest()
-                rows.append((last[1], len(last[2]), digest, _hex(last[3]), _hex(other), likeness(last[3], other), likeness(last[3], now[3])))
-            last = now
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
+            text = text.as_py()
+            rows.append((part, guest, i, text))
+            size += len(text)
+            if size >= _TOGETHER:
+                if (done := results(rows)) is not None:
+                    yield done
+                rows, size = [], 0
+        if rows and (done := results(rows)) is not None:
+            yield done
 
 
 def fingerprint_edits(docs: DataFrame, slices: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Each document, its fingerprint, and those of its edited text and of the next document.
 
-    Result: id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
-    The next document is that of the next larger id (ties by a hash of the text, null ids first); after the
-    last comes the first. A single row follows itself. Null texts count as empty; an empty table
-    gives an empty result; other columns are ignored. Documents are dealt once, to slices of
-    consecutive ids; the head of each slice is also sent to the slice before as a guest, so no
-    row is ever looked up elsewhere.
+    Result: id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next,
+    same_until (code points up to which the text's and the edited text's anchors agree in place).
+    The next document is that of the next larger id (ties by a hash of the text, null ids first);
+    after the last comes the first. A single row follows itself. Null texts count as empty; an
+    empty table gives an empty result; other columns are ignored. A text of any length is one row
+    and is hashed in pieces.
+
+    Documents are dealt once, by (id, hash of the text), to slices of consecutive rows of about
+    ``SLICE_BYTES``, a task each; rows that share an id, null too, are so dealt over many slices, unless their texts are
+    equal as well. The head of each slice is also sent to the slice before as a guest, so no row is
+    ever looked up elsewhere. Where slices begin comes from a table of ids and hashes.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    slices = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cuts = rows.agg(F.percentile_approx("id", [i / slices for i in range(1, slices)] or [0.5], 10_000).alias("c")).first()["c"] or []
-    cuts = sorted(set(cuts)) if slices > 1 else []
-    sliced = rows.withColumn("slice", F.when(F.col("id").isNull(), 0).otherwise(_slice_of(F.col("id"), cuts)))
-    first_of = {r["slice"]: r["head"] for r in sliced.groupBy("slice").agg(F.min(F.coalesce("id", F.lit(_LEAST))).alias("head")).collect()}  # one row a slice
-    if not first_of:
-        return spark.range(0).selectExpr(*_EMPTY)
-    order = sorted(first_of)
-    before = dict(zip(order, [order[-1], *order[:-1]]))
-    n = order[-1] + 1
-    head = F.get(_longs([first_of.get(i) for i in range(n)]), F.col("slice"))
-    to = F.get(_longs([before.get(i) for i in range(n)]), F.col("slice")).cast("int")
+    key = F.struct(F.col("id").isNotNull().alias("known"), F.coalesce("id", F.lit(0).cast("long")).alias("at"), F.xxhash64("text").alias("h"))
+    keys = checkpoint(rows.select(key.alias("k"), F.octet_length("text").cast("long").alias("size")).select("k.*", "size"))
+    size = keys.agg(F.sum("size")).first()[0]
+    if size is None:
+        return spark.createDataFrame([], _RESULT)
+    slices = min(slices or max(-(-size // SLICE_BYTES), int(spark.conf.get("spark.sql.shuffle.partitions"))), MOST_SLICES)
+    ranged = keys.repartitionByRange(slices, "known", "at", "h").groupBy(F.spark_partition_id()).agg(F.min(F.struct("known", "at", "h")).alias("head"))
+    heads = sorted({(r["head"]["known"], r["head"]["at"], r["head"]["h"]) for r in ranged.collect()})  # one row a slice
+    n = len(heads)
+    dealt = rows.withColumn("k", key).withColumn("slice", _slice_of(F.col("k"), heads))
     own = F.struct(F.col("slice").alias("slice"), F.lit(0).alias("guest"))
-    sent = F.when(F.coalesce("id", F.lit(_LEAST)) == head, F.array(own, F.struct(to.alias("slice"), F.lit(1).alias("guest")))).otherwise(F.array(own))
-    dealt = sliced.withColumn("to", F.explode(sent)).select("to.slice", "to.guest", "id", "text")
-    dealt = dealt.repartition(n, "slice").sortWithinPartitions("slice", "guest", F.col("id").asc_nulls_first(), F.xxhash64("text"))
-    return dealt.mapInArrow(_chain, "id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
-
-
-_LEAST = -(2**63)
+    before = F.struct(F.when(F.col("slice") == 0, n - 1).otherwise(F.col("slice") - 1).alias("slice"), F.lit(1).alias("guest"))
+    sent = F.when(F.col("k") == F.get(_keys(heads), F.col("slice")), F.array(own, before)).otherwise(F.array(own))
+    dealt = dealt.withColumn("to", F.explode(sent)).select("to.slice", "to.guest", "id", "text", F.col("k.h").alias("h"))
+    dealt = dealt.repartitionById(n, "slice").sortWithinPartitions("slice", "guest", F.col("id").asc_nulls_first(), "h").drop("h")
+    return dealt.mapInArrow(_chain, _RESULT)
 
 
-def _longs(values: list[int | None]) -> Column:
-    return F.array(*[F.lit(v).cast("long") for v in values])
+def _keys(heads: list[tuple[bool, int, int]]) -> Column:
+    """The heads as an array: one constant, parsed once when the plan is made."""
+    text = ",".join(f'{{"known":{str(known).lower()},"at":{at},"h":{h}}}' for known, at, h in heads)
+    return F.from_json(F.lit(f"[{text}]"), "array<struct<known:boolean,at:bigint,h:bigint>>")
 
 
-def _slice_of(x: Column, cuts: list[int], step: int = 64) -> Column:
-    """The number of cuts that are at most ``x``, found by every ``step``-th cut first."""
-    if not cuts:
-        return F.lit(0)
-    coarse = F.size(F.filter(_longs(cuts[::step]), lambda c: c <= x))
-    fine = F.size(F.filter(F.slice(_longs(cuts), (coarse - 1) * step + 1, F.lit(step)), lambda c: c <= x))
-    return F.when(coarse == 0, 0).otherwise((coarse - 1) * step + fine)
+def _slice_of(k: Column, heads: list[tuple[bool, int, int]]) -> Column:
+    """Which slice ``k`` is of: the last head that is at most ``k``, found by every step-th head first."""
+    step = max(int(len(heads) ** 0.5), 1)
 
+    def at_most(part: Column) -> Column:
+        return F.size(F.filter(part, lambda c: c <= k))
 
-_EMPTY = [
-    "id", "id AS n_chars", "'' AS edited_sha256", "'' AS fingerprint", "'' AS edited_fingerprint", "0D AS near_edited", "0D AS near_next",
-]
+    coarse = F.greatest(at_most(_keys(heads[::step])) - 1, F.lit(0)) * step
+    return F.greatest(coarse + at_most(F.slice(_keys(heads), coarse + 1, F.lit(step))) - 1, F.lit(0)).cast("int")

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -64,35 +65,52 @@ def test_language_counts_are_whole(spark, labelled):
     assert L.learn(spark.createDataFrame([], "lang string, text string"))[0] == []
 
 
+def gram_hash(points, n):
+    """The polynomial hash and its finalizer, in Python integers."""
+    h, top = 0, (1 << 64) - 1
+    for x in points[:n]:
+        h = (h * 0x9E3779B97F4A7C15 + x) & top
+    for m in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+        h = (h ^ h >> 33) * m & top
+    return h ^ h >> 33
+
+
 def syncmers(text, k, s):
-    padded = [chr(0)] * 0 + [0x110000 + i for i in range(1, k)] + [ord(c) for c in text]
-    grams = lambda x, n: S._gram_hashes(np.array(x, np.uint64), n)
+    """Every k-mer with a code point of the text whose least inner s-mer is at an edge."""
+    points = [0x110000 + i for i in range(1, k)] + [ord(c) for c in text] + [0x110000 + i for i in range(k, 2 * k - 1)]
     out = []
-    for i in range(len(text)):
-        kmer = padded[i : i + k]
-        inner = grams(kmer, s).tolist()
-        if min(inner) in (inner[0], inner[-1]) or len(text) < S.SHORT:
-            out.append((int(grams(kmer, k)[0]) >> 32, i))
+    for i in range(len(text) + k - 1 if text else 0):
+        kmer = points[i : i + k]
+        inner = [gram_hash(kmer[j:], s) for j in range(k - s + 1)]
+        if min(inner) in (inner[0], inner[-1]):
+            out.append((gram_hash(kmer, k) >> 32, i))
     return out
 
 
+def dice(a, b):
+    a, b = Counter(h for h, _ in a), Counter(h for h, _ in b)
+    both = sum(a.values()) + sum(b.values())
+    return 2 * sum((a & b).values()) / both if both else 1.0
+
+
 def test_anchors_are_closed_syncmers():
     rng = random.Random(3)
-    for n in (0, 1, 5, 30, 39, 40, 200, 900):
-        text = "".join(rng.choice("abcdé 😀") for _ in range(n))
-        h, at = S.anchors(text)
-        assert list(zip(h.tolist(), at.tolist())) == syncmers(text, S.K, S.S)
+    texts = ["".join(rng.choice("abcdé 😀") for _ in range(n)) for n in (0, 1, 5, 30, 39, 40, 0, 200, 900)]
+    for text, (h, at), found in zip(texts, map(S.anchors, texts), S.batch_anchors(texts)):
+        assert list(zip(h.tolist(), at.tolist())) == syncmers(text, S.K, S.S) == list(zip(*(x.tolist() for x in found)))
+        assert all((x == y).all() for x, y in zip(S.decode(S.encode((h, at))), (h, at)))
+        assert not text or len(h)
     long = "".join(rng.choice("abcdefgh") for _ in range(S._CHUNK + 500))
     h, at = S.anchors(long)
     inside = dict(zip(at.tolist(), h.tolist()))
-    for i, x in zip(*reversed(S.anchors(long[S._CHUNK - 300 : S._CHUNK + 300]))):
-        if i > 20:  # anchors don't depend on what is around them
+    for x, i in zip(*S.anchors(long[S._CHUNK - 300 : S._CHUNK + 300])):
+        if S.K <= i < 600:  # anchors don't depend on what is around them
             assert inside[S._CHUNK - 300 + i] == x
 
 
 def test_fingerprint_edits(spark):
     rng = random.Random(4)
-    rows = [(i * 3 % 101, prose(rng, "en", rng.randint(1, 90))) for i in range(101)] + [(500, None), (501, ""), (502, "ab")]
+    rows = [(i * 3 % 61, prose(rng, "en", rng.randint(1, 50))) for i in range(61)] + [(500, None), (501, ""), (502, "ab")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     rows.sort()
     for slices in (1, 7, 40):
@@ -103,11 +121,17 @@ def test_fingerprint_edits(spark):
             changed = t[: len(t) - len(t) // 4] + following[: len(t) // 4]
             r = got[i]
             assert (r["n_chars"], r["edited_sha256"]) == (len(t), hashlib.sha256(changed.encode()).hexdigest())
-            assert (r["fingerprint"], r["edited_fingerprint"]) == (S._hex(S.sketch(t)), S._hex(S.sketch(changed)))
-            assert r["near_edited"] == S.likeness(S.sketch(t), S.sketch(changed)) and r["near_next"] == S.likeness(S.sketch(t), S.sketch(following))
+            own, other, after = (syncmers(x, S.K, S.S) for x in (t, changed, following))
+            assert [list(zip(*(x.tolist() for x in S.decode(r[f])))) for f in ("fingerprint", "edited_fingerprint")] == [own, other]
+            assert (r["near_edited"], r["near_next"]) == pytest.approx((dice(own, other), dice(own, after)))
+            alike = next((j for j, (x, y) in enumerate(zip(own, other)) if x != y), min(len(own), len(other)))
+            assert r["same_until"] == (min(own[alike - 1][1] + 1, len(t)) if alike else 0)
     one = S.fingerprint_edits(docs.filter("doc_id = 0")).collect()
     assert len(one) == 1 and one[0]["near_next"] == 1.0
     assert S.fingerprint_edits(docs.limit(0)).collect() == []
+    hot = spark.createDataFrame([(None, f"{i} is the number of it") for i in range(200)], "doc_id long, text string").repartition(3)
+    chain = S.fingerprint_edits(hot, 16).collect()  # rows without an id are dealt over all slices, and form one ring
+    assert len({r["edited_sha256"] for r in chain}) == 200 and len({r["fingerprint"] for r in chain}) == 200
     same = spark.createDataFrame([(1, "x y z"), (1, "x y z"), (None, "x y z")], "doc_id long, text string")
     assert len({r["fingerprint"] for r in S.fingerprint_edits(same).collect()}) == 1 and S.fingerprint_edits(same).count() == 3
 
@@ -250,3 +274,93 @@ def test_wrappers_of_the_whole_page_stay(wrapper, inner):
     text = main_text(f"<html><body><{wrapper}>{menu}<{inner}>{body}</{inner}></{wrapper.split()[0]}><div class='footer'>All rights</div></body></html>")
     assert all(f"Sentence {i} of" in text for i in range(8))
     assert not any(x in text for x in ("Home", "Other things", "Send", "All rights"))
+
+
+PROBES = [
+    ("<article><p data=it's>Hello</p><p>I don't know</p></article>", "Hello\nI don't know"),
+    ('<article><p title="5" tall">Hello</p></article>', "Hello"),
+    ('<article><p title="never closed>Hello</p><p>there</p></article>', "Hello\nthere"),
+    ('<div class="post notice-board-article"><p>Real text of this page</p></div><div class="notice"><p>Not this</p></div>', "Real text of this page"),
+    ("<article><header><h1>Title</h1></header><p>Text of it</p><footer>by me</footer></article><header>Site</header>", "Title\nText of it"),
+    ("<form><div class=c><p>All of the page is in a form</p><input></div></form>", "All of the page is in a form"),
+    ("<div class='site-header'><p>Home of it</p></div><div><p>The very text of this page</p><div class='ad-box'><p>Buy</p></div></div>", "The very text of this page"),
+]
+
+
+@pytest.mark.parametrize("page,text", PROBES)
+def test_pages_keep_their_article(page, text):
+    assert main_text(f"<html><body>{page}</body></html>") == text
+
+
+def test_density_sums_against_brute_force():
+    import math
+
+    from cardlens.llm import html_text as H
+
+    rng = random.Random(3)
+
+    def tree(depth):
+        """(markup, element) with element = [tag, children], text as (string, in a link)."""
+        kids, out = [], ""
+        for _ in range(rng.randint(1, 4)):
+            kind = rng.random()
+            if depth and kind < 0.5:
+                tag = rng.choice(["div", "section", "article", "blockquote"])
+                markup, inner = tree(depth - 1)
+                out += f"<{tag}>{markup}</{tag}>"
+                kids.append([tag, inner])
+            elif kind < 0.75:
+                word = "w" * rng.randint(1, 30)
+                out += f"<a href=x>{word}</a>"
+                kids += [["a", [(word, True)]]]
+            else:
+                word = "t" * rng.randint(1, 60)
+                out += f"<b>{word}</b>"
+                kids += [["b", [(word, False)]]]
+        return out, kids
+
+    def count(kids):
+        chars = tags = link_chars = link_tags = 0
+        for x in kids:
+            if isinstance(x, tuple):
+                chars, link_chars = chars + len(x[0]), link_chars + len(x[0]) * x[1]
+            else:
+                c, t, lc, lt = count(x[1])
+                chars, tags, link_chars, link_tags = chars + c, tags + t + 1, link_chars + lc, link_tags + lt + (x[0] == "a")
+        return chars, tags, link_chars, link_tags
+
+    def density(kids, whole):
+        c, t, lc, lt = count(kids)
+        wc, _, wlc, _ = whole
+        base = math.log(c / max(c - lc, 1) * lc + wlc / wc * c + math.e)
+        if not lc:
+            return c / max(t, 1) * (1 + math.log1p(c) / base)
+        return c / max(t, 1) * max(math.log(max(c / lc * max(t, 1) / max(lt, 1), 1.0) + 1e-9) / base, 0.0)
+
+    for _ in range(60):
+        markup, kids = tree(4)
+        root = H.parse(f"{markup}")
+        order = H._measure(root)
+        sums, whole, expected = H.density_sums(order), count(kids), []
+
+        def walk(kids, weight, tag):
+            blocks = [x for x in kids if not isinstance(x, tuple) and x[0] not in "ab"]
+            own = sum(count([x])[0] for x in kids if not isinstance(x, tuple) and x[0] == "b")
+            expected.append(weight * (own + sum(density(x[1], whole) for x in blocks)))
+            for x in blocks:
+                walk(x[1], weight * (H.ARTICLE if x[0] == "article" and tag != "article" else 1.0), x[0])
+
+        walk(kids, 1.0, "html")
+        assert [sums[id(n)] for n in order] == pytest.approx(expected)
+
+
+def test_page_columns_that_clash(spark):
+    rows = [(1, "a", "<p>x</p>", "old")] * 2
+    got = extract_text(spark.createDataFrame(rows, "page_id long, _html string, html string, text string")).collect()
+    assert [(r["_html"], r["text"]) for r in got] == [("a", "x")] * 2
+
+
+def test_equally_dense_subtrees_and_long_pages():
+    half = "<div><p>The same words in both</p><p>and once more so</p></div>"
+    assert main_text(f"<body>{half}{half}</body>").startswith("The same words in both")
+    assert len(main_text("<article>" + "<p>many words here</p>" * 60_000 + "</article>").split("\n")) == 60_000
