@@ -1,10 +1,11 @@
 """Chat formatting by prefix-target expansion.
 
 Every assistant turn becomes an example of its own: all turns before it are context, and only
-its reply is trainable. The examples of a conversation are prefixes of one another, so an
-example's row holds just what it adds to the one before (``addition``), how many code points of
-context stand before that, and its loss span; ``expand_examples`` writes the whole texts out.
-Turns after the last reply form a last row without a loss span, so that nothing is lost.
+its reply is trainable (``expand_examples``). The examples of a conversation are prefixes of one
+another, so their size grows with the square of a conversation; ``format_conversations`` is the
+compact form, in which an example's row holds just what it adds to the one before
+(``addition``), how many code points of context stand before that, and its loss span. Turns
+after the last reply form a last row without a loss span, so that nothing is lost.
 
 A turn is ``<|im_start|>role<|im_sep|>text<|im_end|>`` and a newline. Whatever looks like a
 control string inside a role or text gets a backslash after its first character, and such a
@@ -67,10 +68,6 @@ def format_conversations(turns: DataFrame, conv_col: str = "conv_id", turn_col:
             if held:
                 out.append((conv, example, context, "".join(held), None, None))
 
-        def batch_of(out: list[tuple]) -> pa.RecordBatch:
-            types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], ["conv_id", "example", "context_chars", "addition", "loss_start", "loss_end"])
-
         for batch in batches:
             out: list[tuple] = []
             for c, reply, head, segment in zip(*(batch.column(x).to_pylist() for x in ("conv_id", "reply", "head", "segment"))):
@@ -84,72 +81,102 @@ def format_conversations(turns: DataFrame, conv_col: str = "conv_id", turn_col:
                     out.append((conv, example, context, addition, end - len(segment) + head, end - tail))
                     example, context, held = example + 1, end, []
             if out:
-                yield batch_of(out)
+                yield _batch(out, _COMPACT)
         out = []
         close(out)
         if out:
-            yield batch_of(out)
+            yield _batch(out, _COMPACT)
+
+    return rows.mapInArrow(run, _COMPACT)
+
+
+_COMPACT = "conv_id long, example long, context_chars long, addition string, loss_start long, loss_end long"
+_EXAMPLE = "conv_id long, example long, text string, loss_start long, loss_end long"
 
-    return rows.mapInArrow(run, "conv_id long, example long, context_chars long, addition string, loss_start long, loss_end long")
 
+def in_order(rows: DataFrame) -> DataFrame:
+    """The rows of a conversation in one task, example after example; one shuffle."""
+    return rows.repartition("conv_id").sortWithinPartitions("conv_id", "example")
 
-def expand_examples(formatted: DataFrame) -> DataFrame:
-    """(conv_id, example, text, loss_start, loss_end): every example in full, context first."""
+
+def expand_examples(formatted: DataFrame, ordered: bool = False) -> DataFrame:
+    """(conv_id, example, text, loss_start, loss_end): every example in full, context first.
+
+    A last row without a reply has null for its loss span. ``formatted`` may come in any order,
+    from a written table too; ``ordered`` says that it comes straight from ``format_conversations``
+    or ``in_order``, and saves a shuffle. A row whose context isn't what stands before it is an error,
+    never a shorter context. A task holds the text of one conversation.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        text = ""
+        conv, text, begun, out, size = None, "", False, [], 0
         for batch in batches:
             for row in batch.to_pylist():
-                text = (text if row["context_chars"] else "") + row["addition"]
-                if row["loss_start"] is not None:
-                    yield pa.RecordBatch.from_pylist(
-                        [{"conv_id": row["conv_id"], "example": row["example"], "text": text, "loss_start": row["loss_start"], "loss_end": row["loss_end"]}],
-                        schema=pa.schema([("conv_id", pa.int64()), ("example", pa.int64()), ("text", pa.string()), ("loss_start", pa.int64()), ("loss_end", pa.int64())]),
-                    )
+                if not begun or row["conv_id"] != conv:
+                    conv, text, begun = row["conv_id"], "", True
+                if row["context_chars"] != len(text):
+                    raise ValueError(f"example {row['example']} of conversation {conv} comes without its context")
+                text += row["addition"]
+                out.append((conv, row["example"], text, row["loss_start"], row["loss_end"]))
+                size += len(text)
+                if size > 1 << 22:
+                    yield _batch(out, _EXAMPLE)
+                    out, size = [], 0
+        if out:
+            yield _batch(out, _EXAMPLE)
+
+    return (formatted if ordered else in_order(formatted)).mapInArrow(run, _EXAMPLE)
+
 
-    return formatted.mapInArrow(run, "conv_id long, example long, text string, loss_start long, loss_end long")
+def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    fields = [x.split() for x in schema.split(", ")]
+    kinds = {"long": pa.int64(), "string": pa.string()}
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, (_, k) in zip(zip(*rows), fields)], [n for n, _ in fields])
 
 
-def read_back(formatted: DataFrame) -> DataFrame:
-    """What the formatted rows of each conversation hold, parsed and unescaped:
-    conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars."""
+def read_back(examples: DataFrame, ordered: bool = False) -> DataFrame:
+    """What the whole examples of each conversation hold, parsed and unescaped:
+    conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars.
+
+    Every example must begin with the whole text of the one before, its context; what it adds is
+    parsed. ``formatted_chars`` is the length of the longest example (or the last row). Order: see
+    ``expand_examples``. A missing or repeated example is an error.
+    """
+    schema = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
-        types = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
         state: list | None = None
 
         def total() -> tuple:
-            conv, n, turns, chars, loss, formatted = state
-            return conv, n, turns.hexdigest(), chars, loss.hexdigest(), formatted
-
-        def batch_of(out: list[tuple]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
+            conv, n, turns, chars, loss, text, _ = state
+            return conv, n, turns.hexdigest(), chars, loss.hexdigest(), len(text)
 
         for batch in batches:
             out: list[tuple] = []
-            for conv, context, addition, start, end in zip(*(batch.column(x).to_pylist() for x in ("conv_id", "context_chars", "addition", "loss_start", "loss_end"))):
-                if state is None or context == 0:
+            for conv, example, text, start, end in zip(*(batch.column(x).to_pylist() for x in ("conv_id", "example", "text", "loss_start", "loss_end"))):
+                if state is None or conv != state[0]:
                     if state is not None:
                         out.append(total())
-                    state = [conv, 0, hashlib.sha256(), 0, hashlib.sha256(), 0]
-                at = 0
-                for m in _TURN.finditer(addition):
+                    state = [conv, 0, hashlib.sha256(), 0, hashlib.sha256(), "", 0]
+                if example != state[6] or not text.startswith(state[5]):
+                    raise ValueError(f"example {example} of conversation {conv} comes without its context")
+                at = len(state[5])
+                state[5], state[6] = text, example + 1
+                for m in _TURN.finditer(text, at):
                     if m.start() != at:
-                        raise ValueError(f"conversation {conv} can't be read back")
+                        break
                     at = m.end()
                     state[1] += 1
                     state[2].update(f"{unescape(m[1])}\n{unescape(m[2])}\n".encode("utf-8", "surrogatepass"))
-                if at != len(addition):
+                if at != len(text):
                     raise ValueError(f"conversation {conv} can't be read back")
                 if start is not None:
-                    reply = unescape(addition[start - context : end - context])
+                    reply = unescape(text[start:end])
                     state[3] += len(reply)
                     state[4].update(reply.encode("utf-8", "surrogatepass"))
-                state[5] += len(addition)
             if out:
-                yield batch_of(out)
+                yield _batch(out, schema)
         if state is not None:
-            yield batch_of([total()])
+            yield _batch([total()], schema)
 
-    return formatted.mapInArrow(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    return (examples if ordered else in_order(examples)).mapInArrow(run, schema)

@@ -240,7 +240,7 @@ def test_chats_read_back(spark):
             rows.append((c, t, ["system", "user", "assistant"][(c + t) % 3] if t else "user", HOSTILE[(c * 3 + t) % len(HOSTILE)]))
     rows += [(9, 1, "assistant", x) for x in HOSTILE] + [(10, 0, "<|im_sep|>odd\nrole", "x"), (11, 0, None, "y"), (None, 0, "assistant", "z"), (None, None, "user", "first")]
     formatted = C.format_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
-    got = {r["conv_id"]: r for r in C.read_back(formatted).collect()}
+    got = {r["conv_id"]: r for r in C.read_back(C.expand_examples(formatted)).collect()}
     assert set(got) == {r[0] for r in rows}
     for c in got:
         turns = [r for r in rows if r[0] == c]
@@ -250,11 +250,33 @@ def test_chats_read_back(spark):
             loss = "".join(t or "" for _, _, r, t in turns if r == "assistant")
             assert (got[c]["turns_sha256"], got[c]["loss_sha256"]) == tuple(hashlib.sha256(x.encode()).hexdigest() for x in (text, loss))
         assert (got[c]["n_turns"], got[c]["loss_chars"]) == (len(turns), sum(len(t or "") for _, _, r, t in turns if r == "assistant"))
-    for r in C.expand_examples(formatted).collect():
-        assert r["text"][r["loss_end"] :] == C.END + "\n" and r["text"][: r["loss_start"]].endswith(C.SEPARATOR)
-        n = r["text"].count(C.START)
-        assert n == len(C._TURN.findall(r["text"]))
-    assert C.read_back(C.format_conversations(spark.createDataFrame([], "conv_id long, turn long, role string, text string"))).collect() == []
+    assert C.read_back(C.expand_examples(formatted.limit(0))).collect() == []
+
+
+def test_each_reply_is_one_example_with_its_context(spark, tmp_path):
+    rng = random.Random(8)
+    rows = [(c, t, rng.choice(["user", "assistant", "tool"]), f"{rng.choice(HOSTILE)} {c} {t}") for c in range(30) for t in range(rng.randint(1, 12))]
+    formatted = C.format_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    formatted.repartition(7, "addition").write.parquet(str(tmp_path / "compact"))  # in another order, over other tasks
+    compact = spark.read.parquet(str(tmp_path / "compact"))
+    expected = {}
+    for c in range(30):
+        text, n = "", 0
+        for _, _, role, said in sorted(r for r in rows if r[0] == c):
+            said = re.sub(C.CONTROL, r"\1\2\\\3", said)
+            text += f"{C.START}{role}{C.SEPARATOR}"
+            if role == "assistant":
+                expected[c, n] = (text + said + C.END + "\n", len(text), len(text) + len(said))
+                n += 1
+            text += said + C.END + "\n"
+    for examples in (C.expand_examples(compact), C.expand_examples(formatted, ordered=True)):
+        found = {(r["conv_id"], r["example"]): (r["text"], r["loss_start"], r["loss_end"]) for r in examples.collect() if r["loss_start"] is not None}
+        assert found == expected
+    C.expand_examples(compact).repartition(5, "text").write.parquet(str(tmp_path / "examples"))
+    again = C.read_back(spark.read.parquet(str(tmp_path / "examples"))).collect()
+    assert sorted(map(tuple, again)) == sorted(map(tuple, C.read_back(C.expand_examples(formatted)).collect()))
+    with pytest.raises(Exception, match="without its context"):
+        C.expand_examples(compact.filter("example != 0")).collect()
 
 
 def test_escapes_can_be_undone(spark):
