@@ -11,6 +11,7 @@ ranks of which length go where; pieces get their rank within their length in a d
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from collections.abc import Iterable, Iterator
@@ -31,17 +32,34 @@ _DIGITS = "0-9²³¹¼½¾"
 _LATIN_WORD = re.compile(rf"[{_LETTERS}]+|[{_DIGITS}]|'(?:s|t|re|ve|m|ll|d)|[^\s{_LETTERS}{_DIGITS}\x1c-\x1f]+|[\x1c-\x1f]")
 
 
+#: The steps of the tokenizer file for which ``_LATIN_WORD`` is right.
+_STEPS = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
+
+
 class WordTokenizer:
-    """Ids of a tokenizers file with a word-end BPE, remembered by word.
+    """Ids of any tokenizers file; with known steps before the model, remembered by word.
 
-    Latin-1 text without special tokens is lower-cased and split here, since each word's ids
-    depend on the word alone; any other text goes through the library as a whole.
+    If the file's normalizer and splitter are the known ones, Latin-1 text without special tokens
+    is lower-cased and split here, since each word's ids depend on the word alone. Any other text,
+    and every text of other files, goes through the library as a whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.full = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            steps = json.load(f)
+        self.by_word = all(steps.get(k) == v for k, v in _STEPS.items()) and not steps.get("truncation") and steps["model"].get("dropout") is None
         self.model = self.full.model
         self.special = [t.content for t in self.full.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
@@ -61,7 +79,7 @@ class WordTokenizer:
         except UnicodeEncodeError:
             simple = False
         else:
-            simple = not any(s in text for s in self.special) and not re.search("[\x1c-\x1f]", text)
+            simple = self.by_word and not any(s in text for s in self.special) and not re.search("[\x1c-\x1f]", text)
         if not simple:
             return np.array(self.full.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         words = _LATIN_WORD.findall(text.lower())

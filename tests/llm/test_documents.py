@@ -1,6 +1,7 @@
 """Language ID, fingerprints, licences, pages, URLs and chats against brute force."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -57,14 +58,56 @@ def test_mixtures(spark, labelled):
     assert (share > 0).sum() == 1 and languages[int(share.argmax())] == "fr"
 
 
-def test_language_counts_are_whole(spark, labelled):
-    text = "Äb c" * 100000
-    b, n = L.bucket_counts(text)
-    pieces = sum(np.bincount(L.gram_buckets(p), minlength=L.BUCKETS) for p in L._chunks(text))
-    assert n.sum() == pieces.sum() and (pieces[b] == n).all()
+def spaced(text):
+    words = "".join(c if c.isalpha() else " " for c in text.lower()).split()
+    return " " + " ".join(words) + " " if words else " "
+
+
+def test_language_counts_are_whole(spark, monkeypatch):
+    rng = random.Random(5)
+    texts = ["", "a", " .", "Äb c" * 50, "".join(rng.choice("aB é.-1ß\n") for _ in range(700))]
+    for chunk in (1, 2, 3, 7, 64, 1 << 18):  # wherever a text is cut
+        monkeypatch.setattr(L, "_CHUNK", chunk)
+        for text in texts:
+            b, n = L.bucket_counts(text)
+            line, grams = spaced(text), Counter()
+            for k in range(1, L.GRAM + 1):
+                for i in range(len(line) - k + 1):
+                    if line[i : i + k].strip():
+                        h = k
+                        for c in line[i : i + k]:
+                            h = (h * 0x9E3779B97F4A7C15 + ord(c)) & (1 << 64) - 1
+                        h = (h ^ h >> 29) * 0xBF58476D1CE4E5B9 & (1 << 64) - 1
+                        grams[(h >> 32) % L.BUCKETS] += 1
+            assert dict(zip(b.tolist(), n.tolist())) == grams
     assert L.learn(spark.createDataFrame([], "lang string, text string"))[0] == []
 
 
+def test_inference_against_brute_force():
+    rng, penalty = random.Random(6), 1.0
+    p = np.random.default_rng(6).dirichlet(np.full(L.BUCKETS, 0.01), 3).T + 1e-9
+    log_p = np.log(p / p.sum(axis=0)).astype(np.float32)
+
+    def likelihood(n, share):
+        return sum(c * math.log(sum(s * math.exp(float(log_p[b, j])) for j, s in share.items())) for b, c in n.items())
+
+    for text in (prose(rng, "en", 3), prose(rng, "en", 40), prose(rng, "de", 30) + prose(rng, "fr", 30), "ab"):
+        b, k = L.bucket_counts(text)
+        n = dict(zip(b.tolist(), k.tolist()))
+        share, _ = L.infer(log_p, text, penalty, rounds=3000)
+        found = {j: float(share[j]) for j in np.flatnonzero(share)}
+        assert sum(found.values()) == pytest.approx(1, abs=1e-6)
+        cost = penalty * math.log(sum(n.values()) + 1)
+        value = likelihood(n, found) - len(found) * cost
+        # no mixture of a grid over all three languages is better by more than the rounding of EM
+        steps = [i / 10 for i in range(11)]
+        for x in steps:
+            for y in steps:
+                if x + y <= 1.0001:
+                    mix = {j: s for j, s in enumerate((x, y, 1 - x - y)) if s > 1e-9}
+                    assert likelihood(n, mix) - len(mix) * cost <= value + 0.05
+
+
 def gram_hash(points, n):
     """The polynomial hash and its finalizer, in Python integers."""
     h, top = 0, (1 << 64) - 1
@@ -315,8 +358,6 @@ def test_pages_keep_their_article(page, text):
 
 
 def test_density_sums_against_brute_force():
-    import math
-
     from cardlens.llm import html_text as H
 
     rng = random.Random(3)

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cardlens.llm import packing as P
-from cardlens.llm.mixing import mix_sources, source_targets, take_mix
+from cardlens.llm.mixing import _each, mix_sources, source_targets, take_mix
 from cardlens.llm.queries import tokenizer_path
 
 SCHEMA = "doc_id long, text string, source string, _copies string, length string"
@@ -37,6 +37,16 @@ def test_ids_are_the_tokenizers(full):
         assert np.frombuffer(tok.ids(t), "<u4").tolist() == full.encode(t, add_special_tokens=False).ids, repr(t)
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json"])
+def test_other_files_go_through_the_library(name):
+    from tokenizers import Tokenizer
+
+    tok, other = P.WordTokenizer(tokenizer_path(name)), Tokenizer.from_file(tokenizer_path(name))
+    assert not tok.by_word and P.WordTokenizer(tokenizer_path()).by_word
+    for text in TEXTS:
+        assert np.frombuffer(tok.ids(text), "<u4").tolist() == other.encode(text, add_special_tokens=False).ids
+
+
 def test_fullest_bins_are_fullest():
     rng = random.Random(2)
     for _ in range(60):
@@ -155,6 +165,16 @@ def test_copies_are_fair(spark):
     assert abs(mean - rate) < 0.05 and all(abs(v / 12 - rate) <= 0.6 for v in total.values())
 
 
+def test_many_rows_alike_are_dealt_in_parts(spark):
+    items = spark.createDataFrame([(1, "a", 3, 9000), (2, "a", 3, 2), (None, None, 0, 5000)], "id long, source string, size long, count long")
+    got = _each(items).collect()
+    for i, n in ((1, 9000), (2, 2), (None, 5000)):
+        assert sorted(r["dup"] for r in got if r["id"] == i) == list(range(1, n + 1))
+    docs = spark.createDataFrame([(1, "a", "w w w")] * 6000 + [(2, "b", "w")] * 30, "doc_id long, source string, text string")
+    rows = mix_sources(docs).collect()
+    assert len(rows) == 6030 and abs(sum(r["taken"] for r in rows if r["source"] == "a") - rows[0]["target"] if rows[0]["source"] == "a" else 0) <= 3
+
+
 def test_take_mix(spark, tmp_path):
     rows = [(i % 50, "w " * (i % 9), ("a", "b")[i % 2], "mine", "l") for i in range(200)]
     spark.createDataFrame(rows, SCHEMA).write.parquet(str(tmp_path / "d"))
