@@ -1,11 +1,11 @@
 """Exact dedup by a tree-merge of sorted digest runs.
 
 Every text becomes a SHA-256 digest. A row's lane (a hash of its identifier) says which run it
-starts in, so a group of copies, however large, is spread over all lanes. In each round
-``fan_in`` neighbouring lanes exchange their runs: a shuffle deals them out by (lane group,
-digest), Spark sorts each partition, and a streaming multiway merge keeps one entry per digest
-with the best identifier so far and the number of rows behind it. After log(lanes)/log(fan_in)
-rounds there is one entry per digest. Answers go back by (lane, digest), so no join key ever
+starts in, so a group of copies, however large, is spread over all lanes. Rounds are binomial:
+in each, the runs of ``fan_in`` neighbouring lanes (two) meet. A shuffle deals them out by (lane
+pair, digest), Spark brings the runs of a partition into one order, and a streaming merge compares whole
+digests and keeps one entry of each, with the best identifier so far and the number of rows
+behind it. After log2(lanes) rounds there is one entry per digest. Answers go back by (lane, digest), so no join key ever
 holds more than one lane's share of a group.
 """
 
@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 
 from cardlens.llm.common import checkpoint, numbered
 
-LANES = 256
-FAN_IN = 16
+LANES = 64
+FAN_IN = 2
 _RUN = "lane int, digest binary, best_id long, best_row long, n long"
 
 
