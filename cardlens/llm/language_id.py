@@ -11,11 +11,11 @@ the largest proportion.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,48 +29,54 @@ UNKNOWN = "und"
 _CHUNK = 1 << 18
 
 
-def gram_buckets(text: str) -> np.ndarray:
-    """Hash buckets of the n-grams of ``text`` in lower case, anything but letters being a space;
-    n-grams of spaces alone are left out."""
-    points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), "<u4")
-    if not len(points):
-        return np.empty(0, np.int64)
-    values, at = np.unique(points, return_inverse=True)
-    letters = np.array([chr(v).isalpha() if not 0xD800 <= v < 0xE000 else False for v in values.tolist()])
-    letter = letters[at]
-    points = np.where(letter, points, 32).astype(np.uint64)
-    # single spaces between words, one on either side
-    keep = letter | np.r_[True, letter[:-1]]
-    points, letter = np.r_[np.uint64(32), points[keep], np.uint64(32)], np.r_[False, letter[keep], False]
-    out = []
-    for n in range(1, GRAM + 1):
-        h = np.full(max(len(points) - n + 1, 0), np.uint64(n))
-        some = np.zeros(len(h), bool)
-        for i in range(n):
-            h = h * np.uint64(0x9E3779B97F4A7C15) + points[i : len(points) - n + 1 + i]
-            some |= letter[i : len(points) - n + 1 + i]
-        h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-        out.append(((h >> np.uint64(32)) % np.uint64(BUCKETS))[some].astype(np.int64))
-    return np.concatenate(out)
-
-
-def _chunks(text: str) -> Iterator[str]:
-    """Pieces of bounded size of a text of any length."""
+def _spaced(text: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(code points, which are letters) of ``text`` in lower case, anything but letters being a
+    space, with single spaces between words and one on either side; in pieces of bounded size."""
+    text, gap = text.lower(), True
     for i in range(0, len(text), _CHUNK):
-        yield text[i : i + _CHUNK]
+        points = np.frombuffer(text[i : i + _CHUNK].encode("utf-32-le", "surrogatepass"), "<u4")
+        values, at = np.unique(points, return_inverse=True)
+        letters = np.array([chr(v).isalpha() if not 0xD800 <= v < 0xE000 else False for v in values.tolist()])
+        letter = letters[at]
+        keep = letter | np.r_[not gap, letter[:-1]]
+        gap = not letter[-1]
+        points, letter = np.where(letter, points, 32).astype(np.uint64)[keep], letter[keep]
+        if i == 0:
+            points, letter = np.r_[np.uint64(32), points], np.r_[False, letter]
+        if i + _CHUNK >= len(text):
+            end = [] if gap else [32]
+            points, letter = np.r_[points, np.array(end, np.uint64)], np.r_[letter, np.zeros(len(end), bool)]
+        yield points, letter
+
+
+def gram_buckets(text: str) -> Iterator[np.ndarray]:
+    """Hash buckets of the n-grams of ``text``, in pieces of bounded size; n-grams of spaces alone
+    are left out. The last code points of a piece go on to the next, so none is lost or made."""
+    held, held_letter = np.empty(0, np.uint64), np.empty(0, bool)
+    for points, letter in _spaced(text):
+        old = len(held)
+        points, letter = np.r_[held, points], np.r_[held_letter, letter]
+        out = []
+        for n in range(1, GRAM + 1):
+            first = max(old - n + 1, 0)  # n-grams that end in this piece
+            h = np.full(max(len(points) - n + 1 - first, 0), np.uint64(n))
+            some = np.zeros(len(h), bool)
+            for i in range(n):
+                h = h * np.uint64(0x9E3779B97F4A7C15) + points[first + i : first + len(h) + i]
+                some |= letter[first + i : first + len(h) + i]
+            h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+            out.append(((h >> np.uint64(32)) % np.uint64(BUCKETS))[some].astype(np.int64))
+        held, held_letter = points[-(GRAM - 1) :], letter[-(GRAM - 1) :]
+        yield np.concatenate(out)
 
 
 def bucket_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
     """(bucket, how often) over the whole text."""
-    total: Counter | None = None
-    for part in _chunks(text):
-        b, n = np.unique(gram_buckets(part), return_counts=True)
-        if len(text) <= _CHUNK:
-            return b, n
-        total = total if total is not None else Counter()
-        total.update(dict(zip(b.tolist(), n.tolist())))
-    keys = sorted(total or ())
-    return np.array(keys, np.int64), np.array([total[k] for k in keys], np.int64) if keys else np.empty(0, np.int64)
+    if len(text) <= _CHUNK:
+        return np.unique(np.concatenate([*gram_buckets(text), np.empty(0, np.int64)]), return_counts=True)
+    n = sum(np.bincount(b, minlength=BUCKETS) for b in gram_buckets(text))
+    some = np.flatnonzero(n)
+    return some, n[some]
 
 
 def learn(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> tuple[list[str], np.ndarray]:
@@ -88,23 +94,23 @@ def learn(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> tu
                     if len(sums) >= MOST_LANGUAGES:
                         raise ValueError(f"more than {MOST_LANGUAGES} languages")
                     sums[lang] = np.zeros(BUCKETS, np.int64)
-                for part in _chunks(text.as_py() or ""):
-                    sums[lang] += np.bincount(gram_buckets(part), minlength=BUCKETS)
+                for b in gram_buckets(text.as_py() or ""):
+                    sums[lang] += np.bincount(b, minlength=BUCKETS)
         for lang, n in sums.items():
             some = np.flatnonzero(n)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(some), pa.string()), pa.array(some), pa.array(n[some])], ["lang", "bucket", "n"])
 
     rows = docs.filter(F.col(lang_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     sums = rows.mapInArrow(count, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    sums = checkpoint(sums.groupBy("lang").agg(F.collect_list(F.struct("bucket", "n")).alias("grams")))
-    if sums.count() > MOST_LANGUAGES:
+    sums = checkpoint(sums)
+    named = sums.select("lang").distinct().orderBy("lang").limit(MOST_LANGUAGES + 1).collect()
+    if len(named) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    table = {r["lang"]: r["grams"] for r in sums.collect()}
-    languages = sorted(table)
+    languages = [r["lang"] for r in named]
+    table = sums.toArrow()
     n = np.zeros((BUCKETS, len(languages)))
-    for j, lang in enumerate(languages):
-        for bucket, k in table[lang]:
-            n[bucket, j] = k
+    at = pc.index_in(table["lang"], pa.array(languages, pa.string())).to_numpy()
+    n[table["bucket"].to_numpy(), at] = table["n"].to_numpy()
     return languages, np.log((n + 0.1) / (n.sum(axis=0) + 0.1 * BUCKETS)).astype(np.float32)
 
 
