@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from cardlens.llm.common import WORD, checkpoint, fresh, numbered, unit_hash
 
 BLOCK = 64
+#: Bounds the table of sources.
+MOST_SOURCES = 1_000_000
 _ITEM = "struct<h:bigint,id:bigint,dup:bigint,size:bigint,p:double>"
 
 
@@ -28,9 +30,12 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (5, 2, 1), sha
     words. A target stops at ``cap`` times its source; the excess goes to the others by weight,
     again and again. That is a water level: with sources in the order of cap * size / weight,
     the ones below the level are those whose own limit comes first. An empty source gets 0.
+    A row a source, so the windows over them run in one task; more than ``MOST_SOURCES`` are an error.
     """
+    many = F.raise_error(F.lit(f"more than {MOST_SOURCES} sources"))
     by_name = Window.orderBy(F.col("source").asc_nulls_last())
     ranked = sizes.withColumn("turn", F.row_number().over(by_name) - 1)
+    ranked = ranked.withColumn("turn", F.when(F.col("turn") < MOST_SOURCES, F.col("turn")).otherwise(many.cast("int")))
     weight = F.array(*[F.lit(float(w)) for w in weights])
     ranked = ranked.withColumn("weight", F.get(weight, F.col("turn") % len(weights))).withColumn("most", F.col("source_size") * F.lit(float(cap)))
     by_level = Window.orderBy(F.col("most") / F.col("weight"), "turn")
@@ -87,6 +92,16 @@ def _fold(items: Column, seed: int) -> Column:
     return F.aggregate(items, state(nothing, none_out), step)
 
 
+def _each(items: DataFrame, most: int = 4096) -> DataFrame:
+    """Every item ``count`` times, numbered by ``dup`` from 1. Items of more than ``most`` rows are
+    dealt out in parts of that size before they are written out, so that no task or array holds them."""
+    few = items.filter(F.col("count") <= most).withColumn("dup", F.explode(F.sequence(F.lit(1).cast("long"), F.col("count"))))
+    parts = items.filter(F.col("count") > most).withColumn("first", F.explode(F.sequence(F.lit(1).cast("long"), F.col("count"), F.lit(most).cast("long"))))
+    parts = parts.repartition("id", "source", "size", "first")
+    many = parts.withColumn("dup", F.explode(F.sequence("first", F.least(F.col("first") + (most - 1), F.col("count"))))).drop("first")
+    return few.unionByName(many)
+
+
 def mix_sources(
     docs: DataFrame,
     weights: tuple[float, ...] = (5, 2, 1),
@@ -118,8 +133,8 @@ def mix_sources(
 
     source = F.struct("source", "source_size", "target", "base")
     level = (
-        items.join(sources.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")))
-        .withColumn("dup", F.explode(F.sequence(F.lit(1).cast("long"), F.col("count"))))
+        _each(items)
+        .join(sources.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")))
         .withColumn("h", F.xxhash64("id", "dup", "size", F.lit(seed)))
         .withColumn("block", F.pmod("h", F.ceil(F.col("n") / BLOCK)))
         .select(source.alias("source"), "block", F.struct("h", "id", "dup", "size", F.when(F.col("size") > 0, F.col("p")).otherwise(0.0).alias("p")).alias("item"))
