@@ -189,7 +189,38 @@ def test_licenses(spark):
     got = K.scan_licenses(docs).collect()
     assert [r["license"] for r in sorted(got, key=lambda r: r["doc_id"])] == ["MIT", "MIT", None, None, None, None, None, None]
     assert {r["doc_id"]: list(r["notices"]) for r in got}[6] == ["MIT"] and len(got) == 8
-    assert K.scan_licenses(docs.limit(0)).collect() == []
+    assert K.scan_licenses(docs.limit(0)).collect() == [] and {r["_known"] for r in got} == {"mine"}
+
+
+def test_whole_licenses_in_other_layouts(spark):
+    texts = dict(K.known_texts())
+
+    def layout(t):
+        return "\r\n\r\n".join(f"  * {x}  ".replace(" license ", "\tlicence ").upper() for x in t.split("\n"))
+
+    rows = [(i, n, f"Copyright Jane Doe 2020\n(c) 2019 The Regents\n\n{layout(t)}") for i, (n, t) in enumerate(sorted(texts.items())) if not t.lower().startswith("copyright")]
+    rows += [(100, "GPL-3.0", "\r\n".join("   " + x for x in texts["GPL-3.0"].split("\n"))), (101, None, texts["Apache-2.0"] * 40)]
+    docs = spark.createDataFrame(rows, "doc_id long, _digest string, text string").withColumn("_license", F.lit("own"))
+    got = K.scan_licenses(docs).collect()
+    assert all(r["license"] == r["_digest"] and r["_license"] == "own" for r in got) and len(got) == len(rows)
+    mine = spark.createDataFrame([("House-1.0", "Do as you\nlike.")], "license string, text string")
+    own = K.scan_licenses(spark.createDataFrame([(1, "© 2020 Me\ndo as YOU like"), (2, "MIT License")], "doc_id long, text string"), known=mine).collect()
+    assert {r["doc_id"]: r["license"] for r in own} == {1: "House-1.0", 2: None}
+
+
+def test_canonical_texts_against_brute_force(spark):
+    rng = random.Random(9)
+    atoms = ["licence", "Copyright (c) 2020 X\n", "\n", " ", ", ", "sub-licence", "©", "All rights reserved.", " ÄB ", "per cent", "word", "copyright owner", "copyright Me 1999", "organisations"]
+    texts = ["".join(rng.choice(atoms) for _ in range(rng.randint(0, 14))) for _ in range(300)]
+
+    def canonical(t):
+        t = t.translate(str.maketrans(K._UPPER, K._LOWER))
+        for pattern, with_ in K.RULES:
+            t = re.sub(pattern, with_, t, flags=re.ASCII)
+        return t.strip(" ")
+
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", K.canonical(F.col("t")).alias("c")).collect()
+    assert [r["c"] for r in got] == [canonical(r["t"]) for r in got]
 
 
 def test_main_text():
