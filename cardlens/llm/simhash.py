@@ -20,10 +20,10 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardlens.llm.common import checkpoint, numbered
+from cardlens.llm.common import checkpoint, numbered, saved
 from cardlens.llm.components import components
 
 BITS = 64
@@ -215,56 +215,109 @@ def _marked(keys: DataFrame) -> DataFrame:
     return marks.groupBy("mark").agg(F.bitmap_construct_agg("at").alias("bits"))
 
 
+def bucket_sums(shingles: np.ndarray) -> np.ndarray:
+    """How many of the distinct hashes fall in each of 2^n hash buckets, as bytes; there are more
+    buckets than hashes, and even more where a byte would not do."""
+    n = 1 << max(4, len(shingles).bit_length())
+    while True:
+        sums = np.bincount((shingles % np.uint64(n)).astype(np.int64), minlength=n)
+        if not len(shingles) or sums.max() < 256:
+            return sums.astype(np.uint8)
+        n *= 2
+
+
 def _shingle_sets(docs: DataFrame, wanted: DataFrame, words: int, text_col: str) -> DataFrame:
-    """(node, size, shingles) of the texts with the digests of ``wanted`` (node, key): sorted
-    64-bit hashes as bytes. A bitmap of bounded size lets only their texts, and a few others that
+    """(node, size, sums, shingles) of the texts with the digests of ``wanted`` (node, key): sorted
+    64-bit hashes as bytes, and their bucket sums. A bitmap of bounded size lets only their texts, and a few others that
     the join drops, out of the scan."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingle_set(t.as_py(), words) for t in batch.column("text")]
-            out = [batch.column("key"), pa.array([len(x) for x in sets], pa.int32()), pa.array([x.tobytes() for x in sets], pa.binary())]
-            yield pa.RecordBatch.from_arrays(out, ["key", "size", "shingles"])
+            out = [batch.column("key"), pa.array([len(x) for x in sets], pa.int32())]
+            out += [pa.array([bucket_sums(x).tobytes() for x in sets], pa.binary()), pa.array([x.tobytes() for x in sets], pa.binary())]
+            yield pa.RecordBatch.from_arrays(out, ["key", "size", "sums", "shingles"])
 
     h = F.pmod(F.xxhash64("key"), F.lit(1 << 23))
     texts = docs.select(_digest(text_col).alias("key"), F.col(text_col).alias("text")).withColumn("mark", F.bitmap_bucket_number(h))
     at = F.bitmap_bit_position(h).cast("int")
     byte = F.conv(F.hex(F.col("bits").substr(F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     texts = texts.join(F.broadcast(_marked(wanted)), "mark").filter(F.get(F.array(*[F.shiftright(byte, i) for i in range(8)]), at % 8) % 2 == 1)
-    sets = texts.select("key", "text").mapInArrow(run, "key binary, size int, shingles binary")
-    return sets.join(wanted, "key").groupBy("node").agg(F.first("size").alias("size"), F.first("shingles").alias("shingles"))
+    sets = texts.select("key", "text").mapInArrow(run, "key binary, size int, sums binary, shingles binary")
+    return sets.join(wanted, "key").groupBy("node").agg(*[F.first(c).alias(c) for c in ("size", "sums", "shingles")])
+
+
+def _folded(sums: np.ndarray, n: int) -> np.ndarray:
+    """Rows of bucket sums over ``n`` buckets, of rows over a multiple of that."""
+    return sums.reshape(len(sums), -1, n).sum(axis=1, dtype=np.uint32)
 
 
-def _unlinked(similarity: float, radius: int):
-    """Links that verified groups still lack, inside the buckets of a stream that is sorted by
-    bucket. A node leaves the search of another only when both are in one group."""
+def _unlinked(similarity: float, radius: int, times: int):
+    """Candidate links between groups, inside the buckets of a stream that is sorted by bucket.
+
+    Two nodes are candidates if they are within the radius and may be similar: sums over hash
+    buckets bound from above what their sets have in common. The search goes breadth first from
+    group to group, as if each candidate were a link, and a group is compared until it was found
+    ``times`` times, so a bucket gives at most as many links for each of its groups. Pairs in
+    ``no`` are known to fail.
+    """
 
     def close(held: list[pa.RecordBatch]) -> Iterator[tuple[int, int]]:
         rows = pa.Table.from_batches(held)
-        node, root, size = (rows.column(c).to_numpy() for c in ("node", "root", "size"))
-        fp = rows.column("fp").to_numpy().astype(np.uint64)
-        if len(np.unique(root)) < 2:
+        node, size, fp = rows.column("node").to_numpy(), rows.column("size").to_numpy(), rows.column("fp").to_numpy().astype(np.uint64)
+        roots, root = np.unique(rows.column("root").to_numpy(), return_inverse=True)
+        if len(roots) < 2:
             return
-        sets = [_hashes(x) for c in rows.column("shingles").chunks for x in c]
-        words, ids = np.unique(np.concatenate(sets), return_inverse=True)
-        ends = np.cumsum(size, dtype=np.int64)
-        starts, mark, root = ends - size, np.zeros(len(words) + 1, np.int64), root.copy()
-        for i in range(len(node) - 1):
-            rest = np.arange(i + 1, len(node))
-            least, most = np.minimum(size[rest], size[i]), np.maximum(size[rest], size[i])
-            near = (np.bitwise_count(fp[rest] ^ fp[i]) <= radius) & (root[rest] != root[i]) & (least >= similarity * most - 1e-6)
-            rest = rest[near]
-            if not len(rest):
+        failed = [set(x) if x else None for x in rows.column("no").to_pylist()]
+        raw = [np.frombuffer(x.as_buffer(), np.uint8) for c in rows.column("sums").chunks for x in c]
+        width = np.array([len(x) for x in raw])
+        place = np.empty(len(raw), np.int64)
+        tables = {}
+        for n in np.unique(width).tolist():
+            own = np.flatnonzero(width == n)
+            place[own] = np.arange(len(own))
+            tables[n] = np.array([raw[i] for i in own.tolist()]).reshape(-1, n)
+        members = np.split(np.argsort(root, kind="stable"), np.cumsum(np.bincount(root))[:-1])
+
+        def common(i: int, others: np.ndarray) -> np.ndarray:
+            """An upper bound of the shingles that ``i`` shares with each of ``others``."""
+            out = np.zeros(len(others), np.int64)
+            for n, table in tables.items():
+                at = np.flatnonzero(width[others] == n)
+                if len(at):
+                    m = min(n, int(width[i]))
+                    own = _folded(raw[i][None], m)
+                    out[at] = np.minimum(_folded(table[place[others[at]]], m), own).sum(axis=1)
+            return out
+
+        left = np.full(len(roots), times)
+        reached = np.zeros(len(roots), bool)
+        for start in range(len(roots)):
+            if reached[start]:
                 continue
-            mark[ids[starts[i] : ends[i]]] = 1
-            for j in rest.tolist():
-                if root[j] != root[i]:
-                    common = int(mark[ids[starts[j] : ends[j]]].sum())
-                    union = int(size[i]) + int(size[j]) - common
-                    if not union or common / union >= similarity:
-                        root[root == root[j]] = root[i]
-                        yield int(node[i]), int(node[j])
-            mark[ids[starts[i] : ends[i]]] = 0
+            reached[start], left[start] = True, 0
+            todo, frontier = np.flatnonzero(left[root] > 0), members[start].tolist()
+            while frontier and len(todo):
+                i = frontier.pop()
+                least, most = np.minimum(size[todo], size[i]), np.maximum(size[todo], size[i])
+                near = todo[(np.bitwise_count(fp[todo] ^ fp[i]) <= radius) & (least >= similarity * most - 1e-6) & (root[todo] != root[i])]
+                if failed[i] and len(near):
+                    near = near[[x not in failed[i] for x in node[near].tolist()]]
+                if len(near):
+                    shared = common(i, near)
+                    union = size[i].astype(np.int64) + size[near] - shared
+                    near = near[(shared >= similarity * union - 1e-6) | (union <= 0)]
+                if not len(near):
+                    continue
+                found, first = np.unique(root[near], return_index=True)
+                for r, j in zip(found.tolist(), near[first].tolist()):
+                    yield (int(node[i]), int(node[j])) if node[i] > node[j] else (int(node[j]), int(node[i]))
+                    left[r] -= 1
+                    if not reached[r]:
+                        reached[r] = True
+                        frontier.extend(members[r].tolist())
+                if not left[found].all():
+                    todo = todo[left[root[todo]] > 0]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(held: list[pa.RecordBatch]) -> pa.RecordBatch:
@@ -288,12 +341,17 @@ def _unlinked(similarity: float, radius: int):
     return run
 
 
-def _missing_links(nodes: DataFrame, sets: DataFrame, names: list[str], similarity: float, radius: int, bucket: int) -> DataFrame:
-    """(a, b): verified links between the groups ``root`` of ``nodes`` (node, root, fingerprints),
-    such that with them every pair within the radius that is similar lies in one group.
+#: Buckets of nodes with their bucket sums are dealt out again only beyond this: a search costs
+#: seconds at this size, a second covering 2^(radius + 1) - 1 copies of each row.
+WIDE_BUCKET = 1 << 15
+
 
-    The search of ``links`` once more, but of nodes, with their shingles, and only in buckets
-    where groups meet that have a candidate link between them (equal ``block``).
+def _candidates(nodes: DataFrame, names: list[str], similarity: float, radius: int, times: int) -> DataFrame:
+    """(a, b): candidate links between the groups ``root`` of ``nodes`` (node, root, block,
+    fingerprints, size, sums, no), such that if all of them hold, no candidate pair is left whose ends lie in different groups.
+
+    The search of ``links`` once more, but of nodes, and only in buckets where groups of one
+    ``block`` meet.
     """
     fps = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(n).alias("fp")) for k, n in enumerate(names)])).alias("f")
     printed = nodes.select("node", "root", "block", fps).select("node", "root", "block", "f.k", "f.fp")
@@ -301,11 +359,71 @@ def _missing_links(nodes: DataFrame, sets: DataFrame, names: list[str], similari
     place = ["block", "k", "t", "key"]
     filled = masked.groupBy(*place).agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select(*place, "n")
     members = masked.join(filled, place)
-    second = F.when(F.col("n") > bucket, _tables(radius, 1)).otherwise(F.array(F.struct(F.lit(-1).alias("t"), F.lit(0).cast("long").alias("m"))))
+    second = F.when(F.col("n") > WIDE_BUCKET, _tables(radius, 1)).otherwise(F.array(F.struct(F.lit(-1).alias("t"), F.lit(0).cast("long").alias("m"))))
     members = members.withColumn("m", F.explode(second))
-    members = members.select(F.xxhash64(*place, F.col("m.t"), F.col("fp").bitwiseAND(F.col("m.m"))).alias("g"), "node", "root", "fp").join(sets, "node")
-    members = members.select("g", "node", "root", "fp", "size", "shingles").repartition("g").sortWithinPartitions("g")
-    return members.mapInArrow(_unlinked(similarity, radius), "a long, b long")
+    members = members.select(F.xxhash64(*place, F.col("m.t"), F.col("fp").bitwiseAND(F.col("m.m"))).alias("g"), "node", "root", "fp")
+    members = members.join(nodes.select("node", "size", "sums", "no"), "node").repartition("g").sortWithinPartitions("g", "node")
+    return members.mapInArrow(_unlinked(similarity, radius, times), "a long, b long").distinct()
+
+
+def _similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The rows of ``pairs`` (a, b) whose shingle sets, all of them, are similar."""
+
+    def verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            both = zip(batch.column("shingles_a"), batch.column("shingles_b"))
+            alike = pa.array([set_similarity(_hashes(a), _hashes(b)) >= similarity for a, b in both], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(alike)
+
+    ends = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("shingles_a")), "a")
+    ends = ends.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("shingles_b")), "b")
+    return ends.select("a", "b", "shingles_a", "shingles_b").mapInArrow(verify, "a long, b long")
+
+
+def _settled(pairs: DataFrame, sets: DataFrame, rooted: DataFrame, similarity: float, radius: int, names: list[str]) -> DataFrame:
+    """(node, root) of all nodes of ``rooted`` (node, fingerprints), grouped by their similar links.
+
+    ``pairs`` are links of a spanning tree of what lies within the radius. They are checked
+    first. Where some fail, the groups around them may have other links: a search gives
+    candidates that would join all that may be joined, some for each group are checked, and again,
+    four times as many in each round, until no candidate is left. So every similar pair within
+    the radius ends in one group.
+    """
+    verified = saved(_similar(pairs, sets, similarity))
+    unproved, tested, times = pairs.join(verified, ["a", "b"], "left_anti"), None, 1
+    groups = components(verified, "a", "b")
+    rooted = saved(rooted.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node")))
+
+    def between(links: DataFrame) -> DataFrame:
+        """``links`` whose ends are in different groups, with the groups: a, b, hi, lo."""
+        for end in ("a", "b"):
+            links = links.join(rooted.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}")), end)
+        links = links.filter("root_a != root_b")
+        return links.select("a", "b", F.greatest("root_a", "root_b").alias("hi"), F.least("root_a", "root_b").alias("lo"))
+
+    while True:
+        unproved = saved(between(unproved))
+        if unproved.isEmpty():
+            return rooted.select("node", "root")
+        blocks = components(unproved, "hi", "lo").select(F.col("node").alias("root"), F.col("root").alias("block"))
+        members = rooted.join(blocks, "root").join(sets.select("node", "size", "sums"), "node")
+        nothing = F.array().cast("array<bigint>")
+        if tested is None:
+            members = members.withColumn("no", nothing)
+        else:
+            both = tested.unionByName(tested.select(F.col("b").alias("a"), F.col("a").alias("b"))).groupBy("a").agg(F.collect_set("b").alias("no"))
+            members = members.join(both.withColumnRenamed("a", "node"), "node", "left").withColumn("no", F.coalesce("no", nothing))
+        found = saved(_candidates(saved(members), names, similarity, radius, times))
+        # links of each group to the least of its neighbours
+        by_group = Window.partitionBy("hi").orderBy("lo", "a", "b")
+        picked = saved(between(found).withColumn("nth", F.row_number().over(by_group)).filter(F.col("nth") <= times).select("a", "b"))
+        verified = saved(_similar(picked, sets, similarity))
+        wrong = saved(picked.join(verified, ["a", "b"], "left_anti"))
+        tested = wrong if tested is None else tested.unionByName(wrong)
+        merged = components(between(verified), "hi", "lo").select(F.col("node").alias("root"), F.col("root").alias("to"))
+        unproved = found.join(verified, ["a", "b"], "left_anti")
+        rooted = saved(rooted.join(merged, "root", "left").withColumn("root", F.coalesce("to", "root")).drop("to"))
+        times *= 4
 
 
 def _digest(text_col: str) -> Column:
@@ -321,9 +439,9 @@ def near_copies(
     the distinct words; links within ``radius`` bits of any of them come from the same covering
     hashing, and a link counts if the distinct shingles of both texts, all of them, have a Jaccard
     similarity of ``similarity`` or more. The tree of links that the search gives first is checked;
-    where links of it fail, all pairs of its buckets that are not yet in one group are. Several fingerprints of a small radius find far more such
-    pairs than one of a larger radius, for as many tables. The row
-    with the smallest identifier of each group stays (null identifiers last, then the first row).
+    where links of it fail, other pairs of its buckets are, until none is left that could join two
+    groups (``_settled``). Several fingerprints of a small radius find far more such pairs than one
+    of a larger radius, for as many tables. The row with the smallest identifier of each group stays (null identifiers last, then the first row).
     Null counts as the empty text; empty texts are alike. An empty table gives an empty result.
     """
 
@@ -340,12 +458,6 @@ def near_copies(
 
     names = [f"fp{k}" for k in range(prints)]
 
-    def verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            pairs = zip(batch.column("shingles_a"), batch.column("shingles_b"))
-            alike = pa.array([set_similarity(_hashes(a), _hashes(b)) >= similarity for a, b in pairs], pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(alike)
-
     rows = docs.select(F.monotonically_increasing_id().alias("row_uid"), F.col(id_col).cast("long").alias("id"), _digest(text_col).alias("key"), F.col(text_col).alias("text"))
     table = checkpoint(rows.mapInArrow(run, f"row_uid long, id long, key binary, {', '.join(f'{n} long' for n in names)}"))
     # equal texts are one node
@@ -362,20 +474,7 @@ def near_copies(
     pairs = checkpoint(pairs.distinct())
     wanted = checkpoint(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes, "node"))
     sets = checkpoint(_shingle_sets(docs, wanted.select("node", "key"), words, text_col))
-    ends = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("shingles_a")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("shingles_b")), "b")
-    verified = checkpoint(ends.select("a", "b", "shingles_a", "shingles_b").mapInArrow(verify, "a long, b long"))
-    groups = components(verified, "a", "b")
-    # the candidate links are a spanning tree: where one of them failed, groups of its block may
-    # have other links that pass
-    failed = pairs.join(verified, ["a", "b"], "left_anti")
-    for end in ("a", "b"):
-        failed = failed.join(groups.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}")), end, "left")
-    blocks = components(failed.select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b")), "a", "b")
-    blocks = blocks.select(F.col("node").alias("root"), F.col("root").alias("block"))
-    rooted = wanted.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    missing = checkpoint(_missing_links(checkpoint(rooted.join(blocks, "root")), sets, names, similarity, radius, bucket))
-    if not missing.isEmpty():
-        groups = components(verified.unionByName(missing), "a", "b")
+    groups = _settled(pairs, sets, wanted, similarity, radius, names)
     grouped = nodes.select("node", "key").join(groups.withColumnRenamed("node", "at"), F.col("node") == F.col("at"), "left").select("key", F.coalesce("root", "node").alias("root"))
     rooted = table.select("row_uid", "id", "key").join(grouped, "key").select("row_uid", "id", "root")
     best = rooted.groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", "row_uid")).alias("best"))

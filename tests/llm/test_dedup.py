@@ -167,8 +167,9 @@ def test_near_copies_decides_on_whole_texts(spark, tmp_path):
 
 
 @pytest.mark.parametrize("bucket", [2048, 2])
-def test_near_copies_of_a_family(spark, tmp_path, bucket):
+def test_near_copies_of_a_family(spark, tmp_path, monkeypatch, bucket):
     """Copies that were edited independently: many are near some of the others, but not the first."""
+    monkeypatch.setattr(H, "WIDE_BUCKET", 16 * bucket)
     rng = random.Random(22)
     base = [f"w{rng.randrange(10**9)}" for _ in range(200)]
     rows = [(i, _turned(base, (rng.randrange(185), 14), (rng.randrange(190), 5))) for i in range(100)]
@@ -201,6 +202,20 @@ def test_near_copies_of_a_family(spark, tmp_path, bucket):
     assert {r["id"]: row[r["component_row"]] for r in got} == {i: rows[find(k)][0] for k, (i, _) in enumerate(rows)}
 
 
+def test_bucket_sums_bound_what_sets_share():
+    rng = np.random.default_rng(4)
+    for n in (0, 1, 30, 200, 3000):
+        a = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+        b = np.unique(np.r_[a[: n * 4 // 5], rng.integers(0, 1 << 63, n // 4, dtype=np.uint64)])
+        x, y = H.bucket_sums(a), H.bucket_sums(b)
+        m = min(len(x), len(y))
+        shared = int(np.minimum(H._folded(x[None], m), H._folded(y[None], m)).sum())
+        exact = len(np.intersect1d(a, b))
+        assert x.sum() == len(a) and exact <= shared <= exact + 0.06 * n + 2
+    crowded = np.arange(0, 1 << 20, 1 << 10, dtype=np.uint64)  # all in one bucket until there are many
+    assert H.bucket_sums(crowded).sum() == len(crowded)
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, i) for i in range(101, 160)] + [(200, 200), (301, 300), (300, 301)]
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
