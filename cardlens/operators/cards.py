@@ -11,159 +11,364 @@ from pyspark.sql import functions as F
 
 from cardlens.functions import scalars as S
 from cardlens.operators import text as T
-
-COMPONENT = (
-    "struct<id:string,component:string,children:string,content:string,label:string,text:string,title:string,itemMargin:string,onClick:string,styles:map<string,string>>"
+from cardlens.operators.rounds import saved
+from cardlens.operators.tree import walked
+
+_STRINGS = ("id", "component", "children", "content", "text", "label", "title", "subtitle", "placeholder", "value", "options", "items", "itemMargin", "onClick")
+COMPONENT = f"struct<{','.join(f'{c}:string' for c in _STRINGS)},styles:map<string,string>>"
+MESSAGE = (
+    "struct<createSurface:struct<surfaceId:string,width:string,height:string>,"
+    f"updateComponents:struct<root:string,components:array<{COMPONENT}>>,updateDataModel:struct<path:string,value:string>>"
 )
-#: Component types that show text, their fields in order.
-DISPLAY = {"text": ["content"], "button": ["label", "content"], "label": ["content"], "title": ["title", "content"], "checkbox": ["label"], "toggle": ["label"], "richtext": ["content"]}
+#: Fields that may show text, in order; the component types that show them, with the
+#: fields that come first; fields of an option.
+FIELDS = ("content", "text", "label", "title", "subtitle", "placeholder")
+DISPLAY = {
+    "button": ("content", "text", "label"),
+    "checkbox": ("label",),
+    "choicepicker": ("label", "title"),
+    "label": (),
+    "radio": ("label", "text"),
+    "richtext": (),
+    "select": ("label", "title", "placeholder", "value"),
+    "subtitle": (),
+    "tabcontent": ("title", "label"),
+    "text": (),
+    "textfield": ("label", "text", "placeholder", "value"),
+    "textinput": ("label", "text", "placeholder", "value"),
+    "title": (),
+    "toggle": ("label",),
+}
+OPTION_FIELDS = ("label", "title", "text", "content", "value")
 TOKENS = list(range(0, 17, 2))
 
 
 def messages(docs: DataFrame) -> DataFrame:
-    """(doc_id, n, op, body): the messages of a text, whatever its encoding; bad lines are left out."""
+    """(doc_id, messages): the messages of a text in order, whatever its encoding, each parsed
+    once; lines that are no message are left out."""
+
+    def found(body: Column) -> Column:
+        lines = F.filter(F.transform(F.split(body, r"\r?\n"), lambda x: F.regexp_replace(F.trim(x), r",$", "")), lambda x: x.startswith("{"))
+        return F.when(body.startswith("["), F.from_json(body, f"array<{MESSAGE}>")).otherwise(F.transform(lines, lambda x: F.from_json(x, MESSAGE)))
+
     body = F.trim(T.strip_fence(F.regexp_replace(F.col("text"), "^﻿", ""), "genui"))
-    lines = F.filter(F.transform(F.split(body, r"\r?\n"), lambda x: F.regexp_replace(F.trim(x), r",$", "")), lambda x: F.get_json_object(x, "$").isNotNull() & x.startswith("{"))
-    parsed = F.when(body.startswith("["), F.from_json(body, "array<string>")).otherwise(lines)
-    rows = docs.select("doc_id", F.posexplode_outer(parsed).alias("n", "m"))
-    ops = ("createSurface", "updateComponents", "updateDataModel")
-    op = F.coalesce(*[F.when(F.get_json_object("m", f"$.{o}").isNotNull(), o) for o in ops])
-    return rows.withColumn("op", op).select("doc_id", "n", "op", F.coalesce(*[F.get_json_object("m", f"$.{o}") for o in ops]).alias("body")).filter("op IS NOT NULL")
+    known = F.filter(once(body, found), lambda m: m["createSurface"].isNotNull() | m["updateComponents"].isNotNull() | m["updateDataModel"].isNotNull())
+    return docs.select("doc_id", F.coalesce(known, F.array().cast(f"array<{MESSAGE}>")).alias("messages"))
 
 
 def complete(docs: DataFrame) -> DataFrame:
     """(doc_id, complete): whether all three kinds of message are there."""
-    found = messages(docs).groupBy("doc_id").agg(F.countDistinct("op").alias("ops"))
-    return docs.select("doc_id").join(found, "doc_id", "left").select("doc_id", (F.coalesce("ops", F.lit(0)) == 3).alias("complete"))
+    def there(op: str) -> Column:
+        return F.exists("messages", lambda m: m[op].isNotNull())
+
+    return messages(docs).select("doc_id", (there("createSurface") & there("updateComponents") & there("updateDataModel")).alias("complete"))
+
+
+def _children(raw: Column) -> Column:
+    ids = F.coalesce(F.from_json(raw, "array<string>"), F.array(F.get_json_object(raw, "$.componentId")))
+    return F.filter(ids, lambda x: x.isNotNull())
 
 
 def components(msgs: DataFrame) -> DataFrame:
-    """(doc_id, ord, id, kind, children, content, label, title, gap, action, styles)."""
-    rows = msgs.filter("op = 'updateComponents'").select("doc_id", F.from_json("body", f"struct<root:string,components:array<{COMPONENT}>>").alias("b"))
-    rows = rows.select("doc_id", "b.root", F.posexplode("b.components").alias("ord", "c"))
-    children = F.coalesce(F.from_json("c.children", "array<string>"), F.array(F.get_json_object("c.children", "$.componentId")), F.array().cast("array<string>"))
-    action = F.coalesce(F.size(F.from_json("c.onClick", "array<string>")) > 0, F.lit(False)) | (F.col("c.component") == "Button")
+    """(doc_id, ord, id, kind, children, the fields that show text, options, gap, action, styles,
+    declared, is_root, surface_w, surface_h, writes), a row a component.
+
+    ``declared``: the component list names it as its root. ``is_root``: the one so named; else the
+    one called root; else the first that is nobody's child. ``writes``: see ``data_model``.
+    """
+    lists = F.filter("messages", lambda m: m["updateComponents"].isNotNull())
+    all_ = F.flatten(F.transform(lists, lambda m: F.coalesce(m["updateComponents"]["components"], F.array().cast(f"array<{COMPONENT}>"))))
+    surfaces = F.filter("messages", lambda m: (number(m["createSurface"]["width"]) > 0) & (number(m["createSurface"]["height"]) > 0))
+    rows = msgs.select(
+        "doc_id", all_.alias("all"), F.transform(lists, lambda m: m["updateComponents"]["root"]).alias("roots"), F.get(surfaces, F.lit(0))["createSurface"].alias("surface"), _writes().alias("writes")
+    )
+    rows = rows.withColumn("ids", F.transform("all", lambda c: c["id"]))
+    kids = F.flatten(F.transform("all", lambda c: F.coalesce(_children(c["children"]), F.array().cast("array<string>"))))
+    named = F.get(F.filter("roots", lambda x: F.array_contains("ids", x)), F.lit(0))
+    free = F.get(F.filter(F.array_except("ids", kids), lambda x: x.isNotNull()), F.lit(0))
+    root = F.coalesce(named, F.when(F.array_contains("ids", "root"), "root"), free)
+    rows = rows.select("doc_id", root.alias("root"), "roots", "surface", "writes", F.posexplode("all").alias("ord", "c"))
+    styles = F.coalesce("c.styles", F.create_map().cast("map<string,string>"))
+    gap = F.coalesce(F.nullif(number(F.col("c.itemMargin")), F.lit(0.0)), number(F.try_element_at(styles, F.lit("itemMargin"))), number(F.col("c.itemMargin")))
+    action = F.coalesce(F.size(F.from_json("c.onClick", "array<string>")) > 0, F.lit(False)) | F.coalesce(F.col("c.component") == "Button", F.lit(False))
     return rows.select(
-        "doc_id", "ord", "c.id", F.col("c.component").alias("kind"), F.filter(children, lambda x: x.isNotNull()).alias("children"), "c.content", "c.label", "c.title",
-        number(F.col("c.itemMargin")).alias("gap"), action.alias("action"), "c.styles", (F.col("c.id") == F.col("root")).alias("is_root"),
+        "doc_id", "ord", "c.id", F.col("c.component").alias("kind"), F.coalesce(_children(F.col("c.children")), F.array().cast("array<string>")).alias("children"),
+        *[f"c.{f}" for f in (*FIELDS, "value")], F.coalesce("c.options", "c.items").alias("options"), gap.alias("gap"), action.alias("action"), styles.alias("styles"),
+        F.coalesce(F.array_contains("roots", F.col("c.id")), F.lit(False)).alias("declared"), F.coalesce(F.col("c.id") == F.col("root"), F.lit(False)).alias("is_root"),
+        number(F.col("surface.width")).alias("surface_w"), number(F.col("surface.height")).alias("surface_h"), "writes",
     )
 
 
-def parsed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(messages, components), kept in executor storage because several branches of a plan read them."""
-    msgs = messages(docs).persist()
-    return msgs, components(msgs).persist()
-
-
 def number(x: Column) -> Column:
-    """A number with an optional unit vp, fp or px; null for anything else."""
-    return F.regexp_extract(x, r"^\s*(-?[0-9]+(?:\.[0-9]+)?)(?:vp|fp|px)?\s*$", 1).try_cast("double")
+    """A number with an optional unit vp, fp, dp or px; null for anything else."""
+    return F.regexp_extract(x, r"^\s*(-?[0-9]+(?:\.[0-9]+)?)(?:vp|fp|dp|px)?\s*$", 1).try_cast("double")
 
 
 def style(name: str) -> Column:
     return number(F.element_at("styles", F.lit(name)))
 
 
+def kind_of(kind: Column) -> Column:
+    """The type in lower case, without its namespace."""
+    return F.lower(F.trim(F.element_at(F.split(kind, r"\."), -1)))
+
+
 def edges(comps: DataFrame) -> DataFrame:
     """(doc_id, parent, id, pos)."""
     return comps.select("doc_id", F.col("id").alias("parent"), F.posexplode("children").alias("pos", "id"))
 
 
+def placed_kinds(comps: DataFrame) -> DataFrame:
+    """(doc_id, id, kind, parent) of every component that is somebody's child. A component and the
+    places that name it meet in one group by (doc_id, id), so the list is read once."""
+    own = F.array(F.struct("id", "kind", F.lit(None).cast("string").alias("parent")))
+    named = F.transform("children", lambda x: F.struct(x.alias("id"), F.lit(None).cast("string").alias("kind"), F.col("id").alias("parent")))
+    rows = comps.select("doc_id", F.inline(F.concat(own, named)))
+    met = rows.groupBy("doc_id", "id").agg(F.max("kind").alias("kind"), F.collect_list("parent").alias("parents"))
+    return met.filter("kind IS NOT NULL").select("doc_id", "id", "kind", F.explode("parents").alias("parent"))
+
+
 def problems(docs: DataFrame) -> DataFrame:
     """(doc_id, reason): why a document can't be judged: no or several component lists, duplicate
-    ids, unknown children, several parents, no root."""
-    msgs, comps = parsed(docs)
-    lists = docs.select("doc_id").join(msgs.filter("op = 'updateComponents'").groupBy("doc_id").agg(F.count("*").alias("n")), "doc_id", "left")
+    ids, unknown children, several parents, no declared root, a cycle."""
+    msgs = messages(docs)
+    comps = saved(components(msgs).select("doc_id", "id", "children", "declared"))
     e = edges(comps)
-    out = lists.filter("coalesce(n, 0) != 1").select("doc_id", F.lit("component lists").alias("reason"))
+    out = msgs.filter(F.size(F.filter("messages", lambda m: m["updateComponents"].isNotNull())) != 1).select("doc_id", F.lit("component lists").alias("reason"))
+    tree = comps.select("doc_id", F.col("id").alias("node")).join(e.select("doc_id", F.col("id").alias("node"), "parent"), ["doc_id", "node"], "left")
     for reason, rows in (
         ("duplicate id", comps.groupBy("doc_id", "id").count().filter("count > 1")),
         ("several parents", e.groupBy("doc_id", "id").agg(F.countDistinct("parent").alias("p")).filter("p > 1")),
         ("unknown child", e.join(comps.select("doc_id", "id"), ["doc_id", "id"], "left_anti")),
-        ("no root", comps.groupBy("doc_id").agg(F.bool_or(F.coalesce("is_root", F.lit(False))).alias("r")).filter("NOT r")),
+        ("no root", comps.groupBy("doc_id").agg(F.bool_or("declared").alias("r")).filter("NOT r")),
+        ("cycle", walked(tree, {}, ["doc_id"]).filter("NOT ended")),
     ):
         out = out.unionByName(rows.select("doc_id", F.lit(reason).alias("reason")).distinct())
     return out
 
 
+def _writes() -> Column:
+    updates = F.filter("messages", lambda m: m["updateDataModel"].isNotNull())
+    return F.transform(updates, lambda m: F.struct(F.coalesce(m["updateDataModel"]["path"], F.lit("/")).alias("path"), m["updateDataModel"]["value"].alias("value")))
+
+
 def data_model(msgs: DataFrame) -> DataFrame:
     """(doc_id, writes): (path, value) of the data model updates in order."""
-    rows = msgs.filter("op = 'updateDataModel'").select("doc_id", "n", F.get_json_object("body", "$.path").alias("path"), F.get_json_object("body", "$.value").alias("value"))
-    return rows.groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("n", "path", "value"))), lambda x: F.struct(x["path"], x["value"])).alias("writes"))
+    return msgs.select("doc_id", _writes().alias("writes"))
+
+
+def once(x: Column, f) -> Column:
+    """``f`` of ``x``, which is computed once however often ``f`` names it."""
+    return F.get(F.transform(F.array(x), f), F.lit(0))
 
 
 def lookup(writes: Column, pointer: Column) -> Column:
     """The value at ``pointer``: of the last write whose path leads to it."""
-    covering = F.filter(writes, lambda w: (w["path"].isin("", "/")) | (pointer == w["path"]) | pointer.startswith(F.concat(w["path"], F.lit("/"))))
-    last = F.try_element_at(covering, F.lit(-1))
-    rest = F.when(last["path"].isin("", "/"), pointer).otherwise(F.substring(pointer, F.length(last["path"]) + 1, F.length(pointer)))
-    path = F.concat(F.lit("$"), F.regexp_replace(F.regexp_replace(rest, r"/([0-9]+)(?=/|$)", "[$1]"), r"/([^/\[]+)", ".$1"))
-    return F.call_function("get_json_object", last["value"], path)
+
+    def found(p: Column) -> Column:
+        covering = F.filter(writes, lambda w: (w["path"].isin("", "/")) | (p == w["path"]) | p.startswith(F.concat(w["path"], F.lit("/"))))
+
+        def read(last: Column) -> Column:
+            rest = F.when(last["path"].isin("", "/"), p).otherwise(F.substring(p, F.length(last["path"]) + 1, F.length(p)))
+            path = F.concat(F.lit("$"), F.regexp_replace(F.regexp_replace(F.regexp_replace(rest, "^/$", ""), r"/([0-9]+)(?=/|$)", "[$1]"), r"/([^/\[]+)", ".$1"))
+            return F.call_function("get_json_object", last["value"], path)
+
+        return once(F.try_element_at(covering, F.lit(-1)), read)
+
+    return once(pointer, found)
+
+
+def shown_value(x: Column) -> Column:
+    """A bound value as text: the items of a list, or the values of an object, with spaces between
+    them, two levels deep; nothing for null."""
+
+    def flat(v: Column, inner) -> Column:
+        items = F.when(v.startswith("["), F.from_json(v, "array<string>")).otherwise(F.map_values(F.from_json(v, "map<string,string>")))
+        return F.when(v.rlike(r"^[\[{]"), F.coalesce(F.array_join(F.transform(items, inner), " "), v)).otherwise(F.coalesce(v, F.lit("")))
+
+    return once(x, lambda v: flat(v, lambda y: flat(y, lambda z: z)))
+
+
+_DATA = r"\$__dataModel((?:\.[A-Za-z_][A-Za-z0-9_]*|\[[0-9]+\])*)"
+
+
+def _pointer(expression: Column) -> Column:
+    """/a/0/b of $__dataModel.a[0].b."""
+    tail = F.regexp_extract(expression, _DATA, 1)
+    return F.concat(F.lit("/"), F.ltrim(F.regexp_replace(F.regexp_replace(tail, r"\[([0-9]+)\]", ".$1"), r"\.", "/"), F.lit("/")))
+
+
+def _expression(text: Column, writes: Column) -> Column:
+    """``'a' + $__dataModel.b + 1``: the parts one after another; empty if one can't be told."""
+    parts = F.transform(F.regexp_extract_all(text, F.lit(r"(?:'(?:\\.|[^'\\])*'|[^+'])+"), F.lit(0)), lambda x: F.trim(x))
+
+    def part(x: Column) -> Column:
+        inner = F.substring(x, F.lit(2), F.length(x) - 2)
+        return (
+            F.when((F.length(x) >= 2) & x.startswith("'") & x.endswith("'"), inner)
+            .when(x.startswith("${") & x.endswith("}"), shown_value(lookup(writes, F.substring(x, F.lit(3), F.length(x) - 3))))
+            .when(x.startswith("$__dataModel"), shown_value(lookup(writes, _pointer(x))))
+            .when(x.rlike(r"^-?[0-9]+(?:\.[0-9]+)?$"), F.regexp_replace(x, r"\.0$", ""))
+            .when(~x.rlike(r"[$?:]"), x)
+        )
+
+    values = F.transform(F.filter(parts, lambda x: x != ""), part)
+    return once(values, lambda v: F.when(F.exists(v, lambda x: x.isNull()), "").otherwise(F.array_join(v, "")))
+
+
+def template(text: Column, writes: Column) -> Column:
+    """``{{ expression }}``, or a text with ``${/a}`` and ``$__dataModel.a`` in it."""
+
+    def filled(x: Column, pattern: str, value) -> Column:
+        names = F.sort_array(F.array_distinct(F.regexp_extract_all(x, F.lit(f"({pattern})"), F.lit(1))), asc=False)  # of two, the longer first
+        return F.aggregate(names, x, lambda acc, p: F.replace(acc, p, value(p)))
+
+    def bound(x: Column) -> Column:
+        expression = F.regexp_extract(x, r"^\s*\{\{\s*(.*?)\s*\}\}\s*$", 1)
+        pointers = filled(x, r"\$\{[^}]+\}", lambda p: shown_value(lookup(writes, F.substring(p, F.lit(3), F.length(p) - 3))))
+        data = _DATA.replace("((", "(?:(").replace(")*)", ")*)")
+        plain = once(pointers, lambda y: F.when(y.contains("$__dataModel"), filled(y, data, lambda p: shown_value(lookup(writes, _pointer(p))))).otherwise(y))
+        return F.when(x.rlike(r"^\s*\{\{.*\}\}\s*$"), _expression(expression, writes)).when(x.contains("$"), plain).otherwise(x)
+
+    return once(text, bound)
+
+
+_DYNAMIC = "struct<path:string,call:string,args:struct<value:string>,value:string>"
 
 
 def bind(text: Column, writes: Column) -> Column:
-    """A display text with its data: ``{{ $__dataModel.a[0].b }}``, ``{"path": "/a"}``, or ``${/a}`` inside a literal."""
-    dotted = F.regexp_extract(text, r"^\s*\{\{\s*\$__dataModel\.([A-Za-z0-9_.\[\]]+)\s*\}\}\s*$", 1)
-    pointer = F.concat(F.lit("/"), F.regexp_replace(F.regexp_replace(dotted, r"\[([0-9]+)\]", ".$1"), r"\.", "/"))
-    path = F.get_json_object(text, "$.path")
-    names = F.array_distinct(F.regexp_extract_all(text, F.lit(r"\$\{(/[^}]*)\}"), F.lit(1)))
-    filled = F.aggregate(names, text, lambda acc, p: F.replace(acc, F.concat(F.lit("${"), p, F.lit("}")), F.coalesce(lookup(writes, p), F.lit(""))))
-    return F.when(dotted != "", F.coalesce(lookup(writes, pointer), F.lit(""))).when(path.isNotNull(), F.coalesce(lookup(writes, path), F.lit(""))).otherwise(filled)
-
-
-def required_texts(docs: DataFrame, msgs: DataFrame | None = None, comps: DataFrame | None = None) -> DataFrame:
-    """(doc_id, id, field, text): what a card should show, bound, blank and decorative texts left out."""
-    if msgs is None or comps is None:
-        msgs, comps = parsed(docs)
-    comps = comps.join(data_model(msgs), "doc_id", "left")
-    kind = F.lower(F.element_at(F.split("kind", r"\."), -1))
-    fields = F.lit(None).cast("array<string>")
-    for name, names in DISPLAY.items():
-        fields = F.when(kind == name, F.array(*map(F.lit, names))).otherwise(fields)
-    rows = comps.withColumn("fields", fields).select("doc_id", "id", "writes", "content", "label", "title", F.posexplode("fields").alias("n", "field"))
-    raw = F.when(F.col("field") == "content", F.col("content")).when(F.col("field") == "label", F.col("label")).otherwise(F.col("title"))
-    rows = rows.withColumn("text", T.display_texts(bind(raw, F.col("writes")))).filter("text IS NOT NULL")
-    first = Window.partitionBy("doc_id", "id", "text").orderBy("n")
-    return rows.withColumn("k", F.row_number().over(first)).filter("k = 1").select("doc_id", "id", "field", "text")
-
-
-def layout(docs: DataFrame, levels: int = 4, width: float = 160.0, height: float = 160.0) -> DataFrame:
-    """(doc_id, id, kind, depth, x, y, w, h): boxes from the root down, a level a round.
-
-    Row and Column place their children one after another with ``itemMargin`` between; Stack
-    centres them. Sizes that aren't declared: text by its length, marks 24, anything else fills.
-    Children without a main size and with layoutWeight share what is left.
+    """A dynamic text with its data: a literal, a template, or an object with a path, a value or a
+    call of formatString. Null for null; empty for an object that says nothing."""
+
+    def from_object(o: Column) -> Column:
+        format_ = F.when(o["call"] == "formatString", o["args"]["value"])
+        path = F.coalesce(o["path"], F.get_json_object(format_, "$.path"))
+        return F.when(path.isNotNull(), shown_value(lookup(writes, path))).otherwise(template(F.coalesce(format_, o["value"], F.lit("")), writes))
+
+    return F.when(text.rlike(r"^\{(?!\{)"), once(F.from_json(text, _DYNAMIC), from_object)).otherwise(template(text, writes))
+
+
+def _fields(kind: Column) -> Column:
+    """The fields that a component shows, in order; null if it shows none."""
+    every = {name: [*first, *[f for f in FIELDS if f not in first]] for name, first in DISPLAY.items()}
+    return F.try_element_at(F.create_map(*[x for name, fields in every.items() for x in (F.lit(name), F.array(*map(F.lit, fields)))]), kind)
+
+
+def _raw(field: Column) -> Column:
+    out = F.lit(None).cast("string")
+    for f in (*FIELDS, "value"):
+        out = F.when(field == f, F.col(f)).otherwise(out)
+    return out
+
+
+def with_texts(comps: DataFrame) -> DataFrame:
+    """``comps`` with ``texts``: (field, text) of what each component should show, bound, in order,
+    each text once; blank and decorative texts are left out. Options come after the fields."""
+    kind = kind_of(F.col("kind"))
+    own = F.transform(_fields(kind), lambda f: F.struct(f.alias("field"), _raw(f).alias("raw")))
+    given = F.when(F.col("options").startswith("{"), lookup(F.col("writes"), F.get_json_object("options", "$.path"))).otherwise(F.col("options"))
+
+    def option(x: Column, i: Column) -> Column:
+        at = F.concat(F.lit("options["), i.cast("string"), F.lit("]"))
+        parts = F.array(*[F.struct(F.concat(at, F.lit(f".{f}")).alias("field"), F.get_json_object(x, f"$.{f}").alias("raw")) for f in OPTION_FIELDS])
+        return F.when(x.startswith("{"), parts).otherwise(F.array(F.struct(at.alias("field"), x.alias("raw"))))
+
+    options = F.when(_fields(kind).isNotNull(), F.flatten(F.transform(F.from_json(given, "array<string>"), option)))
+    empty = F.array().cast("array<struct<field:string,raw:string>>")
+    raw = F.filter(F.concat(F.coalesce(own, empty), F.coalesce(options, empty)), lambda x: x["raw"].isNotNull())
+    bound = F.transform(raw, lambda x: F.struct(x["field"].alias("field"), T.display_texts(bind(x["raw"], F.col("writes"))).alias("text")))
+    shown = F.filter(bound, lambda x: x["text"].isNotNull())
+    first = once(shown, lambda all_: F.filter(all_, lambda x, i: ~F.exists(F.slice(all_, 1, i), lambda y: y["text"] == x["text"])))
+    return comps.withColumn("texts", first)
+
+
+def required_texts(docs: DataFrame) -> DataFrame:
+    """(doc_id, id, field, text): what a card should show. A document is bound in its own row:
+    nothing is joined or shuffled."""
+    return with_texts(components(messages(docs))).select("doc_id", "id", F.inline("texts"))
+
+
+def box_edges(value: Column) -> list[Column]:
+    """top, right, bottom, left of a padding or margin: a number, or an object with sides,
+    horizontal and vertical, or all."""
+    get = lambda k: number(F.get_json_object(value, f"$.{k}"))
+    side = lambda k, axis: F.coalesce(number(value), get(k), get(axis), get("all"), F.lit(0.0))
+    return [side("top", "vertical"), side("right", "horizontal"), side("bottom", "vertical"), side("left", "horizontal")]
+
+
+def _dimension(name: str, parent: Column) -> Column:
+    value = F.col(f"s_{name}")
+    share = F.regexp_extract(value, r"^\s*(-?[0-9]+(?:\.[0-9]+)?)%\s*$", 1).try_cast("double")
+    return F.coalesce(parent * share / 100.0, number(value))
+
+
+def layout(docs: DataFrame, width: float = 160.0, height: float = 160.0) -> DataFrame:
+    """(doc_id, id, kind, depth, x, y, w, h): boxes from the root down, a level a round, until no
+    child is left; a component inside itself is left out.
+
+    Row and anything but Stack (as a Column) place their children one after another with
+    ``itemMargin`` between, by justifyContent and alignItems; Stack centres them. Sizes that
+    aren't declared: text by its length, images and dividers 24, anything else fills. Children
+    with a layoutWeight share what is left. A child's margin shrinks its box.
     """
-    msgs, comps = parsed(docs)
-    texts = required_texts(docs, msgs, comps).groupBy("doc_id", "id").agg(F.min_by("text", "field").alias("shown"))
-    fs = F.coalesce(style("fontSize"), F.lit(14.0))
-    nodes = comps.join(texts, ["doc_id", "id"], "left").select(
-        "doc_id", "id", "kind", "is_root", "gap", style("width").alias("sw"), style("height").alias("sh"), F.coalesce(style("padding"), F.lit(0.0)).alias("pad"),
-        style("layoutWeight").alias("weight"), fs.alias("fs"), F.coalesce(style("maxLines"), F.lit(1.0)).alias("lines"), F.coalesce(F.length("shown"), F.lit(0)).alias("chars"),
-    )
-    links = edges(comps)
-    box = nodes.filter("is_root").select(
-        "doc_id", "id", "kind", "gap", "pad", F.lit(0).alias("depth"), F.lit(0.0).alias("x"), F.lit(0.0).alias("y"), F.coalesce("sw", F.lit(width)).alias("w"), F.coalesce("sh", F.lit(height)).alias("h")
-    )
-    found = [box]
-    for depth in range(1, levels):
-        p = box.select("doc_id", F.col("id").alias("parent"), F.col("kind").alias("p_kind"), F.coalesce("gap", F.lit(0.0)).alias("p_gap"), *[F.col(c).alias(f"p_{c}") for c in ("pad", "x", "y", "w", "h")])
-        c = p.join(links, ["doc_id", "parent"]).join(nodes, ["doc_id", "id"])
-        iw, ih = F.col("p_w") - 2 * F.col("p_pad"), F.col("p_h") - 2 * F.col("p_pad")
-        mark, text = F.col("kind").isin("Image", "Divider", "Icon"), F.col("kind") == "Text"
-        w = F.coalesce("sw", F.when(text, F.least(iw, F.greatest(2 * F.col("fs"), F.col("chars") * F.col("fs") * 0.58))).when(mark, 24.0).otherwise(iw))
-        h = F.coalesce("sh", F.when(text, F.col("fs") * 1.25 * F.col("lines")).when(mark, 24.0).otherwise(ih))
-        across, stack = F.col("p_kind") == "Row", F.col("p_kind") == "Stack"
-        c = c.withColumn("w", w).withColumn("h", h).withColumn("main", F.when(across, F.col("w")).otherwise(F.col("h")))
-        kids = Window.partitionBy("doc_id", "parent")
-        fixed = F.sum(F.when(F.col("weight").isNull(), F.col("main")).otherwise(0.0)).over(kids) + F.col("p_gap") * (F.count("*").over(kids) - 1)
-        left = F.greatest(F.lit(0.0), F.when(across, iw).otherwise(ih) - fixed)
-        c = c.withColumn("main", F.when(F.col("weight").isNull(), F.col("main")).otherwise(left * F.col("weight") / F.sum("weight").over(kids)))
-        before = F.coalesce(F.sum(F.col("main") + F.col("p_gap")).over(kids.orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
-        w, h = F.when(across, F.col("main")).otherwise(F.col("w")), F.when(across | stack, F.col("h")).otherwise(F.col("main"))
-        x = F.when(across, before).when(stack, (iw - F.col("w")) / 2.0).otherwise(0.0) + F.col("p_x") + F.col("p_pad")
-        y = F.when(across, 0.0).when(stack, (ih - F.col("h")) / 2.0).otherwise(before) + F.col("p_y") + F.col("p_pad")
-        box = c.select("doc_id", "id", "kind", "gap", "pad", F.lit(depth).alias("depth"), x.alias("x"), y.alias("y"), w.alias("w"), h.alias("h"))
+    comps = with_texts(components(messages(docs)))
+    get = lambda k: F.try_element_at("styles", F.lit(k))
+    pad, margin = box_edges(get("padding")), box_edges(get("margin"))
+    nodes = saved(comps.select(
+        "doc_id", "id", "kind", "is_root", "children", F.coalesce("gap", F.lit(0.0)).alias("gap"), get("width").alias("s_width"), get("height").alias("s_height"),
+        *[c.alias(f"pad_{k}") for k, c in zip("trbl", pad)], *[c.alias(f"m_{k}") for k, c in zip("trbl", margin)], style("layoutWeight").alias("weight"), F.coalesce(F.nullif(style("fontSize"), F.lit(0.0)), F.lit(14.0)).alias("fs"),
+        F.coalesce(F.nullif(style("maxLines"), F.lit(0.0)), F.lit(1.0)).alias("lines"), F.coalesce(F.length(F.get("texts", F.lit(0))["text"]), F.lit(0)).alias("chars"),
+        F.lower(F.coalesce(get("justifyContent"), F.lit("start"))).alias("justify"), F.lower(F.coalesce(get("alignItems"), F.lit("start"))).alias("align"), "surface_w", "surface_h",
+    ))
+    kept = ["doc_id", "id", "kind", "children", "gap", "pad_t", "pad_r", "pad_b", "pad_l", "justify", "align"]
+    w, h = (F.coalesce(F.nullif(F.col(a), F.lit(0.0)), F.nullif(number(F.col(b)), F.lit(0.0)), F.lit(c)) for a, b, c in (("surface_w", "s_width", width), ("surface_h", "s_height", height)))
+    box = saved(nodes.filter("is_root").select(*kept, F.lit(0).alias("depth"), F.lit(0.0).alias("x"), F.lit(0.0).alias("y"), w.alias("w"), h.alias("h"), F.array("id").alias("path")))
+    found, depth = [box], 0
+    kids = Window.partitionBy("doc_id", "p_path", "parent")
+    while True:
+        depth += 1
+        p = box.select("doc_id", F.col("path").alias("p_path"), F.col("id").alias("parent"), kind_of(F.col("kind")).alias("p_kind"), F.size("children").alias("n"), *[F.col(c).alias(f"p_{c}") for c in (*kept[4:], "x", "y", "w", "h")], F.posexplode("children").alias("pos", "id"))
+        c = p.filter(~F.array_contains("p_path", F.col("id"))).join(nodes, ["doc_id", "id"])
+        iw = F.greatest(F.lit(0.0), F.col("p_w") - F.col("p_pad_l") - F.col("p_pad_r"))
+        ih = F.greatest(F.lit(0.0), F.col("p_h") - F.col("p_pad_t") - F.col("p_pad_b"))
+        c = c.withColumns({"iw": iw, "ih": ih})
+        kind, across, stack = kind_of(F.col("kind")), F.col("p_kind") == "row", F.col("p_kind") == "stack"
+        text, weighted = kind.isin("text", "button"), F.coalesce(F.col("weight") > 0, F.lit(False)) & ~stack
+
+        def size(iw: Column, ih: Column) -> tuple[Column, Column]:
+            by_text = F.least(iw, F.greatest(2 * F.col("fs"), F.col("chars") * F.col("fs") * 0.58))
+            w = F.coalesce(_dimension("width", iw), F.when(text & (F.col("chars") > 0), by_text).when(kind.isin("image", "divider"), F.least(iw, F.lit(24.0))).otherwise(iw))
+            h = F.coalesce(_dimension("height", ih), F.when(text, F.col("fs") * 1.25 * F.col("lines")).when(kind == "image", F.least(ih, w)).otherwise(ih))
+            return F.greatest(F.lit(0.0), w), F.greatest(F.lit(0.0), h)
+
+        w, h = size(F.col("iw"), F.col("ih"))
+        c = c.withColumns({"w": w, "h": h, "weighted": weighted})
+        main, room = F.when(across, F.col("w")).otherwise(F.col("h")), F.when(across, F.col("iw")).otherwise(F.col("ih"))
+        gaps = F.col("p_gap") * F.greatest(F.col("n") - 1, F.lit(0))
+        fixed = F.sum(F.when(F.col("weighted"), 0.0).otherwise(main)).over(kids)
+        left = F.greatest(F.lit(0.0), room - fixed - gaps)
+        share = left * F.col("weight") / F.greatest(F.sum(F.when(F.col("weighted"), F.col("weight")).otherwise(0.0)).over(kids), F.lit(1e-6))
+        c = c.withColumn("share", share)
+        w2, h2 = size(F.when(across, F.col("share")).otherwise(F.col("iw")), F.when(across, F.col("ih")).otherwise(F.col("share")))
+        c = c.withColumns({
+            "w": F.when(F.col("weighted"), F.when(across, F.col("share")).otherwise(w2)).otherwise(F.col("w")),
+            "h": F.when(F.col("weighted"), F.when(across, h2).otherwise(F.col("share"))).otherwise(F.col("h")),
+        })
+        used = F.sum(main).over(kids) + gaps
+        begin = F.when(F.col("p_justify").isin("center", "centre"), F.greatest(F.lit(0.0), (room - used) / 2)).when(F.col("p_justify").isin("end", "flexend", "flex-end"), F.greatest(F.lit(0.0), room - used)).otherwise(0.0)
+        before = F.coalesce(F.sum(main + F.col("p_gap")).over(kids.orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)) + begin
+
+        def aligned(room: Column, size: Column) -> Column:
+            free = F.greatest(F.lit(0.0), room - size)
+            return F.when(stack | F.col("p_align").isin("center", "middle"), free / 2).when(F.col("p_align").isin("end", "right", "bottom", "flexend", "flex-end"), free).otherwise(0.0)
+
+        x = F.when(across, before).otherwise(aligned(F.col("iw"), F.col("w"))) + F.col("p_x") + F.col("p_pad_l") + F.col("m_l")
+        y = F.when(across | stack, aligned(F.col("ih"), F.col("h"))).otherwise(before) + F.col("p_y") + F.col("p_pad_t") + F.col("m_t")
+        w = F.greatest(F.lit(0.0), F.col("w") - F.col("m_l") - F.col("m_r"))
+        h = F.greatest(F.lit(0.0), F.col("h") - F.col("m_t") - F.col("m_b"))
+        box = saved(c.select(*kept, F.lit(depth).alias("depth"), x.alias("x"), y.alias("y"), w.alias("w"), h.alias("h"), F.concat("p_path", F.array("id")).alias("path")))
+        if box.isEmpty():
+            break
         found.append(box)
     out = found[0]
     for b in found[1:]:
@@ -182,13 +387,13 @@ def diagnostics(docs: DataFrame) -> DataFrame:
     controls; text wider than its box; small action targets; spacing off the token scale; too many
     font sizes, bold texts or radii; low contrast of text on its surface.
     """
-    msgs, comps = parsed(docs)
-    shown = required_texts(docs, msgs, comps).groupBy("doc_id", "id").agg(F.min_by("text", "field").alias("shown"))
+    comps = saved(with_texts(components(messages(docs))).withColumn("shown", F.get("texts", F.lit(0))["text"]).select("doc_id", "id", "kind", "children", "gap", "action", "styles", "shown"))
     e = edges(comps)
     cols = {"w": style("width"), "h": style("height"), "radius": style("borderRadius"), "fs": style("fontSize"), "weight": style("fontWeight"), "pad": style("padding")}
-    flat = comps.select("doc_id", "id", "kind", "gap", "action", F.element_at("styles", F.lit("backgroundColor")).alias("bg"), F.element_at("styles", F.lit("fontColor")).alias("fg"), *[v.alias(k) for k, v in cols.items()])
+    flat = comps.select("doc_id", "id", "kind", "gap", "action", "shown", F.element_at("styles", F.lit("backgroundColor")).alias("bg"), F.element_at("styles", F.lit("fontColor")).alias("fg"), *[v.alias(k) for k, v in cols.items()])
     parent = flat.select("doc_id", F.col("id").alias("parent"), F.col("kind").alias("p_kind"), F.col("gap").alias("p_gap"), F.col("bg").alias("p_bg"), *[F.col(c).alias(f"p_{c}") for c in ("w", "h", "pad")], )
-    kids = e.join(flat, ["doc_id", "id"]).join(parent, ["doc_id", "parent"]).withColumn("p_gap", F.coalesce("p_gap", F.lit(0.0))).persist()
+    kids = e.join(flat, ["doc_id", "id"]).join(parent, ["doc_id", "parent"]).withColumn("p_gap", F.coalesce("p_gap", F.lit(0.0)))
+    kids = saved(kids)  # every rule on children reads this
     found = []
 
     across = F.col("p_kind") == "Row"
@@ -210,7 +415,7 @@ def diagnostics(docs: DataFrame) -> DataFrame:
     rounded = (F.col("radius") > 0) & F.col("bg").isNotNull() & (F.col("n_radius") > 0) & F.col("n_bg").isNotNull()
     found.append(_finding(pairs.filter(rounded & (F.col("p_gap") + 1e-9 < 2)), "CONTROL_GROUP_GAP_LOW", "warning", F.col("p_gap"), F.lit(2)))
 
-    texts = kids.filter("kind = 'Text'").join(shown, ["doc_id", "id"])
+    texts = kids.filter("kind = 'Text' AND shown IS NOT NULL")
     needs = S.text_width(F.col("shown"), F.col("fs"), 0.35, 1.0, 0.6, 0.45)
     found.append(_finding(texts.filter(needs > 1.3 * F.col("w") + 1e-9), "TEXT_CLIP_RISK", "warning", S.rounded(needs, 2), F.col("w")))
     found.append(_finding(flat.filter("action AND (w < 24 OR h < 24)"), "ACTION_TOO_SMALL", "warning", F.least("w", "h"), F.lit(24)))
@@ -247,7 +452,7 @@ def statuses(docs: DataFrame, findings: DataFrame, reasons: DataFrame) -> DataFr
 
 def text_icon_verdicts(docs: DataFrame) -> DataFrame:
     """(doc_id, candidates, verdict): issue, not_applicable, undetermined or clear for checkboxes next to text."""
-    comps = components(messages(docs)).persist()
+    comps = saved(components(messages(docs)).select("doc_id", "id", "kind", "children", "gap", "styles"))
     kids = edges(comps).join(comps.select("doc_id", "id", "kind", style("width").alias("w")), ["doc_id", "id"])
     order = Window.partitionBy("doc_id", "parent").orderBy("pos")
     pairs = kids.withColumn("n_kind", F.lead("kind").over(order)).filter("kind = 'Checkbox' AND n_kind = 'Text'")

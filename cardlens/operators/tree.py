@@ -1,66 +1,121 @@
 """Operators on component trees: closure, visibility, actions, validity, levels, linear layout.
 
-Trees are adjacency lists (node, parent, ...), of any number of documents if ``key`` names one.
-Closures run level by level: each round is one join on the parent, so plans stay small and rows
-grow with the depth of the tree. Depth is bounded by ``MOST_LEVELS``; what lies deeper is a cycle.
+Trees are adjacency lists (node, parent, ...), of any number of documents if ``key`` names one, and
+of any depth. Work goes by doubling: in a round every node takes what its pointer's node knows and
+points as far again, so a chain of n nodes needs log2(n) rounds. Each round is written to the
+shared folder. Cycles are found as such, since their nodes never come to an end.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MOST_LEVELS = 32
+from cardlens.operators.rounds import saved
 
 
-def closure(tree: DataFrame, key: list[str] | None = None, levels: int = MOST_LEVELS) -> DataFrame:
+def closure(tree: DataFrame, key: list[str] | None = None) -> DataFrame:
     """(key..., node, ancestor, distance) of every node and ancestor, itself included at 0.
 
-    ``WITH RECURSIVE`` over the child-parent pairs; the depth is bounded by ``levels``.
+    A parent that is no node itself is an ancestor too. In a tree with cycles each ancestor counts
+    once for a node, at its least distance. The result has as many rows as all depths together.
     """
     key = key or []
-    spark = tree.sparkSession
-    name = f"_tree_{id(tree)}"
-    tree.createOrReplaceTempView(name)
-    k = "".join(f"{c}, " for c in key)
-    kt = "".join(f"t.{c}, " for c in key)
-    on = " AND ".join([f"t.{c} = c.{c}" for c in key] + ["t.node = c.ancestor"])
-    return spark.sql(
-        f"""WITH RECURSIVE c({k}node, ancestor, distance) AS (
-          SELECT {k}node, node, 0 FROM {name}
-          UNION ALL SELECT {kt}c.node, t.parent, c.distance + 1 FROM c JOIN {name} t ON {on} WHERE t.parent IS NOT NULL AND c.distance < {levels})
-        SELECT {k}node, ancestor, distance FROM c"""
-    )
+    own = tree.select(*key, "node", F.col("node").alias("ancestor"), F.lit(0).alias("distance"))
+    done = saved(tree.filter("parent IS NOT NULL").select(*key, "node", F.col("parent").alias("ancestor"), F.lit(1).alias("distance")))
+    parts, frontier, reach = [done], done, 1
+    while True:
+        known = parts[0]
+        for p in parts[1:]:
+            known = known.unionByName(p)
+        if not frontier.filter("node = ancestor").isEmpty():
+            return own.unionByName(_shortest(known, key)).select(*key, "node", "ancestor", "distance")
+        above = known.select(*key, F.col("node").alias("via"), "ancestor", F.col("distance").alias("more"))
+        steps = frontier.filter(F.col("distance") == reach).select(*key, "node", F.col("ancestor").alias("via"))
+        frontier = saved(steps.join(above, [*key, "via"]).select(*key, "node", "ancestor", (F.col("more") + reach).alias("distance")))
+        if frontier.isEmpty():
+            return own.unionByName(known)
+        parts.append(frontier)
+        reach *= 2
+
+
+def _shortest(known: DataFrame, key: list[str]) -> DataFrame:
+    """``known`` closed under composition, each pair once with its least distance."""
+    pair = [*key, "node", "ancestor"]
+    seen = None
+    while True:
+        known = saved(known.filter("node != ancestor").groupBy(*pair).agg(F.min("distance").alias("distance")))
+        state = known.agg(F.count("*"), F.sum("distance")).first()
+        if state == seen:
+            return known
+        seen = state
+        above = known.select(*key, F.col("node").alias("via"), "ancestor", F.col("distance").alias("more"))
+        longer = known.withColumnRenamed("ancestor", "via").join(above, [*key, "via"]).select(*pair, (F.col("distance") + F.col("more")).alias("distance"))
+        known = known.unionByName(longer)
+
+
+def walked(tree: DataFrame, values: dict[str, tuple[Column, Callable[[Column, Column], Column]]], key: list[str] | None = None) -> DataFrame:
+    """(key..., node, ended, values...): what the nodes from each node up to its root add up to.
+
+    ``values``: by name, a node's own value and how it and what is above it combine; that must be
+    associative. ``ended`` is false for nodes on a cycle or below one, whose values are partial.
+    Rows that repeat a node are walked one by one.
+    """
+    key, names = key or [], list(values)
+    state = saved(tree.select(*key, "node", F.col("parent").alias("up"), *[own.alias(n) for n, (own, _) in values.items()]))
+    left = None
+    while True:
+        pending = state.filter("up IS NOT NULL").count()
+        if not pending or pending == left:  # in a tree, every round brings some nodes to their end
+            return state.select(*key, "node", F.col("up").isNull().alias("ended"), *names)
+        left = pending
+        above = state.select(*key, F.col("node").alias("up"), F.col("up").alias("_up"), F.lit(True).alias("_is"), *[F.col(n).alias(f"_{n}") for n in names])
+        joined = state.filter("up IS NOT NULL").join(above, [*key, "up"], "left")
+        merged = [F.when(F.col("_is"), f(F.col(n), F.col(f"_{n}"))).otherwise(F.col(n)).alias(n) for n, (_, f) in values.items()]
+        state = saved(state.filter("up IS NULL").unionByName(joined.select(*key, "node", F.col("_up").alias("up"), *merged)))
 
 
 def inherited(tree: DataFrame, flag: str, key: list[str] | None = None) -> DataFrame:
     """(key..., node, flag): whether a node or any of its ancestors has ``flag``."""
     key = key or []
-    marked = tree.select(*key, F.col("node").alias("ancestor"), F.col(flag).alias("_f"))
-    return closure(tree, key).join(marked, [*key, "ancestor"]).groupBy(*key, "node").agg(F.bool_or("_f").alias(flag))
+    up = walked(tree, {flag: (F.coalesce(F.col(flag), F.lit(False)), lambda a, b: a | b)}, key)
+    return up.groupBy(*key, "node").agg(F.bool_or(flag).alias(flag))
 
 
 def validity(tree: DataFrame, key: list[str] | None = None) -> DataFrame:
-    """(key..., node, reason): duplicate ids, several parents, missing parents, unreachable nodes."""
+    """(key..., node, reason): duplicate ids, several parents, missing parents, unreachable nodes
+    (below a missing parent, on a cycle or below one)."""
     key = key or []
     many = tree.groupBy(*key, "node").agg(F.count("*").alias("n"), F.countDistinct("parent").alias("p"))
     twice = many.filter("n > 1 AND p <= 1").select(*key, "node", F.lit("duplicate").alias("reason"))
     parents = many.filter("p > 1").select(*key, "node", F.lit("several parents").alias("reason"))
     ids = tree.select(*key, F.col("node").alias("parent")).distinct()
     orphans = tree.filter("parent IS NOT NULL").join(ids, [*key, "parent"], "left_anti").select(*key, "node", F.lit("missing parent").alias("reason"))
-    roots = tree.filter("parent IS NULL").select(*key, F.col("node").alias("ancestor"))
-    reached = closure(tree, key).join(roots, [*key, "ancestor"], "left_semi").select(*key, "node").distinct()
-    lost = tree.select(*key, "node").distinct().join(reached, [*key, "node"], "left_anti").select(*key, "node", F.lit("unreachable").alias("reason"))
+    up = walked(tree, {"reached": (F.col("parent").isNull(), lambda a, b: a | b)}, key)
+    lost = up.groupBy(*key, "node").agg(F.bool_or(F.col("reached")).alias("r")).filter("NOT r").select(*key, "node", F.lit("unreachable").alias("reason"))
     return twice.unionByName(parents).unionByName(orphans).unionByName(lost)
 
 
-def depth_first(tree: DataFrame, key: list[str] | None = None) -> DataFrame:
-    """(key..., node, depth, path): pre-order by ``path``, the positions from the root down."""
+def on_cycles(tree: DataFrame, key: list[str] | None = None) -> DataFrame:
+    """(key..., node) that are their own ancestors: of the nodes whose walk up never ends, those
+    that are left when nodes without children are taken away again and again."""
     key = key or []
-    positions = tree.select(*key, F.col("node").alias("ancestor"), "pos")
-    steps = closure(tree, key).join(positions, [*key, "ancestor"])
-    path = F.transform(F.array_sort(F.collect_list(F.struct((-F.col("distance")).alias("d"), "pos"))), lambda s: F.lpad(s["pos"].cast("string"), 8, "0"))
-    return steps.groupBy(*key, "node").agg(F.max("distance").alias("depth"), F.array_join(path, "/").alias("path"))
+    endless = walked(tree, {}, key).filter("NOT ended").select(*key, "node").distinct()
+    rest, left = saved(tree.join(endless, [*key, "node"], "left_semi").select(*key, "node", "parent")), None
+    while (n := rest.count()) != left:
+        left = n
+        rest = saved(rest.join(rest.select(*key, F.col("parent").alias("node")).distinct(), [*key, "node"], "left_semi"))
+    return rest.select(*key, "node").distinct()
+
+
+def depth_first(tree: DataFrame, key: list[str] | None = None) -> DataFrame:
+    """(key..., node, depth, path): pre-order by ``path``, the positions from the root down. Nodes
+    on or below a cycle are left out."""
+    place = F.lpad(F.col("pos").cast("string"), 8, "0")
+    up = walked(tree, {"depth": (F.lit(0), lambda a, b: a + b + 1), "path": (place, lambda a, b: F.concat(b, F.lit("/"), a))}, key)
+    return up.filter("ended").drop("ended")
 
 
 def linear_offsets(children: DataFrame, group: list[str], size: Column, gap: Column | float) -> DataFrame:
@@ -71,6 +126,5 @@ def linear_offsets(children: DataFrame, group: list[str], size: Column, gap: Col
 
 def surface_depth(tree: DataFrame, surface: str, key: list[str] | None = None) -> DataFrame:
     """(key..., node, nested): how many ancestors with the flag a node has, itself included."""
-    key = key or []
-    marked = tree.select(*key, F.col("node").alias("ancestor"), F.col(surface).cast("long").alias("_f"))
-    return closure(tree, key).join(marked, [*key, "ancestor"]).groupBy(*key, "node").agg(F.sum("_f").alias("nested"))
+    up = walked(tree, {"nested": (F.coalesce(F.col(surface).cast("long"), F.lit(0).cast("long")), lambda a, b: a + b)}, key)
+    return up.filter("ended").drop("ended")
