@@ -347,16 +347,16 @@ WIDE_BUCKET = 1 << 15
 
 
 def _candidates(nodes: DataFrame, names: list[str], similarity: float, radius: int, times: int) -> DataFrame:
-    """(a, b): candidate links between the groups ``root`` of ``nodes`` (node, root, block,
-    fingerprints, size, sums, no), such that if all of them hold, no candidate pair is left whose ends lie in different groups.
+    """(a, b): candidate links between the groups ``root`` of ``nodes`` (node, root, fingerprints,
+    size, sums, no), such that if all of them hold, no candidate pair is left whose ends lie in
+    different groups.
 
-    The search of ``links`` once more, but of nodes, and only in buckets where groups of one
-    ``block`` meet.
+    The search of ``links`` once more, but of nodes, and only in buckets where groups meet.
     """
     fps = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(n).alias("fp")) for k, n in enumerate(names)])).alias("f")
-    printed = nodes.select("node", "root", "block", fps).select("node", "root", "block", "f.k", "f.fp")
-    masked = printed.withColumn("m", F.explode(_tables(radius, 0))).select("node", "root", "block", "k", "fp", F.col("m.t").alias("t"), F.col("fp").bitwiseAND(F.col("m.m")).alias("key"))
-    place = ["block", "k", "t", "key"]
+    printed = nodes.select("node", "root", fps).select("node", "root", "f.k", "f.fp")
+    masked = printed.withColumn("m", F.explode(_tables(radius, 0))).select("node", "root", "k", "fp", F.col("m.t").alias("t"), F.col("fp").bitwiseAND(F.col("m.m")).alias("key"))
+    place = ["k", "t", "key"]
     filled = masked.groupBy(*place).agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select(*place, "n")
     members = masked.join(filled, place)
     second = F.when(F.col("n") > WIDE_BUCKET, _tables(radius, 1)).otherwise(F.array(F.struct(F.lit(-1).alias("t"), F.lit(0).cast("long").alias("m"))))
@@ -386,7 +386,7 @@ def _settled(pairs: DataFrame, sets: DataFrame, rooted: DataFrame, similarity: f
     ``pairs`` are links of a spanning tree of what lies within the radius. They are checked
     first. Where some fail, the groups around them may have other links: a search gives
     candidates that would join all that may be joined, some for each group are checked, and again,
-    four times as many in each round, until no candidate is left. So every similar pair within
+    eight times as many in each round, until no candidate is left. So every similar pair within
     the radius ends in one group.
     """
     verified = saved(_similar(pairs, sets, similarity))
@@ -405,8 +405,8 @@ def _settled(pairs: DataFrame, sets: DataFrame, rooted: DataFrame, similarity: f
         unproved = saved(between(unproved))
         if unproved.isEmpty():
             return rooted.select("node", "root")
-        blocks = components(unproved, "hi", "lo").select(F.col("node").alias("root"), F.col("root").alias("block"))
-        members = rooted.join(blocks, "root").join(sets.select("node", "size", "sums"), "node")
+        open_ = unproved.select(F.explode(F.array("hi", "lo")).alias("root")).distinct()
+        members = rooted.join(open_, "root").join(sets.select("node", "size", "sums"), "node")
         nothing = F.array().cast("array<bigint>")
         if tested is None:
             members = members.withColumn("no", nothing)
@@ -423,7 +423,7 @@ def _settled(pairs: DataFrame, sets: DataFrame, rooted: DataFrame, similarity: f
         merged = components(between(verified), "hi", "lo").select(F.col("node").alias("root"), F.col("root").alias("to"))
         unproved = found.join(verified, ["a", "b"], "left_anti")
         rooted = saved(rooted.join(merged, "root", "left").withColumn("root", F.coalesce("to", "root")).drop("to"))
-        times *= 4
+        times *= 8
 
 
 def _digest(text_col: str) -> Column:

@@ -216,7 +216,9 @@ def test_bucket_sums_bound_what_sets_share():
     assert H.bucket_sums(crowded).sum() == len(crowded)
 
 
-def test_components_of_chains_and_stars(spark):
+@pytest.mark.parametrize("few", [0, 1 << 17])
+def test_components_of_chains_and_stars(spark, monkeypatch, few):
+    monkeypatch.setattr("cardlens.llm.components.FEW", few)
     edges = [(i, i + 1) for i in range(60)] + [(100, i) for i in range(101, 160)] + [(200, 200), (301, 300), (300, 301)]
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(61)}, **{i: 100 for i in range(100, 160)}, 300: 300, 301: 300}
