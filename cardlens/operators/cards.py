@@ -440,13 +440,20 @@ def diagnostics(docs: DataFrame) -> DataFrame:
     return out
 
 
-def statuses(docs: DataFrame, findings: DataFrame, reasons: DataFrame) -> DataFrame:
-    """(doc_id, errors, warnings, status): fail, needs_review, pass_with_warnings or pass."""
+def statuses(docs: DataFrame, findings: DataFrame, reasons: DataFrame, verdicts: DataFrame | None = None) -> DataFrame:
+    """(doc_id, errors, warnings, status): fail, needs_review, pass_with_warnings or pass.
+
+    A document that can't be judged, or with an error, fails. ``verdicts`` (doc_id, verdict) are
+    assessments; one that is undetermined asks for a review where nothing failed.
+    """
     sums = findings.groupBy("doc_id").agg(F.count_if(F.col("severity") == "error").alias("e"), F.count_if(F.col("severity") == "warning").alias("w"))
     bad = reasons.select("doc_id").distinct().withColumn("bad", F.lit(True))
-    out = docs.select("doc_id").join(sums, "doc_id", "left").join(bad, "doc_id", "left")
+    out = docs.select("doc_id").join(sums, "doc_id", "left").join(bad, "doc_id", "left").withColumn("open", F.lit(False))
+    if verdicts is not None:
+        open_ = verdicts.groupBy("doc_id").agg(F.bool_or(F.col("verdict") == "undetermined").alias("open"))
+        out = out.drop("open").join(open_, "doc_id", "left")
     e, w = F.coalesce("e", F.lit(0)), F.coalesce("w", F.lit(0))
-    status = F.when(F.col("bad") | (e > 0), "fail").when(w > 0, "pass_with_warnings").otherwise("pass")
+    status = F.when(F.col("bad") | (e > 0), "fail").when(F.col("open"), "needs_review").when(w > 0, "pass_with_warnings").otherwise("pass")
     return out.select("doc_id", e.alias("errors"), w.alias("warnings"), status.alias("status"))
 
 

@@ -113,13 +113,17 @@ def frequent_codes(deductions: DataFrame, most: int = 8) -> DataFrame:
     return sums.orderBy(F.desc("n"), "code").limit(most)
 
 
-def batch_status(metrics: DataFrame, deductions: DataFrame) -> DataFrame:
-    """One row: documents, those with a high deduction, those of low confidence, and the status."""
-    docs = confidence(metrics)
-    high = deductions.filter("severity = 'high'").select("doc_id").distinct().withColumn("high", F.lit(1))
-    sums = docs.join(high, "doc_id", "left").agg(F.count("*").alias("docs"), F.count("high").alias("with_high"), F.count_if(F.col("confidence") < 0.8).alias("unsure"))
-    status = F.when(F.col("docs") == 0, "empty").when(F.col("with_high") > 0, "fail").when(F.col("unsure") > 0, "needs_review").otherwise("pass")
-    return sums.withColumn("status", status)
+def batch_statuses(metrics: DataFrame, deductions: DataFrame, batch: Column) -> DataFrame:
+    """(batch, docs, high, medium, unsure, status) of the documents of each ``batch``.
+
+    Deductions are counted by severity. Any high one fails a batch; else documents of low
+    confidence ask for a review; else any medium one leaves a warning.
+    """
+    sums = deductions.groupBy("doc_id").agg(F.count_if(F.col("severity") == "high").alias("h"), F.count_if(F.col("severity") == "medium").alias("m"))
+    docs = confidence(metrics).join(sums, "doc_id", "left").groupBy(batch.alias("batch"))
+    out = docs.agg(F.count("*").alias("docs"), F.coalesce(F.sum("h"), F.lit(0)).alias("high"), F.coalesce(F.sum("m"), F.lit(0)).alias("medium"), F.count_if(F.col("confidence") < 0.8).alias("unsure"))
+    status = F.when(F.col("high") > 0, "fail").when(F.col("unsure") > 0, "needs_review").when(F.col("medium") > 0, "pass_with_warnings").otherwise("pass")
+    return out.withColumn("status", status)
 
 
 def histogram(scores: DataFrame, score: str = "overall") -> DataFrame:

@@ -8,7 +8,7 @@ import re
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
@@ -62,14 +62,15 @@ def similarity(a: Column, b: Column) -> Column:
 
 def best_match(required: DataFrame, seen: DataFrame, least_share: float = 0.5) -> DataFrame:
     """required (key, id, text) x seen (key, ord, text) of the same key: id, ord, similarity of the
-    likest, the first of equals. The ratio of two lengths bounds the similarity from above, so pairs
+    likest, the first of equals; no ord and 0 where none is likely enough. The ratio of two lengths bounds the similarity from above, so pairs
     that cannot reach ``least_share`` are left out before texts are compared."""
     a = required.select("key", "id", S.normalize_text(F.col("text")).alias("a"))
     b = seen.select("key", "ord", S.normalize_text(F.col("text")).alias("b"))
     pairs = a.join(b, "key").filter(2 * F.least(F.length("a"), F.length("b")) / (F.length("a") + F.length("b")) >= least_share)
     scored = pairs.withColumn("s", F.coalesce(containment(F.col("a"), F.col("b")), sequence_ratio("a", "b")))
     best = scored.groupBy("id").agg(F.max(F.struct("s", (-F.col("ord")).alias("o"))).alias("m"))
-    return best.select("id", (-F.col("m.o")).alias("ord"), F.col("m.s").alias("similarity"))
+    best = best.select("id", (-F.col("m.o")).alias("ord"), F.col("m.s").alias("similarity"))
+    return required.select("id").join(best, "id", "left").select("id", "ord", F.coalesce("similarity", F.lit(0.0)).alias("similarity"))
 
 
 def slot_coverage(required: DataFrame, seen: DataFrame) -> DataFrame:
@@ -175,11 +176,17 @@ def repair_records(texts: DataFrame) -> DataFrame:
     return texts.select("id", "text").mapInPandas(run, "id long, n long, record string")
 
 
-def dedupe_records(records: DataFrame, key: str, order: str) -> DataFrame:
-    """The first row, by ``order``, of each distinct record: key-sorted JSON compares alike."""
-    first = Window.partitionBy("fingerprint").orderBy(order)
-    marked = records.withColumn("fingerprint", F.sha2(F.regexp_replace(F.col(key), r"\s+", ""), 256))
-    return marked.withColumn("_n", F.row_number().over(first)).filter("_n = 1").drop("_n")
+def fingerprint(json: Column) -> Column:
+    """A digest of JSON text by its content: keys sorted, white space between tokens left out. Text
+    that is no JSON stands for itself."""
+    return F.sha2(F.coalesce(F.to_json(F.try_parse_json(json)), json), 256)
+
+
+def distinct_records(records: DataFrame, key: str, order: str) -> DataFrame:
+    """The first row, by ``order``, of each distinct record. Partial sums keep one row a record and task."""
+    row = F.struct(*[F.col(c) for c in records.columns])
+    first = records.groupBy(fingerprint(F.col(key)).alias("_f")).agg(F.min_by(row, order).alias("_r"))
+    return first.select("_r.*")
 
 
 def extract_url(line: Column, suffixes: str = r"[^\s\"'<>]*") -> Column:
@@ -193,4 +200,17 @@ def extract_url(line: Column, suffixes: str = r"[^\s\"'<>]*") -> Column:
 
 
 def scene_of(qid: Column) -> Column:
-    return F.coalesce(F.nullif(F.regexp_extract(qid, r"^Case-[0-9]+-(.+?)-[0-9]+$", 1), F.lit("")), F.lit("other"))
+    """The scene that a name ends with, as in prefix__Case-29-elderly-care-008."""
+    return F.coalesce(F.nullif(F.regexp_extract(qid, r"Case-[0-9]+-(.+?)-[0-9]+$", 1), F.lit("")), F.lit("unknown"))
+
+
+# The longest text of a cell, and what a shortened one ends with.
+CELL_LIMIT = 32_000
+CUT_MARK = "\n... [内容过长已截断，完整见 {name}]"
+
+
+def cell_text(text: Column, name: Column) -> Column:
+    """Text as a spreadsheet cell takes it; what is cut is said, with the name of the whole."""
+    before, after = CUT_MARK.split("{name}")
+    cut = F.concat(F.substring(text, 1, CELL_LIMIT), F.lit(before), name, F.lit(after))
+    return F.when(F.length(text) > CELL_LIMIT, cut).otherwise(text)

@@ -58,18 +58,11 @@ def normalize_number(spark, sf) -> DataFrame:
     return rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", T.normalize_number(F.format_string("%.2f", "l_extendedprice")).alias("number"))
 
 
-_FIRST = "regexp_extract(text, '^([^.\\n]*)', 1)"
-
-
-@query(f"""WITH t AS (SELECT conv_id AS key, conv_id * 1000 + turn AS id, turn AS ord, text FROM conversations), q AS (SELECT key, id, {_FIRST} AS text FROM t),
-a AS (SELECT key, {norm("string_agg(text, ' ' ORDER BY ord, text)")} AS al FROM t WHERE ord % 2 = 0 GROUP BY 1), j AS (SELECT id, {norm('text')} AS n, coalesce(al, '') AS al, regexp_extract_all(text, '[-+]?[0-9]+(?:\\.[0-9]+)?') AS nums FROM q LEFT JOIN a USING (key))
-SELECT id, CASE WHEN length(n) >= 2 AND contains(al, n) THEN 'pass' ELSE 'missing' END AS status, CASE WHEN length(n) >= 2 AND contains(al, n) THEN 1.0e0 ELSE 0.0e0 END AS score FROM j WHERE len(nums) = 0""")
-def slot_coverage(spark, sf) -> DataFrame:
-    """Whether the first sentence of each turn (without numbers) shows up in the even turns of its conversation."""
+@query()
+def slot_matches(spark, sf) -> DataFrame:
+    """Whether each turn, its numbers and units, shows up in the even turns of its conversation."""
     turns = table(spark, sf, "conversations").select(F.col("conv_id").alias("key"), (F.col("conv_id") * 1000 + F.col("turn")).alias("id"), F.col("turn").alias("ord"), "text")
-    required = turns.withColumn("text", F.regexp_extract("text", r"^([^.\n]*)", 1))
-    plain = required.filter(F.size(F.regexp_extract_all(F.col("text"), F.lit(f"({T.NUMBER})"), F.lit(1))) == 0)
-    return T.slot_coverage(plain, turns.filter("ord % 2 = 0"))
+    return T.slot_coverage(turns, turns.filter("ord % 2 = 0"))
 
 
 @query()
@@ -79,13 +72,14 @@ def similarity_best_match(spark, sf) -> DataFrame:
     return T.best_match(turns.filter("role = 'user'"), turns.filter("role = 'assistant'"), 0.5)
 
 
-@query(f"""WITH n AS (SELECT doc_id, lang, source, {norm("string_split(text, chr(10))[1]")} AS n FROM documents)
-SELECT n AS line, lang, count(*) AS docs, min(doc_id) AS first, count(*) * (count(*) - 1) // 2 AS pairs FROM n WHERE length(n) >= 4 GROUP BY 1, 2 HAVING count(*) > 1""")
-def duplicate_lines(spark, sf) -> DataFrame:
-    """First lines that several documents of a language share: one row a group, its pairs counted."""
-    lines = table(spark, sf, "documents").select("doc_id", "lang", S.normalize_text(F.get(F.split("text", "\n"), F.lit(0))).alias("line")).filter(F.length("line") >= 4)
-    n = F.count("*")
-    return lines.groupBy("line", "lang").agg(n.alias("docs"), F.min("doc_id").alias("first")).filter("docs > 1").withColumn("pairs", F.floor(F.col("docs") * (F.col("docs") - 1) / 2))
+@query(f"""WITH l AS (SELECT doc_id, lang, unnest(string_split(text, chr(10))) AS line FROM documents), n AS (SELECT doc_id, lang, {norm("line")} AS n FROM l)
+SELECT n AS line, lang, count(DISTINCT doc_id) AS docs, count(*) AS times, min(doc_id) AS first FROM n WHERE length(n) >= 4 GROUP BY 1, 2 HAVING count(*) > 1""")
+def repeated_lines(spark, sf) -> DataFrame:
+    """Lines that come more than once in the documents of a language: one row a group."""
+    lines = table(spark, sf, "documents").select("doc_id", "lang", F.explode(F.split("text", "\n")).alias("line"))
+    lines = lines.select("doc_id", "lang", S.normalize_text(F.col("line")).alias("line")).filter(F.length("line") >= 4)
+    each = lines.groupBy("line", "lang", "doc_id").agg(F.count("*").alias("n"))
+    return each.groupBy("line", "lang").agg(F.count("*").alias("docs"), F.sum("n").alias("times"), F.min("doc_id").alias("first")).filter("times > 1")
 
 
 @query("""WITH w AS (SELECT doc_id, unnest(string_split(text, ' ')) AS w FROM documents), t AS (SELECT doc_id, trim(regexp_replace(w, '\\s+', ' ', 'g')) AS w FROM w)
@@ -119,11 +113,16 @@ def missing_labels_anti(spark, sf) -> DataFrame:
     return table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id", "left_anti").select("doc_id", "source", "lang")
 
 
-@query("SELECT d.doc_id, CASE WHEN length(text) > 1000 THEN left(text, 1000) || '…' ELSE text END AS text, coalesce(CAST(quality AS VARCHAR), '(missing)') AS quality FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id")
-def export_left_join(spark, sf) -> DataFrame:
+_BEFORE, _AFTER = T.CUT_MARK.split("{name}")
+
+
+@query(f"""SELECT d.doc_id, CASE WHEN length(text) > 32000 THEN left(text, 32000) || chr(10) || '{_BEFORE[1:]}' || 'doc-' || d.doc_id || '{_AFTER}' ELSE text END AS text,
+coalesce(CAST(quality AS VARCHAR), '(缺失)') AS quality FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id""")
+def export_cells(spark, sf) -> DataFrame:
+    """Documents with their labels as cells of an export."""
     out = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id", "left")
-    text = F.when(F.length("text") > 1000, F.concat(F.substring("text", 1, 1000), F.lit("…"))).otherwise(F.col("text"))
-    return out.select("doc_id", text.alias("text"), F.coalesce(F.col("quality").cast("string"), F.lit("(missing)")).alias("quality"))
+    text = T.cell_text(F.col("text"), F.concat(F.lit("doc-"), F.col("doc_id").cast("string")))
+    return out.select("doc_id", text.alias("text"), F.coalesce(F.col("quality").cast("string"), F.lit("(缺失)")).alias("quality"))
 
 
 @query("""SELECT p.page_id, p.url, coalesce(b.text, '') AS query, coalesce(d.source, '') AS source FROM pages p LEFT JOIN benchmark b ON b.item_id = p.page_id LEFT JOIN documents d ON d.doc_id = p.page_id""")
@@ -140,9 +139,12 @@ def device_cross_plan(spark, sf) -> DataFrame:
     return table(spark, sf, "benchmark").select("item_id").crossJoin(F.broadcast(table(spark, sf, "region").select(F.col("r_name").alias("device"))))
 
 
-@query("SELECT p_partkey, coalesce(nullif(regexp_extract('Case-' || p_size || '-' || lower(p_type) || '-' || p_partkey, '^Case-[0-9]+-(.+?)-[0-9]+$', 1), ''), 'other') AS scene FROM part")
-def scene_extract(spark, sf) -> DataFrame:
-    qid = F.concat_ws("-", F.lit("Case"), F.col("p_size").cast("string"), F.lower("p_type"), F.col("p_partkey").cast("string"))
+@query("""SELECT p_partkey, coalesce(nullif(regexp_extract(CASE WHEN p_size % 3 = 0 THEN '' ELSE 'batch__' END || CASE WHEN p_size % 5 = 0 THEN 'Other-' ELSE 'Case-' END || p_size || '-' || lower(p_type) || '-' || p_partkey,
+'Case-[0-9]+-(.+?)-[0-9]+$', 1), ''), 'unknown') AS scene FROM part""")
+def case_scenes(spark, sf) -> DataFrame:
+    """Scenes of case names, some behind a prefix, some of another kind."""
+    head = F.concat(F.when(F.col("p_size") % 3 == 0, "").otherwise("batch__"), F.when(F.col("p_size") % 5 == 0, "Other-").otherwise("Case-"))
+    qid = F.concat(head, F.col("p_size").cast("string"), F.lit("-"), F.lower("p_type"), F.lit("-"), F.col("p_partkey").cast("string"))
     return table(spark, sf, "part").select("p_partkey", T.scene_of(qid).alias("scene"))
 
 
@@ -183,11 +185,16 @@ def repaired_records(spark, sf) -> DataFrame:
     return T.repair_records(cut).select("id", "record").distinct().groupBy("id").agg(F.count("*").alias("records"))
 
 
-@query("""SELECT event_id, event_type, props FROM (SELECT *, row_number() OVER (PARTITION BY event_type, regexp_replace(props, '\\s+', '', 'g') ORDER BY event_id) AS n FROM events) WHERE n = 1""")
-def dedupe_records(spark, sf) -> DataFrame:
-    record = F.concat(F.lit('{"'), F.col("event_type"), F.lit('":'), F.col("props"), F.lit("}"))
-    rows = table(spark, sf, "events").withColumn("record", record)
-    return T.dedupe_records(rows, "record", "event_id").select("event_id", "event_type", "props")
+@query("""SELECT min(event_id) AS event_id, event_type, CAST(json_extract(props, '$.k') AS BIGINT) AS k, event_id % 7 AS name FROM events GROUP BY event_type, json_extract(props, '$.k'), event_id % 7""")
+def distinct_records(spark, sf) -> DataFrame:
+    """Records by content: half of them have their keys in another order, a third other white space."""
+    name, k = (F.col("event_id") % 7).cast("string"), F.get_json_object("props", "$.k")
+    props, kind = F.concat(F.lit('"p": {"name": "a '), name, F.lit('", "k":'), k, F.lit("}")), F.concat(F.lit('"t":"'), F.col("event_type"), F.lit('"'))
+    turned = F.concat(F.lit('{"k": '), k, F.lit(' , "name":"a '), name, F.lit('"}'))
+    record = F.when(F.col("event_id") % 2 == 0, F.concat(F.lit("{"), props, F.lit(","), kind, F.lit("}"))).otherwise(F.concat(F.lit("{ "), kind, F.lit(', "p":'), turned, F.lit("}")))
+    record = F.when(F.col("event_id") % 3 == 0, F.replace(record, F.lit(","), F.lit(",\n  "))).otherwise(record)
+    rows = table(spark, sf, "events").select("event_id", "event_type", k.cast("long").alias("k"), (F.col("event_id") % 7).alias("name"), record.alias("record"))
+    return T.distinct_records(rows, "record", "event_id").drop("record")
 
 
 @query("""SELECT page_id, regexp_extract(url, '(https?://[^\\s"''<>]*)', 1) AS url FROM pages WHERE regexp_matches(url, '^https://[^/?#]*\\.(com|org)(/|$|[?#])') AND regexp_matches(url, '^[^?#]*\\.html$')""")
