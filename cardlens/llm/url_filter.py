@@ -22,23 +22,22 @@ INLINE_RULES = 256
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-#: Sites of unwanted and of wanted pages, from which the default labelled URLs are made.
-UNWANTED = """casino-win best-casino online-casino casino-royal free-bets sports-bets bet-now poker-jackpot jackpot-slots slots-bonus
-cheap-pills buy-pills-online pills-discount viagra-cheap pharmacy-cheap ads-track track-ads adserver-track popup-ads click-ads xxx-cams adult-cams
-adult-x adult-video hot-xxx free-porn porn-x payday-loans quick-loans replica-watches cheap-replica win-prize lottery-win crypto-double free-spins
-cheap-meds escort-x torrent-free warez-free spam-mailer adult-dating sexy-chat naked-pics viagra-online cialis-cheap weight-loss-pills
-miracle-diet get-rich-quick make-money-fast bitcoin-win forex-profit binary-bets roulette-online blackjack-win bingo-bonus betting-tips football-bets
-fake-ids essay-cheap free-gift prize-winner hot-deals-now cheap-loans credit-fast tracker-ads banner-ads sexdates live-cams slot-machine mega-jackpot
-pill-store rx-cheap ad-clicks pop-ads bet-live betwin casino-club adult-toys x-videos xxx-dates loan-shark instant-loans replica-bags fake-watches
-win-cash cash-prize free-robux crypto-giveaway token-airdrop hacked-accounts keygen-free cracked-games""".split()
-WANTED = """thenews garden library weather university museum encyclopedia cooking history hospital school software travel theater recipes
-council gardeners journal there thereand thinking northern nation reading station other thin ether winter trails heron anderson thistle sensible
-another within nothing brother mother hundred rethink lantern eastern thread theme motion notion portion ration edition tension thing healthy
-inherit thorn tenth ninth earth northeast whether together weathering tithing inthe ofthe onthe forthe andthe heather redhead steady lesson
-reason answer season person estate entry reader tether stone thirst hither whitethorn tablet noble table timber thimble liable there then that than with hear earth those these this thus path bath math both tooth mouth
-youth truth birth forth worth tenth month north south""".split()
-_PREFIXES = ["", "www.", "m.", "blog."]
-_PATHS = ["/en/{n}", "/de/{n}/", "/fr/{n}.html", "/es/{n}#top", "/en/{n}?page=2&ref=x", "/{n}?utm_source=feed", "/en/{n}.html", "/"]
+# Words of which the default labelled urls are made, by class. Unwanted: gambling,
+# pills, adult pages, loans, fakes, adverts. Wanted: what public sites are about, in four languages.
+UNWANTED_SITES = """casino poker jackpot slots roulette betting bookmaker lottery bingo viagra cialis pills pharmacy-discount steroids xxx porn sexcam escort adult-dating
+nude payday-loan quick-cash forex-signal binary-options crypto-doubler replica-watch fake-rolex essay-writer warez keygen torrent-crack free-robux adserver clicktrack popunder
+spam-mailer miracle-diet weight-loss-pill hot-singles win-prize""".split()
+UNWANTED_PATHS = """casino/free-spins play/jackpot-bonus buy/cheap-viagra-online order/pills-no-prescription xxx/video adult/cams/live bet/odds-today loans/instant-cash
+replica/rolex-sale click/track.gif ads/banner/redirect win/free-prize signup/bonus-code download/keygen-crack.exe porn/teen/hd slots/mega-win dating/hot-singles
+crypto/double-your-bitcoin poker/real-money lottery/claim-winner""".split()
+WANTED_SITES = """weather museum library university hospital school garden kitchen history science travel railway theatre orchestra gallery council parliament journal newspaper
+observatory botany geology mathematics chemistry physics archive bookshop farmers football cycling hiking sailing photography carpentry bakery dentist architecture encyclopedia
+bibliothek stadtwerke gemeinde verein schule krankenhaus zeitung wetter rathaus universitaet mairie musee ecole journal-local bibliotheque jardin cuisine meteo sante ville
+biblioteca ayuntamiento escuela periodico hospital-general museo tiempo cocina universidad viajes""".split()
+WANTED_PATHS = """about news/2021/opening-hours en/article/history-of-the-bridge research/publications courses/introduction blog/how-to-bake-bread events/summer-concert contact
+products/garden-tools docs/manual/installation de/aktuelles/stadtfest fr/actualites/exposition es/noticias/exposicion recipes/vegetable-soup travel/mountain-walks
+wiki/photosynthesis archive/1998/minutes sports/results/league services/library-card health/first-aid""".split()
+_LIKE = ("https://www.{}.org/{}", "http://{}.net/{}", "https://{}.com/{}?id=7", "https://{}.co.uk/{}/", "https://my{}.info/{}", "http://m.{}.eu/{}#top")
 
 
 def split_url(url: Column) -> tuple[Column, Column]:
@@ -61,15 +60,22 @@ def _buckets(host: Column, path: Column) -> Column:
     return F.array_distinct(F.transform(F.flatten(F.array(*map(grams, GRAMS))), lambda g: F.pmod(F.xxhash64(g), F.lit(BUCKETS)).cast("int")))
 
 
-def default_labels(spark: SparkSession) -> DataFrame:
-    """Each site under two prefixes and two paths, dealt alike to both classes."""
+def labelled_urls() -> list[tuple[str, int]]:
+    """(url, unwanted): every site with some paths of its class, and with neutral ones; every path
+    on neutral hosts. So either part can tell the classes, and neither has to. Wanted urls are
+    about three in five, as most of the web is: what the n-grams don't know is let through."""
     rows = []
-    for unwanted, sites in ((1, UNWANTED), (0, WANTED)):
+    for unwanted, sites, paths, times in ((1, UNWANTED_SITES, UNWANTED_PATHS, 3), (0, WANTED_SITES, WANTED_PATHS, 3)):
         for i, site in enumerate(sites):
-            for j in range(2):
-                path = _PATHS[(i + 4 * j + i // 8) % len(_PATHS)].format(n=1 + (37 * i + 11 * j) % 9973)
-                rows.append(F.struct(F.lit(f"https://{_PREFIXES[(i + 2 * j) % 4]}{site}.test{path}").alias("url"), F.lit(unwanted).alias("unwanted")))
-    return spark.range(1).select(F.inline(F.array(*rows)))
+            rows += [(_LIKE[(i + j) % len(_LIKE)].format(site, paths[(i + 7 * j) % len(paths)]), unwanted) for j in range(times)]
+            rows.append((_LIKE[(i + 3) % len(_LIKE)].format(site, ("", "index.html", "en/", "p/12")[i % 4]), unwanted))
+        rows += [(_LIKE[i % len(_LIKE)].format(host, path), unwanted) for i, path in enumerate(paths) for host in ("example", "site24", "mypage")]
+    return rows
+
+
+def default_labels(spark: SparkSession) -> DataFrame:
+    """``labelled_urls`` as a table (url, unwanted)."""
+    return spark.range(1).select(F.inline(F.array(*[F.struct(F.lit(url).alias("url"), F.lit(y).alias("unwanted")) for url, y in labelled_urls()])))
 
 
 def train(labelled: DataFrame, epochs: int = 400, step: float = 6.0, decay: float = 0.01) -> DataFrame:
@@ -81,7 +87,8 @@ def train(labelled: DataFrame, epochs: int = 400, step: float = 6.0, decay: floa
     error: the table is meant to be small.
     """
     host, path = split_url(F.col("url"))
-    rows = labelled.select(_buckets(host, path).alias("x"), F.coalesce(F.col("unwanted"), F.lit(0)).cast("double").alias("y"))
+    # one row beyond the bound is enough to tell that there are too many
+    rows = labelled.limit(MOST_LABELLED + 1).select(_buckets(host, path).alias("x"), F.coalesce(F.col("unwanted"), F.lit(0)).cast("double").alias("y"))
     rows = rows.agg(F.sort_array(F.collect_list(F.struct("x", "y"))).alias("r"))
     small = F.when(F.size("r") > MOST_LABELLED, F.raise_error(F.lit(f"more than {MOST_LABELLED} labelled urls"))).otherwise(F.col("r"))
     rows = rows.select(small.alias("r"))
@@ -112,7 +119,7 @@ def train(labelled: DataFrame, epochs: int = 400, step: float = 6.0, decay: floa
 def _rule_of(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> Column:
     """The longest fitting rule as struct(rule, verdict); null if none fits."""
     found = F.lit(None).cast("struct<rule:string,verdict:string>")
-    for h, p, v in sorted(rules, key=lambda r: (len(r[0] + r[1]), r[0])):  # the longest is asked first
+    for h, p, v in sorted(rules, key=lambda r: (len(r[0] + r[1]), r[0] + r[1], r[2])):  # the longest is asked first
         fits = ((host == h) | host.endswith(f".{h}")) & path.startswith(p)
         found = F.when(fits, F.struct(F.lit(h + p).alias("rule"), F.lit(v).alias("verdict"))).otherwise(found)
     return found
@@ -129,7 +136,7 @@ def filter_urls(
 
     ``rules``: (host, path prefix, verdict), a list or a table of host, path, verdict. A rule
     fits its host and all subdomains if the path starts with its own; the longest host + path
-    wins, ties by code points. Where none fits, the model decides: "block" if the probability is
+    wins, ties by code points, then the greater verdict. Where none fits, the model decides: "block" if the probability is
     above ``threshold``. A null or malformed url has an empty host and path and is judged as
     such. Rows are neither lost nor repeated, repeated rows included; an empty table stays empty.
     """
@@ -139,18 +146,19 @@ def filter_urls(
     out = pages.withColumns({"host": host, "path": path})
     weights, w = weights.select("weights").scalar(), fresh(pages, "_weights")
     z = F.aggregate(_buckets(F.col("host"), F.col("path")), F.lit(0.0), lambda s, b: s + F.get(F.col(w), b)) + F.get(F.col(w), F.lit(BUCKETS))
+    name = fresh(out, "_rule")
     out = out.withColumn(w, weights).withColumn("unwanted_probability", 1 / (1 + F.exp(-z))).drop(w)
     if isinstance(rules, DataFrame):
-        out = _join_rules(out, rules)
+        out = _join_rules(out, rules, name)
     elif len(rules) > INLINE_RULES:
-        out = _join_rules(out, spark.createDataFrame(list(rules), "host string, path string, verdict string"))
+        out = _join_rules(out, spark.createDataFrame(list(rules), "host string, path string, verdict string"), name)
     else:
-        out = out.withColumn("_rule", _rule_of(F.col("host"), F.col("path"), list(rules)))
+        out = out.withColumn(name, _rule_of(F.col("host"), F.col("path"), list(rules)))
     by_model = F.when(F.col("unwanted_probability") > threshold, "block").otherwise("allow")
-    return out.withColumn("rule", F.col("_rule.rule")).withColumn("verdict", F.coalesce("_rule.verdict", by_model)).drop("_rule")
+    return out.withColumns({"rule": F.col(f"{name}.rule"), "verdict": F.coalesce(F.col(f"{name}.verdict"), by_model)}).drop(name)
 
 
-def _join_rules(pages: DataFrame, rules: DataFrame) -> DataFrame:
+def _join_rules(pages: DataFrame, rules: DataFrame, name: str) -> DataFrame:
     """Rules of any number: join distinct (host, path) by every suffix of the host, keep the longest."""
     rules = rules.select(F.col("host").alias("r_host"), F.col("path").alias("r_path"), F.col("verdict").alias("r_verdict"))
     pairs = pages.select("host", "path").distinct()
@@ -159,5 +167,5 @@ def _join_rules(pages: DataFrame, rules: DataFrame) -> DataFrame:
     found = pairs.withColumn("r_host", F.explode(suffixes)).join(rules, "r_host").filter(F.col("path").startswith(F.col("r_path")))
     rule = F.concat("r_host", "r_path")
     best = found.groupBy("host", "path").agg(F.max(F.struct(F.length(rule), rule.alias("rule"), F.col("r_verdict").alias("verdict"))).alias("best"))
-    best = best.select("host", "path", F.struct("best.rule", "best.verdict").alias("_rule"))
+    best = best.select("host", "path", F.struct("best.rule", "best.verdict").alias(name))
     return pages.join(best, ["host", "path"], "left")

@@ -280,6 +280,28 @@ def test_url_rules(spark, joined):
     assert U.filter_urls(pages.limit(0), RULES).collect() == []
 
 
+def test_url_model_on_held_out_urls(spark):
+    """Trained on three quarters of the labelled urls, asked about the rest; whole sites are held out too."""
+    rows = U.labelled_urls()
+    assert len(rows) <= U.MOST_LABELLED and len(set(rows)) == len(rows)
+    for part in ([i % 4 == 1 for i in range(len(rows))], [any(w in u for w in (U.UNWANTED_SITES + U.WANTED_SITES)[::4]) for u, _ in rows]):
+        learn = spark.createDataFrame([r for r, out in zip(rows, part) if not out], "url string, unwanted int")
+        test = spark.createDataFrame([r for r, out in zip(rows, part) if out], "url string, unwanted int")
+        got = U.filter_urls(test, [], labelled=learn).collect()
+        right = np.mean([(r["verdict"] == "block") == (r["unwanted"] == 1) for r in got])
+        assert right > 0.85, right
+
+
+def test_rules_inline_and_joined_agree(spark):
+    rules = [("a.com", "/x", "allow"), ("a.com", "/x", "block"), ("com", "/", "block"), ("com", "/x/yy", "allow"), ("a.com", "/x/", "block")]
+    pages = spark.createDataFrame([(i, u, "own") for i, u in enumerate(["http://a.com/x", "http://b.a.com/x/yy/z", "http://com/x/yy", None, "mailto:x", "http://net/"])], "id long, url string, _rule string")
+    inline = sorted(map(tuple, U.filter_urls(pages, rules).collect()))
+    joined = sorted(map(tuple, U.filter_urls(pages, spark.createDataFrame(rules, "host string, path string, verdict string")).select(*U.filter_urls(pages, rules).columns).collect()))
+    assert inline == joined and all(r[2] == "own" for r in inline)
+    with pytest.raises(Exception, match="more than"):
+        U.train(spark.range(2000).select(F.col("id").cast("string").alias("url"), F.lit(1).alias("unwanted"))).collect()
+
+
 def test_url_grams(spark):
     text = "^h0.test /a0$"
     expected = {text[i : i + n] for n in U.GRAMS for i in range(len(text) - n + 1)}
