@@ -92,6 +92,22 @@ def density_scores(boxes: DataFrame, width: float = CARD, height: float = CARD)
     )
 
 
+def area_scores(boxes: DataFrame, width: float = CARD, height: float = CARD) -> DataFrame:
+    """density, and the layout's own bands for density and white space."""
+    d = F.col("area") / (width * height)
+    return union_area(boxes, width, height).select(
+        "doc_id", d.alias("density"), S.band_score(d, 0.35, 0.9, 0.1, 0.2).alias("density_score"), S.band_score(1.0 - d, 0.1, 0.65, 0.18, 0.12).alias("whitespace_score")
+    )
+
+
+def typography_rhythm(boxes: DataFrame) -> DataFrame:
+    """(doc_id, levels, score): how many font sizes, to the nearest two, a card's texts have; 0 without texts."""
+    level = F.when(F.col("kind") == "text", F.bround(F.col("fs") / 2.0))
+    sums = boxes.groupBy("doc_id").agg(F.countDistinct(level).alias("levels"))
+    score = F.when(F.col("levels") > 0, S.gaussian_score(F.col("levels").cast("double"), 3.0, 1.6)).otherwise(0.0)
+    return sums.select("doc_id", "levels", score.alias("score"))
+
+
 def overflow_scores(boxes: DataFrame, width: float = CARD, height: float = CARD) -> DataFrame:
     """outside: share of the boxes' area beyond the card; score = 100 - 100 * outside."""
     inside = S.intersection(*[F.col(c) for c in "xywh"], F.lit(0.0), F.lit(0.0), F.lit(width), F.lit(height))
