@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardlens.llm import chat_format, license_scan
+from cardlens.llm import chat_format, license_scan, ranked_search
 from cardlens.llm.chat_format import expand_examples, format_conversations, read_back
 from cardlens.llm.exact_dedup import exact_dedup
 from cardlens.llm.fingerprint import fingerprint_edits
@@ -15,6 +16,8 @@ from cardlens.llm.html_text import extract_text
 from cardlens.llm.language_id import identify
 from cardlens.llm.mixing import mix_sources
 from cardlens.llm.packing import pack_documents
+from cardlens.llm.periodic_runs import find_runs
+from cardlens.llm.piece_codec import decode_pieces, encode_pieces
 from cardlens.llm.simhash import near_dedup
 from cardlens.llm.url_filter import filter_urls
 
@@ -131,3 +134,59 @@ def op10_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_edits(docs).select(
         F.col("id").alias("doc_id"), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"
     )
+
+
+@query
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
+    return ranked_search.search(docs, items, k=20)
+
+
+ORACLES["op11_ranked_search"] = ranked_search.ORACLE
+
+
+def periodic_tail(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The contract of op12: in a tenth of the documents the words from some place on repeat."""
+    if doc_id is None or not words:
+        return words
+    g, tenth = divmod(zlib.crc32(str(doc_id).encode()), 10)
+    if tenth:
+        return words
+    n = len(words)
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + i % p] for i in range(n - a)]
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    runs = F.col("runs")
+    first = F.array_max(F.transform(runs, lambda r: F.struct(r.length, (-r.start).alias("before"), (-r.period).alias("shorter"))))
+    line = F.transform(runs, lambda r: F.concat_ws(",", r.start, r.length, F.concat(r.period.cast("string"), F.lit("\n"))))
+    found = find_runs(docs, edit=periodic_tail).withColumn("longest", first)
+    period = -F.col("longest.shorter")
+    return found.select(
+        F.col("id").alias("doc_id"),
+        F.size(runs).cast("long").alias("n_runs"),
+        (-F.col("longest.before")).alias("start"),
+        F.col("longest.length").alias("length"),
+        period.alias("period"),
+        F.floor(F.col("longest.length") * 1000 / period).alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query
+def op13_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    model = tokenizer_path("piece_bpe_32k.model")
+    coded = decode_pieces(encode_pieces(docs, model, end=True), model, to="decoded")
+    return coded.select(
+        F.col("id").alias("doc_id"),
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
