@@ -102,7 +102,6 @@ class PieceModel:
             if kinds[i] == _BYTE:
                 self.byte_ids[int(p[3:5], 16)] = i
         self.n = len(pieces)
-        self.char_ids = {p: i for p, i in normal.items() if len(p) == 1}
 
         def symbol(part: str) -> int | None:
             return self.n + ord(part) if len(part) == 1 and part not in normal else normal.get(part)
@@ -119,8 +118,10 @@ class PieceModel:
         pairs = sorted((a * 2 * _CODES + b, r, i) for (a, b), (r, i) in self.merges.items())
         self.keys, self.ranks, self.results = (np.array([x[c] for x in pairs] or [0], np.int64) for c in range(3))
         self.beside = np.array(sorted(ord(a) * _CODES + ord(b) for a, b in beside) or [0], np.int64)
-        chars = sorted((ord(c), i) for c, i in self.char_ids.items())
-        self.codes, self.code_ids = (np.array([x[c] for x in chars] or [0], np.int64) for c in range(2))
+        self.code_symbols = np.arange(_CODES, dtype=np.int32) + self.n
+        for p, i in normal.items():
+            if len(p) == 1:
+                self.code_symbols[ord(p)] = i
         line = "" if any("\n" in p for p in normal if len(p) > 1) else "\n"
         self.split = re.compile(f"{SPACE}+[^{SPACE}{line}]*|[^{SPACE}{line}]+" + (f"|{line}" if line else ""))
         self.known: dict[str, bytes] = {}
@@ -201,8 +202,8 @@ class PieceModel:
             offer(before[i])
         return np.array([s for s in own if s >= 0], np.int64)
 
-    def encode_words(self, words: list[str]) -> list[np.ndarray]:
-        """The ids of each word (no word may be empty)."""
+    def encode_words(self, words: list[str]) -> list[bytes]:
+        """The ids of each word (no word may be empty) as little-endian 32-bit numbers."""
         if not words:
             return []
         codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
@@ -212,8 +213,7 @@ class PieceModel:
         cut = np.r_[True, self.beside[at] != key]
         cut[begins] = True
         starts = np.flatnonzero(cut)
-        at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
-        symbols = np.where(self.codes[at] == codes, self.code_ids[at], self.n + codes)
+        symbols = self.code_symbols[codes].astype(np.int64)
         sizes = np.diff(np.r_[starts, len(codes)])
         long = sizes > LONG
         short = np.repeat(~long, sizes)
@@ -234,8 +234,9 @@ class PieceModel:
             n[strange] = [len(r) for r in raw]
             word, merged = np.repeat(word, n), np.repeat(merged, n)
             merged[merged >= self.n] = np.concatenate(raw)
-        cuts = np.searchsorted(word, np.arange(len(words) + 1))
-        return [merged[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
+        cuts = (4 * np.searchsorted(word, np.arange(len(words) + 1))).tolist()
+        data = merged.astype("<i4").tobytes()
+        return [data[a:b] for a, b in zip(cuts, cuts[1:])]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Of each text its ids as little-endian 32-bit numbers, without an end id."""
@@ -244,14 +245,13 @@ class PieceModel:
             spaced = t.replace(" ", SPACE)
             found.append(self.split.findall(SPACE + spaced if self.dummy and t else spaced))
         known = self.known
-        new = list({w: None for own in found for w in own if w not in known})
-        fresh = {w: ids.astype("<i4").tobytes() for w, ids in zip(new, self.encode_words(new))}
-        out = []
-        for own in found:
-            ids = list(map(known.get, own))
-            if None in ids:
-                ids = [fresh[w] if i is None else i for w, i in zip(own, ids)]
-            out.append(b"".join(ids))
+        coded = [list(map(known.get, own)) for own in found]
+        open_ = [i for i, ids in enumerate(coded) if None in ids]
+        new = list({w: None for i in open_ for w, ids in zip(found[i], coded[i]) if ids is None})
+        fresh = dict(zip(new, self.encode_words(new)))
+        for i in open_:
+            coded[i] = [fresh[w] if ids is None else ids for w, ids in zip(found[i], coded[i])]
+        out = [b"".join(ids) for ids in coded]
         if len(known) < REMEMBERED:
             known.update((w, i) for w, i in fresh.items() if len(w) <= REMEMBERED_CHARS)
         return out
