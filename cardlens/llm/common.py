@@ -56,10 +56,10 @@ def fresh(df: DataFrame, name: str) -> str:
 
 
 def numbered(df: DataFrame) -> tuple[DataFrame, str]:
-    """``df`` with its rows numbered in a column of a fresh name. Only for scans: the numbers of a
-    row are the same in every evaluation because the order of a scan is."""
+    """``df`` with its rows numbered in a column of a fresh name, written as a checkpoint: whoever
+    reads it, and however its scan is planned, a row keeps its number."""
     name = fresh(df, "_row_uid")
-    return df.withColumn(name, F.monotonically_increasing_id()), name
+    return checkpoint(df.withColumn(name, F.monotonically_increasing_id())), name
 
 
 def unit_hash(*cols: Column | str) -> Column:

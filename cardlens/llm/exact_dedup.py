@@ -61,11 +61,11 @@ def _merge_runs(keep_largest: bool):
 
 
 def exact_dedup(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "largest", lanes: int = LANES, fan_in: int = FAN_IN
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "largest", lanes: int = LANES, fan_in: int = FAN_IN, row_col: str | None = None
 ) -> DataFrame:
     """One row per row of ``docs``: row_uid, id, keep_id, group_size, kept, text_sha256.
 
-    ``row_uid`` numbers the rows of the scan (monotonically_increasing_id over ``docs``). Texts
+    ``row_uid`` is ``row_col``, or numbers the rows as they are read. Texts
     are equal when identical; null counts as the empty text. ``keep`` is "largest" or "smallest"
     identifier; a null identifier loses against any other. Of rows that repeat an identifier and
     a text exactly one is kept. An empty table gives an empty result; other columns are ignored.
@@ -74,7 +74,7 @@ def exact_dedup(
         raise ValueError("keep is largest or smallest")
     base = checkpoint(
         docs.select(
-            F.monotonically_increasing_id().alias("row_uid"),
+            (F.col(row_col) if row_col else F.monotonically_increasing_id()).alias("row_uid"),
             F.col(id_col).cast("long").alias("id"),
             F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)).alias("digest"),
         ).withColumn("lane", F.pmod(F.xxhash64("row_uid"), F.lit(lanes)).cast("int"))
@@ -98,10 +98,8 @@ def exact_dedup(
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "largest") -> DataFrame:
-    """``docs`` with one row of each group of equal texts, all columns kept.
-
-    ``docs`` must be a scan (its rows are numbered twice, in the same order).
-    """
+    """``docs`` with one row of each group of equal texts, all columns kept; nulls count as empty,
+    of rows alike in identifier and text one stays."""
     rows, uid = numbered(docs)
-    kept = exact_dedup(docs, id_col, text_col, keep).filter("kept").select(F.col("row_uid").alias(uid))
+    kept = exact_dedup(rows, id_col, text_col, keep, row_col=uid).filter("kept").select(F.col("row_uid").alias(uid))
     return rows.join(kept, uid, "left_semi").drop(uid)

@@ -161,8 +161,8 @@ def mix_sources(
 
 
 def take_mix(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` as often as the mix takes each, all columns kept. ``docs`` must be a scan (its rows
-    are numbered twice, in the same order); rows count one by one, whatever their identifiers."""
+    """``docs`` as often as the mix takes each, all columns kept; rows count one by one, whatever
+    their identifiers."""
     rows, uid = numbered(docs)
     times = fresh(docs, "_copies")
     copies = mix_sources(rows, id_col=uid, **options).filter("copies > 0").select(F.col("id").alias(uid), F.array_repeat(F.lit(1), F.col("copies").cast("int")).alias(times))

@@ -357,11 +357,19 @@ def _candidates(nodes: DataFrame, names: list[str], similarity: float, radius: i
     printed = nodes.select("node", "root", fps).select("node", "root", "f.k", "f.fp")
     masked = printed.withColumn("m", F.explode(_tables(radius, 0))).select("node", "root", "k", "fp", F.col("m.t").alias("t"), F.col("fp").bitwiseAND(F.col("m.m")).alias("key"))
     place = ["k", "t", "key"]
-    filled = masked.groupBy(*place).agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select(*place, "n")
-    members = masked.join(filled, place)
-    second = F.when(F.col("n") > WIDE_BUCKET, _tables(radius, 1)).otherwise(F.array(F.struct(F.lit(-1).alias("t"), F.lit(0).cast("long").alias("m"))))
-    members = members.withColumn("m", F.explode(second))
-    members = members.select(F.xxhash64(*place, F.col("m.t"), F.col("fp").bitwiseAND(F.col("m.m"))).alias("g"), "node", "root", "fp")
+    bucket = Window.partitionBy(*place)
+    wide = saved(masked.groupBy(*place).count().filter(F.col("count") > WIDE_BUCKET).select(*place))
+
+    def dealt(rows: DataFrame, t: Column, m: Column) -> DataFrame:
+        return rows.select(F.xxhash64(*place, t, F.col("fp").bitwiseAND(m)).alias("g"), "node", "root", "fp")
+
+    no_wide = wide.isEmpty()
+    narrow = masked if no_wide else masked.join(wide, place, "left_anti")  # at most WIDE_BUCKET rows a bucket from here on
+    met = narrow.withColumns({"lo": F.min("root").over(bucket), "hi": F.max("root").over(bucket)}).filter("lo != hi")
+    members = dealt(met, F.lit(-1), F.lit(0).cast("long"))
+    if not no_wide:
+        again = masked.join(wide, place).withColumn("m", F.explode(_tables(radius, 1)))
+        members = members.unionByName(dealt(again, F.col("m.t"), F.col("m.m")))
     members = members.join(nodes.select("node", "size", "sums", "no"), "node").repartition("g").sortWithinPartitions("g", "node")
     return members.mapInArrow(_unlinked(similarity, radius, times), "a long, b long").distinct()
 
@@ -431,9 +439,9 @@ def _digest(text_col: str) -> Column:
 
 
 def near_copies(
-    docs: DataFrame, words: int = 5, similarity: float = 0.8, radius: int = 3, prints: int = 4, bucket: int = BUCKET, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, words: int = 5, similarity: float = 0.8, radius: int = 3, prints: int = 4, bucket: int = BUCKET, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None
 ) -> DataFrame:
-    """One row per row of ``docs``: row_uid, id, component_row (its group), kept.
+    """One row per row of ``docs``: row_uid (``row_col`` if given), id, component_row (its group), kept.
 
     For similar, not only all but equal, texts: there are ``prints`` independent fingerprints of
     the distinct words; links within ``radius`` bits of any of them come from the same covering
@@ -458,7 +466,8 @@ def near_copies(
 
     names = [f"fp{k}" for k in range(prints)]
 
-    rows = docs.select(F.monotonically_increasing_id().alias("row_uid"), F.col(id_col).cast("long").alias("id"), _digest(text_col).alias("key"), F.col(text_col).alias("text"))
+    uid = F.col(row_col) if row_col else F.monotonically_increasing_id()
+    rows = docs.select(uid.alias("row_uid"), F.col(id_col).cast("long").alias("id"), _digest(text_col).alias("key"), F.col(text_col).alias("text"))
     table = checkpoint(rows.mapInArrow(run, f"row_uid long, id long, key binary, {', '.join(f'{n} long' for n in names)}"))
     # equal texts are one node
     nodes = checkpoint(table.groupBy("key").agg(F.min("row_uid").alias("node"), *[F.min(n).alias(n) for n in names]))
@@ -486,8 +495,8 @@ def _hashes(x: pa.BinaryScalar) -> np.ndarray:
 
 
 def drop_near_copies(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with one row of each group of near copies, all columns kept. ``docs`` must be a
-    scan (its rows are numbered twice, in the same order)."""
+    """``docs`` with one row of each group of near copies, all columns kept: that with the smallest
+    identifier, nulls last, of ties the first row. Null texts count as empty, and empty texts are alike."""
     rows, uid = numbered(docs)
-    kept = near_copies(docs, **options).filter("kept").select(F.col("row_uid").alias(uid))
+    kept = near_copies(rows, row_col=uid, **options).filter("kept").select(F.col("row_uid").alias(uid))
     return rows.join(kept, uid, "left_semi").drop(uid)

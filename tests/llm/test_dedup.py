@@ -223,3 +223,28 @@ def test_components_of_chains_and_stars(spark, monkeypatch, few):
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(61)}, **{i: 100 for i in range(100, 160)}, 300: 300, 301: 300}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_rows_keep_their_numbers(spark, tmp_path):
+    """The stages that drop or repeat rows stay right if a scan is split otherwise at the action."""
+    from cardlens.llm.mixing import take_mix
+
+    rows = [(i, f"text {i % 200} " * 3) for i in range(400)]
+    path = str(tmp_path / "many")
+    spark.createDataFrame([(i, t, "s", "k", "u") for i, t in rows], SCHEMA).repartition(8).write.parquet(path)
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = [spark.conf.get(k) for k in keys]
+    try:
+        plans = {}
+        for k, v in zip(keys, ("128m", "128m")):
+            spark.conf.set(k, v)
+        for name, f in (("exact", lambda d: drop_copies(d, keep="smallest")), ("near", lambda d: H.drop_near_copies(d, words=2, similarity=0.99)), ("mix", take_mix)):
+            plans[name] = f(spark.read.parquet(path))
+        for k, v in zip(keys, ("4k", "1")):
+            spark.conf.set(k, v)
+        assert sorted(r["doc_id"] for r in plans["exact"].collect()) == list(range(200))
+        assert len({r["text"] for r in plans["near"].collect()}) == plans["near"].count() == 200
+        assert plans["mix"].count() == 600
+    finally:
+        for k, v in zip(keys, before):
+            spark.conf.set(k, v)
