@@ -6,8 +6,12 @@ statically is null and never counts as a finding.
 
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from cardlens.functions import scalars as S
 from cardlens.operators import text as T
@@ -18,7 +22,7 @@ _STRINGS = ("id", "component", "children", "content", "text", "label", "title",
 COMPONENT = f"struct<{','.join(f'{c}:string' for c in _STRINGS)},styles:map<string,string>>"
 MESSAGE = (
     "struct<createSurface:struct<surfaceId:string,width:string,height:string>,"
-    f"updateComponents:struct<root:string,components:array<{COMPONENT}>>,updateDataModel:struct<path:string,value:string>>"
+    f"updateComponents:struct<root:string,components:array<{COMPONENT}>>,updateDataModel:struct<path:string,value:variant>>"
 )
 #: Fields that may show text, in order; the component types that show them, with the
 #: fields that come first; fields of an option.
@@ -71,23 +75,23 @@ def _children(raw: Column) -> Column:
 
 def components(msgs: DataFrame) -> DataFrame:
     """(doc_id, ord, id, kind, children, the fields that show text, options, gap, action, styles,
-    declared, is_root, surface_w, surface_h, writes), a row a component.
+    declared, is_root, surface_w, surface_h, model), a row a component.
 
     ``declared``: the component list names it as its root. ``is_root``: the one so named; else the
-    one called root; else the first that is nobody's child. ``writes``: see ``data_model``.
+    one called root; else the first that is nobody's child. ``model``: see ``data_model``.
     """
     lists = F.filter("messages", lambda m: m["updateComponents"].isNotNull())
     all_ = F.flatten(F.transform(lists, lambda m: F.coalesce(m["updateComponents"]["components"], F.array().cast(f"array<{COMPONENT}>"))))
     surfaces = F.filter("messages", lambda m: (number(m["createSurface"]["width"]) > 0) & (number(m["createSurface"]["height"]) > 0))
     rows = msgs.select(
-        "doc_id", all_.alias("all"), F.transform(lists, lambda m: m["updateComponents"]["root"]).alias("roots"), F.get(surfaces, F.lit(0))["createSurface"].alias("surface"), _writes().alias("writes")
+        "doc_id", all_.alias("all"), F.transform(lists, lambda m: m["updateComponents"]["root"]).alias("roots"), F.get(surfaces, F.lit(0))["createSurface"].alias("surface"), _model().alias("model")
     )
     rows = rows.withColumn("ids", F.transform("all", lambda c: c["id"]))
     kids = F.flatten(F.transform("all", lambda c: F.coalesce(_children(c["children"]), F.array().cast("array<string>"))))
     named = F.get(F.filter("roots", lambda x: F.array_contains("ids", x)), F.lit(0))
     free = F.get(F.filter(F.array_except("ids", kids), lambda x: x.isNotNull()), F.lit(0))
     root = F.coalesce(named, F.when(F.array_contains("ids", "root"), "root"), free)
-    rows = rows.select("doc_id", root.alias("root"), "roots", "surface", "writes", F.posexplode("all").alias("ord", "c"))
+    rows = rows.select("doc_id", root.alias("root"), "roots", "surface", "model", F.posexplode("all").alias("ord", "c"))
     styles = F.coalesce("c.styles", F.create_map().cast("map<string,string>"))
     gap = F.coalesce(F.nullif(number(F.col("c.itemMargin")), F.lit(0.0)), number(F.try_element_at(styles, F.lit("itemMargin"))), number(F.col("c.itemMargin")))
     action = F.coalesce(F.size(F.from_json("c.onClick", "array<string>")) > 0, F.lit(False)) | F.coalesce(F.col("c.component") == "Button", F.lit(False))
@@ -95,7 +99,7 @@ def components(msgs: DataFrame) -> DataFrame:
         "doc_id", "ord", "c.id", F.col("c.component").alias("kind"), F.coalesce(_children(F.col("c.children")), F.array().cast("array<string>")).alias("children"),
         *[f"c.{f}" for f in (*FIELDS, "value")], F.coalesce("c.options", "c.items").alias("options"), gap.alias("gap"), action.alias("action"), styles.alias("styles"),
         F.coalesce(F.array_contains("roots", F.col("c.id")), F.lit(False)).alias("declared"), F.coalesce(F.col("c.id") == F.col("root"), F.lit(False)).alias("is_root"),
-        number(F.col("surface.width")).alias("surface_w"), number(F.col("surface.height")).alias("surface_h"), "writes",
+        number(F.col("surface.width")).alias("surface_w"), number(F.col("surface.height")).alias("surface_h"), "model",
     )
 
 
@@ -147,14 +151,52 @@ def problems(docs: DataFrame) -> DataFrame:
     return out
 
 
-def _writes() -> Column:
+@F.pandas_udf(StringType())
+def _deep_set(writes: pd.Series) -> pd.Series:
+    """The model that writes (path, value as JSON) leave when they are made one after another; null for null."""
+
+    def model(rows) -> str | None:
+        if rows is None:
+            return None
+        root: dict = {}
+        for w in rows:
+            value = json.loads(w["value"])
+            keys = [k.replace("~1", "/").replace("~0", "~") for k in w["path"].strip("/").split("/")]
+            if w["path"] in ("", "/"):
+                root = value if isinstance(value, dict) else {"value": value}
+                continue
+            at = root
+            for k in keys[:-1]:
+                if not isinstance(at.get(k), dict):
+                    at[k] = {}
+                at = at[k]
+            at[keys[-1]] = value
+        return json.dumps(root, ensure_ascii=False)
+
+    return writes.map(model)
+
+
+def _model() -> Column:
+    """The data model of a card as JSON: one write at most one step deep is put together here, several
+    go through ``_deep_set``."""
     updates = F.filter("messages", lambda m: m["updateDataModel"].isNotNull())
-    return F.transform(updates, lambda m: F.struct(F.coalesce(m["updateDataModel"]["path"], F.lit("/")).alias("path"), m["updateDataModel"]["value"].alias("value")))
+    writes = F.transform(
+        updates, lambda m: F.struct(F.coalesce(F.nullif(m["updateDataModel"]["path"], F.lit("")), F.lit("/")).alias("path"), F.coalesce(F.to_json(m["updateDataModel"]["value"]), F.lit("{}")).alias("value"))
+    )
+
+    def put(w: Column) -> Column:
+        one, path = F.get(w, F.lit(0)), F.get(w, F.lit(0))["path"]
+        plain = (F.size(w) == 1) & ((path == "/") & one["value"].startswith("{") | path.rlike(r'^/[^/~"\\]+$'))
+        flat = F.when(path == "/", one["value"]).otherwise(F.concat(F.lit('{"'), F.substring(path, F.lit(2), F.length(path)), F.lit('":'), one["value"], F.lit("}")))
+        return F.struct(F.when(F.size(w) == 0, "{}").when(plain, flat).alias("plain"), w.alias("writes"))
+
+    prepared = once(writes, put)
+    return F.coalesce(prepared["plain"], _deep_set(F.when(prepared["plain"].isNull(), prepared["writes"])))
 
 
 def data_model(msgs: DataFrame) -> DataFrame:
-    """(doc_id, writes): (path, value) of the data model updates in order."""
-    return msgs.select("doc_id", _writes().alias("writes"))
+    """(doc_id, model): what the data model updates of a document leave, as JSON."""
+    return msgs.select("doc_id", _model().alias("model"))
 
 
 def once(x: Column, f) -> Column:
@@ -162,31 +204,36 @@ def once(x: Column, f) -> Column:
     return F.get(F.transform(F.array(x), f), F.lit(0))
 
 
-def lookup(writes: Column, pointer: Column) -> Column:
-    """The value at ``pointer``: of the last write whose path leads to it."""
+def lookup(model: Column, pointer: Column) -> Column:
+    """The value of JSON at a pointer, strings without quotes; null where there is none."""
 
     def found(p: Column) -> Column:
-        covering = F.filter(writes, lambda w: (w["path"].isin("", "/")) | (p == w["path"]) | p.startswith(F.concat(w["path"], F.lit("/"))))
+        steps = F.transform(F.filter(F.split(p, "/"), lambda x: x != ""), lambda x: F.replace(F.replace(x, F.lit("~1"), F.lit("/")), F.lit("~0"), F.lit("~")))
+        named = F.transform(steps, lambda x: F.concat(F.lit("['"), x, F.lit("']")))
+        counted = F.transform(steps, lambda x: F.when(x.rlike("^[0-9]+$"), F.concat(F.lit("["), x, F.lit("]"))).otherwise(F.concat(F.lit("['"), x, F.lit("']"))))
+        read = lambda path: F.call_function("get_json_object", model, F.concat(F.lit("$"), F.array_join(path, "")))
+        return F.when(p.rlike(r"/[0-9]+(/|$)"), F.coalesce(read(counted), read(named))).otherwise(read(named))
 
-        def read(last: Column) -> Column:
-            rest = F.when(last["path"].isin("", "/"), p).otherwise(F.substring(p, F.length(last["path"]) + 1, F.length(p)))
-            path = F.concat(F.lit("$"), F.regexp_replace(F.regexp_replace(F.regexp_replace(rest, "^/$", ""), r"/([0-9]+)(?=/|$)", "[$1]"), r"/([^/\[]+)", ".$1"))
-            return F.call_function("get_json_object", last["value"], path)
+    return once(pointer, found)
 
-        return once(F.try_element_at(covering, F.lit(-1)), read)
 
-    return once(pointer, found)
+#: A key of JSON text with its colon, or a value that is no list or object (the group).
+_VALUE = r'"(?:\\.|[^"\\])*"\s*:|("(?:\\.|[^"\\])*"|-?[0-9][-+.0-9eE]*|true|false|null)'
 
 
 def shown_value(x: Column) -> Column:
-    """A bound value as text: the items of a list, or the values of an object, with spaces between
-    them, two levels deep; nothing for null."""
+    """A bound value as text: the values in a list or object, at any depth, in order and with
+    spaces between them; nothing for null."""
 
-    def flat(v: Column, inner) -> Column:
-        items = F.when(v.startswith("["), F.from_json(v, "array<string>")).otherwise(F.map_values(F.from_json(v, "map<string,string>")))
-        return F.when(v.rlike(r"^[\[{]"), F.coalesce(F.array_join(F.transform(items, inner), " "), v)).otherwise(F.coalesce(v, F.lit("")))
+    def plain(v: Column) -> Column:
+        text = F.when(v.startswith('"'), F.get(F.from_json(F.concat(F.lit("["), v, F.lit("]")), "array<string>"), F.lit(0))).otherwise(v)
+        return F.when(v == "null", "").when(v.isin("true", "false"), F.initcap(v)).otherwise(text)
 
-    return once(x, lambda v: flat(v, lambda y: flat(y, lambda z: z)))
+    def flat(v: Column) -> Column:
+        values = F.filter(F.regexp_extract_all(v, F.lit(_VALUE), F.lit(1)), lambda y: y != "")
+        return F.when(v.rlike(r"^\s*[\[{]"), F.array_join(F.transform(values, plain), " ")).otherwise(F.coalesce(v, F.lit("")))
+
+    return once(x, flat)
 
 
 _DATA = r"\$__dataModel((?:\.[A-Za-z_][A-Za-z0-9_]*|\[[0-9]+\])*)"
@@ -198,7 +245,7 @@ def _pointer(expression: Column) -> Column:
     return F.concat(F.lit("/"), F.ltrim(F.regexp_replace(F.regexp_replace(tail, r"\[([0-9]+)\]", ".$1"), r"\.", "/"), F.lit("/")))
 
 
-def _expression(text: Column, writes: Column) -> Column:
+def _expression(text: Column, model: Column) -> Column:
     """``'a' + $__dataModel.b + 1``: the parts one after another; empty if one can't be told."""
     parts = F.transform(F.regexp_extract_all(text, F.lit(r"(?:'(?:\\.|[^'\\])*'|[^+'])+"), F.lit(0)), lambda x: F.trim(x))
 
@@ -206,8 +253,8 @@ def _expression(text: Column, writes: Column) -> Column:
         inner = F.substring(x, F.lit(2), F.length(x) - 2)
         return (
             F.when((F.length(x) >= 2) & x.startswith("'") & x.endswith("'"), inner)
-            .when(x.startswith("${") & x.endswith("}"), shown_value(lookup(writes, F.substring(x, F.lit(3), F.length(x) - 3))))
-            .when(x.startswith("$__dataModel"), shown_value(lookup(writes, _pointer(x))))
+            .when(x.startswith("${") & x.endswith("}"), shown_value(lookup(model, F.substring(x, F.lit(3), F.length(x) - 3))))
+            .when(x.startswith("$__dataModel"), shown_value(lookup(model, _pointer(x))))
             .when(x.rlike(r"^-?[0-9]+(?:\.[0-9]+)?$"), F.regexp_replace(x, r"\.0$", ""))
             .when(~x.rlike(r"[$?:]"), x)
         )
@@ -216,7 +263,7 @@ def _expression(text: Column, writes: Column) -> Column:
     return once(values, lambda v: F.when(F.exists(v, lambda x: x.isNull()), "").otherwise(F.array_join(v, "")))
 
 
-def template(text: Column, writes: Column) -> Column:
+def template(text: Column, model: Column) -> Column:
     """``{{ expression }}``, or a text with ``${/a}`` and ``$__dataModel.a`` in it."""
 
     def filled(x: Column, pattern: str, value) -> Column:
@@ -225,10 +272,10 @@ def template(text: Column, writes: Column) -> Column:
 
     def bound(x: Column) -> Column:
         expression = F.regexp_extract(x, r"^\s*\{\{\s*(.*?)\s*\}\}\s*$", 1)
-        pointers = filled(x, r"\$\{[^}]+\}", lambda p: shown_value(lookup(writes, F.substring(p, F.lit(3), F.length(p) - 3))))
+        pointers = filled(x, r"\$\{[^}]+\}", lambda p: shown_value(lookup(model, F.substring(p, F.lit(3), F.length(p) - 3))))
         data = _DATA.replace("((", "(?:(").replace(")*)", ")*)")
-        plain = once(pointers, lambda y: F.when(y.contains("$__dataModel"), filled(y, data, lambda p: shown_value(lookup(writes, _pointer(p))))).otherwise(y))
-        return F.when(x.rlike(r"^\s*\{\{.*\}\}\s*$"), _expression(expression, writes)).when(x.contains("$"), plain).otherwise(x)
+        plain = once(pointers, lambda y: F.when(y.contains("$__dataModel"), filled(y, data, lambda p: shown_value(lookup(model, _pointer(p))))).otherwise(y))
+        return F.when(x.rlike(r"^\s*\{\{.*\}\}\s*$"), _expression(expression, model)).when(x.contains("$"), plain).otherwise(x)
 
     return once(text, bound)
 
@@ -236,16 +283,16 @@ def template(text: Column, writes: Column) -> Column:
 _DYNAMIC = "struct<path:string,call:string,args:struct<value:string>,value:string>"
 
 
-def bind(text: Column, writes: Column) -> Column:
+def bind(text: Column, model: Column) -> Column:
     """A dynamic text with its data: a literal, a template, or an object with a path, a value or a
     call of formatString. Null for null; empty for an object that says nothing."""
 
     def from_object(o: Column) -> Column:
         format_ = F.when(o["call"] == "formatString", o["args"]["value"])
         path = F.coalesce(o["path"], F.get_json_object(format_, "$.path"))
-        return F.when(path.isNotNull(), shown_value(lookup(writes, path))).otherwise(template(F.coalesce(format_, o["value"], F.lit("")), writes))
+        return F.when(path.isNotNull(), shown_value(lookup(model, path))).otherwise(template(F.coalesce(format_, o["value"], F.lit("")), model))
 
-    return F.when(text.rlike(r"^\{(?!\{)"), once(F.from_json(text, _DYNAMIC), from_object)).otherwise(template(text, writes))
+    return F.when(text.rlike(r"^\{(?!\{)"), once(F.from_json(text, _DYNAMIC), from_object)).otherwise(template(text, model))
 
 
 def _fields(kind: Column) -> Column:
@@ -266,7 +313,7 @@ def with_texts(comps: DataFrame) -> DataFrame:
     each text once; blank and decorative texts are left out. Options come after the fields."""
     kind = kind_of(F.col("kind"))
     own = F.transform(_fields(kind), lambda f: F.struct(f.alias("field"), _raw(f).alias("raw")))
-    given = F.when(F.col("options").startswith("{"), lookup(F.col("writes"), F.get_json_object("options", "$.path"))).otherwise(F.col("options"))
+    given = F.when(F.col("options").startswith("{"), lookup(F.col("model"), F.get_json_object("options", "$.path"))).otherwise(F.col("options"))
 
     def option(x: Column, i: Column) -> Column:
         at = F.concat(F.lit("options["), i.cast("string"), F.lit("]"))
@@ -276,7 +323,7 @@ def with_texts(comps: DataFrame) -> DataFrame:
     options = F.when(_fields(kind).isNotNull(), F.flatten(F.transform(F.from_json(given, "array<string>"), option)))
     empty = F.array().cast("array<struct<field:string,raw:string>>")
     raw = F.filter(F.concat(F.coalesce(own, empty), F.coalesce(options, empty)), lambda x: x["raw"].isNotNull())
-    bound = F.transform(raw, lambda x: F.struct(x["field"].alias("field"), T.display_texts(bind(x["raw"], F.col("writes"))).alias("text")))
+    bound = F.transform(raw, lambda x: F.struct(x["field"].alias("field"), T.display_texts(bind(x["raw"], F.col("model"))).alias("text")))
     shown = F.filter(bound, lambda x: x["text"].isNotNull())
     first = once(shown, lambda all_: F.filter(all_, lambda x, i: ~F.exists(F.slice(all_, 1, i), lambda y: y["text"] == x["text"])))
     return comps.withColumn("texts", first)
@@ -376,6 +423,23 @@ def layout(docs: DataFrame, width: float = 160.0, height: float = 160.0) -> Data
     return out.select("doc_id", "id", "kind", "depth", "x", "y", "w", "h")
 
 
+def hidden_components(comps: DataFrame) -> DataFrame:
+    """(doc_id, id) of the components (doc_id, id, children, styles) that aren't shown, or are below
+    one that isn't. Only documents that hide something are walked."""
+    tree = saved(comps.select("doc_id", "id", "children", F.coalesce(F.try_element_at("styles", F.lit("visibility")).isin("hidden", "none"), F.lit(False)).alias("hidden")))
+    tree = tree.join(tree.filter("hidden").select("doc_id").distinct(), "doc_id", "left_semi")
+    parents = edges(tree).groupBy("doc_id", "id").agg(F.min("parent").alias("parent"))
+    tree = tree.join(parents, ["doc_id", "id"], "left").select("doc_id", F.col("id").alias("node"), "parent", "hidden")
+    up = walked(tree, {"hidden": (F.col("hidden"), lambda a, b: a | b)}, ["doc_id"])
+    return up.filter("hidden").select("doc_id", F.col("node").alias("id")).distinct()
+
+
+def shown_components(comps: DataFrame) -> DataFrame:
+    """``comps`` without ``hidden_components``; a written table."""
+    comps = saved(comps)
+    return saved(comps.join(hidden_components(comps), ["doc_id", "id"], "left_anti"))
+
+
 def _finding(rows: DataFrame, code: str, severity: str, actual: Column, expected: Column) -> DataFrame:
     return rows.select("doc_id", F.col("id"), F.lit(code).alias("code"), F.lit(severity).alias("severity"), actual.cast("double").alias("actual"), expected.cast("double").alias("expected"))
 
@@ -385,9 +449,10 @@ def diagnostics(docs: DataFrame) -> DataFrame:
 
     Rules: fixed sizes that overflow; low gaps between text and icon, and between rounded
     controls; text wider than its box; small action targets; spacing off the token scale; too many
-    font sizes, bold texts or radii; low contrast of text on its surface.
+    font sizes, bold texts or radii; low contrast of text on its surface. What is hidden, itself or
+    by what it is in, is no part of any rule.
     """
-    comps = saved(with_texts(components(messages(docs))).withColumn("shown", F.get("texts", F.lit(0))["text"]).select("doc_id", "id", "kind", "children", "gap", "action", "styles", "shown"))
+    comps = shown_components(with_texts(components(messages(docs))).withColumn("shown", F.get("texts", F.lit(0))["text"]).select("doc_id", "id", "kind", "children", "gap", "action", "styles", "shown"))
     e = edges(comps)
     cols = {"w": style("width"), "h": style("height"), "radius": style("borderRadius"), "fs": style("fontSize"), "weight": style("fontWeight"), "pad": style("padding")}
     flat = comps.select("doc_id", "id", "kind", "gap", "action", "shown", F.element_at("styles", F.lit("backgroundColor")).alias("bg"), F.element_at("styles", F.lit("fontColor")).alias("fg"), *[v.alias(k) for k, v in cols.items()])
@@ -459,7 +524,7 @@ def statuses(docs: DataFrame, findings: DataFrame, reasons: DataFrame, verdicts:
 
 def text_icon_verdicts(docs: DataFrame) -> DataFrame:
     """(doc_id, candidates, verdict): issue, not_applicable, undetermined or clear for checkboxes next to text."""
-    comps = saved(components(messages(docs)).select("doc_id", "id", "kind", "children", "gap", "styles"))
+    comps = shown_components(components(messages(docs)).select("doc_id", "id", "kind", "children", "gap", "styles"))
     kids = edges(comps).join(comps.select("doc_id", "id", "kind", style("width").alias("w")), ["doc_id", "id"])
     order = Window.partitionBy("doc_id", "parent").orderBy("pos")
     pairs = kids.withColumn("n_kind", F.lead("kind").over(order)).filter("kind = 'Checkbox' AND n_kind = 'Text'")

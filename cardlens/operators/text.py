@@ -60,27 +60,51 @@ def similarity(a: Column, b: Column) -> Column:
     return F.coalesce(containment(x, y), sequence_ratio(x, y))
 
 
+#: Classes of characters whose counts bound a similarity.
+_CLASSES = 8
+
+
+def _class_counts(x: Column) -> Column:
+    """How many characters of each class (code point modulo ``_CLASSES``) a text has."""
+    classes = F.transform(F.split(x, ""), lambda c: F.ascii(c) % _CLASSES)
+    return F.transform(F.sequence(F.lit(0), F.lit(_CLASSES - 1)), lambda k: F.size(F.filter(classes, lambda c: c == k)))
+
+
 def best_match(required: DataFrame, seen: DataFrame, least_share: float = 0.5) -> DataFrame:
     """required (key, id, text) x seen (key, ord, text) of the same key: id, ord, similarity of the
-    likest, the first of equals; no ord and 0 where none is likely enough. The ratio of two lengths bounds the similarity from above, so pairs
-    that cannot reach ``least_share`` are left out before texts are compared."""
-    a = required.select("key", "id", S.normalize_text(F.col("text")).alias("a"))
-    b = seen.select("key", "ord", S.normalize_text(F.col("text")).alias("b"))
-    pairs = a.join(b, "key").filter(2 * F.least(F.length("a"), F.length("b")) / (F.length("a") + F.length("b")) >= least_share)
+    likest, the first of equals; no ord and 0 where none is likely enough.
+
+    Twice the characters that two texts have in common, over all of theirs, bounds the similarity
+    from above; so does the same sum over classes of characters, or over lengths alone. Pairs that
+    cannot reach ``least_share`` are left out before texts are compared.
+    """
+    a = required.select("key", "id", S.normalize_text(F.col("text")).alias("a")).withColumn("ca", _class_counts(F.col("a")))
+    b = seen.select("key", "ord", S.normalize_text(F.col("text")).alias("b")).withColumn("cb", _class_counts(F.col("b")))
+    both = F.length("a") + F.length("b")
+    shared = F.aggregate(F.zip_with("ca", "cb", lambda x, y: F.least(x, y)), F.lit(0), lambda acc, x: acc + x)
+    pairs = a.join(b, "key").filter((2 * F.least(F.length("a"), F.length("b")) / both >= least_share) & (2 * shared / both >= least_share))
     scored = pairs.withColumn("s", F.coalesce(containment(F.col("a"), F.col("b")), sequence_ratio("a", "b")))
     best = scored.groupBy("id").agg(F.max(F.struct("s", (-F.col("ord")).alias("o"))).alias("m"))
     best = best.select("id", (-F.col("m.o")).alias("ord"), F.col("m.s").alias("similarity"))
     return required.select("id").join(best, "id", "left").select("id", "ord", F.coalesce("similarity", F.lit(0.0)).alias("similarity"))
 
 
+#: Fixed value: from this similarity on, a text is taken for the required one.
+SAME = 0.9
+
+
 def slot_coverage(required: DataFrame, seen: DataFrame) -> DataFrame:
     """id, status, score of required (key, id, text) against all text seen (key, ord, text) under its key.
 
-    In this order: contained, numbers without units, numbers, missing.
+    In this order: contained in the texts as a whole, or nearly the same as one of them; numbers
+    without units; numbers; missing.
     """
     joined = seen.groupBy("key").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "text"))), lambda x: x["text"]), " ").alias("all"))
     out = required.join(joined, "key", "left").withColumn("all", S.normalize_text(F.col("all"))).withColumn("norm", S.normalize_text(F.col("text")))
-    out = out.withColumn("slots", text_slots(F.coalesce("text", F.lit(""))))
+    inside = (F.length("norm") >= 2) & F.contains(F.col("all"), F.col("norm"))
+    out = out.withColumn("inside", F.coalesce(inside, F.lit(False)))
+    near = best_match(out.filter("NOT inside").select("key", "id", "text"), seen, SAME).filter(F.col("similarity") >= SAME)
+    out = out.join(near.select("id", F.lit(True).alias("near")), "id", "left").withColumn("slots", text_slots(F.coalesce("text", F.lit(""))))
     numbers, units = F.col("slots.numbers"), F.col("slots.units")
     found = F.forall(numbers, lambda n: F.contains(F.col("all"), S.normalize_text(n)))
 
@@ -95,7 +119,7 @@ def slot_coverage(required: DataFrame, seen: DataFrame) -> DataFrame:
 
     has = F.size(numbers) > 0
     status = (
-        F.when((F.length("norm") >= 2) & F.contains(F.col("all"), F.col("norm")), "pass")
+        F.when(F.col("inside") | F.col("near"), "pass")
         .when(has & found & (F.size(units) > 0) & ~F.forall(units, unit_found), "weak_pass")
         .when(has & found, "numeric_pass")
         .otherwise("missing")

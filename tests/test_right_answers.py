@@ -1,5 +1,6 @@
 """Results that an earlier oracle had wrong, against plain Python."""
 
+import difflib
 import json
 import random
 import re
@@ -56,11 +57,17 @@ def test_slots_of_whole_texts(spark):
     atoms = ["25℃", "26 元", "30", "7.50%", "温度", "cache", "3 min", "12 小时", "°C", "-4", "x"]
     required = [(k, k * 10 + i, " ".join(rng.choice(atoms) for _ in range(rng.randint(1, 3)))) for k in range(6) for i in range(8)]
     seen = [(k, i, " ".join(rng.choice(atoms) for _ in range(rng.randint(1, 4)))) for k in range(5) for i in range(3)] + [(5, 0, "25 rooms")]
-    required.append((5, 999, "25℃"))
+    required += [(5, 999, "25℃"), (6, 1000, "today sunny weather forecasts"), (6, 1001, "a text of which one is short")]
+    seen += [(6, 1, "today sunny weather forecast5"), (6, 2, "b text of which one is short"), (6, 3, "today sunny whether forecasts are")]
     norm = lambda t: spark.range(1).select(T.S.normalize_text(F.lit(t)).alias("x")).first()["x"]
-    everything = {k: norm(" ".join(t for q, _, t in seen if q == k)) for k in range(6)}
+    everything = {k: norm(" ".join(t for q, _, t in seen if q == k)) for k in range(7)}
     spellings = {s: n for n, all_ in T.UNITS.items() for s in all_ if s != "c"}
 
+    def likeness(a, b):
+        if not a or not b:
+            return 0.0
+        return min(len(a), len(b)) / max(len(a), len(b)) if a in b or b in a else difflib.SequenceMatcher(None, a, b).ratio()
+
     def number(x):
         x = x.lstrip("+")
         return (x.rstrip("0").rstrip(".") if "." in x else x) or "0"
@@ -72,6 +79,8 @@ def test_slots_of_whole_texts(spark):
         n = norm(t)
         if len(n) >= 2 and n in all_:
             return "pass"
+        if any(likeness(n, norm(s)) >= 0.9 for q, _, s in seen if q == k):
+            return "pass"
         numbers = [number(x) for x in re.findall(T.NUMBER, t)]
         units = [spellings.get(u.lower(), u.lower()) for u in re.findall(T.UNIT[4:], t, flags=re.I)]
         if not numbers or not all(norm(x) in all_ for x in numbers):
@@ -81,3 +90,58 @@ def test_slots_of_whole_texts(spark):
 
     got = {r["id"]: r["status"] for r in T.slot_coverage(spark.createDataFrame(required, "key long, id long, text string"), spark.createDataFrame(seen, "key long, ord long, text string")).collect()}
     assert got == {i: status(k, t) for k, i, t in required} and len(set(got.values())) == 4
+    assert got[1000] == got[1001] == "pass"  # neither is contained, both are nearly there
+
+
+def test_models_are_written_in_order(spark):
+    """Random writes at random depths against a plain fold; strings, objects and lists at their own path."""
+    rng = random.Random(3)
+    paths = ["/", "/a", "/a/b", "/a/b/c", "/d", "/d/0", "/x~1y", "/a/b~0"]
+    values = ["new", 5, True, None, "", {"b": "old", "c": {"d": [1, {"e": "deep"}]}}, ["x", ["y", ["z"]]], 'qu"ote', 1.5]
+
+    def put(model, path, value):
+        if path == "/":
+            return value if isinstance(value, dict) else {"value": value}
+        keys = [k.replace("~1", "/").replace("~0", "~") for k in path.strip("/").split("/")]
+        at = model
+        for k in keys[:-1]:
+            at[k] = at[k] if isinstance(at.get(k), dict) else {}
+            at = at[k]
+        at[keys[-1]] = value
+        return model
+
+    docs, want = [], {}
+    for i in range(120):
+        writes = [(rng.choice(paths), rng.choice(values)) for _ in range(rng.randint(0, 4))]
+        lines = [json.dumps({"createSurface": {"surfaceId": "s"}})] + [json.dumps({"updateDataModel": {"path": p, "value": v}}) for p, v in writes]
+        docs.append((i, "\n".join(lines)))
+        model = {}
+        for p, v in writes:
+            model = put(model, p, json.loads(json.dumps(v)))
+        want[i] = model
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r["doc_id"]: json.loads(r["model"]) for r in C.data_model(C.messages(table)).collect()}
+    assert got == want
+
+
+def test_bound_strings_and_deep_values_are_shown(spark):
+    def card(*writes):
+        texts = [{"id": f"t{i}", "component": "Text", "content": {"path": p}} for i, p in enumerate(["/a/b", "/a", "/list"])]
+        root = {"id": "root", "component": "Column", "children": ["t0", "t1", "t2"]}
+        rows = [{"createSurface": {"surfaceId": "s"}}, {"updateComponents": {"root": "root", "components": [root, *texts]}}]
+        return "\n".join(json.dumps(x, ensure_ascii=False) for x in rows + [{"updateDataModel": {"path": p, "value": v}} for p, v in writes])
+
+    docs = spark.createDataFrame([(1, card(("/a", {"b": "old"}), ("/a/b", "new"))), (2, card(("/list", ["x", ["y", {"k": ["z", 1]}]]), ("/a", {"b": "b", "c": {"d": "d"}})))], "doc_id long, text string")
+    got = {(r["doc_id"], r["id"]): r["text"] for r in C.required_texts(docs).collect()}
+    assert got == {(1, "t0"): "new", (1, "t1"): "new", (2, "t0"): "b", (2, "t1"): "b d", (2, "t2"): "x y z 1"}
+
+
+def test_hidden_components_have_no_findings(spark):
+    def card(hidden):
+        styles = {"width": 10, "fontSize": 20, "fontColor": "#777777"}
+        text = {"id": "t", "component": "Text", "content": "a long text that is cut", "styles": styles}
+        box = {"id": "box", "component": "Column", "children": ["t"], "styles": {"backgroundColor": "#888888"} | ({"visibility": "hidden"} if hidden else {})}
+        return "\n".join(json.dumps(x) for x in [{"createSurface": {"surfaceId": "s"}}, {"updateComponents": {"root": "root", "components": [{"id": "root", "component": "Column", "children": ["box"]}, box, text]}}])
+
+    got = C.diagnostics(spark.createDataFrame([(1, card(False)), (2, card(True))], "doc_id long, text string")).collect()
+    assert {r["code"] for r in got if r["doc_id"] == 1} == {"TEXT_CLIP_RISK", "COLOR_CONTRAST_LOW"} and not [r for r in got if r["doc_id"] == 2]

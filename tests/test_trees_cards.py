@@ -54,7 +54,7 @@ def cards(spark, *texts):
 
 
 def bound(spark, text, model):
-    rows = spark.createDataFrame([(text, [("/", json.dumps(model, ensure_ascii=False))])], "t string, w array<struct<path:string,value:string>>")
+    rows = spark.createDataFrame([(text, json.dumps(model, ensure_ascii=False))], "t string, w string")
     return rows.select(C.bind(F.col("t"), F.col("w")).alias("x")).first()["x"]
 
 
