@@ -47,17 +47,17 @@ OPTION_FIELDS = ("label", "title", "text", "content", "value")
 TOKENS = list(range(0, 17, 2))
 
 
-def messages(docs: DataFrame) -> DataFrame:
+def messages(docs: DataFrame, message: str = MESSAGE) -> DataFrame:
     """(doc_id, messages): the messages of a text in order, whatever its encoding, each parsed
-    once; lines that are no message are left out."""
+    once as a ``message``; lines that are no message are left out."""
 
     def found(body: Column) -> Column:
         lines = F.filter(F.transform(F.split(body, r"\r?\n"), lambda x: F.regexp_replace(F.trim(x), r",$", "")), lambda x: x.startswith("{"))
-        return F.when(body.startswith("["), F.from_json(body, f"array<{MESSAGE}>")).otherwise(F.transform(lines, lambda x: F.from_json(x, MESSAGE)))
+        return F.when(body.startswith("["), F.from_json(body, f"array<{message}>")).otherwise(F.transform(lines, lambda x: F.from_json(x, message)))
 
     body = F.trim(T.strip_fence(F.regexp_replace(F.col("text"), "^﻿", ""), "genui"))
     known = F.filter(once(body, found), lambda m: m["createSurface"].isNotNull() | m["updateComponents"].isNotNull() | m["updateDataModel"].isNotNull())
-    return docs.select("doc_id", F.coalesce(known, F.array().cast(f"array<{MESSAGE}>")).alias("messages"))
+    return docs.select("doc_id", F.coalesce(known, F.array().cast(f"array<{message}>")).alias("messages"))
 
 
 def complete(docs: DataFrame) -> DataFrame:
@@ -68,7 +68,7 @@ def complete(docs: DataFrame) -> DataFrame:
     return messages(docs).select("doc_id", (there("createSurface") & there("updateComponents") & there("updateDataModel")).alias("complete"))
 
 
-def _children(raw: Column) -> Column:
+def child_ids(raw: Column) -> Column:
     ids = F.coalesce(F.from_json(raw, "array<string>"), F.array(F.get_json_object(raw, "$.componentId")))
     return F.filter(ids, lambda x: x.isNotNull())
 
@@ -84,10 +84,10 @@ def components(msgs: DataFrame) -> DataFrame:
     all_ = F.flatten(F.transform(lists, lambda m: F.coalesce(m["updateComponents"]["components"], F.array().cast(f"array<{COMPONENT}>"))))
     surfaces = F.filter("messages", lambda m: (number(m["createSurface"]["width"]) > 0) & (number(m["createSurface"]["height"]) > 0))
     rows = msgs.select(
-        "doc_id", all_.alias("all"), F.transform(lists, lambda m: m["updateComponents"]["root"]).alias("roots"), F.get(surfaces, F.lit(0))["createSurface"].alias("surface"), _model().alias("model")
+        "doc_id", all_.alias("all"), F.transform(lists, lambda m: m["updateComponents"]["root"]).alias("roots"), F.get(surfaces, F.lit(0))["createSurface"].alias("surface"), model_of().alias("model")
     )
     rows = rows.withColumn("ids", F.transform("all", lambda c: c["id"]))
-    kids = F.flatten(F.transform("all", lambda c: F.coalesce(_children(c["children"]), F.array().cast("array<string>"))))
+    kids = F.flatten(F.transform("all", lambda c: F.coalesce(child_ids(c["children"]), F.array().cast("array<string>"))))
     named = F.get(F.filter("roots", lambda x: F.array_contains("ids", x)), F.lit(0))
     free = F.get(F.filter(F.array_except("ids", kids), lambda x: x.isNotNull()), F.lit(0))
     root = F.coalesce(named, F.when(F.array_contains("ids", "root"), "root"), free)
@@ -96,7 +96,7 @@ def components(msgs: DataFrame) -> DataFrame:
     gap = F.coalesce(F.nullif(number(F.col("c.itemMargin")), F.lit(0.0)), number(F.try_element_at(styles, F.lit("itemMargin"))), number(F.col("c.itemMargin")))
     action = F.coalesce(F.size(F.from_json("c.onClick", "array<string>")) > 0, F.lit(False)) | F.coalesce(F.col("c.component") == "Button", F.lit(False))
     return rows.select(
-        "doc_id", "ord", "c.id", F.col("c.component").alias("kind"), F.coalesce(_children(F.col("c.children")), F.array().cast("array<string>")).alias("children"),
+        "doc_id", "ord", "c.id", F.col("c.component").alias("kind"), F.coalesce(child_ids(F.col("c.children")), F.array().cast("array<string>")).alias("children"),
         *[f"c.{f}" for f in (*FIELDS, "value")], F.coalesce("c.options", "c.items").alias("options"), gap.alias("gap"), action.alias("action"), styles.alias("styles"),
         F.coalesce(F.array_contains("roots", F.col("c.id")), F.lit(False)).alias("declared"), F.coalesce(F.col("c.id") == F.col("root"), F.lit(False)).alias("is_root"),
         number(F.col("surface.width")).alias("surface_w"), number(F.col("surface.height")).alias("surface_h"), "model",
@@ -176,7 +176,7 @@ def _deep_set(writes: pd.Series) -> pd.Series:
     return writes.map(model)
 
 
-def _model() -> Column:
+def model_of() -> Column:
     """The data model of a card as JSON: one write at most one step deep is put together here, several
     go through ``_deep_set``."""
     updates = F.filter("messages", lambda m: m["updateDataModel"].isNotNull())
@@ -196,7 +196,7 @@ def _model() -> Column:
 
 def data_model(msgs: DataFrame) -> DataFrame:
     """(doc_id, model): what the data model updates of a document leave, as JSON."""
-    return msgs.select("doc_id", _model().alias("model"))
+    return msgs.select("doc_id", model_of().alias("model"))
 
 
 def once(x: Column, f) -> Column:

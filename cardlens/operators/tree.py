@@ -99,15 +99,65 @@ def validity(tree: DataFrame, key: list[str] | None = None) -> DataFrame:
 
 
 def on_cycles(tree: DataFrame, key: list[str] | None = None) -> DataFrame:
-    """(key..., node) that are their own ancestors: of the nodes whose walk up never ends, those
-    that are left when nodes without children are taken away again and again."""
+    """(key..., node) that are their own ancestors.
+
+    Where a walk up never ends it comes to a cycle within as many steps as there are nodes, and
+    from then on stays on it. So the nodes that such walks reach after that many steps, a number
+    doubled in each round, are those of the cycles. Nodes with several parents take the closure.
+    """
     key = key or []
+    links = tree.filter("parent IS NOT NULL").select(*key, "node", F.col("parent").alias("up")).distinct()
+    if not links.groupBy(*key, "node").count().filter("count > 1").isEmpty():
+        known = _shortest(links.select(*key, "node", F.col("up").alias("ancestor"), F.lit(1).alias("distance")), key)
+        both = known.join(known.select(*key, F.col("node").alias("ancestor"), F.col("ancestor").alias("node")), [*key, "node", "ancestor"], "left_semi")
+        return both.select(*key, "node").union(links.filter("node = up").select(*key, "node")).distinct()
     endless = walked(tree, {}, key).filter("NOT ended").select(*key, "node").distinct()
-    rest, left = saved(tree.join(endless, [*key, "node"], "left_semi").select(*key, "node", "parent")), None
-    while (n := rest.count()) != left:
-        left = n
-        rest = saved(rest.join(rest.select(*key, F.col("parent").alias("node")).distinct(), [*key, "node"], "left_semi"))
-    return rest.select(*key, "node").distinct()
+    rest = saved(links.join(endless, [*key, "node"], "left_semi"))
+    steps, n = 1, rest.count()
+    while steps < n:
+        rest = saved(rest.join(rest.select(*key, F.col("node").alias("up"), F.col("up").alias("_up")), [*key, "up"]).select(*key, "node", F.col("_up").alias("up")))
+        steps *= 2
+    return rest.select(*key, F.col("up").alias("node")).distinct()
+
+
+def fold_up(tree: DataFrame, values: dict[str, tuple[Column, Callable[[Column], Column], Callable[[Column, Column], Column]]], key: list[str] | None = None) -> DataFrame:
+    """(key..., node, ended, values...): what a node and all nodes below it add up to.
+
+    ``values``: by name, a node's own value, the aggregate that brings those of several nodes
+    together (F.sum, F.max) and the same for two. In a round a node knows all that is fewer than 2^k
+    steps below it and gets what the nodes exactly 2^k steps below know, so each counts once and a
+    tree of depth d takes log2(d) rounds. ``ended`` is false on and below cycles. A node has one parent.
+    """
+    key, names = key or [], list(values)
+    state = saved(tree.select(*key, "node", F.col("parent").alias("up"), *[own.alias(n) for n, (own, *_) in values.items()]))
+    left = None
+    while True:
+        pending = state.filter("up IS NOT NULL").count()
+        if not pending or pending == left:
+            return state.select(*key, "node", F.col("up").isNull().alias("ended"), *names)
+        left = pending
+        given = state.filter("up IS NOT NULL").groupBy(*key, F.col("up").alias("node")).agg(*[agg(F.col(n)).alias(f"_{n}") for n, (_, agg, _) in values.items()])
+        above = state.select(*key, F.col("node").alias("up"), F.col("up").alias("_up"))
+        joined = state.join(given, [*key, "node"], "left").join(above, [*key, "up"], "left")
+        merged = [F.when(F.col(f"_{n}").isNull(), F.col(n)).otherwise(two(F.col(n), F.col(f"_{n}"))).alias(n) for n, (*_, two) in values.items()]
+        state = saved(joined.select(*key, "node", F.col("_up").alias("up"), *merged))
+
+
+def intervals(tree: DataFrame, key: list[str] | None = None, values: dict | None = None) -> DataFrame:
+    """(key..., node, first, last, values...): labels by which x is y or below it if and only if
+    x.first lies from y.first to y.last, so that ancestry is a comparison inside a join.
+
+    ``first`` is the place of a node in pre-order by ``pos``, ``last`` that of the last node below it.
+    ``values`` are folded up in the same rounds (see ``fold_up``). Nodes on or below cycles are left out.
+    """
+    key = key or []
+    one = F.lit(1).cast("long")
+    sizes = fold_up(tree, {"_size": (one, F.sum, lambda a, b: a + b)} | (values or {}), key).filter("ended").drop("ended")
+    rows = saved(tree.select(*key, "node", "parent", "pos").join(sizes, [*key, "node"]))
+    before = Window.partitionBy(*key, "parent").orderBy("pos", "node").rowsBetween(Window.unboundedPreceding, -1)
+    own = rows.withColumn("_own", F.coalesce(F.sum("_size").over(before), F.lit(0)) + 1)
+    first = walked(own, {"first": (F.col("_own"), lambda a, b: a + b)}, key).filter("ended").select(*key, "node", "first")
+    return rows.join(first, [*key, "node"]).select(*key, "node", "first", (F.col("first") + F.col("_size") - 1).alias("last"), *(values or {}))
 
 
 def depth_first(tree: DataFrame, key: list[str] | None = None) -> DataFrame:

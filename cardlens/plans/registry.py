@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cardlens.plans import cards, evidence, fusion, geometry, streams, surfaces, text, trees  # noqa: F401  (they register their queries)
+from cardlens.plans import cards, evidence, fusion, geometry, static, streams, surfaces, text, trees  # noqa: F401  (they register their queries)
 from cardlens.plans.base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES", "flagship"]

@@ -99,3 +99,49 @@ def card_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = F.concat_ws("\n", surface, update, model)
     text = F.when(F.col("doc_id") % 3 == 0, array).when(F.col("doc_id") % 3 == 1, lines).otherwise(F.concat(F.lit("Here it is:\n```genui\n"), lines, F.lit("\n```\nDone.")))
     return cards.select("doc_id", text.alias("text"))
+
+
+def layered_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, text): a card for each order whose lines are stacks of a picture and a text.
+
+    A line's text comes before or after its picture, sometimes with a full layer between; some pictures
+    are hidden, some texts say nothing of their height, some stacks are aligned by an unknown word or
+    painted with a veil, a gradient or a picture. A rounded footer follows the lines.
+    """
+    s = lambda c: c.cast("string")
+    num = lambda c: c.cast("long")
+    none = F.lit(None).cast("string")
+    keys = {"width": "string", "height": "string", "padding": "long", "alignContent": "string", "visibility": "string", "backgroundColor": "string", "backgroundImage": "string", "fontColor": "string", "borderRadius": "long",
+            "linearGradient": "struct<colors:array<array<string>>>"}
+
+    def component(name: Column, kind: str, children: Column | None = None, content: Column | None = None, gap: Column | None = None, **styles: Column) -> Column:
+        style = F.struct(*[(styles[k] if k in styles else F.lit(None)).cast(t).alias(k) for k, t in keys.items()])
+        fields = {"id": name, "component": F.lit(kind), "children": children if children is not None else F.lit(None).cast("array<string>"), "content": none if content is None else content,
+                  "itemMargin": F.lit(None).cast("long") if gap is None else gap, "styles": style}
+        return F.struct(*[v.alias(k) for k, v in fields.items()])
+
+    part, supp, line = F.col("part"), F.col("supp"), F.col("line")
+    stack, image, text, layer = (F.concat(F.lit(p), s(F.col("ord"))) for p in "smtc")
+    covered = line % 3 == 0
+    order = F.when(supp % 2 == 1, F.array(text, image)).when(covered, F.array(image, layer, text)).otherwise(F.array(image, text))
+    align = F.when(supp % 8 == 5, "weird").when(supp % 4 == 1, "start").when(supp % 4 == 2, "end")
+    paint = part % 5
+    gradient = F.when(paint == 2, F.struct(F.array(F.array(_hex(part), F.lit("0")), F.array(_hex(part + 1), F.lit("1"))).alias("colors")))
+    ground = F.when(paint == 0, _hex(part)).when(paint == 1, F.concat(F.lit("#80"), F.substring(_hex(part), 2, 6)))
+    w, h = num(90 + 4 * line), num(40 + 2 * line)
+    boxes = F.array(
+        component(stack, "Stack", order, width=w, height=h, padding=num(part % 3 * 2), alignContent=align, backgroundColor=ground, linearGradient=gradient, backgroundImage=F.when(paint == 3, "a.png")),
+        component(image, "Image", width=num(20 + part % 30), height=num(16 + part % 20), visibility=F.when(part % 7 == 0, "hidden")),
+        component(text, "Text", None, F.concat(F.lit("item "), s(line)), width=num(30 + supp % 40), height=F.when(part % 4 != 0, 18), fontColor=_hex(supp)),
+    )
+    extra = F.when(covered & (supp % 2 == 0), F.array(component(layer, "Text", None, F.lit(""), width=F.lit("100%"), height=F.lit("matchParent"), backgroundColor=_hex(part + 2))))
+    parts = F.concat(boxes, F.coalesce(extra, F.array()))
+    cards = card_items(spark, sf_dir).groupBy("doc_id").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("ord", parts.alias("parts")))), lambda x: x["parts"]).alias("parts"),
+        F.transform(F.array_sort(F.collect_list("ord")), lambda x: F.concat(F.lit("s"), x.cast("string"))).alias("rows"),
+    )
+    root = component(F.lit("root"), "Column", F.concat(F.col("rows"), F.array(F.lit("foot"))), None, num(F.col("doc_id") % 3), width=F.lit("matchParent"), height=F.lit("matchParent"), backgroundColor=F.lit("#FFFFFF"))
+    foot = component(F.lit("foot"), "Row", F.array().cast("array<string>"), width=num(F.lit(100)), height=num(F.lit(30)), backgroundColor=F.lit("#EEEEEE"), borderRadius=num(F.lit(12)))
+    surface = F.to_json(F.struct(F.struct(F.lit("s").alias("surfaceId"), F.lit(160).alias("width"), F.lit(600).alias("height")).alias("createSurface")))
+    update = F.to_json(F.struct(F.struct(F.lit("s").alias("surfaceId"), F.lit("root").alias("root"), F.concat(F.array(root), F.flatten("parts"), F.array(foot)).alias("components")).alias("updateComponents")))
+    return cards.select("doc_id", F.concat_ws("\n", surface, update).alias("text"))
