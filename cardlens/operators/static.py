@@ -26,6 +26,10 @@ STRICT = {"start": ("start", "flex-start"), "center": ("center",), "end": ("end"
 STACK = {"start": ("start", "topStart", "topLeft"), "center": ("center",), "end": ("end", "bottomEnd", "bottomRight")}
 PAINT = ("backgroundColor", "linearGradient", "borderColor", "borderWidth")
 COVER_FIELDS = ("width", "height", "backgroundColor", "visibility", "maxLines")
+STYLES = (
+    "width", "height", "padding", "margin", "justifyContent", "alignItems", "alignContent", "visibility", "borderRadius", "backgroundColor", "backgroundImage", "linearGradient", "borderColor", "borderWidth",
+    "constraintSize", "layoutWeight", "flexGrow", "flexShrink", "fontColor", "fontSize", "fontWeight", "minFontSize", "maxFontSize", "maxLines",
+)
 FLEXIBLE = ("constraintSize", "layoutWeight", "flexGrow", "flexShrink")
 
 _TYPED = (
@@ -40,23 +44,19 @@ _EFFECT = f"struct<op:string,clears:boolean,colors:{_RGBA}>"
 # -- typed values
 
 
-def _type(v: Column) -> Column:
-    """STRING, BIGINT, OBJECT<...> and so on; VOID for JSON null; null for nothing."""
-    return F.schema_of_variant(v)
-
-
-def _get(v: Column, name: str) -> Column:
-    return F.try_variant_get(v, f"$.{name}", "variant")
+def typed(v: Column) -> Column:
+    """struct(t, s) of a variant: its type (STRING, BIGINT, OBJECT<...>; VOID for JSON null) and its text; null for nothing."""
+    return F.when(v.isNotNull(), F.struct(F.schema_of_variant(v).alias("t"), F.try_variant_get(v, "$", "string").alias("s")).cast("struct<t:string,s:string>"))
 
 
 def _string(v: Column) -> Column:
-    return F.when(_type(v) == "STRING", F.try_variant_get(v, "$", "string"))
+    return F.when(v["t"] == "STRING", v["s"])
 
 
 def numeric(v: Column) -> Column:
     """A JSON number, or a string of one with an optional unit vp, fp or px; else null."""
-    by_text = F.regexp_extract(_string(v), r"^\s*(-?[0-9]+(?:\.[0-9]+)?)(?:vp|fp|px)?\s*$", 1).try_cast("double")
-    return F.when(_type(v).rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT|INT|SMALLINT|TINYINT)"), F.try_variant_get(v, "$", "double")).otherwise(by_text)
+    by_text = F.regexp_extract(v["s"], r"^\s*(-?[0-9]+(?:\.[0-9]+)?)(?:vp|fp|px)?\s*$", 1).try_cast("double")
+    return F.when(v["t"] == "STRING", by_text).when(v["t"].rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT|INT|SMALLINT|TINYINT)"), v["s"].try_cast("double"))
 
 
 def _dynamic(text: Column) -> Column:
@@ -74,16 +74,17 @@ def sides(v: Column) -> Column:
         return F.struct(*[(c if isinstance(c, Column) else F.lit(c)).cast("double").alias(k) for k, c in zip("trbl", x)])
 
     none = box(0.0, 0.0, 0.0, 0.0)
-    number, kind = numeric(v), _type(v)
+    number, kind = numeric(v), v["t"]
 
-    def side(name: str) -> Column:
-        raw = _get(v, name)
+    def side(raw: Column) -> Column:
         text = _string(raw)
         share = F.regexp_extract(text, r"^\s*(-?[0-9]+(?:\.[0-9]+)?)%\s*$", 1).try_cast("double")
         absolute = F.greatest(F.coalesce(numeric(raw), F.lit(0.0)), F.lit(0.0))
         return F.struct(_dynamic(text).alias("open"), F.coalesce(share > 0, F.lit(False)).alias("share"), (share.isNull() & (absolute > 0)).alias("fixed"), F.when(share.isNull(), absolute).otherwise(0.0).alias("n"))
 
-    each = F.array(*[side(n) for n in ("top", "right", "bottom", "left")])
+    edges = ("top", "right", "bottom", "left")
+    given = F.from_json(v["s"], f"struct<{','.join(f'{n}:variant' for n in edges)}>")
+    each = C.once(given, lambda g: F.transform(F.array(*[typed(g[n]) for n in edges]), side))
 
     def named(e: Column) -> Column:
         some = lambda f: F.exists(e, lambda x: x[f])
@@ -99,7 +100,7 @@ def sides(v: Column) -> Column:
 
 def _word(v: Column, default: str) -> Column:
     """A style that is a word; ``default`` where it is missing, empty for JSON null, ? for anything else."""
-    return F.when(v.isNull(), default).when(_type(v) == "VOID", "").otherwise(F.coalesce(_string(v), F.lit("?")))
+    return F.when(v.isNull(), default).when(v["t"] == "VOID", "").otherwise(F.coalesce(_string(v), F.lit("?")))
 
 
 _TOKEN = r"""\$\{/[^}]+\}|'(?:\\.|[^'])*'|"(?:\\.|[^"])*"|-?[0-9]+(?:\.[0-9]+)?"""
@@ -119,17 +120,17 @@ def _static_text(raw: Column, model: Column) -> Column:
     return F.when(~_dynamic(raw), raw).when(raw.rlike(r"^\s*\{\{"), F.when(plain, filled))
 
 
-def _layer(styles: Column) -> Column:
+def _layer() -> Column:
     """What a component paints over what is below it: taint, opaque or veil with its colours; null for nothing."""
-    gradient, color = _get(styles, "linearGradient"), _get(styles, "backgroundColor")
-    stops = F.try_variant_get(gradient, "$.colors", "array<variant>")
-    parsed = F.transform(stops, lambda s: F.when(F.size(F.try_variant_get(s, "$", "array<variant>")) == 2, S.parse_color(_string(F.try_variant_get(s, "$[0]", "variant")))))
+    gradient, color, radius = F.col("linearGradient"), F.col("backgroundColor"), F.col("borderRadius")
+    stops = F.from_json(F.when(gradient["t"].startswith("OBJECT"), gradient["s"]), "struct<colors:array<variant>>")["colors"]
+    pair = lambda v: F.try_variant_get(v, "$", "array<variant>")
+    parsed = F.transform(stops, lambda v: F.when(F.size(pair(v)) == 2, S.parse_color(_string(typed(F.get(pair(v), F.lit(0)))))))
     colors = F.when(gradient.isNotNull(), parsed).otherwise(F.array(S.parse_color(_string(color))))
-    radius = _get(styles, "borderRadius")
-    corners = F.map_values(F.from_json(F.to_json(radius), "map<string,string>"))
-    square = radius.isNull() | (_type(radius) == "VOID") | F.coalesce(F.abs(numeric(radius)) < 1e-9, F.lit(False))
-    square = square | (_type(radius).startswith("OBJECT") & F.forall(corners, lambda x: x.isNull() | F.coalesce(C.number(x) == 0, F.lit(False))))
-    clears = gradient.isNull() & F.coalesce(_word(_get(styles, "visibility"), "").isin("", "visible"), F.lit(False)) & square
+    corners = F.map_values(F.from_json(F.when(radius["t"].startswith("OBJECT"), radius["s"]), "map<string,string>"))
+    square = radius.isNull() | (radius["t"] == "VOID") | F.coalesce(F.abs(numeric(radius)) < 1e-9, F.lit(False))
+    square = square | F.coalesce(F.forall(corners, lambda x: x.isNull() | F.coalesce(C.number(x) == 0, F.lit(False))), F.lit(False))
+    clears = gradient.isNull() & F.coalesce(_word(F.col("visibility"), "").isin("", "visible"), F.lit(False)) & square
 
     def effect(op: Column | str, c: Column) -> Column:
         return F.struct((F.lit(op) if isinstance(op, str) else op).alias("op"), F.coalesce(clears, F.lit(False)).alias("clears"), c.cast(_RGBA).alias("colors"))
@@ -139,7 +140,7 @@ def _layer(styles: Column) -> Column:
         return F.when(c.isNull() | F.exists(c, lambda x: x.isNull()), effect("taint", F.array())).when(F.size(c) > 0, effect(F.when(opaque, "opaque").otherwise("veil"), c))
 
     none = F.lit(None).cast(_EFFECT)
-    return F.when(_get(styles, "backgroundImage").isNotNull(), effect("taint", F.array())).when(gradient.isNotNull() | color.isNotNull(), C.once(colors, painted)).otherwise(none)
+    return F.when(F.col("backgroundImage").isNotNull(), effect("taint", F.array())).when(gradient.isNotNull() | color.isNotNull(), C.once(colors, painted)).otherwise(none)
 
 
 def parsed(docs: DataFrame) -> DataFrame:
@@ -150,62 +151,66 @@ def parsed(docs: DataFrame) -> DataFrame:
     all_ = F.flatten(F.transform(lists, lambda m: F.coalesce(m["updateComponents"]["components"], F.array())))
     surface = F.get(F.filter("messages", lambda m: m["createSurface"].isNotNull()), F.lit(0))["createSurface"]
     rows = msgs.select("doc_id", all_.alias("all"), F.get(F.transform(lists, lambda m: m["updateComponents"]["root"]), F.lit(0)).alias("root"), surface.alias("surface"), C.model_of().alias("model"))
-    c, styles = F.col("c"), F.col("c.styles")
-    rows = rows.select("doc_id", "root", "surface", "model", F.posexplode("all").alias("ord", "c"))
-    kind = c["component"]
-    is_root = F.coalesce(c["id"] == F.col("root"), F.lit(False))
-    has_styles = F.coalesce(_type(styles).startswith("OBJECT"), F.lit(False))
+    rows = rows.select("doc_id", "root", *[typed(F.col("surface")[a]).alias(f"surface_{a}") for a in ("width", "height")], "model", F.posexplode("all").alias("ord", "c"))
+    # what rules ask for, each read once from the text
+    rows = saved(rows.select(
+        "doc_id", "root", "surface_width", "surface_height", "model", "ord", "c.id", F.col("c.component").alias("kind"), C.child_ids(F.col("c.children")).alias("kids"),
+        *[typed(F.col(f"c.{f}")).alias(f"own_{f}") for f in ("content", "label", "itemMargin", "styles")], *[typed(F.try_variant_get("c.styles", f"$.{f}", "variant")).alias(f) for f in STYLES],
+    ))
+    kind, styles = F.col("kind"), F.col("own_styles")
+    is_root = F.coalesce(F.col("id") == F.col("root"), F.lit(False))
+    has_styles = F.coalesce(styles["t"].startswith("OBJECT"), F.lit(False))
 
     def size(axis: str) -> Column:
-        own = _get(styles, axis)
-        return F.coalesce(numeric(own), F.when(is_root & (_string(own) == "matchParent"), numeric(F.col("surface")[axis])))
+        own = F.col(axis)
+        return F.coalesce(numeric(own), F.when(is_root & (_string(own) == "matchParent"), numeric(F.col(f"surface_{axis}"))))
 
-    raw = _string(F.when(kind == "Button", c["label"]).otherwise(c["content"]))
+    raw = _string(F.when(kind == "Button", F.col("own_label")).otherwise(F.col("own_content")))
     raw = F.when(F.trim(raw) != "", raw)
     text = _static_text(raw, F.col("model"))
-    lines = F.when(_get(styles, "maxLines").isNull(), 1.0).otherwise(numeric(_get(styles, "maxLines")))
-    padding, font = sides(_get(styles, "padding")), F.coalesce(numeric(_get(styles, "fontSize")), F.lit(16.0))
+    lines = F.when(F.col("maxLines").isNull(), 1.0).otherwise(numeric(F.col("maxLines")))
+    padding, font = sides(F.col("padding")), F.coalesce(numeric(F.col("fontSize")), F.lit(16.0))
     by_lines = F.when(kind.isin("Text", "Button") & has_styles & raw.isNotNull() & (lines > 0), F.ceil(font * LINE_HEIGHT * lines + padding["t"] + padding["b"]).cast("double"))
-    gap = c["itemMargin"]
-    color = S.parse_color(_string(_get(styles, "backgroundColor")))
-    keys = F.map_keys(F.from_json(F.to_json(styles), "map<string,string>"))
-    bare = (kind == "Text") & (F.size(F.coalesce(C.child_ids(c["children"]), F.array())) == 0) & F.coalesce(F.trim(_string(c["content"])) == "", F.lit(False))
-    bare = bare & has_styles & (F.size(F.array_except(keys, F.array(*map(F.lit, COVER_FIELDS)))) == 0) & _word(_get(styles, "visibility"), "").isin("", "visible") & (color["a"] >= 0.999)
-    layer = _layer(styles)
+    gap = F.col("own_itemMargin")
+    color = S.parse_color(_string(F.col("backgroundColor")))
+    keys = F.map_keys(F.from_json(F.when(has_styles, styles["s"]), "map<string,string>"))
+    bare = (kind == "Text") & (F.size(F.coalesce("kids", F.array().cast("array<string>"))) == 0) & F.coalesce(F.trim(_string(F.col("own_content"))) == "", F.lit(False))
+    bare = bare & has_styles & (F.size(F.array_except(keys, F.array(*map(F.lit, COVER_FIELDS)))) == 0) & _word(F.col("visibility"), "").isin("", "visible") & (color["a"] >= 0.999)
+    layer = _layer()
     # whether a text's own ground keeps off what is below it; null if that is open
     ground = (
-        F.when(_get(styles, "backgroundImage").isNotNull(), None)
-        .when(_get(styles, "backgroundColor").isNotNull(), color["a"] >= 0.999)
-        .when(_get(styles, "linearGradient").isNotNull(), F.when(layer["op"] != "taint", layer["op"] == "opaque"))
+        F.when(F.col("backgroundImage").isNotNull(), None)
+        .when(F.col("backgroundColor").isNotNull(), color["a"] >= 0.999)
+        .when(F.col("linearGradient").isNotNull(), F.when(layer["op"] != "taint", layer["op"] == "opaque"))
         .otherwise(False)
     )
-    radius = numeric(_get(styles, "borderRadius"))
+    radius = numeric(F.col("borderRadius"))
     paints = F.lit(False)
     for f in PAINT:
-        paints = paints | _get(styles, f).isNotNull()
+        paints = paints | F.col(f).isNotNull()
     flexible = F.lit(False)
     for f in FLEXIBLE:
-        flexible = flexible | _get(styles, f).isNotNull()
+        flexible = flexible | F.col(f).isNotNull()
     nodes = saved(rows.select(
-        "doc_id", "ord", c["id"].alias("id"), kind.alias("kind"), F.coalesce(C.child_ids(c["children"]), F.array().cast("array<string>")).alias("children"), is_root.alias("is_root"),
-        F.coalesce(_string(_get(styles, "visibility")).isin("hidden", "none"), F.lit(False)).alias("hidden"), has_styles.alias("styled"),
+        "doc_id", "ord", "id", "kind", F.coalesce("kids", F.array().cast("array<string>")).alias("children"), is_root.alias("is_root"),
+        F.coalesce(_string(F.col("visibility")).isin("hidden", "none"), F.lit(False)).alias("hidden"), has_styles.alias("styled"),
         size("width").alias("w"), size("height").alias("h"), F.coalesce(size("height"), by_lines).alias("eh"), (size("height").isNull() & by_lines.isNotNull()).alias("estimated"),
-        padding.alias("pad"), F.when(has_styles, sides(_get(styles, "margin"))).otherwise(sides(F.lit(None).cast("variant"))).alias("margin"),
-        F.when(gap.isNull(), 0.0).otherwise(numeric(gap)).alias("gap"), _word(_get(styles, "justifyContent"), "start").alias("justify"), _word(_get(styles, "alignItems"), "start").alias("align"),
-        _word(_get(styles, "alignContent"), "center").alias("content"), raw.alias("raw"), text.alias("text"), layer.alias("layer"), ground.alias("ground"),
-        F.when(F.coalesce(bare, F.lit(False)), F.struct(color.alias("color"), _string(_get(styles, "width")).alias("width"), _string(_get(styles, "height")).alias("height"))).alias("cover"), flexible.alias("flexible"),
+        padding.alias("pad"), F.when(has_styles, sides(F.col("margin"))).otherwise(F.struct(*[F.lit(0.0).alias(k) for k in "trbl"])).alias("margin"),
+        F.when(gap.isNull(), 0.0).otherwise(numeric(gap)).alias("gap"), _word(F.col("justifyContent"), "start").alias("justify"), _word(F.col("alignItems"), "start").alias("align"),
+        _word(F.col("alignContent"), "center").alias("content"), raw.alias("raw"), text.alias("text"), layer.alias("layer"), ground.alias("ground"),
+        F.when(F.coalesce(bare, F.lit(False)), F.struct(color.alias("color"), _string(F.col("width")).alias("width"), _string(F.col("height")).alias("height"))).alias("cover"), flexible.alias("flexible"),
         (kind.isin("Button", "Column", "Row", "Stack", "Text") & (radius >= SURFACE_RADIUS) & ((kind == "Button") | paints)).alias("rounded"),
-        ((kind == "Image") | _get(styles, "backgroundColor").isNotNull() | _get(styles, "backgroundImage").isNotNull() | _get(styles, "linearGradient").isNotNull()).alias("visual"),
-        S.parse_color(_string(_get(styles, "fontColor"))).alias("ink"), numeric(_get(styles, "fontSize")).alias("font"), _get(styles, "fontSize").isNotNull().alias("has_font"), _smallest(styles).alias("smallest"),
-        F.coalesce(numeric(_get(styles, "fontWeight")), _named_weight(_string(_get(styles, "fontWeight"))), F.when(kind == "Button", 500.0).otherwise(400.0)).alias("weight"),
-        F.when(kind == "Button", _shows(c["label"])).otherwise(_shows(c["content"])).alias("shows"),
+        ((kind == "Image") | F.col("backgroundColor").isNotNull() | F.col("backgroundImage").isNotNull() | F.col("linearGradient").isNotNull()).alias("visual"),
+        S.parse_color(_string(F.col("fontColor"))).alias("ink"), numeric(F.col("fontSize")).alias("font"), F.col("fontSize").isNotNull().alias("has_font"), _smallest().alias("smallest"),
+        F.coalesce(numeric(F.col("fontWeight")), _named_weight(_string(F.col("fontWeight"))), F.when(kind == "Button", 500.0).otherwise(400.0)).alias("weight"),
+        F.when(kind == "Button", _shows(F.col("own_label"))).otherwise(_shows(F.col("own_content"))).alias("shows"),
     ))
     parents = C.edges(nodes).groupBy("doc_id", "id").agg(F.min(F.struct("parent", "pos")).alias("in")).select("doc_id", "id", "in.parent", "in.pos")
     return saved(nodes.join(parents, ["doc_id", "id"], "left"))
 
 
 def _shows(v: Column) -> Column:
-    return F.coalesce(F.when(_type(v) == "STRING", F.trim(_string(v)) != "").otherwise(_type(v) != "VOID"), F.lit(False))
+    return F.coalesce(F.when(v["t"] == "STRING", F.trim(v["s"]) != "").otherwise(v["t"] != "VOID"), F.lit(False))
 
 
 def _named_weight(name: Column) -> Column:
@@ -214,9 +219,9 @@ def _named_weight(name: Column) -> Column:
     return F.try_element_at(F.create_map(*[F.lit(x) for kv in WEIGHTS.items() for x in kv]), name)
 
 
-def _smallest(styles: Column) -> Column:
+def _smallest() -> Column:
     """The least of minFontSize and maxFontSize; 0 if one is open; null without them."""
-    each = [_get(styles, f) for f in ("minFontSize", "maxFontSize")]
+    each = [F.col(f) for f in ("minFontSize", "maxFontSize")]
     return F.least(*[F.when(v.isNotNull(), F.coalesce(numeric(v), F.lit(0.0))) for v in each])
 
 
@@ -308,14 +313,15 @@ def labelled(nodes: DataFrame) -> DataFrame:
     """``nodes`` with ``shown`` (neither it nor what it is in is hidden), interval labels ``first`` and
     ``last``, and whether something painted, a picture or a text (also an open one) is shown in it
     (``painted``, ``pictured``, ``worded``); a written table."""
-    tree = nodes.withColumnRenamed("id", "node")
-    up = walked(tree, {"hidden": (F.col("hidden"), lambda a, b: a | b)}, ["doc_id"]).filter("ended").dropDuplicates(["doc_id", "node"])
-    tree = saved(tree.drop("hidden").join(up.select("doc_id", "node", (~F.col("hidden")).alias("shown")), ["doc_id", "node"]))
     words = (F.col("kind") == "Text") & F.col("raw").isNotNull() & F.coalesce(F.trim("text") != "", F.lit(True))
     flags = {"painted": F.col("visual"), "pictured": F.col("kind") == "Image", "worded": words}
-    folds = {n: ((f & F.col("shown")).cast("int"), F.max, F.greatest) for n, f in flags.items()}
-    labels = intervals(tree, ["doc_id"], folds)
-    return saved(nodes.join(tree.select("doc_id", F.col("node").alias("id"), "shown"), ["doc_id", "id"]).join(labels.withColumnRenamed("node", "id"), ["doc_id", "id"]).withColumns({n: F.col(n) > 0 for n in flags}))
+    tree = saved(nodes.select("doc_id", F.col("id").alias("node"), "parent", "pos", "hidden", *[f.alias(n) for n, f in flags.items()]))
+    up = walked(tree, {"hidden": (F.col("hidden"), lambda a, b: a | b)}, ["doc_id"]).filter("ended").dropDuplicates(["doc_id", "node"])
+    tree = saved(tree.drop("hidden").join(up.select("doc_id", "node", (~F.col("hidden")).alias("shown")), ["doc_id", "node"]))
+    folds = {n: ((F.col(n) & F.col("shown")).cast("int"), F.max, F.greatest) for n in flags}
+    labels = intervals(tree, ["doc_id"], folds).join(tree.select("doc_id", "node", "shown"), ["doc_id", "node"])
+    labels = labels.select("doc_id", F.col("node").alias("id"), "shown", "first", "last", *[(F.col(n) > 0).alias(n) for n in flags])
+    return saved(nodes.join(labels, ["doc_id", "id"]))
 
 
 # -- boxes that meet
