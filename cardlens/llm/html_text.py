@@ -25,7 +25,11 @@ from cardlens.llm.common import fresh
 # Fixed values of HTML: which elements have no end tag, hold raw text, or flow within a line.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp noframes noscript iframe noembed".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data dfn em font i ins kbd label mark q rb rp rt ruby s samp small span strike strong sub sup time tt u var wbr img".split())
+#: All other elements, unknown and custom ones too, flow within a line.
+BLOCK = frozenset(
+    """address article aside blockquote body caption center colgroup dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup html
+    legend li main menu menuitem nav ol optgroup option p pre search section summary table tbody td tfoot th thead tr ul""".split()
+)
 #: An open element of the value is closed by a start tag of the key's group.
 _CLOSED_BY = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"},
@@ -53,6 +57,8 @@ _BESIDE = frozenset(
 )
 #: One such part makes a class a reader's comment, whatever is inside.
 _READERS = frozenset("comment comments commentlist reply replies respond disqus".split())
+#: Elements of running text.
+_PROSE = frozenset("p pre blockquote ul ol dl".split())
 _CONTENT = frozenset("article post entry story content main body text page".split())
 # A tag as HTML5 reads it: an unquoted value ends at white space or ">", a stray quote is part of
 # a name, and a quote that is never closed counts as part of an unquoted value.
@@ -70,7 +76,7 @@ class Node:
 
     __slots__ = ("tag", "parent", "parts", "skip", "named", "chars", "tags", "link_chars", "link_tags", "density")
 
-    def __init__(self, tag: str, parent: Node | None, skip: bool, named: bool = False):
+    def __init__(self, tag: str, parent: Node | None, skip: bool, named: int = 0):
         #: skip: left out whatever it weighs; named: its name says that it is no article, which
         #: lowers its density
         self.tag, self.parent, self.skip, self.named = tag, parent, skip, named
@@ -87,35 +93,48 @@ def _attributes(raw: str) -> dict[str, str]:
     return out
 
 
-def _says(names: str) -> tuple[bool, bool]:
-    """Whether class or id names call a block boilerplate, and whether reader comments."""
-    boilerplate = readers = content = False
+def _self_closed(raw: str) -> bool:
+    """Whether a tag ends in a slash of its own, not in one of an unquoted value."""
+    if not raw.endswith("/"):
+        return False
+    last = None
+    for last in _ATTRIBUTE.finditer(raw):
+        pass
+    return last is None or last[4] is None or last.end() < len(raw)
+
+
+def _says(names: str) -> tuple[int, bool]:
+    """Whether class or id names call a block boilerplate (1; 2 if readers wrote it) and whether it is
+    surely reader comments, whatever is inside: names that speak of content as well are not that sure."""
+    boilerplate = readers = content = doubtful = False
     for name in names.lower().split():
         parts = [x for x in re.split(r"[-_\d]+", name) if x]
         if parts and all(x in _SAYS or x in _BESIDE for x in parts) and any(x in _SAYS for x in parts):
             boilerplate = True
-            readers |= any(x in _READERS for x in parts)
+            of_readers = any(x in _READERS for x in parts)
+            doubtful |= of_readers
+            readers |= of_readers and not any(x in _CONTENT for x in parts)
         elif parts and all(x in _CONTENT for x in parts):
             content = True
-    return boilerplate and (readers or not content), readers
+    return (2 if doubtful else 1) if boilerplate and (doubtful or not content) else 0, readers
 
 
-def _judge(tag: str, raw: str, in_article: bool) -> tuple[bool, bool]:
-    """(skip, named) of an element."""
+def _judge(tag: str, raw: str, in_article: bool) -> tuple[bool, int]:
+    """(skip, named) of an element; see ``_says`` for the kinds of names."""
     if tag in BOILERPLATE or tag == "footer" or tag == "header" and not in_article:
-        return True, False
+        return True, 0
     attributes = _attributes(raw) if raw and not raw.isspace() else {}
     role = attributes.get("role", "").strip().lower()
     if "hidden" in attributes or attributes.get("aria-hidden", "").strip().lower() == "true" or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attributes.get("style", ""), re.I):
-        return tag not in ("html", "body"), False
+        return tag not in ("html", "body"), 0
     boilerplate, readers = _says(f"{attributes.get('class', '')} {attributes.get('id', '')}")
     if tag in ("html", "body", "main"):
-        return False, False
+        return False, 0
     if readers:
-        return True, False
+        return True, 0
     if tag == "article":
-        return False, False
-    return role in _ROLES and role != "form", boilerplate or tag == "form" or role == "form"
+        return False, 0
+    return role in _ROLES and role != "form", boilerplate or int(tag == "form" or role == "form")
 
 
 def parse(page: str) -> Node:
@@ -160,7 +179,7 @@ def parse(page: str) -> Node:
                 if stack[i][0] == tag:
                     close(i)
                     break
-                if stack[i][0] in ("table", "td", "th") and tag in INLINE:
+                if stack[i][0] in ("table", "td", "th") and tag not in BLOCK:
                     break
             continue
         if tag in ("html", "body") and tag in (t for t, _ in stack):
@@ -179,14 +198,14 @@ def parse(page: str) -> Node:
             if not inline_skip:
                 node.parts.append(_BREAK)
             continue
-        if tag in VOID or m[3].endswith("/") and tag not in ("p", "div"):
+        if tag in VOID or tag not in ("p", "div") and _self_closed(m[3]):
             continue
         skip, named = _judge(tag, m[3], articles > 0)
         if tag in RAW:
             stop = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*(?:>|$)", re.I).search(page, at)
             at = stop.end() if stop else len(page)
             continue
-        if tag in INLINE:
+        if tag not in BLOCK:
             stack.append((tag, None))
             links += tag == "a"
             node.tags += 1
@@ -267,15 +286,29 @@ def density_sums(order: list[Node]) -> dict[int, float]:
     return sums
 
 
+def _outermost_named(heart: Node) -> list[Node]:
+    """Blocks in ``heart`` whose names speak of boilerplate, though not of readers, and that lie in no other named one."""
+    out, todo = [], [heart]
+    while todo:
+        for x in todo.pop().parts:
+            if isinstance(x, Node) and not x.skip:
+                if not x.named:
+                    todo.append(x)
+                elif x.named == 1 and x.tag != "form":
+                    out.append(x)
+    return out
+
+
 def main_text(page: str | None) -> str:
     """The article of a page: its blocks, white space made single, joined by newlines.
 
     The subtree with the greatest density sum (ties: the first in document order) is the heart. The path from it leads to the
-    body, or to the article element that it lies in, which is then taken whole: what was found to
-    hold the densest subtree needs no threshold for its short blocks. Elsewhere the siblings of
+    body, or to the article element (where there is none, the main element) that it lies in, which is then
+    taken whole: what was found to hold the densest subtree needs no threshold for its short blocks. Elsewhere the siblings of
     the path belong to the text if their density reaches the least one on the path, and so do
-    headings beside it. A named block (menu, advert, form ...) is left out, wherever it is, unless
-    the path leads through it or it holds over half of the heart's characters.
+    headings beside it and, below the body, prose beside it that isn't mostly links. A named block (menu, advert, form ...)
+    is left out, wherever it is, unless the path leads through it, it holds over half of the heart's characters, or all such
+    blocks that readers didn't write do so together: names that would take most of an article say something else.
     """
     root = parse(page or "")
     order = _measure(root)
@@ -287,18 +320,24 @@ def main_text(page: str | None) -> str:
     while path[-1].parent is not None and path[-1].tag != "body":
         path.append(path[-1].parent)
     top = max((i for i, n in enumerate(path) if n.tag == "article"), default=None)
+    if top is None:
+        top = max((i for i, n in enumerate(path) if n.tag == "main"), default=None)
     threshold = min(n.density for n in path)
     heart = best if top is None else path[top]
     kept = {id(n) for n in order if n.named and 2 * n.chars > heart.chars}.union(map(id, path))
+    outer = _outermost_named(heart)
+    if 2 * sum(n.chars for n in outer) > heart.chars:
+        kept.update(map(id, outer))
     chosen = {id(best)}
     if top is not None:
         chosen = {id(heart)}
         beside = heart.parent.parts if heart.parent else []
-        chosen.update(id(x) for x in beside if isinstance(x, Node) and not x.skip and x.tag == "article" and x.density >= threshold)
+        if heart.tag == "article":
+            chosen.update(id(x) for x in beside if isinstance(x, Node) and not x.skip and x.tag == "article" and x.density >= threshold)
     else:
         for lower, upper in zip(path, path[1:]):
             for x in upper.parts:
-                if isinstance(x, Node) and x is not lower and not x.skip and not x.named and x.density > 0 and (x.density >= threshold or x.tag[0] == "h" and x.tag[1:].isdigit() and not x.link_chars):
+                if isinstance(x, Node) and x is not lower and not x.skip and not x.named and x.density > 0 and (x.density >= threshold or x.tag[0] == "h" and x.tag[1:].isdigit() and not x.link_chars or upper.tag != "body" and x.tag in _PROSE and 2 * x.link_chars < x.chars):
                     chosen.add(id(x))
     out: list[str] = []
     for node in order:

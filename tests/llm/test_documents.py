@@ -480,3 +480,24 @@ def test_equally_dense_subtrees_and_long_pages():
     half = "<div><p>The same words in both</p><p>and once more so</p></div>"
     assert main_text(f"<body>{half}{half}</body>").startswith("The same words in both")
     assert len(main_text("<article>" + "<p>many words here</p>" * 60_000 + "</article>").split("\n")) == 60_000
+
+
+def test_articles_stay_whole():
+    """No class name, wrapper or strange element takes a part of an article; menus stay out."""
+    from cardlens.llm.html_text import main_text
+
+    words = "Words of a long paragraph go on here. " * 8
+    p = f"<p>{words}</p>"
+
+    def text(body):
+        return main_text(f"<html><body>{body}</body></html>").replace(words.strip(), "[P]").split("\n")
+
+    assert text(f"<div class=content><p>Lead.</p><div>{p}{p}</div><p>End.</p></div>") == ["Lead.", "[P]", "[P]", "End."]
+    assert text(f"<main><section><h2>A</h2>{p * 3}</section><section><h2>B</h2><p>Short closing words of it.</p></section></main>") == ["A", "[P]", "[P]", "[P]", "B", "Short closing words of it."]
+    for n in (1, 2, 4, 7):
+        assert text("<article>" + f'<div class="widget">{p}</div>' * n + "</article>") == ["[P]"] * n
+    assert text(f"<article><h1>T</h1><div class='reply-text'>{p * 3}</div></article>") == ["T", "[P]", "[P]", "[P]"]
+    assert text(f"<article>{p}<p>One <svg><g>x</g></svg> goes <button>b</button>on <x-y>and</x-y> <picture><img></picture>on.</p></article>") == ["[P]", "One goes on and on."]
+    assert text(f"<nav class=top/>Home Menu</nav><aside data-u=/x/>Side</aside><article>{p}<a href=/foo/>link</a></article>") == ["[P]", "link"]
+    assert text(f"<article>{p}</article><div class=comments><p>{'c ' * 900}</p></div>") == ["[P]"]
+    assert text(f"<article>{p}<div class=widget>Buy</div></article>") == ["[P]"]
