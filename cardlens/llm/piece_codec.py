@@ -18,6 +18,7 @@ import heapq
 import re
 import struct
 from collections.abc import Iterable, Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 SPACE = "▁"
 LONG = 256
 #: Most words whose ids a Python worker remembers, and the longest of them.
-REMEMBERED, REMEMBERED_CHARS = 1_000_000, 64
+REMEMBERED, REMEMBERED_CHARS = 600_000, 64
 #: Texts that are encoded together have about so many characters, one text at least.
 _TOGETHER = 1 << 20
 _NORMAL, _UNKNOWN, _CONTROL, _BYTE = 1, 2, 3, 6
@@ -107,15 +108,15 @@ class PieceModel:
             return self.n + ord(part) if len(part) == 1 and part not in normal else normal.get(part)
 
         order = {s: r for r, s in enumerate(sorted({scores[i] for i in normal.values()}, reverse=True))}
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
+        merges: dict[tuple[int, int], tuple[int, int]] = {}
         beside = set()
         for p, i in normal.items():
             beside.update(zip(p, p[1:]))
             for cut in range(1, len(p)):
                 a, b = symbol(p[:cut]), symbol(p[cut:])
                 if a is not None and b is not None:
-                    self.merges[a, b] = (order[scores[i]], i)
-        pairs = sorted((a * 2 * _CODES + b, r, i) for (a, b), (r, i) in self.merges.items())
+                    merges[a, b] = (order[scores[i]], i)
+        pairs = sorted((a * 2 * _CODES + b, r, i) for (a, b), (r, i) in merges.items())
         self.keys, self.ranks, self.results = (np.array([x[c] for x in pairs] or [0], np.int64) for c in range(3))
         self.beside = np.array(sorted(ord(a) * _CODES + ord(b) for a, b in beside) or [0], np.int64)
         self.code_symbols = np.arange(_CODES, dtype=np.int32) + self.n
@@ -128,6 +129,12 @@ class PieceModel:
         surface = [p.replace(SPACE, " ").encode() if k == _NORMAL else b"" for p, k in zip(pieces, kinds)]
         self.surface = [self.unknown.encode() if k == _UNKNOWN else bytes([int(p[3:5], 16)]) if k == _BYTE else s for s, p, k in zip(surface, pieces, kinds)]
 
+    @cached_property
+    def merges(self) -> dict[tuple[int, int], tuple[int, int]]:
+        """(rank, result) by pair; only the heap asks for it."""
+        pairs = ((k // (2 * _CODES), k % (2 * _CODES)) for k in self.keys.tolist())
+        return dict(zip(pairs, zip(self.ranks.tolist(), self.results.tolist())))
+
     # -- encoding
 
     def _pair_ranks(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
