@@ -190,23 +190,25 @@ def known_licenses(spark: SparkSession, known: DataFrame | None = None) -> DataF
     return known.groupBy(digest(F.col("text")).alias("digest")).agg(F.min("license").alias("license"))
 
 
-_NAMING = "licen[sc]e|license|copying|permission|cc0|cc by"
+#: Most digests of a caller's table: every line is looked up in a map of them, one value of about 100 bytes each.
+MOST_KNOWN = 1_000
 
 
 def scan_licenses(docs: DataFrame, text_col: str = "text", known: DataFrame | None = None) -> DataFrame:
     """``docs`` with canonical_sha256, license and notices added or replaced.
 
     ``license``: of which known licence the whole text is a copy; null if of none. ``notices``:
-    the licences that single lines of it name, sorted, each once. A null or empty text has no
-    licence. ``known`` (license, text) replaces the built-in texts; it is meant to be small, and a
-    line's digest is looked up in a map of it. Rows stay as they are otherwise, repeated rows, columns with clashing names and
+    the licences whose whole text a single line of it is, sorted, each once; every line is looked
+    up. A null or empty text has no licence. ``known`` (license, text) replaces the built-in texts;
+    more than ``MOST_KNOWN`` different ones raise an error. Rows stay as they are otherwise, repeated rows, columns with clashing names and
     empty tables included. A text of any length is one value and is read whole.
     """
     digests = known_licenses(docs.sparkSession, known)
+    if known is not None and digests.limit(MOST_KNOWN + 1).count() > MOST_KNOWN:
+        raise ValueError(f"more than {MOST_KNOWN} known licence texts")
     by_digest = digests.agg(F.map_from_entries(F.collect_list(F.struct("digest", "license"))).alias("m")).select("m").scalar()
     m, text = fresh(docs, "_known"), F.coalesce(F.col(text_col), F.lit(""))
-    lines = F.filter(F.split(text, "\n"), lambda x: F.lower(x).rlike(_NAMING))
-    named = F.transform(F.when(F.lower(text).rlike(_NAMING), lines).otherwise(F.array().cast("array<string>")), lambda x: F.element_at(F.col(m), digest(x)))
+    named = F.transform(F.split(text, "\n"), lambda x: F.element_at(F.col(m), digest(x)))
     out = docs.withColumns({m: by_digest, "canonical_sha256": digest(F.col(text_col))})
     out = out.withColumn("notices", F.array_sort(F.array_distinct(F.filter(named, lambda x: x.isNotNull())))).drop(m)
     key, name = fresh(out, "_digest"), fresh(out, "_license")
@@ -234,7 +236,7 @@ def oracle() -> str:
 WITH known AS (SELECT sha256({canon('text')}) AS digest, min(license) AS license FROM (VALUES {values}) t(license, text) GROUP BY 1),
 lines AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents),
 named AS (SELECT doc_id, list_sort(list(DISTINCT license)) AS notices
-          FROM (SELECT doc_id, sha256({canon('line')}) AS digest FROM lines WHERE regexp_matches(line, '(?i)licen[sc]e|license|copying|permission|cc0|cc by'))
+          FROM (SELECT doc_id, sha256({canon('line')}) AS digest FROM lines)
           JOIN known USING (digest) GROUP BY 1),
 docs AS (SELECT doc_id, sha256({canon('text')}) AS canonical_sha256 FROM documents)
 SELECT docs.doc_id, canonical_sha256, license, coalesce(array_to_string(notices, ','), '') AS notices

@@ -208,6 +208,16 @@ def test_whole_licenses_in_other_layouts(spark):
     assert {r["doc_id"]: r["license"] for r in own} == {1: "House-1.0", 2: None}
 
 
+def test_every_line_is_looked_up(spark):
+    mine = spark.createDataFrame([("PD", "This work is in the public domain."), ("PD", "this WORK is in the public domain")], "license string, text string")
+    docs = spark.createDataFrame([(1, "prose\n  this work is in the PUBLIC domain.\nmore"), (2, "prose"), (3, None), (4, "")], "doc_id long, text string")
+    assert {r["doc_id"]: r["notices"] for r in K.scan_licenses(docs, known=mine).collect()} == {1: ["PD"], 2: [], 3: [], 4: []}
+    many = spark.range(K.MOST_KNOWN + 1).select(F.lit("x").alias("license"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"))
+    with pytest.raises(ValueError):
+        K.scan_licenses(docs, known=many)
+    assert K.scan_licenses(docs, known=many.filter(f"id < {K.MOST_KNOWN}")).count() == 4
+
+
 def test_canonical_texts_against_brute_force(spark):
     rng = random.Random(9)
     atoms = ["licence", "Copyright (c) 2020 X\n", "\n", " ", ", ", "sub-licence", "©", "All rights reserved.", " ÄB ", "per cent", "word", "copyright owner", "copyright Me 1999", "organisations"]
