@@ -25,7 +25,8 @@ def first_seen(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def harvest_urls(lines: DataFrame, line: str = "line", signed: bool = False) -> DataFrame:
-    """Rows whose line holds a complete URL, with ``url``; truncated ones wait for a later line."""
+    """Rows whose line holds a complete URL, with ``url``; rows with none or a truncated one
+    are left out, and nothing is kept for a later line."""
     url: Column = extract_url(F.col(line))
     done = F.col("url").rlike("(?i)^https?://")
     if signed:
