@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardlens.plans.base import query
-from cardlens.sources.adapters import table
+from cardlens.sources.adapters import log_rows, table
 from cardlens.streaming import harvest as H
+from cardlens.streaming.matching import match_table
 
 
 def _events(spark, sf) -> DataFrame:
@@ -38,3 +39,9 @@ def distinct_event_types(spark, sf) -> DataFrame:
 def retry_gap(spark, sf) -> DataFrame:
     done = table(spark, sf, "documents").filter("lang = 'en'").select(F.col("doc_id").alias("page_id"))
     return H.retry_gap(table(spark, sf, "pages"), done, "page_id").select("page_id", "url")
+
+
+@query()
+def match_loop(spark, sf) -> DataFrame:
+    """What became of every query that the logs of all devices sent, with two days for each."""
+    return match_table(log_rows(spark, sf), 48 * 3_600_000)

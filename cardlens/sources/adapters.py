@@ -139,3 +139,30 @@ def series(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SERIES = f"(SELECT user_id AS doc_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS ord, ts, {_V} AS v, event_id, event_type FROM events)"
+
+
+def log_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Logs of devices (users): (device, ts, seq, kind, qid, text, print, complete) of their events.
+
+    A quarter of the events send a query. The others log the URL of a document, in one line or split
+    over two, some cut for good, and then what was found there.
+    """
+    n = F.col("event_id")
+    number = F.pmod(n * 7, F.lit(90)).cast("string")
+    signature = F.sha2(number, 256)
+    url = F.concat(F.lit("https://store.example/d"), number, F.lit(".md?X-Amz-Date=1&X-Amz-Signature="), signature)
+    head = F.lit("01-02 03:04:05.678  11  22 I tag: ")
+
+    def row(kind: str, text: Column | None = None, found: bool = False) -> Column:
+        none = F.lit(None).cast("string")
+        return F.struct(
+            F.lit(kind).alias("kind"), F.concat(F.lit("q"), n.cast("string")).alias("qid") if kind == "sent" else none.alias("qid"), (none if text is None else text).alias("text"),
+            (F.when(n % 11 != 0, F.sha2((n % 61).cast("string"), 256)) if found else none).alias("print"), (n % 5 != 0 if found else F.lit(False)).alias("complete"),
+        )
+
+    whole = F.array(row("line", F.concat(head, F.lit('"result":"'), url, F.lit('"'))), row("body", url, True))
+    split = F.array(row("line", F.concat(head, F.lit("result: "), F.substring(url, 1, 60))), row("line", F.concat(head, F.substring(url, 61, 999), F.lit(" end"))), row("body", url, True))
+    cut = F.array(row("line", F.concat(head, F.substring(url, 1, 70), F.lit(" "))))
+    rows = F.when(n % 4 == 0, F.array(row("sent"))).when(n % 4 == 1, whole).when(n % 4 == 2, split).otherwise(cut)
+    events = table(spark, sf_dir, "events").select(F.col("user_id").alias("device"), F.col("ts").cast("timestamp").alias("ts"), "event_id", F.posexplode(rows).alias("i", "r"))
+    return events.select("device", "ts", (n * 4 + F.col("i")).alias("seq"), "r.*")
