@@ -28,13 +28,13 @@ PAINT = ("backgroundColor", "linearGradient", "borderColor", "borderWidth")
 COVER_FIELDS = ("width", "height", "backgroundColor", "visibility", "maxLines")
 STYLES = (
     "width", "height", "padding", "margin", "justifyContent", "alignItems", "alignContent", "visibility", "borderRadius", "backgroundColor", "backgroundImage", "linearGradient", "borderColor", "borderWidth",
-    "constraintSize", "layoutWeight", "flexGrow", "flexShrink", "fontColor", "fontSize", "fontWeight", "minFontSize", "maxFontSize", "maxLines",
+    "constraintSize", "layoutWeight", "flexGrow", "flexShrink", "fontColor", "fontSize", "fontWeight", "minFontSize", "maxFontSize", "maxLines", "textAlign",
 )
 FLEXIBLE = ("constraintSize", "layoutWeight", "flexGrow", "flexShrink")
 
 _TYPED = (
     "struct<createSurface:struct<width:variant,height:variant>,updateComponents:struct<root:string,components:array<struct<"
-    "id:string,component:string,children:string,content:variant,label:variant,itemMargin:variant,styles:variant>>>,"
+    "id:string,component:string,children:string,content:variant,label:variant,itemMargin:variant,space:variant,onClick:string,styles:variant>>>,"
     "updateDataModel:struct<path:string,value:variant>>"
 )
 _RGBA = "array<struct<r:double,g:double,b:double,a:double>>"
@@ -98,6 +98,19 @@ def sides(v: Column) -> Column:
     )
 
 
+def collapses(v: Column) -> Column:
+    """Whether a padding is written in a form that has no effect: a list, a word, a negative number, an
+    object without a named side, or one that mixes lengths and percentages."""
+    number, kind = numeric(v), v["t"]
+    given = F.from_json(F.when(kind.startswith("OBJECT"), v["s"]), "map<string,string>")
+    named = F.filter(F.map_values(F.map_filter(given, lambda k, x: k.isin("top", "right", "bottom", "left"))), lambda x: x.isNotNull())
+    share = F.exists(named, lambda x: F.coalesce(F.regexp_extract(x, r"^\s*([0-9]+(?:\.[0-9]+)?)%\s*$", 1).try_cast("double") > 0, F.lit(False)))
+    fixed = F.exists(named, lambda x: F.coalesce(F.regexp_extract(x, r"^\s*([0-9]+(?:\.[0-9]+)?)(?:vp|fp|px)?\s*$", 1).try_cast("double") > 0, F.lit(False)))
+    unnamed = (F.size(given) > 0) & ~F.exists(F.map_keys(given), lambda k: k.isin("top", "right", "bottom", "left"))
+    odd = F.when(kind.startswith("OBJECT"), unnamed | (share & fixed)).when(kind == "STRING", ~_dynamic(v["s"])).when(kind.startswith("ARRAY") | (kind == "BOOLEAN"), True).otherwise(number < 0)
+    return F.coalesce(odd, F.lit(False))
+
+
 def _word(v: Column, default: str) -> Column:
     """A style that is a word; ``default`` where it is missing, empty for JSON null, ? for anything else."""
     return F.when(v.isNull(), default).when(v["t"] == "VOID", "").otherwise(F.coalesce(_string(v), F.lit("?")))
@@ -155,7 +168,7 @@ def parsed(docs: DataFrame) -> DataFrame:
     # what rules ask for, each read once from the text
     rows = saved(rows.select(
         "doc_id", "root", "surface_width", "surface_height", "model", "ord", "c.id", F.col("c.component").alias("kind"), C.child_ids(F.col("c.children")).alias("kids"),
-        *[typed(F.col(f"c.{f}")).alias(f"own_{f}") for f in ("content", "label", "itemMargin", "styles")], *[typed(F.try_variant_get("c.styles", f"$.{f}", "variant")).alias(f) for f in STYLES],
+        *[typed(F.col(f"c.{f}")).alias(f"own_{f}") for f in ("content", "label", "itemMargin", "space", "styles")], "c.onClick", *[typed(F.try_variant_get("c.styles", f"$.{f}", "variant")).alias(f) for f in STYLES],
     ))
     kind, styles = F.col("kind"), F.col("own_styles")
     is_root = F.coalesce(F.col("id") == F.col("root"), F.lit(False))
@@ -188,9 +201,12 @@ def parsed(docs: DataFrame) -> DataFrame:
     paints = F.lit(False)
     for f in PAINT:
         paints = paints | F.col(f).isNotNull()
-    flexible = F.lit(False)
+    flexible, grows = F.lit(False), F.lit(False)
     for f in FLEXIBLE:
         flexible = flexible | F.col(f).isNotNull()
+        grows = grows if f == "constraintSize" else grows | F.col(f).isNotNull()
+    axes = F.struct(numeric(F.col("width")).alias("w"), numeric(F.col("height")).alias("h"), F.col("width").isNotNull().alias("has_w"), F.col("height").isNotNull().alias("has_h"))
+    words = F.struct(F.col("justifyContent.s").alias("justify"), F.col("alignItems.s").alias("align"))
     nodes = saved(rows.select(
         "doc_id", "ord", "id", "kind", F.coalesce("kids", F.array().cast("array<string>")).alias("children"), is_root.alias("is_root"),
         F.coalesce(_string(F.col("visibility")).isin("hidden", "none"), F.lit(False)).alias("hidden"), has_styles.alias("styled"),
@@ -204,6 +220,10 @@ def parsed(docs: DataFrame) -> DataFrame:
         S.parse_color(_string(F.col("fontColor"))).alias("ink"), numeric(F.col("fontSize")).alias("font"), F.col("fontSize").isNotNull().alias("has_font"), _smallest().alias("smallest"),
         F.coalesce(numeric(F.col("fontWeight")), _named_weight(_string(F.col("fontWeight"))), F.when(kind == "Button", 500.0).otherwise(400.0)).alias("weight"),
         F.when(kind == "Button", _shows(F.col("own_label"))).otherwise(_shows(F.col("own_content"))).alias("shows"),
+        # what rules of a container and its children ask for
+        axes.alias("sizes"), words.alias("words"), grows.alias("grows"), radius.alias("radius"), paints.alias("paints"), collapses(F.col("padding")).alias("collapsed"), F.col("own_space").isNotNull().alias("spaced"),
+        (F.col("maxLines").isNull() | F.coalesce(numeric(F.col("maxLines")) == 1, F.lit(False)) & (F.col("maxLines.t") != "STRING")).alias("one_line"), _word(F.col("textAlign"), "start").alias("text_align"),
+        (F.coalesce(F.size(F.from_json("onClick", "array<string>")) > 0, F.lit(False)) | F.coalesce(kind == "Button", F.lit(False))).alias("acts"),
     ))
     parents = C.edges(nodes).groupBy("doc_id", "id").agg(F.min(F.struct("parent", "pos")).alias("in")).select("doc_id", "id", "in.parent", "in.pos")
     return saved(nodes.join(parents, ["doc_id", "id"], "left"))

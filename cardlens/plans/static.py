@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from cardlens.functions.scalars import rounded
 from cardlens.operators import static as G
+from cardlens.operators.containers import container_findings
 from cardlens.operators.rounds import saved
 from cardlens.plans.base import query, r
 from cardlens.plans.cards import _col, _lum
-from cardlens.sources.cards import ITEMS, layered_documents
+from cardlens.sources.cards import ITEMS, layered_documents, tiled_documents
 
 # a line's stack, its picture and its text: sizes, places within the stack, whether they are known
 _I = f"""it AS {ITEMS}, i AS (SELECT *, doc_id % 3 AS g, 90 + 4 * line AS sw, 40 + 2 * line AS sh, part % 3 * 2 AS pad, 20 + part % 30 AS mw, 16 + part % 20 AS mh, 30 + supp % 40 AS tw,
@@ -85,3 +86,18 @@ def contrast_states(spark, sf) -> DataFrame:
     """Contrast of every text against all that may lie behind it: solid, veiled, gradient, covered or open grounds."""
     found = G.contrasts(G.labelled(G.parsed(layered_documents(spark, sf))))
     return found.select("doc_id", "id", "state", rounded(F.col("lowest"), 3).alias("lowest"), rounded(F.col("highest"), 3).alias("highest"))
+
+
+@query(f"""WITH it AS {ITEMS}, i AS (SELECT *, CASE part % 9 WHEN 0 THEN 0 WHEN 1 THEN 20 ELSE 8 END AS rg, CASE WHEN supp % 5 = 0 THEN 110 ELSE 50 END AS bw, CASE WHEN part % 3 = 0 THEN 0 ELSE 8 END AS p,
+ 10 + 2 * line AS f, supp % 6 AS g, 42 + part % 40 AS room, line % 3 AS top, supp % 3 = 0 AS painted FROM it),
+e AS (SELECT *, CASE WHEN least(p, 120 - p - bw) < 4 AND (p = 0 OR bw >= 120 - 2 * p) THEN least(p, 120 - p - bw) END AS eb, CASE WHEN p = 0 AND least(bw + rg, 90 - bw - rg) < 4 THEN least(bw + rg, 90 - bw - rg) END AS et,
+ room - f - 24 - top - 2 * g AS free, line % 2 = 0 AND f - supp % 4 + 24 + top + 2 * g - room >= 4 AS over FROM i),
+s AS (SELECT doc_id, bw, rg, count(*) AS n, min(ord) AS o FROM i GROUP BY 1, 2, 3), k AS (SELECT doc_id, bw, count(*) AS kinds, sum(n) AS total FROM s GROUP BY 1, 2)
+SELECT doc_id, 'c' || ord AS id, 'LAYOUT_VERTICAL_DENSITY_HIGH' AS code, free::DOUBLE AS actual, CASE WHEN painted THEN 8.0e0 ELSE -4.0e0 END AS expected FROM e WHERE part % 7 <> 0 AND NOT over AND free < CASE WHEN painted THEN 8 ELSE -4 END
+UNION ALL SELECT doc_id, 'l' || ord, CASE WHEN g + top = 0 AND part % 2 = 0 THEN 'TEXT_COLLISION_RISK' ELSE 'TEXT_GAP_LOW' END, (g + top)::DOUBLE, 4.0e0 FROM e WHERE part % 7 <> 0 AND f >= 20 AND supp % 4 > 0 AND g + top < 4
+UNION ALL SELECT doc_id, 'r' || ord, 'SURFACE_CONTENT_EDGE_CLEARANCE_LOW', least(eb, et)::DOUBLE, 4.0e0 FROM e WHERE coalesce(eb, et) IS NOT NULL
+UNION ALL SELECT o.doc_id, 'r' || o.o, CASE WHEN o.rg = 0 THEN 'LAYOUT_SPACING_MISSING' ELSE 'LAYOUT_SPACING_INCONSISTENT' END, o.rg::DOUBLE, m.rg::DOUBLE FROM k JOIN s o USING (doc_id, bw) JOIN s m ON m.doc_id = k.doc_id AND m.bw = k.bw AND m.rg <> o.rg
+WHERE kinds = 2 AND total >= 3 AND o.n = 1 AND m.rg > 0""")
+def container_rules(spark, sf) -> DataFrame:
+    """Findings on containers and their children of tiled cards: room, large ink, edges and odd gaps."""
+    return container_findings(tiled_documents(spark, sf))

@@ -145,3 +145,35 @@ def layered_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     surface = F.to_json(F.struct(F.struct(F.lit("s").alias("surfaceId"), F.lit(160).alias("width"), F.lit(600).alias("height")).alias("createSurface")))
     update = F.to_json(F.struct(F.struct(F.lit("s").alias("surfaceId"), F.lit("root").alias("root"), F.concat(F.array(root), F.flatten("parts"), F.array(foot)).alias("components")).alias("updateComponents")))
     return cards.select("doc_id", F.concat_ws("\n", surface, update).alias("text"))
+
+
+def tiled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, text): a card for each order whose lines are a row of a button and a text, and a column of three texts.
+
+    Rows come in two shapes and with three gaps, some with padding as a list; columns are of any height, some painted,
+    some hidden; their first text is large and ideographic, its box lower than its font or not.
+    """
+    part, supp, line, o = F.col("part"), F.col("supp"), F.col("line"), F.col("ord")
+    gap = F.when(part % 9 == 0, 0).when(part % 9 == 1, 20).otherwise(8)
+    row = F.format_string(
+        '{"id":"r%d","component":"Row","children":["b%d","t%d"],"itemMargin":%d,"styles":{"width":120,"height":30,"borderRadius":8,"backgroundColor":"#EEEEEE","padding":%s}},'
+        '{"id":"b%d","component":"Button","label":"Go","styles":{"width":%d,"height":20}},{"id":"t%d","component":"Text","content":"note","styles":{"width":30,"height":16}}',
+        o, o, o, gap, F.when(part % 3 == 0, "[8,8]").otherwise("8"), o, F.when(supp % 5 == 0, 110).otherwise(50), o,
+    )
+    font = 10 + 2 * line
+    low = F.when(line % 2 == 0, ',"height":12').otherwise("")
+    column = F.format_string(
+        '{"id":"c%d","component":"Column","children":["l%d","m%d","n%d"],"itemMargin":%d,"styles":{"width":100,"height":%d,"padding":4%s%s}},'
+        '{"id":"l%d","component":"Text","content":"%s","styles":{"fontSize":%d,"height":%d}},{"id":"m%d","component":"Text","content":"two","styles":{"fontSize":12,"margin":{"top":%d}%s}},'
+        '{"id":"n%d","component":"Text","content":"three","styles":{"fontSize":"12vp","maxLines":1%s}}',
+        o, o, o, o, supp % 6, 50 + part % 40, F.when(supp % 3 == 0, ',"backgroundColor":"#DDDDDD"').otherwise(""), F.when(part % 7 == 0, ',"visibility":"hidden"').otherwise(""),
+        o, F.when(part % 2 == 0, "标题").otherwise("标题A"), font, font - supp % 4, o, line % 3, low, o, low,
+    )
+    items = card_items(spark, sf_dir).select("doc_id", "ord", F.concat_ws(",", row, column).alias("parts"))
+    cards = items.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("ord", "parts"))).alias("p"))
+    names = F.array_join(F.flatten(F.transform("p", lambda x: F.array(F.concat(F.lit('"r'), x["ord"].cast("string"), F.lit('"')), F.concat(F.lit('"c'), x["ord"].cast("string"), F.lit('"'))))), ",")
+    update = F.concat(
+        F.lit('{"updateComponents":{"surfaceId":"s","root":"root","components":[{"id":"root","component":"Column","children":['), names, F.lit('],"styles":{"width":"matchParent","height":"matchParent"}},'),
+        F.array_join(F.transform("p", lambda x: x["parts"]), ","), F.lit("]}}"),
+    )
+    return cards.select("doc_id", F.concat(F.lit('{"createSurface":{"surfaceId":"s","width":160,"height":900}}\n'), update).alias("text"))
