@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cardlens.functions import scalars as S
-from cardlens.sources.adapters import CODES, DIMENSIONS
+from cardlens.sources.settings import DEFAULTS, Settings
 
 CAP_FLOOR = 40.0
 #: Severities in the order of weight.
@@ -17,12 +17,12 @@ def severity_rank(severity: Column) -> Column:
     return F.coalesce(F.array_position(F.array(*map(F.lit, SEVERITIES)), severity), F.lit(0)).cast("int")
 
 
-def dimension_table(spark: SparkSession) -> DataFrame:
-    rows = [F.struct(F.lit(d).alias("dimension"), F.lit(w).alias("dimension_weight"), F.lit(i).alias("turn")) for i, (d, w, _) in enumerate(DIMENSIONS)]
+def dimension_table(spark: SparkSession, settings: Settings = DEFAULTS) -> DataFrame:
+    rows = [F.struct(F.lit(d).alias("dimension"), F.lit(w).alias("dimension_weight"), F.lit(i).alias("turn")) for i, (d, w) in enumerate(settings.dimensions.items())]
     return spark.range(1).select(F.inline(F.array(*rows)))
 
 
-def dimension_scores(metrics: DataFrame) -> DataFrame:
+def dimension_scores(metrics: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """doc_id, dimension, score, dimension_weight: weighted average of the scored metrics.
 
     Every dimension of the table counts for every document; one without a scored metric of
@@ -31,17 +31,22 @@ def dimension_scores(metrics: DataFrame) -> DataFrame:
     scored = F.col("score").isNotNull() & (F.col("weight") > 0)
     sums = metrics.groupBy("doc_id", "dimension").agg(F.sum(F.when(scored, F.col("score") * F.col("weight"))).alias("sw"), F.sum(F.when(scored, F.col("weight"))).alias("w"))
     # the dimension table has a fixed handful of rows
-    every = metrics.select("doc_id").distinct().withColumn("d", F.explode(F.array(*[F.struct(F.lit(d).alias("dimension"), F.lit(w).alias("dimension_weight")) for d, w, _ in DIMENSIONS])))
+    every = metrics.select("doc_id").distinct().withColumn("d", F.explode(F.array(*[F.struct(F.lit(d).alias("dimension"), F.lit(w).alias("dimension_weight")) for d, w in settings.dimensions.items()])))
     every = every.select("doc_id", "d.dimension", "d.dimension_weight")
     out = every.join(sums, ["doc_id", "dimension"], "left")
     return out.select("doc_id", "dimension", F.coalesce(S.clamp(F.col("sw") / F.col("w")), F.lit(0.0)).alias("score"), "dimension_weight")
 
 
-def overall_scores(metrics: DataFrame) -> DataFrame:
+def _graded(rows: DataFrame, overall: Column, settings: Settings, *keys: str) -> DataFrame:
+    calibrated = settings.calibrate(overall)
+    return rows.select(*keys, overall.alias("overall"), calibrated.alias("calibrated"), settings.grade(calibrated).alias("grade"))
+
+
+def overall_scores(metrics: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """doc_id, overall, calibrated, grade."""
-    d = dimension_scores(metrics).groupBy("doc_id").agg((F.sum(F.col("score") * F.col("dimension_weight")) / F.sum("dimension_weight")).alias("o"))
+    d = dimension_scores(metrics, settings).groupBy("doc_id").agg((F.sum(F.col("score") * F.col("dimension_weight")) / F.sum("dimension_weight")).alias("o"))
     overall = S.rounded(S.clamp(F.col("o")), 2)
-    return d.select("doc_id", overall.alias("overall"), S.calibrate(overall).alias("calibrated"), S.grade(S.calibrate(overall)).alias("grade"))
+    return _graded(d, overall, settings, "doc_id")
 
 
 def confidence(metrics: DataFrame) -> DataFrame:
@@ -59,32 +64,49 @@ def merge_deductions(deductions: DataFrame) -> DataFrame:
     return kept.withColumn("rank", F.row_number().over(order).cast("long"))
 
 
-def cap_of(code: Column, severity: Column, magnitude: Column) -> Column:
+def cap_of(code: Column, severity: Column, magnitude: Column, settings: Settings = DEFAULTS) -> Column:
     """The cap of a deduction, to the nearest half; null for codes without one and for low
     severity (but for low contrast)."""
     base, slope = F.lit(None).cast("double"), F.lit(None).cast("double")
-    for name, cap, s in CODES:
-        if cap is not None:
-            base, slope = F.when(code == name, cap).otherwise(base), F.when(code == name, s).otherwise(slope)
+    for name, (cap, s) in settings.caps.items():
+        base, slope = F.when(code == name, cap).otherwise(base), F.when(code == name, s).otherwise(slope)
     sloped = F.greatest(F.lit(CAP_FLOOR), F.floor((base - slope * magnitude) * 2.0 + 0.5) / 2.0)
     counts = base.isNotNull() & ((severity != "low") | (code == "visual.low_contrast"))
     return F.when(counts, F.when(magnitude.isNull(), base).otherwise(sloped))
 
 
-def hard_caps(deductions: DataFrame) -> DataFrame:
+def hard_caps(deductions: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """doc_id, cap, codes, stacking, effective: the least cap, less 2 for each further code, 6 at most."""
-    capped = merge_deductions(deductions).withColumn("cap", cap_of(F.col("code"), F.col("severity"), F.col("magnitude"))).filter("cap IS NOT NULL")
+    capped = merge_deductions(deductions).withColumn("cap", cap_of(F.col("code"), F.col("severity"), F.col("magnitude"), settings)).filter("cap IS NOT NULL")
     sums = capped.groupBy("doc_id").agg(F.min("cap").alias("cap"), F.countDistinct("code").alias("codes"))
     stacking = F.least(F.lit(6.0), 2.0 * (F.col("codes") - 1))
     return sums.select("doc_id", "cap", "codes", stacking.alias("stacking"), (F.col("cap") - stacking).alias("effective"))
 
 
-def capped_overall(metrics: DataFrame, deductions: DataFrame) -> DataFrame:
+def capped_overall(metrics: DataFrame, deductions: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """doc_id, raw, effective cap, overall, calibrated, grade."""
-    raw = overall_scores(metrics).select("doc_id", F.col("overall").alias("raw"))
-    out = raw.join(hard_caps(deductions).select("doc_id", "effective"), "doc_id", "left")
+    raw = overall_scores(metrics, settings).select("doc_id", F.col("overall").alias("raw"))
+    out = raw.join(hard_caps(deductions, settings).select("doc_id", "effective"), "doc_id", "left")
     overall = S.rounded(S.clamp(F.least("raw", "effective")), 2)
-    return out.select("doc_id", "raw", "effective", overall.alias("overall"), S.calibrate(overall).alias("calibrated"), S.grade(S.calibrate(overall)).alias("grade"))
+    return _graded(out, overall, settings, "doc_id", "raw", "effective")
+
+
+def enriched(deductions: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """Deductions as metrics report them, made whole: (doc_id, dimension, metric) and, each possibly null, (code, source,
+    severity, delta, reason, evidence, fix_hint, prompt_hint, magnitude).
+
+    A missing code is dimension.metric, a missing reason or hint comes from the code's template, a reason without one
+    is the code. Empty texts count as missing. Other columns stay as they are.
+    """
+    given = lambda c: F.nullif(F.col(c), F.lit(""))
+    code = F.coalesce(given("code"), F.concat_ws(".", "dimension", "metric"))
+    out = deductions.withColumn("code", code)
+    template = lambda k: settings.template(F.col("code"), k)
+    return out.withColumns({
+        "source": F.coalesce(given("source"), F.col("dimension")), "severity": F.coalesce(given("severity"), F.lit("low")), "delta": F.coalesce("delta", F.lit(0.0)),
+        "reason": F.coalesce(given("reason"), template("reason"), F.col("code")), "evidence": F.coalesce("evidence", F.lit("")),
+        "fix_hint": F.coalesce(given("fix_hint"), template("fix_hint"), F.lit("")), "prompt_hint": F.coalesce(given("prompt_hint"), template("prompt_hint"), F.lit("")),
+    })
 
 
 def generic_deductions(metrics: DataFrame, below: float = 65.0) -> DataFrame:

@@ -17,6 +17,8 @@ from cardlens.operators.tree import walked
 
 # Most gradients, their most stops, most translucent and most nested surfaces; weights by name.
 MOST_GRADIENTS, MOST_STOPS, MOST_TRANSLUCENT, MOST_NESTED = 1, 3, 2, 2
+# The longer and the shorter side up to which a card is compact, the content it may hold, the least side of a picture that counts as content.
+COMPACT_LONG, COMPACT_SHORT, MOST_CONTENT, PICTURE = 320.0, 180.0, 10, 8.0
 WEIGHTS = {"lighter": 100.0, "normal": 400.0, "regular": 400.0, "medium": 500.0, "bold": 700.0, "bolder": 900.0}
 
 
@@ -32,11 +34,13 @@ def _translucent(color: Column) -> Column:
 
 
 def visible_components(docs: DataFrame) -> DataFrame:
-    """(doc_id, id, kind, placed, action, acts, family, stops, nested, layers, prominence) of what isn't hidden.
+    """(doc_id, id, kind, placed, action, acts, family, stops, nested, layers, prominence, pill, content, grid) of what isn't hidden.
 
     ``placed``: it is somebody's child. ``acts``: it or an ancestor has an action. ``family``: of 12 hues,
     that of a chromatic background. ``stops``: of its gradient. ``nested``, ``layers``: the surfaces and the
     translucent ones from it up to the root. ``prominence``: of its text. Components on or below a cycle are left out.
+    ``pill``: a text with a rounded ground and a fixed size. ``content``: a text, a button with words or a picture of some size.
+    ``grid``: the area of a compact size, of the root (negative, so that it comes first) or a child of it; else null.
     """
     get = lambda k: F.try_element_at("styles", F.lit(k))
     comps = C.with_texts(C.components(C.messages(docs)))
@@ -45,12 +49,16 @@ def visible_components(docs: DataFrame) -> DataFrame:
     weight = F.coalesce(C.number(get("fontWeight")), F.try_element_at(F.create_map(*[F.lit(x) for kv in WEIGHTS.items() for x in kv]), get("fontWeight")), F.when(F.col("kind") == "Button", 500.0).otherwise(400.0))
     size = F.when(get("fontSize").isNull(), 16.0).otherwise(C.style("fontSize"))
     shows = F.col("kind").isin("Text", "Button") & (F.size("texts") > 0)
+    w, h = C.number(get("width")), C.number(get("height"))
+    pill = (F.col("kind") == "Text") & shows & (background.isNotNull() | get("linearGradient").isNotNull()) & (C.number(get("borderRadius")) > 0) & w.isNotNull() & h.isNotNull()
+    compact = F.when((F.least(w, h) <= COMPACT_SHORT) & (F.greatest(w, h) <= COMPACT_LONG) & w.isNotNull() & h.isNotNull(), w * h)
     flat = saved(comps.select(
         "doc_id", "id", "kind", "children", F.array_contains(kids, F.col("id")).alias("placed"), "action", (F.floor(S.hue_degrees(S.parse_color(background)) / 30) % 12).cast("int").alias("family"),
         F.size(gradient).alias("stops"), (background.isNotNull() | get("linearGradient").isNotNull()).alias("surface"),
         (_translucent(background) | F.coalesce(F.exists(gradient, _translucent), F.lit(False))).alias("clear"),
         F.when(shows, size * (1.0 + F.greatest(weight - 400.0, F.lit(0.0)) / 1000.0)).alias("prominence"),
         F.coalesce(get("visibility").isin("hidden", "none"), F.lit(False)).alias("hidden"),
+        F.coalesce(pill, F.lit(False)).alias("pill"), (shows | F.coalesce((F.col("kind") == "Image") & (w >= PICTURE) & (h >= PICTURE), F.lit(False))).alias("content"), compact.alias("compact"), "ord",
     ))
     parents = C.edges(flat).groupBy("doc_id", "id").agg(F.min("parent").alias("parent"))
     tree = flat.join(parents, ["doc_id", "id"], "left").withColumnRenamed("id", "node")

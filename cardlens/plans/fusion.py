@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardlens.functions import scalars as S
 from cardlens.operators import fusion as U
+from cardlens.operators.rounds import checkpoint_folder
 from cardlens.plans.base import query, r
 from cardlens.sources import adapters as A
+from cardlens.sources.settings import SCHEMA, settings_of
+from cardlens.sources.writers import commit_run, read_run, result_rows
 
 _DIMS = ", ".join(f"('{d}', {w}e0)" for d, w, _ in A.DIMENSIONS)
 DIMS = f"""m AS {A.METRICS}, e AS (SELECT doc_id, dimension, dw FROM (SELECT DISTINCT doc_id FROM m), (VALUES {_DIMS}) t(dimension, dw)),
@@ -130,3 +135,50 @@ def gallery_filter(spark, sf) -> DataFrame:
 SELECT * FROM w WHERE warning IS NOT NULL""")
 def fusion_warnings(spark, sf) -> DataFrame:
     return U.warnings(A.metric_facts(spark, sf))
+
+
+SETTINGS = [
+    ("dimension", "geometry", "weight", "1"), ("dimension", "visual", "weight", "3"), ("calibration", None, "a", "1"), ("calibration", None, "b", "-5"), ("grade", "good", "minimum", "40"), ("grade", "fair", "minimum", "20"),
+    ("cap", "layout.overlap", "base", "50"), ("cap", "layout.overlap", "slope", "8"), ("template", "layout.overlap", "reason", "parts overlap"), ("template", "layout.overlap", "fix_hint", "move them apart"),
+    ("template", "visual.contrast", "prompt_hint", "use darker ink"),
+]
+
+
+_SET = f"""m AS {A.METRICS}, s AS (SELECT doc_id, dimension, greatest(0.0e0, least(100.0e0, sum(score * weight) / sum(weight))) AS a FROM m WHERE score IS NOT NULL AND weight > 0 AND dimension IN ('geometry', 'visual') GROUP BY 1, 2),
+o AS (SELECT d.doc_id, {r("(coalesce(g.a, 0) * 1 + coalesce(v.a, 0) * 3) / 4", 2)} AS raw FROM (SELECT DISTINCT doc_id FROM m) d LEFT JOIN s g ON g.doc_id = d.doc_id AND g.dimension = 'geometry' LEFT JOIN s v ON v.doc_id = d.doc_id AND v.dimension = 'visual'),
+{MERGED}, c AS (SELECT doc_id, min(CASE WHEN magnitude IS NULL THEN 50.0e0 ELSE greatest(40.0e0, floor((50 - 8 * magnitude) * 2 + 0.5e0) / 2.0e0) END) AS effective FROM g WHERE code = 'layout.overlap' AND severity <> 'low' GROUP BY 1),
+t AS (SELECT doc_id, raw, effective, {r("greatest(0.0e0, least(raw, effective))", 2)} AS overall FROM o LEFT JOIN c USING (doc_id)),
+k AS (SELECT *, floor(greatest(0.0e0, least(100.0e0, overall - 5)) * 2 + 0.5e0) / 2.0e0 AS calibrated FROM t)"""
+
+
+@query(f"WITH {_SET} SELECT *, CASE WHEN calibrated >= 40 THEN 'good' WHEN calibrated >= 20 THEN 'fair' ELSE 'D' END AS grade FROM k")
+def configured_scores(spark, sf) -> DataFrame:
+    """Scores under settings from a table: two dimensions, one cap, another calibration and other grades."""
+    settings = settings_of(spark.createDataFrame(SETTINGS, SCHEMA))
+    return U.capped_overall(A.metric_facts(spark, sf), A.deduction_facts(spark, sf), settings)
+
+
+_HEAD = "CASE WHEN ord % 3 = 0 THEN 'visual.contrast' ELSE code END"
+
+
+@query(f"""WITH d AS {A.DEDUCTIONS}, k AS (SELECT *, {_HEAD} AS c FROM d) SELECT doc_id, ord, c AS code, 'visual' AS source, CASE WHEN ord % 4 = 0 THEN 'low' ELSE severity END AS severity,
+CASE WHEN ord % 5 = 0 THEN 'as measured' WHEN c = 'layout.overlap' THEN 'parts overlap' ELSE c END AS reason, CASE WHEN c = 'layout.overlap' THEN 'move them apart' ELSE '' END AS fix_hint,
+CASE WHEN hint <> '' THEN hint WHEN c = 'visual.contrast' THEN 'use darker ink' ELSE '' END AS prompt_hint FROM k""")
+def enriched_deductions(spark, sf) -> DataFrame:
+    """Deductions of which some lack a code, a severity, a reason or hints, made whole by templates."""
+    rows = A.deduction_facts(spark, sf).withColumns({
+        "dimension": F.lit("visual"), "metric": F.lit("contrast"), "source": F.lit(None).cast("string"), "code": F.when(F.col("ord") % 3 != 0, F.col("code")), "severity": F.when(F.col("ord") % 4 != 0, F.col("severity")),
+        "reason": F.when(F.col("ord") % 5 == 0, "as measured"), "fix_hint": F.lit(""), "prompt_hint": F.col("hint"),
+    })
+    out = U.enriched(rows, settings_of(spark.createDataFrame(SETTINGS, SCHEMA)))
+    return out.select("doc_id", "ord", "code", "source", "severity", "reason", "fix_hint", "prompt_hint")
+
+
+@query(f"""WITH {OVERALL}, {CAPS}, f2 AS (SELECT o.doc_id, {r("greatest(0.0e0, least(o.overall, h.cap - h.stacking))", 2)} AS overall FROM o LEFT JOIN h ON h.doc_id = o.doc_id), t AS (SELECT doc_id, list(code ORDER BY rank) AS codes FROM g WHERE rank <= 5 GROUP BY 1)
+SELECT doc_id, overall, {_grade(_cal('overall'))} AS grade, array_to_string(codes, ',') AS top_deductions FROM f2 LEFT JOIN t USING (doc_id)""")
+def committed_scores(spark, sf) -> DataFrame:
+    """The score rows of a committed run, written and read back."""
+    path = f"{checkpoint_folder(spark)}/runs-{uuid.uuid4().hex}"
+    commit_run(result_rows(A.metric_facts(spark, sf), A.deduction_facts(spark, sf)), path, "1")
+    out = read_run(spark, path, "1", "scores", "doc_id long, overall double, raw double, calibrated double, grade string, top_deductions array<string>")
+    return out.select("doc_id", "overall", "grade", F.array_join("top_deductions", ",").alias("top_deductions"))
