@@ -34,13 +34,13 @@ def _translucent(color: Column) -> Column:
 
 
 def visible_components(docs: DataFrame) -> DataFrame:
-    """(doc_id, id, kind, placed, action, acts, family, stops, nested, layers, prominence, pill, content, grid) of what isn't hidden.
+    """(doc_id, id, kind, placed, action, acts, family, stops, nested, layers, prominence, pill, unit) of what isn't hidden.
 
     ``placed``: it is somebody's child. ``acts``: it or an ancestor has an action. ``family``: of 12 hues,
     that of a chromatic background. ``stops``: of its gradient. ``nested``, ``layers``: the surfaces and the
     translucent ones from it up to the root. ``prominence``: of its text. Components on or below a cycle are left out.
-    ``pill``: a text with a rounded ground and a fixed size. ``content``: a text, a button with words or a picture of some size.
-    ``grid``: the area of a compact size, of the root (negative, so that it comes first) or a child of it; else null.
+    ``pill``: a text with a rounded ground and a fixed size. ``unit``: a text, a button with words or a picture of some size, in a
+    compact card: one whose top (the first that is nobody's child) or a child of it has a compact size.
     """
     get = lambda k: F.try_element_at("styles", F.lit(k))
     comps = C.with_texts(C.components(C.messages(docs)))
@@ -51,7 +51,7 @@ def visible_components(docs: DataFrame) -> DataFrame:
     shows = F.col("kind").isin("Text", "Button") & (F.size("texts") > 0)
     w, h = C.number(get("width")), C.number(get("height"))
     pill = (F.col("kind") == "Text") & shows & (background.isNotNull() | get("linearGradient").isNotNull()) & (C.number(get("borderRadius")) > 0) & w.isNotNull() & h.isNotNull()
-    compact = F.when((F.least(w, h) <= COMPACT_SHORT) & (F.greatest(w, h) <= COMPACT_LONG) & w.isNotNull() & h.isNotNull(), w * h)
+    compact = F.when((F.least(w, h) <= COMPACT_SHORT) & (F.greatest(w, h) <= COMPACT_LONG) & w.isNotNull() & h.isNotNull(), True)
     flat = saved(comps.select(
         "doc_id", "id", "kind", "children", F.array_contains(kids, F.col("id")).alias("placed"), "action", (F.floor(S.hue_degrees(S.parse_color(background)) / 30) % 12).cast("int").alias("family"),
         F.size(gradient).alias("stops"), (background.isNotNull() | get("linearGradient").isNotNull()).alias("surface"),
@@ -74,7 +74,21 @@ def visible_components(docs: DataFrame) -> DataFrame:
         ["doc_id"],
     ).filter("ended AND NOT _hidden")
     up = up.dropDuplicates(["doc_id", "node"]).select("doc_id", F.col("node").alias("id"), "acts", "nested", "layers")
-    return saved(flat.join(up, ["doc_id", "id"]).select("doc_id", "id", "kind", "placed", "action", "acts", "family", "stops", "nested", "layers", "prominence"))
+    tops = flat.filter("NOT placed").groupBy("doc_id").agg(F.min_by(F.struct("id", "compact", "children"), "ord").alias("top"))
+    inner = tops.select("doc_id", F.explode("top.children").alias("id")).join(flat.select("doc_id", "id", "compact"), ["doc_id", "id"]).groupBy("doc_id").agg(F.bool_or("compact").alias("inner"))
+    small = tops.join(inner, "doc_id", "left").select("doc_id", F.col("top.id").alias("top"), F.coalesce("top.compact", "inner", F.lit(False)).alias("small"))
+    rows = flat.join(up, ["doc_id", "id"]).join(small, "doc_id", "left")
+    unit = F.coalesce(F.col("content") & F.col("small") & (F.col("id") != F.col("top")), F.lit(False))
+    return saved(rows.select("doc_id", "id", "kind", "placed", "action", "acts", "family", "stops", "nested", "layers", "prominence", "pill", unit.alias("unit")))
+
+
+def crowding(docs: DataFrame) -> DataFrame:
+    """(doc_id, code, actual, expected): AFFORDANCE_FALSE_POSITIVE for texts that look like buttons and do nothing,
+    neither they nor what they are in; LAYOUT_DENSITY_HIGH for compact cards of more than ten units. ``actual``: how many."""
+    sums = visible_components(docs).groupBy("doc_id").agg(F.count_if(F.col("pill") & ~F.col("acts")).alias("pills"), F.count_if("unit").alias("units"))
+    rules = [("AFFORDANCE_FALSE_POSITIVE", F.col("pills"), 0), ("LAYOUT_DENSITY_HIGH", F.col("units"), MOST_CONTENT)]
+    found = F.array(*[F.when(n > most, F.struct(F.lit(code).alias("code"), n.cast("double").alias("actual"), F.lit(float(most)).alias("expected"))) for code, n, most in rules])
+    return sums.select("doc_id", F.inline(F.filter(found, lambda x: x.isNotNull())))
 
 
 def heuristics(docs: DataFrame) -> DataFrame:

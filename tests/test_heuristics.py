@@ -2,7 +2,7 @@
 
 from test_trees_cards import card, cards
 
-from cardlens.operators.heuristics import heuristics
+from cardlens.operators.heuristics import crowding, heuristics
 
 
 def text(i, **styles):
@@ -49,3 +49,30 @@ def test_heuristics(spark):
         found.setdefault(r["doc_id"], set()).add(r["code"])
     assert {i: found.get(i, set()) for i in range(len(CASES))} == {i: codes for i, (_, codes) in enumerate(CASES)}
     assert len(CASES) not in found
+
+
+PILL = {"backgroundColor": "#EEEEEE", "borderRadius": 4, "width": 40, "height": 20}
+TEN = [text(i) for i in "abcdefghij"]
+CROWDS = [
+    (root(["a"], text("a", **PILL)), {"AFFORDANCE_FALSE_POSITIVE": 1}),
+    (root(["a"], text("a", **PILL) | {"onClick": ["go"]}), {}),
+    ([{"id": "root", "component": "Column", "children": ["a"], "onClick": ["go"]}, text("a", **PILL)], {}),
+    (root(["a"], text("a", **PILL | {"visibility": "none"})), {}),
+    (root(["a"], text("a", **PILL | {"borderRadius": 0})), {}),
+    (root(["a"], text("a", **PILL | {"width": "100%"})), {}),
+    (root(["a"], text("a", **PILL) | {"content": ""}), {}),
+    (root([*"abcdefghij", "k"], *TEN, text("k"), width=160, height=320), {"LAYOUT_DENSITY_HIGH": 11}),
+    (root([*"abcdefghij"], *TEN, width=160, height=320), {}),
+    (root([*"abcdefghij", "k"], *TEN, text("k", visibility="hidden"), width=160, height=320), {}),
+    (root([*"abcdefghij", "k"], *TEN, text("k"), width=181, height=181), {}),
+    (root([*"abcdefghij", "k"], *TEN, text("k"), width="matchParent"), {}),
+    (root([*"abcdefghij", "k"], *TEN, {"id": "k", "component": "Image", "styles": {"width": 300, "height": 8}}, width="matchParent"), {"LAYOUT_DENSITY_HIGH": 11}),
+    (root([*"abcdefghij", "k"], *TEN, {"id": "k", "component": "Image", "styles": {"width": 300, "height": 7}}), {}),
+]
+
+
+def test_crowding(spark):
+    found = {}
+    for r in crowding(cards(spark, *[card(c) for c, _ in CROWDS], "no card")).collect():
+        found.setdefault(r["doc_id"], {})[r["code"]] = r["actual"]
+    assert {i: found.get(i, {}) for i in range(len(CROWDS))} == {i: codes for i, (_, codes) in enumerate(CROWDS)}
