@@ -35,18 +35,17 @@ def summary_row(results: DataFrame, wanted: DataFrame | None = None) -> DataFram
     """One row on a batch of ``result_rows``: documents, missing ones of ``wanted`` (doc_id), severities, mean and
     extremes of the overall score, documents by grade."""
     each = lambda s: F.size(F.filter("deductions", lambda d: d["severity"] == s))
-    grades = results.groupBy("grade").agg(F.count("*").alias("n"))
-    grades = grades.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("grade", "n")))).alias("grades"))
-    severities = [F.coalesce(F.sum(each(s)), F.lit(0)).cast("long").alias(s) for s in U.SEVERITIES]
-    sums = results.agg(
-        F.count("*").alias("docs"), *severities, F.count_if(F.col("confidence") < 0.8).alias("unsure"), F.round(F.avg("overall"), 4).alias("mean"), F.min("overall").alias("least"), F.max("overall").alias("most")
-    )
-    missing = F.lit(0).cast("long")
+    severities = [F.sum(each(s)).alias(s) for s in U.SEVERITIES]
+    unsure, ends = F.count_if(F.col("confidence") < 0.8).alias("unsure"), (F.min("overall").alias("least"), F.max("overall").alias("most"))
+    rows = results.groupBy("grade").agg(F.count("*").alias("docs"), *severities, unsure, F.sum("overall").alias("total"), *ends).withColumn("missing", F.lit(0).cast("long"))
     if wanted is not None:
         gone = wanted.select("doc_id").distinct().join(results.select("doc_id"), "doc_id", "left_anti").agg(F.count("*").alias("missing"))
-        # three tables of one row each
-        return sums.withColumn("k", F.lit(1)).join(gone.withColumn("k", F.lit(1)), "k").join(grades.withColumn("k", F.lit(1)), "k").drop("k")
-    return sums.withColumns({"missing": missing, "k": F.lit(1)}).join(grades.withColumn("k", F.lit(1)), "k").drop("k")
+        rows = rows.unionByName(gone, allowMissingColumns=True)
+    # a row a grade, and one on missing documents
+    counts = [F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in ("docs", *U.SEVERITIES, "unsure", "missing")]
+    mean = F.round(F.try_divide(F.sum("total"), F.sum("docs")), 4).alias("mean")
+    grades = F.map_from_entries(F.array_sort(F.collect_list(F.when(F.col("grade").isNotNull(), F.struct("grade", F.col("docs").alias("n")))))).alias("grades")
+    return rows.agg(*counts, mean, F.min("least").alias("least"), F.max("most").alias("most"), grades)
 
 
 def _files(spark: SparkSession, path: str):
