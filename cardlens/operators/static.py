@@ -164,7 +164,8 @@ def parsed(docs: DataFrame) -> DataFrame:
     all_ = F.flatten(F.transform(lists, lambda m: F.coalesce(m["updateComponents"]["components"], F.array())))
     surface = F.get(F.filter("messages", lambda m: m["createSurface"].isNotNull()), F.lit(0))["createSurface"]
     rows = msgs.select("doc_id", all_.alias("all"), F.get(F.transform(lists, lambda m: m["updateComponents"]["root"]), F.lit(0)).alias("root"), surface.alias("surface"), C.model_of().alias("model"))
-    rows = rows.select("doc_id", "root", *[typed(F.col("surface")[a]).alias(f"surface_{a}") for a in ("width", "height")], "model", F.posexplode("all").alias("ord", "c"))
+    rows = rows.select("doc_id", "root", *[typed(F.col("surface")[a]).alias(f"surface_{a}") for a in ("width", "height")], "model", "all")
+    rows = C.unpacked(rows, "all", "ord", "c")
     # what rules ask for, each read once from the text
     rows = saved(rows.select(
         "doc_id", "root", "surface_width", "surface_height", "model", "ord", "c.id", F.col("c.component").alias("kind"), C.child_ids(F.col("c.children")).alias("kids"),

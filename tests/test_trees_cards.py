@@ -141,3 +141,17 @@ def test_problems_of_cycles(spark):
     loop = [{"id": "root", "component": "Row", "children": []}, {"id": "a", "component": "Row", "children": ["b"]}, {"id": "b", "component": "Row", "children": ["a"]}]
     got = {(r["doc_id"], r["reason"]) for r in C.problems(cards(spark, card(loop, root="root"), card(loop[:1], root="root"), "nothing")).collect()}
     assert got == {(0, "cycle"), (2, "component lists")}
+
+
+def test_cards_are_parsed_once(spark):
+    """No filter below an explode repeats the parsing; empty cards, unclosed fences and lone backticks stay as they were."""
+    body = '{"updateComponents":{"root":"a","components":[{"id":"a","component":"Row","children":["b"]},{"id":"b","component":"Text","content":"x `y` ``z``"}]}}'
+    texts = [f"hi `a`\n```genui\n{body}\n```\n```genui\n{{}}\n```", f"```GENUI x\n{body}```", f"﻿{body}\n```genui\n", "```genui\n```", "", None, '{"updateComponents":{"components":[]}}']
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    comps = C.components(C.messages(docs))
+    for rows in (comps, C.placed_kinds(comps), C.required_texts(docs), C.edges(comps)):
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert not [line for line in plan.splitlines() if "Filter" in line.split("from_json")[0] and "from_json" in line]
+    assert {(r.doc_id, r.id) for r in comps.collect()} == {(i, c) for i in (0, 1, 2) for c in "ab"}
+    assert {tuple(r) for r in C.placed_kinds(comps).collect()} == {(i, "b", "Text", "a") for i in (0, 1, 2)}
+    assert {tuple(r) for r in C.required_texts(docs).collect()} == {(2, "b", "content", "x `y` ``z``"), (0, "b", "content", "x `y` ``z``"), (1, "b", "content", "x `y` ``z``")}
