@@ -155,3 +155,21 @@ def test_cards_are_parsed_once(spark):
     assert {(r.doc_id, r.id) for r in comps.collect()} == {(i, c) for i in (0, 1, 2) for c in "ab"}
     assert {tuple(r) for r in C.placed_kinds(comps).collect()} == {(i, "b", "Text", "a") for i in (0, 1, 2)}
     assert {tuple(r) for r in C.required_texts(docs).collect()} == {(2, "b", "content", "x `y` ``z``"), (0, "b", "content", "x `y` ``z``"), (1, "b", "content", "x `y` ``z``")}
+
+
+def test_problems_of_odd_lists(spark):
+    """Cycles are found in whatever order their components are listed; only documents with a backward place are walked."""
+    def card(*comps):
+        return json.dumps({"updateComponents": {"root": "r", "components": [{"id": i, "component": "Row", "children": list(k)} for i, k in comps]}})
+
+    cards = [
+        card(("r", "a"), ("a", "b"), ("b", "")), card(("b", ""), ("a", "b"), ("r", "a")), card(("r", ""), ("a", "b"), ("b", "a")), card(("r", "r")), card(("r", "ab"), ("a", "b"), ("b", "")),
+        card(("r", "a"), ("a", ""), ("a", "")), card(("r", "x")), card(("q", "a"), ("a", "")), card(("r", "aa"), ("a", "")),
+    ]
+    docs = spark.createDataFrame(list(enumerate(cards)), "doc_id long, text string")
+    got = {}
+    for r in C.problems(docs).collect():
+        got.setdefault(r.doc_id, []).append(r.reason)
+    assert {k: sorted(v) for k, v in got.items()} == {2: ["cycle"], 3: ["cycle"], 4: ["several parents"], 5: ["duplicate id"], 6: ["unknown child"], 7: ["no root"]}
+    comps = spark.createDataFrame([(0, 0, "r", ["a"]), (0, 1, "a", [])], "doc_id long, ord int, id string, children array<string>")
+    assert C.backward(C.placements(comps)).count() == 0
