@@ -9,6 +9,8 @@ Ancestry is a comparison of interval labels inside the joins, and boxes meet by
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,11 +32,18 @@ STYLES = (
     "width", "height", "padding", "margin", "justifyContent", "alignItems", "alignContent", "visibility", "borderRadius", "backgroundColor", "backgroundImage", "linearGradient", "borderColor", "borderWidth",
     "constraintSize", "layoutWeight", "flexGrow", "flexShrink", "fontColor", "fontSize", "fontWeight", "minFontSize", "maxFontSize", "maxLines", "textAlign",
 )
+# The columns of ``parsed`` that places and boxes, labels, overlaps, stacks and contrasts read.
+PLACED = ("kind", "is_root", "hidden", "styled", "w", "h", "eh", "estimated", "pad", "margin", "gap", "justify", "align", "content")
+LABELLED = ("kind", "hidden", "raw", "text", "visual")
+BOXED = ("ord", "kind", "is_root", "rounded")
+BRANCHED = ("kind", "w", "h", "flexible", "cover")
+STACKED = (*PLACED, *LABELLED, *BRANCHED, "ground")
+CONTRASTED = (*LABELLED, *BRANCHED, "layer", "shows", "styled", "ink", "font", "has_font", "smallest", "weight")
 FLEXIBLE = ("constraintSize", "layoutWeight", "flexGrow", "flexShrink")
 
 _TYPED = (
     "struct<createSurface:struct<width:variant,height:variant>,updateComponents:struct<root:string,components:array<struct<"
-    "id:string,component:string,children:string,content:variant,label:variant,itemMargin:variant,space:variant,onClick:string,styles:variant>>>,"
+    "id:string,component:string,children:string,content:variant,label:variant,itemMargin:variant,space:variant,onClick:string,styles:map<string,variant>>>>,"
     "updateDataModel:struct<path:string,value:variant>>"
 )
 _RGBA = "array<struct<r:double,g:double,b:double,a:double>>"
@@ -45,8 +54,25 @@ _EFFECT = f"struct<op:string,clears:boolean,colors:{_RGBA}>"
 
 
 def typed(v: Column) -> Column:
-    """struct(t, s) of a variant: its type (STRING, BIGINT, OBJECT<...>; VOID for JSON null) and its text; null for nothing."""
-    return F.when(v.isNotNull(), F.struct(F.schema_of_variant(v).alias("t"), F.try_variant_get(v, "$", "string").alias("s")).cast("struct<t:string,s:string>"))
+    """struct(t, s, n) of a variant: its type (STRING, BIGINT, OBJECT<...>; VOID for JSON null), its text and its number
+    (see ``numeric``); null for nothing."""
+    return C.once(C.once(v, _kind_and_text), _with_number)
+
+
+def _typed_map(m: Column) -> Column:
+    """A map of variants, each as ``typed``. Null if a key comes twice."""
+    plain = F.when(F.size(F.array_distinct(F.map_keys(m))) == F.size(m), m)
+    return F.transform_values(F.transform_values(plain, lambda k, v: _kind_and_text(v)), lambda k, v: _with_number(v))
+
+
+def _kind_and_text(v: Column) -> Column:
+    return F.when(v.isNotNull(), F.struct(F.schema_of_variant(v).alias("t"), F.try_variant_get(v, "$", "string").alias("s")))
+
+
+def _with_number(v: Column) -> Column:
+    by_text = S.number_of(v["s"], r"^\s*(-?[0-9]+(?:\.[0-9]+)?)(?:vp|fp|px)?\s*$")
+    n = F.when(v["t"] == "STRING", by_text).when(v["t"].rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT|INT|SMALLINT|TINYINT)"), v["s"].try_cast("double"))
+    return F.when(v.isNotNull(), F.struct(v["t"].alias("t"), v["s"].alias("s"), n.alias("n")))
 
 
 def _string(v: Column) -> Column:
@@ -55,8 +81,7 @@ def _string(v: Column) -> Column:
 
 def numeric(v: Column) -> Column:
     """A JSON number, or a string of one with an optional unit vp, fp or px; else null."""
-    by_text = F.regexp_extract(v["s"], r"^\s*(-?[0-9]+(?:\.[0-9]+)?)(?:vp|fp|px)?\s*$", 1).try_cast("double")
-    return F.when(v["t"] == "STRING", by_text).when(v["t"].rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT|INT|SMALLINT|TINYINT)"), v["s"].try_cast("double"))
+    return v["n"]
 
 
 def _dynamic(text: Column) -> Column:
@@ -78,7 +103,7 @@ def sides(v: Column) -> Column:
 
     def side(raw: Column) -> Column:
         text = _string(raw)
-        share = F.regexp_extract(text, r"^\s*(-?[0-9]+(?:\.[0-9]+)?)%\s*$", 1).try_cast("double")
+        share = S.number_of(text, r"^\s*(-?[0-9]+(?:\.[0-9]+)?)%\s*$")
         absolute = F.greatest(F.coalesce(numeric(raw), F.lit(0.0)), F.lit(0.0))
         return F.struct(_dynamic(text).alias("open"), F.coalesce(share > 0, F.lit(False)).alias("share"), (share.isNull() & (absolute > 0)).alias("fixed"), F.when(share.isNull(), absolute).otherwise(0.0).alias("n"))
 
@@ -104,8 +129,8 @@ def collapses(v: Column) -> Column:
     number, kind = numeric(v), v["t"]
     given = F.from_json(F.when(kind.startswith("OBJECT"), v["s"]), "map<string,string>")
     named = F.filter(F.map_values(F.map_filter(given, lambda k, x: k.isin("top", "right", "bottom", "left"))), lambda x: x.isNotNull())
-    share = F.exists(named, lambda x: F.coalesce(F.regexp_extract(x, r"^\s*([0-9]+(?:\.[0-9]+)?)%\s*$", 1).try_cast("double") > 0, F.lit(False)))
-    fixed = F.exists(named, lambda x: F.coalesce(F.regexp_extract(x, r"^\s*([0-9]+(?:\.[0-9]+)?)(?:vp|fp|px)?\s*$", 1).try_cast("double") > 0, F.lit(False)))
+    share = F.exists(named, lambda x: F.coalesce(S.number_of(x, r"^\s*([0-9]+(?:\.[0-9]+)?)%\s*$") > 0, F.lit(False)))
+    fixed = F.exists(named, lambda x: F.coalesce(S.number_of(x, r"^\s*([0-9]+(?:\.[0-9]+)?)(?:vp|fp|px)?\s*$") > 0, F.lit(False)))
     unnamed = (F.size(given) > 0) & ~F.exists(F.map_keys(given), lambda k: k.isin("top", "right", "bottom", "left"))
     odd = F.when(kind.startswith("OBJECT"), unnamed | (share & fixed)).when(kind == "STRING", ~_dynamic(v["s"])).when(kind.startswith("ARRAY") | (kind == "BOOLEAN"), True).otherwise(number < 0)
     return F.coalesce(odd, F.lit(False))
@@ -134,12 +159,13 @@ def _static_text(raw: Column, model: Column) -> Column:
 
 
 def _layer() -> Column:
-    """What a component paints over what is below it: taint, opaque or veil with its colours; null for nothing."""
-    gradient, color, radius = F.col("linearGradient"), F.col("backgroundColor"), F.col("borderRadius")
+    """What a component paints over what is below it: taint, opaque or veil with its colours (``color``: that of its
+    backgroundColor); null for nothing."""
+    gradient, ground, radius = F.col("linearGradient"), F.col("backgroundColor"), F.col("borderRadius")
     stops = F.from_json(F.when(gradient["t"].startswith("OBJECT"), gradient["s"]), "struct<colors:array<variant>>")["colors"]
     pair = lambda v: F.try_variant_get(v, "$", "array<variant>")
     parsed = F.transform(stops, lambda v: F.when(F.size(pair(v)) == 2, S.parse_color(_string(typed(F.get(pair(v), F.lit(0)))))))
-    colors = F.when(gradient.isNotNull(), parsed).otherwise(F.array(S.parse_color(_string(color))))
+    colors = F.when(gradient.isNotNull(), parsed).otherwise(F.array("color"))
     corners = F.map_values(F.from_json(F.when(radius["t"].startswith("OBJECT"), radius["s"]), "map<string,string>"))
     square = radius.isNull() | (radius["t"] == "VOID") | F.coalesce(F.abs(numeric(radius)) < 1e-9, F.lit(False))
     square = square | F.coalesce(F.forall(corners, lambda x: x.isNull() | F.coalesce(C.number(x) == 0, F.lit(False))), F.lit(False))
@@ -153,12 +179,15 @@ def _layer() -> Column:
         return F.when(c.isNull() | F.exists(c, lambda x: x.isNull()), effect("taint", F.array())).when(F.size(c) > 0, effect(F.when(opaque, "opaque").otherwise("veil"), c))
 
     none = F.lit(None).cast(_EFFECT)
-    return F.when(F.col("backgroundImage").isNotNull(), effect("taint", F.array())).when(gradient.isNotNull() | color.isNotNull(), C.once(colors, painted)).otherwise(none)
+    return F.when(F.col("backgroundImage").isNotNull(), effect("taint", F.array())).when(gradient.isNotNull() | ground.isNotNull(), C.once(colors, painted)).otherwise(none)
 
 
-def parsed(docs: DataFrame) -> DataFrame:
+def parsed(docs: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
     """A row a component (doc_id, ord, id, kind, children, parent, pos, is_root) with the typed values
-    that static rules ask for; a written table. Null and broken documents have no components."""
+    that static rules ask for; a written table. Null and broken documents have no components.
+
+    ``columns``: those that the caller reads besides doc_id, id, parent and pos; no others are computed.
+    """
     msgs = C.messages(docs, _TYPED)
     lists = F.filter("messages", lambda m: m["updateComponents"].isNotNull())
     all_ = F.flatten(F.transform(lists, lambda m: F.coalesce(m["updateComponents"]["components"], F.array())))
@@ -166,31 +195,34 @@ def parsed(docs: DataFrame) -> DataFrame:
     rows = msgs.select("doc_id", all_.alias("all"), F.get(F.transform(lists, lambda m: m["updateComponents"]["root"]), F.lit(0)).alias("root"), surface.alias("surface"), C.model_of().alias("model"))
     rows = rows.select("doc_id", "root", *[typed(F.col("surface")[a]).alias(f"surface_{a}") for a in ("width", "height")], "model", "all")
     rows = C.unpacked(rows, "all", "ord", "c")
-    # what rules ask for, each read once from the text
-    rows = saved(rows.select(
-        "doc_id", "root", "surface_width", "surface_height", "model", "ord", "c.id", F.col("c.component").alias("kind"), C.child_ids(F.col("c.children")).alias("kids"),
-        *[typed(F.col(f"c.{f}")).alias(f"own_{f}") for f in ("content", "label", "itemMargin", "space", "styles")], "c.onClick", *[typed(F.try_variant_get("c.styles", f"$.{f}", "variant")).alias(f) for f in STYLES],
-    ))
-    kind, styles = F.col("kind"), F.col("own_styles")
-    is_root = F.coalesce(F.col("id") == F.col("root"), F.lit(False))
-    has_styles = F.coalesce(styles["t"].startswith("OBJECT"), F.lit(False))
+    # the styles that a component has, each read once from the text
+    rows = rows.select(
+        "doc_id", "root", "surface_width", "surface_height", "model", "ord", "c.id", F.col("c.component").alias("kind"), F.col("c.children").alias("listed"),
+        *[typed(F.col(f"c.{f}")).alias(f"own_{f}") for f in ("content", "label", "itemMargin", "space")], "c.onClick", _typed_map(F.col("c.styles")).alias("styles"),
+    )
+    # each step computes what the next asks for more than once
+    rows = rows.select("*", C.child_ids(F.col("listed")).alias("kids"), *[F.try_element_at("styles", F.lit(f)).alias(f) for f in STYLES])
+    kind, styles = F.col("kind"), F.col("styles")
+    is_root, has_styles = F.col("is_root"), F.col("styled")
 
     def size(axis: str) -> Column:
         own = F.col(axis)
         return F.coalesce(numeric(own), F.when(is_root & (_string(own) == "matchParent"), numeric(F.col(f"surface_{axis}"))))
 
-    raw = _string(F.when(kind == "Button", F.col("own_label")).otherwise(F.col("own_content")))
-    raw = F.when(F.trim(raw) != "", raw)
+    shown = _string(F.when(kind == "Button", F.col("own_label")).otherwise(F.col("own_content")))
+    rows = rows.select(
+        "*", F.coalesce(F.col("id") == F.col("root"), F.lit(False)).alias("is_root"), styles.isNotNull().alias("styled"), F.when(F.trim(shown) != "", shown).alias("raw"),
+        S.parse_color(_string(F.col("backgroundColor"))).alias("color"), sides(F.col("padding")).alias("pad"), F.coalesce("kids", F.array().cast("array<string>")).alias("named"),
+    )
+    rows = rows.select("*", _layer().alias("layer"), size("height").alias("own_h"))
+    raw, color, padding, layer = (F.col(c) for c in ("raw", "color", "pad", "layer"))
     text = _static_text(raw, F.col("model"))
     lines = F.when(F.col("maxLines").isNull(), 1.0).otherwise(numeric(F.col("maxLines")))
-    padding, font = sides(F.col("padding")), F.coalesce(numeric(F.col("fontSize")), F.lit(16.0))
+    font = F.coalesce(numeric(F.col("fontSize")), F.lit(16.0))
     by_lines = F.when(kind.isin("Text", "Button") & has_styles & raw.isNotNull() & (lines > 0), F.ceil(font * LINE_HEIGHT * lines + padding["t"] + padding["b"]).cast("double"))
     gap = F.col("own_itemMargin")
-    color = S.parse_color(_string(F.col("backgroundColor")))
-    keys = F.map_keys(F.from_json(F.when(has_styles, styles["s"]), "map<string,string>"))
-    bare = (kind == "Text") & (F.size(F.coalesce("kids", F.array().cast("array<string>"))) == 0) & F.coalesce(F.trim(_string(F.col("own_content"))) == "", F.lit(False))
-    bare = bare & has_styles & (F.size(F.array_except(keys, F.array(*map(F.lit, COVER_FIELDS)))) == 0) & _word(F.col("visibility"), "").isin("", "visible") & (color["a"] >= 0.999)
-    layer = _layer()
+    bare = (kind == "Text") & (F.size("named") == 0) & F.coalesce(F.trim(_string(F.col("own_content"))) == "", F.lit(False))
+    bare = bare & has_styles & (F.size(F.array_except(F.map_keys(styles), F.array(*map(F.lit, COVER_FIELDS)))) == 0) & _word(F.col("visibility"), "").isin("", "visible") & (color["a"] >= 0.999)
     # whether a text's own ground keeps off what is below it; null if that is open
     ground = (
         F.when(F.col("backgroundImage").isNotNull(), None)
@@ -208,13 +240,13 @@ def parsed(docs: DataFrame) -> DataFrame:
         grows = grows if f == "constraintSize" else grows | F.col(f).isNotNull()
     axes = F.struct(numeric(F.col("width")).alias("w"), numeric(F.col("height")).alias("h"), F.col("width").isNotNull().alias("has_w"), F.col("height").isNotNull().alias("has_h"))
     words = F.struct(F.col("justifyContent.s").alias("justify"), F.col("alignItems.s").alias("align"))
-    nodes = saved(rows.select(
-        "doc_id", "ord", "id", "kind", F.coalesce("kids", F.array().cast("array<string>")).alias("children"), is_root.alias("is_root"),
-        F.coalesce(_string(F.col("visibility")).isin("hidden", "none"), F.lit(False)).alias("hidden"), has_styles.alias("styled"),
-        size("width").alias("w"), size("height").alias("h"), F.coalesce(size("height"), by_lines).alias("eh"), (size("height").isNull() & by_lines.isNotNull()).alias("estimated"),
-        padding.alias("pad"), F.when(has_styles, sides(F.col("margin"))).otherwise(F.struct(*[F.lit(0.0).alias(k) for k in "trbl"])).alias("margin"),
+    nodes = rows.select(
+        "doc_id", "ord", "id", "kind", F.col("named").alias("children"), "is_root",
+        F.coalesce(_string(F.col("visibility")).isin("hidden", "none"), F.lit(False)).alias("hidden"), "styled",
+        size("width").alias("w"), F.col("own_h").alias("h"), F.coalesce("own_h", by_lines).alias("eh"), (F.col("own_h").isNull() & by_lines.isNotNull()).alias("estimated"),
+        "pad", F.when(has_styles, sides(F.col("margin"))).otherwise(F.struct(*[F.lit(0.0).alias(k) for k in "trbl"])).alias("margin"),
         F.when(gap.isNull(), 0.0).otherwise(numeric(gap)).alias("gap"), _word(F.col("justifyContent"), "start").alias("justify"), _word(F.col("alignItems"), "start").alias("align"),
-        _word(F.col("alignContent"), "center").alias("content"), raw.alias("raw"), text.alias("text"), layer.alias("layer"), ground.alias("ground"),
+        _word(F.col("alignContent"), "center").alias("content"), "raw", text.alias("text"), "layer", ground.alias("ground"),
         F.when(F.coalesce(bare, F.lit(False)), F.struct(color.alias("color"), _string(F.col("width")).alias("width"), _string(F.col("height")).alias("height"))).alias("cover"), flexible.alias("flexible"),
         (kind.isin("Button", "Column", "Row", "Stack", "Text") & (radius >= SURFACE_RADIUS) & ((kind == "Button") | paints)).alias("rounded"),
         ((kind == "Image") | F.col("backgroundColor").isNotNull() | F.col("backgroundImage").isNotNull() | F.col("linearGradient").isNotNull()).alias("visual"),
@@ -225,9 +257,11 @@ def parsed(docs: DataFrame) -> DataFrame:
         axes.alias("sizes"), words.alias("words"), grows.alias("grows"), radius.alias("radius"), paints.alias("paints"), collapses(F.col("padding")).alias("collapsed"), F.col("own_space").isNotNull().alias("spaced"),
         (F.col("maxLines").isNull() | F.coalesce(numeric(F.col("maxLines")) == 1, F.lit(False)) & (F.col("maxLines.t") != "STRING")).alias("one_line"), _word(F.col("textAlign"), "start").alias("text_align"),
         (F.coalesce(F.size(F.from_json("onClick", "array<string>")) > 0, F.lit(False)) | F.coalesce(kind == "Button", F.lit(False))).alias("acts"),
-    ))
+    )
+    kept = [c for c in nodes.columns if columns is None or c in ("doc_id", "id", *columns)]
+    nodes = saved(nodes.select(*kept, *{"children"}.difference(kept)))
     parents = C.edges(nodes).groupBy("doc_id", "id").agg(F.min(F.struct("parent", "pos")).alias("in")).select("doc_id", "id", "in.parent", "in.pos")
-    return saved(nodes.join(parents, ["doc_id", "id"], "left"))
+    return saved(nodes.select(*kept).join(parents, ["doc_id", "id"], "left"))
 
 
 def _shows(v: Column) -> Column:
@@ -327,7 +361,7 @@ def boxes_of(nodes: DataFrame) -> DataFrame:
 
 def static_layout(docs: DataFrame) -> DataFrame:
     """``boxes_of`` the components of ``docs``."""
-    return boxes_of(parsed(docs))
+    return boxes_of(parsed(docs, PLACED))
 
 
 def labelled(nodes: DataFrame) -> DataFrame:

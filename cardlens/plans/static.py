@@ -38,7 +38,7 @@ _O = f"""{_I}, o AS (SELECT *, least(mx + mw, tx + tw) - greatest(mx, tx) AS wid
 @query(f"WITH {_O} SELECT doc_id, 's' || ord AS stack, 'm' || ord AS image, 't' || ord AS text, wide, high FROM o WHERE NOT shut AND NOT gone AND wide > 0.5e0 AND high > 0.5e0")
 def stack_text_image_overlap(spark, sf) -> DataFrame:
     """Pictures and texts of different branches of a stack that meet."""
-    return G.stack_overlaps(G.labelled(G.parsed(layered_documents(spark, sf))))[0]
+    return G.stack_overlaps(G.labelled(G.parsed(layered_documents(spark, sf), G.STACKED)))[0]
 
 
 @query(f"""WITH {_O}, c AS (SELECT doc_id, NOT gone AND NOT covered AS candidate, shut, NOT shut AND NOT gone AND wide > 0.5e0 AND high > 0.5e0 AS hit FROM o)
@@ -47,7 +47,7 @@ WHEN bool_or(candidate AND shut) THEN 'undetermined' ELSE 'clear' END AS verdict
 def stack_overlap_verdicts(spark, sf) -> DataFrame:
     """One of four verdicts a card on pictures over texts."""
     docs = saved(layered_documents(spark, sf))
-    return G.stack_verdicts(docs, *G.stack_overlaps(G.labelled(G.parsed(docs))))
+    return G.stack_verdicts(docs, *G.stack_overlaps(G.labelled(G.parsed(docs, G.STACKED))))
 
 
 _Y = f"""{_I}, f AS (SELECT doc_id, max(sy + sh + g) AS fy FROM p GROUP BY 1)"""
@@ -57,7 +57,7 @@ _Y = f"""{_I}, f AS (SELECT doc_id, max(sy + sh + g) AS fy FROM p GROUP BY 1)"""
 SELECT doc_id, text, target, CASE WHEN gap < -0.5e0 THEN 'overlap' ELSE 'low_gap' END AS relation, gap::DOUBLE AS gap FROM o WHERE wide > 0.5e0 AND (gap < -0.5e0 OR (gap >= 0 AND gap < 2))""")
 def text_surface_overlap(spark, sf) -> DataFrame:
     """Texts whose estimated lines reach the rounded surface below their stack."""
-    nodes = G.parsed(layered_documents(spark, sf))
+    nodes = G.parsed(layered_documents(spark, sf), (*G.PLACED, *G.LABELLED, *G.BOXED))
     return G.text_surface_overlaps(G._boxed(G.labelled(nodes), G.boxes_of(nodes)))
 
 
@@ -84,7 +84,7 @@ m AS (SELECT doc_id, ord, least(r1, r2) AS lo, greatest(r1, r2) AS hi FROM c)
 SELECT doc_id, 't' || ord AS id, CASE WHEN lo IS NULL OR (lo < 4.5e0 AND hi >= 4.5e0) THEN 'open' WHEN lo >= 4.5e0 THEN 'clear' WHEN lo < 3 THEN 'error' ELSE 'warning' END AS state, {r('lo', 3)} AS lowest, {r('hi', 3)} AS highest FROM m""")
 def contrast_states(spark, sf) -> DataFrame:
     """Contrast of every text against all that may lie behind it: solid, veiled, gradient, covered or open grounds."""
-    found = G.contrasts(G.labelled(G.parsed(layered_documents(spark, sf))))
+    found = G.contrasts(G.labelled(G.parsed(layered_documents(spark, sf), G.CONTRASTED)))
     return found.select("doc_id", "id", "state", rounded(F.col("lowest"), 3).alias("lowest"), rounded(F.col("highest"), 3).alias("highest"))
 
 
