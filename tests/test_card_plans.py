@@ -5,6 +5,7 @@ from test_trees_cards import card, cards
 
 from cardlens.functions import scalars as S
 from cardlens.operators import cards as C
+from cardlens.operators.heuristics import visible_components
 
 
 def reads(df) -> int:
@@ -36,3 +37,17 @@ def test_colours_from_one_number(spark):
     rows = spark.createDataFrame([("#FF8000",), ("#80FF8000",), ("#ff80",), ("red",), (None,)], "c string")
     got = [r.c and tuple(round(v * 255) for v in r.c) for r in rows.select(S.parse_color(F.col("c")).alias("c")).collect()]
     assert got == [(255, 128, 0, 255), (255, 128, 0, 128), None, None, None]
+
+
+def test_sides_of_boxes(spark):
+    rows = spark.createDataFrame([("8",), (" 4vp ",), ('{"top":"4","horizontal":2,"all":1}',), ("[8,8]",), ("wide",), (None,)], "v string")
+    sides = [list(r[0]) for r in rows.select(C.box_edges(F.col("v"))).collect()]
+    assert sides == [[8.0] * 4, [4.0] * 4, [4.0, 2.0, 1.0, 2.0], [0.0] * 4, [0.0] * 4, [0.0] * 4]
+
+
+def test_heuristics_have_no_sort_and_no_rows_of_units(spark):
+    root = {"id": "root", "component": "Column", "children": ["a", "b"]}
+    found = visible_components(cards(spark, card([root, note("a"), note("b")])))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "unit" not in found.columns and reads(found) == 2
+    assert sorted((r.id, r.placed) for r in found.collect()) == [("a", True), ("b", True), ("root", False)]
