@@ -5,6 +5,7 @@ from test_trees_cards import card, cards
 
 from cardlens.functions import scalars as S
 from cardlens.operators import cards as C
+from cardlens.operators import metrics as M
 from cardlens.operators.heuristics import visible_components
 
 
@@ -51,3 +52,23 @@ def test_heuristics_have_no_sort_and_no_rows_of_units(spark):
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "Window" not in plan and "unit" not in found.columns and reads(found) == 2
     assert sorted((r.id, r.placed) for r in found.collect()) == [("a", True), ("b", True), ("root", False)]
+
+
+def test_a_frame_is_made_once_for_all_its_metrics(spark):
+    made = []
+
+    def frame(boxes):
+        made.append(1)
+        return boxes.groupBy("doc_id").agg(F.sum("x").alias("a"), F.max("x").alias("b"))
+
+    before = dict(M.METRICS)
+    try:
+        for name, column in (("one", "a"), ("two", "b")):
+            M.register_metric("test", name, 1)(M._of(frame, column))
+        M.register_metric("test", "three", 1)(lambda b: b.groupBy("doc_id").agg(F.min("x").alias("score")))
+        boxes = spark.createDataFrame([(1, 2.0), (1, 3.0)], "doc_id long, x double")
+        rows = M.run_metrics(boxes, [("test", "one"), ("test", "two"), ("test", "three")]).collect()
+    finally:
+        M.METRICS.clear()
+        M.METRICS.update(before)
+    assert len(made) == 1 and {r["name"]: r.score for r in rows} == {"one": 5.0, "two": 3.0, "three": 2.0}
