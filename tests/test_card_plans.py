@@ -6,6 +6,7 @@ from test_trees_cards import card, cards
 from cardlens.functions import scalars as S
 from cardlens.operators import cards as C
 from cardlens.operators import metrics as M
+from cardlens.operators import text as T
 from cardlens.operators.heuristics import visible_components
 
 
@@ -72,3 +73,16 @@ def test_a_frame_is_made_once_for_all_its_metrics(spark):
         M.METRICS.clear()
         M.METRICS.update(before)
     assert len(made) == 1 and {r["name"]: r.score for r in rows} == {"one": 5.0, "two": 3.0, "three": 2.0}
+
+
+def test_pairs_of_texts_that_can_reach_a_similarity(spark):
+    texts = [("", ""), ("abcdefghij" * 2, "abcdefghij" * 2 + "xx"), ("abc", "zzz"), ("a" * 11 + "b" * 9, "a" * 11 + "c" * 9), ("a" * 9 + "b", "a" * 9 + "c")]
+    rows = spark.createDataFrame(texts, "a string, b string").select("a", "b", T.likeness(F.col("a"), F.col("b")).alias("s"), *[T.may_reach(T.sized(F.col("a")), T.sized(F.col("b")), x).alias(n) for n, x in (("partly", 0.55), ("same", 0.9))])
+    got = [(r.s, r.partly, r.same) for r in rows.collect()]
+    assert [x[0] for x in got] == [0.0, 20 / 22, 0.0, 0.55, 0.9]
+    assert [x[1] for x in got] == [False, True, False, True, True] and [x[2] for x in got] == [False, True, False, False, True]
+
+
+def test_empty_texts_have_no_best_match(spark):
+    required, seen = spark.createDataFrame([(1, 1, ".")], "key long, id long, text string"), spark.createDataFrame([(1, 1, "")], "key long, ord long, text string")
+    assert [tuple(r) for r in T.best_match(required, seen).collect()] == [(1, None, 0.0)]
