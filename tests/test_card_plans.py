@@ -86,3 +86,13 @@ def test_pairs_of_texts_that_can_reach_a_similarity(spark):
 def test_empty_texts_have_no_best_match(spark):
     required, seen = spark.createDataFrame([(1, 1, ".")], "key long, id long, text string"), spark.createDataFrame([(1, 1, "")], "key long, ord long, text string")
     assert [tuple(r) for r in T.best_match(required, seen).collect()] == [(1, None, 0.0)]
+
+
+def test_every_metric_of_boxes_runs_for_every_card(spark):
+    from cardlens.plans.registry import ORACLES
+
+    assert all(f"'{d}' AS dimension, '{n}' AS name" in ORACLES["metric_results"] for d, n in M.METRICS)
+    box = "doc_id long, ord long, x double, y double, w double, h double, kind string, fs double, radius double, contrast double"
+    rows = M.run_metrics(spark.createDataFrame([(1, 1, 8.0, 8.0, 30.0, 30.0, "image", 12.0, 4.0, 4.5)], box)).collect()
+    assert {(r.dimension, r["name"]) for r in rows} == set(M.METRICS) and len(rows) == len(M.METRICS)
+    assert {r.score for r in rows if r["name"] in ("reading_flow", "hierarchy")} == {0.0}  # no text: they count, and score 0
