@@ -56,8 +56,7 @@ _Y = f"""{_I}, f AS (SELECT doc_id, max(sy + sh + g) AS fy FROM p GROUP BY 1)"""
 SELECT doc_id, text, target, CASE WHEN gap < -0.5e0 THEN 'overlap' ELSE 'low_gap' END AS relation, gap::DOUBLE AS gap FROM o WHERE wide > 0.5e0 AND (gap < -0.5e0 OR (gap >= 0 AND gap < 2))""")
 def text_surface_overlap(spark, sf) -> DataFrame:
     """Texts whose estimated lines reach the rounded surface below their stack."""
-    nodes = G.parsed(layered_documents(spark, sf), (*G.PLACED, *G.LABELLED, *G.BOXED))
-    return G.text_surface_overlaps(G._boxed(G.labelled(nodes), G.boxes_of(nodes)))
+    return P.text_surface_overlaps(layered_documents(spark, sf))
 
 
 def _mix(c: str, at: int) -> str:
