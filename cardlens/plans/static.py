@@ -82,7 +82,7 @@ m AS (SELECT doc_id, ord, least(r1, r2) AS lo, greatest(r1, r2) AS hi FROM c)
 SELECT doc_id, 't' || ord AS id, CASE WHEN lo IS NULL OR (lo < 4.5e0 AND hi >= 4.5e0) THEN 'open' WHEN lo >= 4.5e0 THEN 'clear' WHEN lo < 3 THEN 'error' ELSE 'warning' END AS state, {r('lo', 3)} AS lowest, {r('hi', 3)} AS highest FROM m""")
 def contrast_states(spark, sf) -> DataFrame:
     """Contrast of every text against all that may lie behind it: solid, veiled, gradient, covered or open grounds."""
-    found = G.contrasts(G.labelled(G.parsed(layered_documents(spark, sf), G.CONTRASTED)))
+    found = P.text_contrasts(layered_documents(spark, sf))
     return found.select("doc_id", "id", "state", rounded(F.col("lowest"), 3).alias("lowest"), rounded(F.col("highest"), 3).alias("highest"))
 
 
