@@ -6,6 +6,7 @@ import random
 import pytest
 
 from cardlens.operators import cards as C
+from cardlens.operators import heuristics as H
 from cardlens.operators import plain_cards as P
 from cardlens.operators.plain import Odd
 from cardlens.plans.registry import QUERIES
@@ -15,6 +16,8 @@ RUNS = [
     (P.problems, C.problems),
     (P.text_icon_verdicts, C.text_icon_verdicts),
     (P.statuses, lambda docs: C.statuses(docs, C.diagnostics(docs), C.problems(docs))),
+    (P.card_heuristics, H.heuristics),
+    (P.card_crowding, H.crowding),
 ]
 TEXTS = ["word", "two  words", "25℃", "标题 text", "·", "", " ", 7, "at ${/a}", "${/b/c} and ${/none}", "{{ $__dataModel.b.c }}", None]
 MODELS = [[], [("/", {"a": "x", "b": {"c": 12}})], [("/b", {"c": True})], [(None, {"a": "y"})]]
@@ -85,6 +88,6 @@ def test_reasons_of_cards_that_are_no_trees(links, want):
 
 
 def test_queries_shuffle_no_components(spark):
-    for name in ("validator_status", "card_diagnostics", "card_problems", "assessment_verdicts"):
+    for name in ("validator_status", "card_diagnostics", "card_problems", "assessment_verdicts", "card_heuristics", "card_crowding"):
         plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
         assert "Exchange" not in plan and "Join" not in plan, name
