@@ -56,6 +56,8 @@ def docs(spark):
     texts = [some_card(rng) for _ in range(100)] + [some_card(rng, True) for _ in range(20)]
     assert sum(is_plain(t) for t in texts[:100]) == 100 and all(list(P.reasons(P.Card(t))) is not None for t in texts)
     odd = ['{"updateComponents":{"components":[{"id":"a","component":"Text","content":{"path":"/a"},"styles":{"width":"5","fontSize":"20"}}]}}\n{"updateDataModel":{"value":{"a":"a long text"}}}', "{broken"]
+    pill = {"id": "root", "component": "Text", "content": "tag", "styles": {"width": 40, "height": 20, "borderRadius": 4, "backgroundColor": "#DDEEFF"}}
+    odd.append(json.dumps({"updateComponents": {"root": "root", "components": [pill]}}))
     return spark.createDataFrame([*enumerate(texts + odd), (900, None), (901, ""), (902, "no card")], "doc_id long, text string")
 
 
